@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.values import four_decimals, is_better, minute_text, short_id, tag
 from tidemark.operators.runs import chosen_key, chosen_value, metric_choice, resolve_metric
-from tidemark.operators.scan import BUCKET, add_buckets, running
+from tidemark.operators.scan import BUCKET, Running, add_buckets, cut_points, running
 from tidemark.session import shuffle_width
 
 # What can happen to a candidate.
@@ -252,29 +252,34 @@ def promotion_history(
     # A run registers once: of its rows with a value only the first counts.
     firsts = base.filter("_v IS NOT NULL").groupBy("model_name", "run_id").agg(F.min(F.struct("_at", "arrival_no")).alias("_first"))
     marked = base.join(firsts, ["model_name", "run_id"], "left")
-    counts = F.col("_v").isNotNull() & (F.struct("_at", "arrival_no") == F.col("_first"))
-    marked = marked.withColumn("_counts", counts).drop("_first")
-    bucketed = add_buckets(marked, "_at", cuts_from=base)
-    order = ["_at", "arrival_no"]
-    active = F.when(F.col("_counts"), F.col("_v"))
-    seen = running(bucketed, ["model_name"], order, {"_before": ("count", F.lit(1)), "_bar": ("min", active)}, inclusive=False)
-
-    first = F.col("_bar").isNull()
+    is_first = F.col("_v").isNotNull() & (F.struct("_at", "arrival_no") == F.col("_first"))
+    marked = marked.withColumn("_counts", is_first).drop("_first")
+    bucketed = add_buckets(marked, "_at", cut_points(base, "_at"))
+    order, keys = ["_at", "arrival_no"], ["model_name"]
+    v, bar, counts = F.col("_v"), F.col("_bar"), F.col("_counts")
+    measures = {
+        "_before": Running("count", F.lit(1), inclusive=False),
+        "_bar": Running("min", F.when(counts, v), inclusive=False),
+    }
+    first = counts & bar.isNull()
     if threshold == 0:
-        tie = (F.col("_v") == F.col("_bar")) & (F.col("_v") != 0)
-        wins = F.col("_counts") & (first | (F.col("_v") < F.col("_bar")) | tie)
-        flagged = seen.withColumn("_wins", wins)
+        # The best value so far is the champion's; of equal values the latest run has won, at zero the first.
+        newer = F.when(v == 0, 1).otherwise(-1)
+        holder = F.struct(v.alias("v"), (newer * F.col("_at")).alias("a"), (newer * F.col("arrival_no")).alias("n"), "run_id")
+        measures["_holder"] = Running("min", F.when(counts, holder))
+        seen = running(bucketed, keys, order, measures)
+        tie = (v == bar) & (v != 0)
+        known = seen.withColumns({"champion_run": F.col("_holder.run_id"), "_wins": first | (counts & ((v < bar) | tie))})
     else:
-        records = seen.filter(F.col("_counts") & (first | (F.col("_v") < F.col("_bar"))))
-        promoted = _fold(records.select("model_name", BUCKET, *order, "_v"), threshold)
-        keys = ["model_name", BUCKET, *order]
-        flagged = seen.join(promoted.withColumn("_wins", F.lit(True)), keys, "left")
-        flagged = flagged.withColumn("_wins", F.coalesce("_wins", F.lit(False)))
-    crowned = F.when(F.col("_wins"), F.col("run_id"))
-    known = running(flagged, ["model_name"], order, {"champion_run": ("last", crowned)})
+        seen = running(bucketed, keys, order, measures)
+        records = seen.filter(first | (counts & (v < bar)))
+        won = _fold(records.select("model_name", BUCKET, *order, "_v"), threshold).withColumn("_won", F.lit(True))
+        flagged = seen.join(won, ["model_name", BUCKET, *order], "left").withColumn("_wins", F.coalesce("_won", F.lit(False)))
+        crowned = F.when(F.col("_wins"), F.col("run_id"))
+        known = running(flagged, keys, order, {"champion_run": Running("last", crowned)})
     scenario = (
         F.when(F.col("_v").isNull(), ERROR)
-        .when(~F.col("_counts"), SKIPPED)
+        .when(~counts, SKIPPED)
         .when(F.col("_wins") & first, FIRST)
         .when(F.col("_wins"), PROMOTED)
         .otherwise(CHALLENGER)

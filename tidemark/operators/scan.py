@@ -8,6 +8,7 @@ Group columns must not be NULL.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
@@ -18,20 +19,19 @@ from tidemark.session import shared_dir, shuffle_width
 BUCKET = "_bucket"
 
 
-def add_buckets(
-    df: DataFrame, column: str, buckets: int | None = None, cuts_from: DataFrame | None = None
-) -> DataFrame:
-    """Add ``_bucket``, an ordered range bucket of a numeric column with about equally many rows each.
+def cut_points(df: DataFrame, column: str, buckets: int | None = None) -> list[float]:
+    """Values that cut a numeric column into ranges with about equally many rows.
 
-    The cut points are quantiles of the whole column (a bounded list, one value per bucket), so the
-    largest bucket of the largest group is about ``rows / buckets`` however the groups are skewed.
-    ``cuts_from`` names a cheaper frame with the same values to take the quantiles from.
+    Quantiles of the whole column in one pass; the driver gets one number per bucket. The largest part
+    of any group between two cuts is then about ``rows / buckets``, however the groups are skewed.
     """
     count = buckets or shuffle_width(df.sparkSession)
-    cuts: list[float] = []
-    if count > 1:
-        shares = [i / count for i in range(1, count)]
-        cuts = sorted(set((cuts_from or df).approxQuantile(column, shares, 1 / (4 * count))))
+    shares = [i / count for i in range(1, count)]
+    return sorted(set(df.approxQuantile(column, shares, 1 / (4 * count)))) if shares else []
+
+
+def add_buckets(df: DataFrame, column: str, cuts: Sequence[float]) -> DataFrame:
+    """Add ``_bucket``, the number of the range a value falls into."""
     if not cuts:
         return df.withColumn(BUCKET, F.lit(0))
     edges = [float("-inf"), *cuts, float("inf")]
@@ -39,55 +39,58 @@ def add_buckets(
     return cutter.transform(df).withColumn(BUCKET, F.col(BUCKET).cast("int"))
 
 
-def running(
-    df: DataFrame,
-    by: Sequence[str],
-    order: Sequence[str],
-    measures: dict[str, tuple[str, str | Column]],
-    inclusive: bool = True,
-) -> DataFrame:
+@dataclass(frozen=True)
+class Running:
+    """A running aggregate: ``count``, ``sum``, ``min`` or ``last`` (last value that is not NULL).
+
+    Without ``inclusive`` it ends before the row itself.
+    """
+
+    kind: str
+    value: Column
+    inclusive: bool = True
+
+
+def running(df: DataFrame, by: Sequence[str], order: Sequence[str], measures: dict[str, Running]) -> DataFrame:
     """Add running aggregates per group to a bucketed frame.
 
-    ``measures`` maps a new column to (kind, column); the kinds are ``count``, ``sum``, ``min`` and
-    ``last`` (last value that is not NULL). ``order`` must begin with the bucketed column. Both joined
-    sides are partitioned by (group, bucket), so the rows are shuffled once.
+    ``order`` must begin with the bucketed column. Both joined sides are partitioned by (group, bucket),
+    so the rows are shuffled once.
     """
-    inside = Window.partitionBy(*by, BUCKET).orderBy(*order)
-    last_row = Window.currentRow if inclusive else -1
-    inside = inside.rowsBetween(Window.unboundedPreceding, last_row)
+    ordered = Window.partitionBy(*by, BUCKET).orderBy(*order)
     earlier = Window.partitionBy(*by).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     position = F.struct(*order)
 
     local, totals, carried, merged = [], [], [], []
-    for name, (kind, column) in measures.items():
-        value = F.col(column) if isinstance(column, str) else column
-        here, before = F.col(f"_l_{name}"), F.col(f"_c_{name}")
-        if kind == "last":
-            local.append(F.last(value, ignorenulls=True).over(inside))
-            totals.append(F.max_by(value, F.when(value.isNotNull(), position)))
-            carried.append(F.last(f"_t_{name}", ignorenulls=True).over(earlier))
-            merged.append(F.coalesce(here, before))
-        elif kind == "min":
-            local.append(F.min(value).over(inside))
-            totals.append(F.min(value))
-            carried.append(F.min(f"_t_{name}").over(earlier))
-            merged.append(F.least(here, before))
-        elif kind in ("count", "sum"):
-            fold = F.count if kind == "count" else F.sum
-            local.append(fold(value).over(inside))
-            totals.append(fold(value))
-            carried.append(F.sum(f"_t_{name}").over(earlier))
+    for name, measure in measures.items():
+        value = measure.value
+        inside = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow if measure.inclusive else -1)
+        here, before, total = F.col(f"_l_{name}"), F.col(f"_c_{name}"), F.col(f"_t_{name}")
+        if measure.kind == "last":
+            pieces = (
+                F.last(value, ignorenulls=True).over(inside),
+                F.max_by(value, F.when(value.isNotNull(), position)),
+                F.last(total, ignorenulls=True).over(earlier),
+                F.coalesce(here, before),
+            )
+        elif measure.kind == "min":
+            pieces = (F.min(value).over(inside), F.min(value), F.min(total).over(earlier), F.least(here, before))
+        elif measure.kind in ("count", "sum"):
+            fold = F.count if measure.kind == "count" else F.sum
             zero = F.lit(0)
-            merged.append(F.coalesce(here, zero) + F.coalesce(before, zero))
+            pieces = (
+                fold(value).over(inside), fold(value), F.sum(total).over(earlier),
+                F.coalesce(here, zero) + F.coalesce(before, zero),
+            )
         else:
-            raise ValueError(f"unknown running measure {kind!r}")
+            raise ValueError(f"unknown running aggregate {measure.kind!r}")
+        for column, prefix, kept in zip(pieces, ("_l_", "_t_", "_c_", ""), (local, totals, carried, merged)):
+            kept.append(column.alias(prefix + name))
 
-    names = list(measures)
-    rows = df.select("*", *[c.alias(f"_l_{n}") for n, c in zip(names, local)])
-    sums = df.groupBy(*by, BUCKET).agg(*[c.alias(f"_t_{n}") for n, c in zip(names, totals)])
-    carry = sums.select(*by, BUCKET, *[c.alias(f"_c_{n}") for n, c in zip(names, carried)])
+    rows = df.select("*", *local)
+    carry = df.groupBy(*by, BUCKET).agg(*totals).select(*by, BUCKET, *carried)
     joined = rows.join(carry, [*by, BUCKET], "left")
-    return joined.select(*df.columns, *[c.alias(n) for n, c in zip(names, merged)])
+    return joined.select(*df.columns, *merged)
 
 
 def newest(
@@ -121,26 +124,37 @@ def dense_codes(values: DataFrame, by: Sequence[str], column: str, code: str = "
     distinct = values.select(*by, column).distinct()
     ordered = distinct.repartitionByRange(shuffle_width(values.sparkSession), *by, column)
     placed = ordered.withColumn(BUCKET, F.spark_partition_id()).checkpoint()
-    numbered = running(placed, by, [column], {code: ("count", F.lit(1))}, inclusive=False)
+    numbered = running(placed, by, [column], {code: Running("count", F.lit(1), inclusive=False)})
     return numbered.select(*by, column, F.col(code).cast("int").alias(code))
 
 
-def medians(df: DataFrame, by: Sequence[str], value: str, name: str = "median") -> DataFrame:
+def medians(
+    df: DataFrame, by: Sequence[str], value: str, cuts: Sequence[float] | None = None, name: str = "median"
+) -> DataFrame:
     """Exact median and row count per group, without gathering a group.
 
-    Equal values are counted together first; the counts are accumulated in value order and the one or
-    two middle values are picked where the running count passes the middle.
+    The rows are first only counted per (group, bucket), which finds the one or two buckets around the
+    middle of each group. Only rows of those buckets are looked at again: equal values are counted
+    together and the middle values picked by running counts. ``cuts`` saves the pass that finds them.
     """
     present = df.filter(F.col(value).isNotNull())
-    counted = present.groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n"))
-    summed = running(add_buckets(counted, value, cuts_from=present), by, [value], {"_upto": ("sum", "_n")})
-    sizes = present.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
-    total, upto, own = F.col("n"), F.col("_upto"), F.col("_n")
+    bucketed = add_buckets(present, value, cut_points(present, value) if cuts is None else cuts)
+    own, upto, total = F.col("_own"), F.col("_upto"), F.col("n")
+    whole = Window.partitionBy(*by)
+    sizes = bucketed.groupBy(*by, BUCKET).agg(F.count(F.lit(1)).alias("_own"))
+    placed = sizes.select(
+        "*", F.sum("_own").over(whole.orderBy(BUCKET)).alias("_upto"), F.sum("_own").over(whole).alias("n")
+    )
+    low, high = F.floor((total + 1) / 2), F.floor(total / 2) + 1
+    around = placed.filter((upto - own < high) & (low <= upto)).select(*by, BUCKET, (upto - own).alias("_before"), "n")
+
+    middle = bucketed.join(around, [*by, BUCKET])
+    counted = middle.groupBy(*by, BUCKET, "_before", "n", value).agg(F.count(F.lit(1)).alias("_own"))
+    in_bucket = Window.partitionBy(*by, BUCKET).orderBy(value)
+    ranked = counted.withColumn("_upto", F.col("_before") + F.sum("_own").over(in_bucket))
 
-    def holds(rank: Column) -> Column:
+    def at(rank: Column) -> Column:
         return F.max(F.when((upto - own < rank) & (rank <= upto), F.col(value)))
 
-    middle = summed.join(sizes, list(by)).groupBy(*by, "n")
-    low, high = F.floor((total + 1) / 2), F.floor(total / 2) + 1
-    picked = middle.agg(holds(low).alias("_low"), holds(high).alias("_high"))
+    picked = ranked.groupBy(*by, "n").agg(at(low).alias("_low"), at(high).alias("_high"))
     return picked.select(*by, (F.col("_low") + (F.col("_high") - F.col("_low")) * 0.5).alias(name), "n")

@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.scan import medians
+from tidemark.operators.scan import cut_points, medians
 
 
 def uniform(*parts: Column) -> Column:
@@ -48,6 +48,7 @@ def median_prune(trial_scores: DataFrame, n_steps: int, n_startup: int = 5) -> D
     still running report; a trial whose best value so far is above the exact median of that step's values
     stops, unless fewer than ``n_startup`` others reported. Stopped trials have no rows for later steps.
     """
+    cuts = cut_points(trial_scores.filter("value IS NOT NULL"), "value")
     alive: DataFrame | None = None
     out: DataFrame | None = None
     for step in range(n_steps):
@@ -57,7 +58,7 @@ def median_prune(trial_scores: DataFrame, n_steps: int, n_startup: int = 5) -> D
         else:
             now = now.join(alive, ["model_name", "trial_no"])
             now = now.withColumn("best", F.least("value", "_best")).drop("_best")
-        middle = medians(now, ["model_name"], "value")
+        middle = medians(now, ["model_name"], "value", cuts)
         judged = now.join(middle, "model_name", "left")
         enough = F.coalesce(F.col("n"), F.lit(0)) - 1 >= n_startup
         judged = judged.withColumn("pruned", F.coalesce(enough & (F.col("best") > F.col("median")), F.lit(False))).drop("n")

@@ -22,6 +22,8 @@ from tidemark.operators.windows import (
     check_splits, split_anchor, split_rows, split_sizes, time_splits, with_event_date,
 )
 
+from tidemark.session import materialise
+
 
 @dataclass(frozen=True)
 class Prepared:
@@ -64,10 +66,10 @@ def prepare(
 ) -> Prepared:
     """Join, clean, date and split the training rows; raises where nothing usable is left."""
     joined = training_set(features, actuals, contract, target)
-    if joined.isEmpty():
-        raise ValueError(f"features and actuals share no {contract.keys}")
     cleaned = joined.withColumns({c: to_number(F.col(c)) for c in numeric_text}) if numeric_text else joined
-    dated = with_event_date(usable_target(cleaned, target), contract)
+    dated = materialise(with_event_date(usable_target(cleaned, target), contract), "training-rows")
+    if dated.isEmpty():
+        raise ValueError(f"features and actuals share no {contract.keys} with a usable date and target")
     anchor = split_anchor(dated, EVENT_DATE, n_splits, val_weeks, step_weeks, min_rows)
     if anchor.isEmpty():
         raise ValueError(f"no date leaves {min_rows} rows in each of {n_splits} windows of {val_weeks} weeks")

@@ -12,6 +12,7 @@ from tidemark.plans.registration import Registry, register
 from tidemark.queries import views as v
 from tidemark.queries.catalog import query
 from tidemark.queries.ranking import RESOLVED_SQL
+from tidemark.session import materialise
 
 
 def _at():
@@ -150,7 +151,7 @@ def descriptions(spark: SparkSession, sf: str) -> DataFrame:
 )
 def results(spark: SparkSession, sf: str) -> DataFrame:
     before = Registry(v.runs(spark, sf), v.run_metrics(spark, sf), v.versions(spark, sf), v.aliases(spark, sf))
-    done = register(v.specs(spark, sf), before, _at(), "main", "ops")
+    done = register(materialise(v.specs(spark, sf), "specs"), before, _at(), "main", "ops")
     return done.results.withColumn("metric_value", F.round("metric_value", 6))
 
 

@@ -12,6 +12,7 @@ from tidemark.operators.runs import log_run_metrics
 from tidemark.operators.windows import split_anchor, split_rows, split_sizes, time_splits, with_event_date
 from tidemark.queries import views as v
 from tidemark.queries.catalog import query
+from tidemark.session import materialise
 
 _FEATURES = ["req_year", "req_month", "req_day", "o_custkey", "o_totalprice", "o_orderstatus", "o_orderpriority"]
 
@@ -20,13 +21,18 @@ def _dated(spark: SparkSession, sf: str) -> DataFrame:
     return with_event_date(v.training(spark, sf), v.TRAINING)
 
 
-def _splits(spark: SparkSession, sf: str) -> DataFrame:
-    dated = _dated(spark, sf)
+def _stored(spark: SparkSession, sf: str) -> DataFrame:
+    """The dated rows as files: anchor, splits and rows all start from them."""
+    return materialise(_dated(spark, sf), "training-rows")
+
+
+def _splits(dated: DataFrame) -> DataFrame:
     return time_splits(dated, EVENT_DATE, anchor=split_anchor(dated, EVENT_DATE))
 
 
 def split_table(spark: SparkSession, sf: str) -> DataFrame:
-    return split_rows(_dated(spark, sf), _splits(spark, sf), EVENT_DATE)
+    dated = _stored(spark, sf)
+    return split_rows(dated, _splits(dated), EVENT_DATE)
 
 
 def _last(rows: DataFrame) -> DataFrame:
@@ -51,7 +57,7 @@ def anchor(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("time_splits", "SELECT * REPLACE (round(weight, 9) AS weight) FROM f_splits", "f_splits")
 def splits(spark: SparkSession, sf: str) -> DataFrame:
-    return _splits(spark, sf).withColumn("weight", F.round("weight", 9))
+    return _splits(_stored(spark, sf)).withColumn("weight", F.round("weight", 9))
 
 
 @query("split_rows", "SELECT split_no, role, po FROM f_split_rows", "f_split_rows")
@@ -67,7 +73,9 @@ def rows_by_split(spark: SparkSession, sf: str) -> DataFrame:
     "f_splits f_split_rows",
 )
 def split_summary(spark: SparkSession, sf: str) -> DataFrame:
-    return split_sizes(split_table(spark, sf), _splits(spark, sf), _FEATURES, "total_cost")
+    dated = _stored(spark, sf)
+    found = _splits(dated)
+    return split_sizes(split_rows(dated, found, EVENT_DATE), found, _FEATURES, "total_cost")
 
 
 def _ols_metrics(spark: SparkSession, sf: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = 8, shuffle_partitions: int = 8) -> SparkSession:
@@ -48,5 +48,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """Write a frame once into the shared folder and go on from the files.
+
+    For frames many later jobs start from: each of them then reads only the columns it needs, and a lost
+    executor costs a file read instead of the whole lineage.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
