@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -57,33 +59,19 @@ def months_before(date: Column, months: int) -> Column:
     return F.add_months(date, -months)
 
 
-def raw_range(contract: TableContract, low: Column | None, high: Column | None) -> Column | None:
-    """A predicate on a raw column that every row with a date in [low, high] satisfies.
+def raw_encoding(contract: TableContract) -> tuple[str, Callable[[Column], Column]] | None:
+    """A raw numeric column that rises with the date, and how a date looks in it.
 
-    The computed date hides the stored column from the file reader; this implied predicate does not,
-    so row groups outside the range are skipped. ``low`` and ``high`` are DATE literals or scalar
-    subqueries. None when the encoding has no order-preserving raw column.
+    The computed date hides the stored column from the file reader. With this encoding a range of dates
+    implies a range of stored values (equal values at both ends included), so that files and row groups
+    outside it are skipped. None when the contract stores text.
     """
-    encoders = {
-        "parts": (0, lambda d: F.year(d)),
-        "yyyymmdd_int": (None, lambda d: F.year(d) * 10000 + F.month(d) * 100 + F.dayofmonth(d)),
-        "unix_days": (None, lambda d: F.unix_date(d)),
-    }
-    if contract.date_kind in encoders:
-        part, encode = encoders[contract.date_kind]
-        raw = F.col(contract.date_parts[part] if part is not None else contract.date_col)
-    elif contract.date_kind == "unix_seconds":
-        raw = F.col(contract.date_col)
-        if high is not None:
-            high = F.date_add(high, 1)  # any second of the last day; one second too many is harmless
-        encode = lambda d: F.unix_date(d).cast("long") * 86400
-    else:
-        return None
-    bounds = []
-    if low is not None:
-        bounds.append(raw >= encode(low))
-    if high is not None:
-        bounds.append(raw <= encode(high))
-    if not bounds:
-        return None
-    return bounds[0] if len(bounds) == 1 else bounds[0] & bounds[1]
+    if contract.date_kind == "parts":
+        return contract.date_parts[0], F.year
+    if contract.date_kind == "yyyymmdd_int":
+        return contract.date_col, lambda d: F.year(d) * 10000 + F.month(d) * 100 + F.dayofmonth(d)
+    if contract.date_kind == "unix_days":
+        return contract.date_col, F.unix_date
+    if contract.date_kind == "unix_seconds":
+        return contract.date_col, lambda d: F.unix_date(d).cast("long") * 86400
+    return None

@@ -15,6 +15,7 @@ from tidemark.functions.metrics import metrics_long
 from tidemark.functions.values import finite
 from tidemark.operators.artifacts import classify_artifacts
 from tidemark.operators.scan import newest
+from tidemark.session import materialise
 
 
 def newest_runs(runs: DataFrame, limit: int | Column = 200) -> DataFrame:
@@ -114,7 +115,8 @@ def best_run(
     pool = runs.filter("parent_run_id IS NULL") if top_level_only else runs
     own = ["experiment", "run_id", "start_time"]
     if pattern is not None:
-        pool = newest_runs(pool, recent).select(*own)
+        # Stored, so that Spark knows how small the pool is before it plans the scan of the metrics.
+        pool = materialise(newest_runs(pool.select(*own), recent).select(*own), "recent-runs")
         entries = _entries(run_metrics, metric, pattern, select)
         # Only the entries of the competing runs are grouped.
         scored = resolve_metric_per_spec(pool.join(entries, "run_id"), own).filter("value IS NOT NULL")

@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.contract import EVENT_DATE, TableContract
-from tidemark.functions.dates import event_date, months_before, raw_range
+from tidemark.functions.dates import event_date, months_before, raw_encoding
 
 Bounds = DataFrame | tuple[dt.date | str, dt.date | str]
 
@@ -19,18 +19,23 @@ def with_event_date(df: DataFrame, contract: TableContract) -> DataFrame:
     if not contract.min_valid_date:
         return df.withColumn(EVENT_DATE, event_date(contract))
     earliest = F.lit(dt.date.fromisoformat(contract.min_valid_date))
-    kept = _prune(df, contract, earliest, None).withColumn(EVENT_DATE, event_date(contract))
-    return kept.filter(F.col(EVENT_DATE) >= earliest)
+    raw = _raw_column(df, contract)
+    if raw is not None:
+        name, encode = raw
+        df = df.filter(F.col(name) >= encode(earliest))
+    return df.withColumn(EVENT_DATE, event_date(contract)).filter(F.col(EVENT_DATE) >= earliest)
 
 
-def _prune(df: DataFrame, contract: TableContract, low: Column | None, high: Column | None) -> DataFrame:
-    """Let the file reader skip row groups, where the raw date columns are numbers."""
-    types = dict(df.dtypes)
-    if all(types.get(c) in ("int", "bigint", "smallint") for c in contract.date_sources):
-        implied = raw_range(contract, low, high)
-        if implied is not None:
-            return df.filter(implied)
-    return df
+def _raw_column(df: DataFrame, contract: TableContract) -> tuple[str, Callable[[Column], Column]] | None:
+    """The raw column ranges can be pushed on and the encoding in that column's own type."""
+    found = raw_encoding(contract)
+    if found is None:
+        return None
+    name, encode = found
+    stored = dict(df.dtypes).get(name)
+    if stored not in ("smallint", "int", "bigint"):
+        return None
+    return name, lambda d: encode(d).cast(stored)
 
 
 def test_window(df: DataFrame, contract: TableContract) -> DataFrame:
@@ -42,15 +47,28 @@ def test_window(df: DataFrame, contract: TableContract) -> DataFrame:
 def window_rows(df: DataFrame, contract: TableContract, bounds: Bounds) -> DataFrame:
     """Dated rows of a closed window.
 
-    A one-row frame of bounds enters as scalar subqueries: no join, and the bounds still reach the
-    file reader as pushed filters on the raw date columns when the query starts.
+    Bounds given as dates reach the file reader: the range they imply on the raw date column is pushed
+    down, and files and row groups outside it are not read. A one-row frame of bounds keeps the plan lazy
+    and enters as scalar subqueries, without a join, but those are too late to skip files.
     """
     if isinstance(bounds, DataFrame):
         low, high = (bounds.select(c).scalar() for c in ("start_date", "end_date"))
-    else:
-        low, high = (F.lit(b).cast("date") for b in bounds)
-    inside = with_event_date(_prune(df, contract, low, high), contract)
-    return inside.filter(F.col(EVENT_DATE).between(low, high))
+        return with_event_date(df, contract).filter(F.col(EVENT_DATE).between(low, high))
+    low, high = (F.lit(b).cast("date") for b in bounds)
+    raw = _raw_column(df, contract)
+    if raw is not None:
+        name, encode = raw
+        # Up to the day after the end, to keep every second of the last day; the date filter is exact.
+        df = df.filter(F.col(name).between(encode(low), encode(F.date_add(high, 1))))
+    return with_event_date(df, contract).filter(F.col(EVENT_DATE).between(low, high))
+
+
+def fixed_bounds(bounds: DataFrame, table: str) -> tuple[dt.date, dt.date]:
+    """The two dates of a one-row frame of bounds; raises if the table had no usable date."""
+    row = bounds.first()
+    if row is None or row.end_date is None:
+        raise ValueError(f"{table} has no usable date")
+    return row.start_date, row.end_date
 
 
 def split_weights(n_splits: int) -> list[float]:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.contract import EVENT_DATE, TableContract
 from tidemark.operators.quality import key_uniqueness
 from tidemark.operators.scoring import Scorer, attach_actuals, score
-from tidemark.operators.windows import Bounds, test_window, window_rows
+from tidemark.operators.windows import Bounds, fixed_bounds, test_window, window_rows
 
 
 def build_baseline(
@@ -24,7 +24,10 @@ def build_baseline(
     scored_at: dt.datetime | None = None,
     strict: bool = False,
 ) -> DataFrame:
-    """All feature columns, then event date, prediction, lineage and label, as one lazy plan.
+    """All feature columns, then event date, prediction, lineage and label.
+
+    Without bounds the newest window is looked up first, a pass over the date columns alone, so that the
+    wide scan can skip every file outside it.
 
     Repeated keys in the actuals repeat baseline rows; ``strict`` refuses them instead.
     """
@@ -32,7 +35,7 @@ def build_baseline(
         keys = key_uniqueness(actuals, contract.keys).first()
         if not keys.is_unique:
             raise ValueError(f"{contract.actual_table}: {keys.n_rows} rows but {keys.n_keys} distinct {contract.keys}")
-    window = bounds if bounds is not None else test_window(features, contract)
+    window = bounds if bounds is not None else fixed_bounds(test_window(features, contract), contract.feature_table)
     rows = window_rows(features, contract, window)
     scored = score(rows, scorer, contract, "prediction_final")
     own = [c for c in features.columns if c != contract.label_col]

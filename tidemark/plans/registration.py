@@ -16,9 +16,10 @@ from tidemark.operators.registry import (
     aliases_after, champion_lookup, decide, registration_results, version_tags, versions_after,
 )
 from tidemark.operators.runs import (
-    claimed_metrics, file_run_id, file_runs, last_values, match_experiment, newest_runs, resolve_metric_per_spec,
+    chosen_key, chosen_value, claimed_metrics, file_run_id, file_runs, last_values, match_experiment, metric_choice,
+    newest_runs, resolve_metric_per_spec,
 )
-from tidemark.session import shared_dir
+from tidemark.session import materialise
 
 SPEC_SCHEMA = (
     "spec string, model_name string, source string, experiment string, run_id string, model_path string, "
@@ -71,10 +72,11 @@ def resolve_candidates(
     """
     keep = ["spec", "model_name", "source", *_REQUEST]
     given = specs.filter("source = 'run'")
-    asked = given.join(runs.select("run_id", F.lit(True).alias("_found")), "run_id", "left")
-    entries = given.join(run_metrics, "run_id").select("spec", *_REQUEST[:3], "key", "step", "value")
-    by_run = asked.join(resolve_metric_per_spec(entries, ["spec"]), "spec", "left").select(
-        *keep, "run_id", "resolved_key", "value",
+    known = given.select(*keep, "run_id").join(runs.select("run_id", F.lit(True).alias("_found")), "run_id", "left")
+    entries = known.join(run_metrics, "run_id", "left")
+    choice = metric_choice(F.col("key"), F.col("step"), F.col("value"))
+    by_run = entries.groupBy(*known.columns).agg(*choice).select(
+        *keep, "run_id", chosen_key().alias("resolved_key"), chosen_value().alias("value"),
         F.when(F.col("_found").isNull(), F.concat(F.lit("no run '"), "run_id", F.lit("'"))).alias("error"),
     )
     by_file = _from_files(specs.filter("source = 'file'"), keep, _column(logged_at))
@@ -99,11 +101,15 @@ def _from_files(specs: DataFrame, keep: list[str], logged_at: Column) -> DataFra
 
 
 def _from_experiments(specs: DataFrame, runs: DataFrame, run_metrics: DataFrame, keep: list[str]) -> DataFrame:
-    """Specs that ask the same of the same experiment share one search."""
+    """Specs that ask the same of the same experiment share one search.
+
+    The requests, and the newest runs that compete, are stored: with their true size known, Spark
+    broadcasts them to the scan of the metrics while they are small and shuffles once they are not.
+    """
     found = match_experiment(specs.select(F.col("experiment").alias("wanted")), runs)
     matched = specs.join(found, F.col("experiment") == F.col("wanted"), "left").drop("experiment", "run_id", "wanted")
     request = ["matched", *_REQUEST[:4], "search_max_results"]
-    asked = matched.filter("matched IS NOT NULL").select(*request).distinct()
+    asked = materialise(matched.filter("matched IS NOT NULL").select(*request).distinct(), "requests")
     best = _best_exact(asked.filter("metric_pattern IS NULL"), runs, run_metrics, request).unionByName(
         _best_by_pattern(asked.filter("metric_pattern IS NOT NULL"), runs, run_metrics, request)
     )
@@ -139,7 +145,7 @@ def _best_by_pattern(asked: DataFrame, runs: DataFrame, run_metrics: DataFrame,
     """The newest runs compete; the limit comes before the search for the metric."""
     pool = runs.join(asked.select(F.col("matched").alias("experiment")).distinct(), "experiment", "left_semi")
     widest = asked.agg(F.max("search_max_results").alias("n")).scalar()
-    recent = newest_runs(pool.select("experiment", "run_id", "start_time"), widest)
+    recent = materialise(newest_runs(pool.select("experiment", "run_id", "start_time"), widest), "recent-runs")
     competing = asked.join(recent, (asked.matched == recent.experiment) & (recent["rank"] <= asked.search_max_results))
     entries = competing.join(run_metrics, "run_id")
     return _winner(resolve_metric_per_spec(entries, [*request, "run_id", "start_time"]), request)
@@ -151,8 +157,8 @@ def register(
 ) -> Registration:
     """Decide for every spec of a batch and build the registry state that follows.
 
-    The decisions, one row per spec, are computed once and checkpointed, because results, versions,
-    aliases and tags all start from them.
+    The candidates and the decisions, one row per spec, are stored as they are made, because results,
+    versions, aliases and tags all start from them.
 
     One spec per model name; repeated names become errors, since the second would have to see what the
     first did. A failing spec becomes a row with an error and touches nothing; ``fail_fast`` raises.
@@ -162,6 +168,7 @@ def register(
     candidates = candidates.join(repeated, "model_name").withColumn(
         "error", F.coalesce("error", F.when(F.col("_repeated"), "several specs for one model in a batch"))
     ).drop("_repeated")
+    candidates = materialise(candidates, "candidates")
     new_runs = file_runs(
         specs.filter("source = 'file'").withColumns({"path": F.col("model_path"), "format": F.col("model_format")}),
         registered_at,
@@ -172,8 +179,7 @@ def register(
     run_metrics = registry.run_metrics.unionByName(claimed)
 
     decisions = decide(champion_lookup(candidates, registry.aliases, registry.versions, run_metrics), registry.versions)
-    shared_dir(specs.sparkSession)
-    decisions = decisions.checkpoint()
+    decisions = materialise(decisions, "decisions")
     results = registration_results(decisions, catalog, schema)
     if fail_fast:
         failed = results.filter("error IS NOT NULL").select("registered_model_name", "error").first()

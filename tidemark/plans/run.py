@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tidemark.contract import PipelineSpec
 from tidemark.operators.quality import validate_table
 from tidemark.operators.scoring import Scorer
-from tidemark.operators.windows import test_window, window_rows
+from tidemark.operators.windows import fixed_bounds, test_window, window_rows
 from tidemark.plans.baseline import build_baseline
 from tidemark.plans.registration import Registry, register, specs_frame
 from tidemark.sources.tables import load_optional, load_table, write_baseline
@@ -37,10 +37,7 @@ def dry_run(spark: SparkSession, pipeline: PipelineSpec) -> tuple[dt.date, dt.da
     contract = pipeline.tables
     features = load_table(spark, contract.feature_table)
     validate_table(features, load_optional(spark, contract.actual_table), contract, strict=True)
-    window = test_window(features, contract).first()
-    if window.end_date is None:
-        raise ValueError(f"{contract.feature_table} has no usable date in {contract.date_sources}")
-    return window.start_date, window.end_date
+    return fixed_bounds(test_window(features, contract), contract.feature_table)
 
 
 def run_pipeline(

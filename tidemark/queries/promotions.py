@@ -28,12 +28,17 @@ def _resolved(spark: SparkSession, sf: str) -> DataFrame:
     return found.withColumn("error", missing)
 
 
-def _champions(spark: SparkSession, sf: str) -> DataFrame:
-    return g.champion_lookup(_resolved(spark, sf), v.aliases(spark, sf), v.versions(spark, sf), v.run_metrics(spark, sf))
+def _champions(spark: SparkSession, sf: str, versions: DataFrame) -> DataFrame:
+    return g.champion_lookup(_resolved(spark, sf), v.aliases(spark, sf), versions, v.run_metrics(spark, sf))
 
 
-def _decisions(spark: SparkSession, sf: str) -> DataFrame:
-    return g.decide(_champions(spark, sf), v.versions(spark, sf))
+def _versions(spark: SparkSession, sf: str) -> DataFrame:
+    """The version table as stored files, the form a registry has."""
+    return materialise(v.versions(spark, sf), "versions")
+
+
+def _decisions(spark: SparkSession, sf: str, versions: DataFrame) -> DataFrame:
+    return materialise(g.decide(_champions(spark, sf, versions), versions), "decisions")
 
 
 @query(
@@ -42,7 +47,7 @@ def _decisions(spark: SparkSession, sf: str) -> DataFrame:
     "f_champions",
 )
 def champions(spark: SparkSession, sf: str) -> DataFrame:
-    return _champions(spark, sf).select(
+    return _champions(spark, sf, v.versions(spark, sf)).select(
         "model_name", "run_id", "champion_version", "champion_run_id", "champion_key",
         F.round("champion_value", 6).alias("champion_value"),
     )
@@ -68,7 +73,9 @@ def fresh(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("decide_promotions", "SELECT model_name, run_id, scenario, new_version FROM f_decisions", "f_decisions")
 def decided(spark: SparkSession, sf: str) -> DataFrame:
-    return _decisions(spark, sf).select("model_name", "run_id", "scenario", "new_version")
+    versions = v.versions(spark, sf)
+    decided = g.decide(_champions(spark, sf, versions), versions)
+    return decided.select("model_name", "run_id", "scenario", "new_version")
 
 
 _VERSIONS_AFTER = (
@@ -83,7 +90,8 @@ _VERSIONS_AFTER = (
     "f_versions f_decisions",
 )
 def versions_after(spark: SparkSession, sf: str) -> DataFrame:
-    after = g.versions_after(_decisions(spark, sf), v.versions(spark, sf), _at())
+    versions = _versions(spark, sf)
+    after = g.versions_after(_decisions(spark, sf, versions), versions, _at())
     return after.select("model_name", "version", "run_id", F.date_format("created_at", "yyyy-MM-dd HH:mm").alias("created"))
 
 
@@ -97,7 +105,7 @@ def versions_after(spark: SparkSession, sf: str) -> DataFrame:
     "f_aliases f_decisions",
 )
 def aliases_after(spark: SparkSession, sf: str) -> DataFrame:
-    return g.aliases_after(_decisions(spark, sf), v.aliases(spark, sf))
+    return g.aliases_after(_decisions(spark, sf, _versions(spark, sf)), v.aliases(spark, sf))
 
 
 @query(
@@ -111,7 +119,7 @@ def aliases_after(spark: SparkSession, sf: str) -> DataFrame:
     "f_decisions f_run_metrics f_runs",
 )
 def tags(spark: SparkSession, sf: str) -> DataFrame:
-    return g.version_tags(_decisions(spark, sf), v.runs(spark, sf), v.run_metrics(spark, sf))
+    return g.version_tags(_decisions(spark, sf, _versions(spark, sf)), v.runs(spark, sf), v.run_metrics(spark, sf))
 
 
 @query(
@@ -127,7 +135,8 @@ def tags(spark: SparkSession, sf: str) -> DataFrame:
     "f_decisions",
 )
 def descriptions(spark: SparkSession, sf: str) -> DataFrame:
-    after = g.versions_after(_decisions(spark, sf), v.versions(spark, sf), _at())
+    versions = _versions(spark, sf)
+    after = g.versions_after(_decisions(spark, sf, versions), versions, _at())
     return after.filter("description IS NOT NULL").select("model_name", "version", "description")
 
 
@@ -150,7 +159,8 @@ def descriptions(spark: SparkSession, sf: str) -> DataFrame:
     "f_runs f_stamped f_run_metrics f_aliases f_versions",
 )
 def results(spark: SparkSession, sf: str) -> DataFrame:
-    before = Registry(v.runs(spark, sf), v.run_metrics(spark, sf), v.versions(spark, sf), v.aliases(spark, sf))
+    versions = _versions(spark, sf)
+    before = Registry(v.runs(spark, sf), v.run_metrics(spark, sf), versions, v.aliases(spark, sf))
     done = register(materialise(v.specs(spark, sf), "specs"), before, _at(), "main", "ops")
     return done.results.withColumn("metric_value", F.round("metric_value", 6))
 
@@ -168,7 +178,8 @@ def qualified(spark: SparkSession, sf: str) -> DataFrame:
     "f_versions f_decisions f_stamped",
 )
 def state(spark: SparkSession, sf: str) -> DataFrame:
-    after = g.versions_after(_decisions(spark, sf), v.versions(spark, sf), _at())
+    versions = _versions(spark, sf)
+    after = g.versions_after(_decisions(spark, sf, versions), versions, _at())
     return g.final_state(after, v.run_metrics(spark, sf), pattern=v.STAMPED)
 
 
