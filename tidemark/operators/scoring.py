@@ -18,11 +18,11 @@ from tidemark.contract import EVENT_DATE, TableContract, require_columns
 class Scorer:
     """A model in one of three forms; exactly one is given.
 
-    ``expression`` is a column over the features, ``transformer`` a fitted ``pyspark.ml`` model and
+    ``expression`` is a column over the features (or its SQL text), ``transformer`` a fitted ``pyspark.ml`` model and
     ``predict`` any function from a pandas frame to predictions.
     """
 
-    expression: Column | None = None
+    expression: str | Column | None = None
     transformer: object | None = None
     predict: Callable[[pd.DataFrame], object] | None = None
 
@@ -49,7 +49,8 @@ def score(df: DataFrame, scorer: Scorer, contract: TableContract, name: str = "p
     executors and the whole row travels with its prediction, so nothing is matched by position.
     """
     if scorer.expression is not None:
-        scored = df.withColumn(name, scorer.expression.cast("double"))
+        value = F.expr(scorer.expression) if isinstance(scorer.expression, str) else scorer.expression
+        scored = df.withColumn(name, value.cast("double"))
     elif scorer.transformer is not None:
         added = scorer.transformer.transform(df)
         scored = added.select(*df.columns, F.col("prediction").cast("double").alias(name))
