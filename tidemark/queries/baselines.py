@@ -148,13 +148,13 @@ def _line_scorer(spark: SparkSession, sf: str) -> Scorer:
     return Scorer(expression=line.select("slope").scalar() * F.col("o_totalprice") + line.select("intercept").scalar())
 
 
-_SCORED_SQL = "SELECT po, round(slope * o_totalprice + intercept, 4) AS prediction FROM f_window_rows CROSS JOIN f_line"
+_SCORED_SQL = "SELECT po, slope * o_totalprice + intercept AS prediction FROM f_window_rows CROSS JOIN f_line"
 
 
 @query("score_window", _SCORED_SQL, "f_window_rows f_line")
 def score_window(spark: SparkSession, sf: str) -> DataFrame:
     scored = score(_window_rows(spark, sf), _line_scorer(spark, sf), v.CONTRACT)
-    return scored.select("po", F.round("prediction", 4).alias("prediction"))
+    return scored.select("po", "prediction")
 
 
 @query("score_window_udf", _SCORED_SQL, "f_window_rows f_line")
@@ -163,7 +163,7 @@ def score_window_udf(spark: SparkSession, sf: str) -> DataFrame:
     slope, intercept = line.slope, line.intercept
     model = Scorer(predict=lambda batch: slope * batch["o_totalprice"] + intercept)
     scored = score(_window_rows(spark, sf), model, v.CONTRACT)
-    return scored.select("po", F.round("prediction", 4).alias("prediction"))
+    return scored.select("po", "prediction")
 
 
 def _baseline(spark: SparkSession, sf: str, with_actuals: bool = True) -> DataFrame:
