@@ -105,8 +105,8 @@ def test_write_replaces_rows_and_schema(spark, features, actuals, tmp_path):
     assert write_baseline(build_baseline(stored, None, DOUBLE, c, "m", 1), c).count() == 5
     wider = write_baseline(build_baseline(stored.withColumn("more", F.lit(1)), actuals, DOUBLE, c, "m", 2), c)
     assert wider.count() == 6 and "more" in wider.columns
-    with pytest.raises(ValueError, match="reads from"):
-        write_baseline(wider, c)
+    with pytest.raises(ValueError, match="overwrite"):
+        contract(feature_table=str(tmp_path / "f"), baseline_table=str(tmp_path))
 
 
 def test_optional_tables(spark, tmp_path):

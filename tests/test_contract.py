@@ -15,6 +15,7 @@ PARTS = dict(feature_table="f", baseline_table="b", date_kind="parts", date_part
         ({"date_kind": "auto", "date_parts": None}, "date_col"),
         ({"baseline_table": "f"}, "overwrite"),
         ({"actual_table": "/data/b/", "baseline_table": "file:/data/b"}, "overwrite"),
+        ({"feature_table": "/data/b/features", "baseline_table": "/data/b"}, "overwrite"),
     ],
 )
 def test_table_contract_rules(change, message):

@@ -19,15 +19,27 @@ def skewed(spark):
 
 def test_buckets_bound_the_hot_group(skewed):
     df, _ = skewed
-    cuts = cut_points(df, "x", 8)
+    cuts = cut_points(df, "x", buckets=8)
     sizes = add_buckets(df, "x", cuts).groupBy("g", "_bucket").count().toPandas()
     assert sizes["count"].max() < 3000 / 8 * 2
     assert sizes[sizes.g == "hot"].shape[0] >= 7
 
 
+def test_one_frequent_value_is_cut_by_the_tie_column(spark):
+    data = [("hot", 5.0 if i % 3 else float(i % 11), i) for i in range(3000)]
+    df = spark.createDataFrame(data, "g string, x double, i int")
+    cuts = cut_points(df, "x", tie="i", buckets=10)
+    bucketed = add_buckets(df, "x", cuts, tie="i")
+    assert cuts.heavy == [5.0]
+    assert bucketed.groupBy("g", "_bucket").count().toPandas()["count"].max() < 3000 / 10 * 2
+    numbered = running(bucketed, ["g"], ["x", "i"], {"n": Running("count", F.lit(1))}).select("i", "n")
+    order = sorted(data, key=lambda d: (d[1], d[2]))
+    assert rows(numbered) == sorted(((d[2], n) for n, d in enumerate(order, 1)), key=repr)
+
+
 def test_running(skewed):
     df, pdf = skewed
-    bucketed = add_buckets(df, "x", cut_points(df, "x", 8))
+    bucketed = add_buckets(df, "x", cut_points(df, "x", buckets=8))
     got = running(
         bucketed, ["g"], ["x", "i"],
         {

@@ -60,7 +60,9 @@ class TableContract:
 
 
 def _same_place(left: str, right: str) -> bool:
-    return left.removeprefix("file:").rstrip("/") == right.removeprefix("file:").rstrip("/")
+    """Whether two references are one table, or one folder lies in the other."""
+    a, b = (ref.removeprefix("file:").rstrip("/") + "/" for ref in (left, right))
+    return a == b or ("/" in a[:-1] and "/" in b[:-1] and (a.startswith(b) or b.startswith(a)))
 
 
 @dataclass(frozen=True)

@@ -50,9 +50,3 @@ def weighted_score(split_metrics: DataFrame, metric: str = "rmse", by: Sequence[
     complete = F.count(metric) == F.count(F.lit(1))
     return split_metrics.groupBy(*by).agg(F.when(complete, mean).alias("score"))
 
-
-def metrics_long(split_metrics: DataFrame, prefix: str = "") -> DataFrame:
-    """Metric rows keyed the way a run logs them: ``<prefix><metric>_<split name>``."""
-    wide = split_metrics.select("split_name", *[F.col(m).cast("double") for m in METRICS])
-    long = wide.unpivot(["split_name"], list(METRICS), "metric", "value")
-    return long.select(F.concat(F.lit(prefix), "metric", F.lit("_"), "split_name").alias("key"), "value")

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.values import four_decimals, is_better, minute_text, short_id, tag
 from tidemark.operators.runs import chosen_key, chosen_value, metric_choice, resolve_metric
 from tidemark.operators.scan import BUCKET, Running, add_buckets, cut_points, running
-from tidemark.session import shuffle_width
+from tidemark.session import materialise, shuffle_width
 
 # What can happen to a candidate.
 FIRST, PROMOTED, CHALLENGER, SKIPPED = "first_registration", "promoted", "challenger", "skipped_duplicate"
@@ -233,7 +233,7 @@ def promotion_history(
 ) -> DataFrame:
     """Replay registrations in arrival order: what happened to every candidate and who was champion after.
 
-    ``candidates``: model_name, run_id, arrived, arrival_no (breaks ties), value. Result: model_name, seq,
+    ``candidates``: model_name, run_id, arrived, arrival_no (a number that breaks ties), value. Result: model_name, seq,
     run_id, scenario, champion_run. Nothing is registered before the first candidate.
 
     Only a candidate at least as good as everything before it can be promoted, because the bar is never
@@ -249,12 +249,15 @@ def promotion_history(
         "model_name", "run_id", F.coalesce(at, F.lit(-(2**53))).alias("_at"), "arrival_no",
         F.when(~F.isnan(value), sign * value).alias("_v"),
     )
-    # A run registers once: of its rows with a value only the first counts.
-    firsts = base.filter("_v IS NOT NULL").groupBy("model_name", "run_id").agg(F.min(F.struct("_at", "arrival_no")).alias("_first"))
-    marked = base.join(firsts, ["model_name", "run_id"], "left")
-    is_first = F.col("_v").isNotNull() & (F.struct("_at", "arrival_no") == F.col("_first"))
-    marked = marked.withColumn("_counts", is_first).drop("_first")
-    bucketed = add_buckets(marked, "_at", cut_points(base, "_at"))
+    # A run registers once: of its rows with a value only the first counts. Runs that come up more than
+    # once are few as a rule; stored, their true size decides how they are joined.
+    per_run = base.filter("_v IS NOT NULL").groupBy("model_name", "run_id")
+    seen_often = per_run.agg(F.count(F.lit(1)).alias("_times"), F.min(F.struct("_at", "arrival_no")).alias("_first"))
+    repeats = materialise(seen_often.filter("_times > 1").drop("_times"), "repeated-runs")
+    marked = base.join(repeats, ["model_name", "run_id"], "left")
+    is_first = F.col("_first").isNull() | (F.struct("_at", "arrival_no") == F.col("_first"))
+    marked = marked.withColumn("_counts", F.col("_v").isNotNull() & is_first).drop("_first")
+    bucketed = add_buckets(marked, "_at", cut_points(base, "_at", tie="arrival_no"), tie="arrival_no")
     order, keys = ["_at", "arrival_no"], ["model_name"]
     v, bar, counts = F.col("_v"), F.col("_bar"), F.col("_counts")
     measures = {
@@ -271,7 +274,8 @@ def promotion_history(
         tie = (v == bar) & (v != 0)
         known = seen.withColumns({"champion_run": F.col("_holder.run_id"), "_wins": first | (counts & ((v < bar) | tie))})
     else:
-        seen = running(bucketed, keys, order, measures)
+        # Stored, because the records, the rows and their bucket totals all start from it.
+        seen = materialise(running(bucketed, keys, order, measures), "arrivals")
         records = seen.filter(first | (counts & (v < bar)))
         won = _fold(records.select("model_name", BUCKET, *order, "_v"), threshold).withColumn("_won", F.lit(True))
         flagged = seen.join(won, ["model_name", BUCKET, *order], "left").withColumn("_wins", F.coalesce("_won", F.lit(False)))

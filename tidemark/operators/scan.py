@@ -7,6 +7,7 @@ Group columns must not be NULL.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -19,24 +20,51 @@ from tidemark.session import shared_dir, shuffle_width
 BUCKET = "_bucket"
 
 
-def cut_points(df: DataFrame, column: str, buckets: int | None = None) -> list[float]:
+@dataclass(frozen=True)
+class Cuts:
+    """Where to cut a column: ``edges``, the values too frequent for one range, and cuts of the tie column."""
+
+    edges: list[float]
+    heavy: list[float]
+    tie_edges: list[float]
+
+
+def cut_points(df: DataFrame, column: str, tie: str | None = None, buckets: int | None = None) -> Cuts:
     """Values that cut a numeric column into ranges with about equally many rows.
 
-    Quantiles of the whole column in one pass; the driver gets one number per bucket. The largest part
-    of any group between two cuts is then about ``rows / buckets``, however the groups are skewed.
+    Quantiles of the whole column in one pass; the driver gets one number per range. The largest part
+    of any group between two cuts is then about ``rows / buckets``, however the groups are skewed. A
+    value that alone fills more than a range gets a range of its own, which ``tie``, the second column
+    of the order, cuts further.
     """
     count = buckets or shuffle_width(df.sparkSession)
+    if count == 1:
+        return Cuts([], [], [])
     shares = [i / count for i in range(1, count)]
-    return sorted(set(df.approxQuantile(column, shares, 1 / (4 * count)))) if shares else []
-
-
-def add_buckets(df: DataFrame, column: str, cuts: Sequence[float]) -> DataFrame:
-    """Add ``_bucket``, the number of the range a value falls into."""
-    if not cuts:
-        return df.withColumn(BUCKET, F.lit(0))
-    edges = [float("-inf"), *cuts, float("inf")]
-    cutter = Bucketizer(splits=edges, inputCol=column, outputCol=BUCKET, handleInvalid="keep")
-    return cutter.transform(df).withColumn(BUCKET, F.col(BUCKET).cast("int"))
+    columns = [column, tie] if tie else [column]
+    found = df.approxQuantile(columns, shares, 1 / (4 * count))
+    heavy = sorted({a for a, b in zip(found[0], found[0][1:]) if a == b}) if tie else []
+    edges = sorted({*found[0], *(math.nextafter(h, math.inf) for h in heavy)})
+    return Cuts(edges, heavy, sorted(set(found[1])) if heavy else [])
+
+
+def add_buckets(df: DataFrame, column: str, cuts: Cuts, tie: str | None = None) -> DataFrame:
+    """Add ``_bucket``, a number that rises with (column, tie) and bounds the rows of any group in it."""
+    out = _ranges(df, column, cuts.edges, BUCKET)
+    if not cuts.heavy:
+        return out
+    split = _ranges(out, tie, cuts.tie_edges, "_tie")
+    inner = F.when(F.col(column).isin(cuts.heavy), F.col("_tie")).otherwise(0)
+    return split.withColumn(BUCKET, F.col(BUCKET) * (len(cuts.tie_edges) + 2) + inner).drop("_tie")
+
+
+def _ranges(df: DataFrame, column: str, edges: Sequence[float], name: str) -> DataFrame:
+    if not edges:
+        return df.withColumn(name, F.lit(0))
+    cutter = Bucketizer(
+        splits=[-math.inf, *edges, math.inf], inputCol=column, outputCol=name, handleInvalid="keep"
+    )
+    return cutter.transform(df).withColumn(name, F.col(name).cast("int"))
 
 
 @dataclass(frozen=True)
@@ -98,21 +126,19 @@ def newest(
 ) -> DataFrame:
     """The first ``limit`` rows of every group in the given order, with their rank.
 
-    Each group is first ranked in hash slices; only the slices' own leaders are ranked together.
+    Each group is first ranked in slices of input partitions; only the slices' own leaders are ranked
+    together. With a literal limit Spark also drops, before anything is shuffled, what is not among the
+    leaders of its partition.
     """
-    slices = shuffle_width(df.sparkSession)
+    slices = F.spark_partition_id() % shuffle_width(df.sparkSession)
     keys = [F.col(c) for c in by]
-    sliced = df.withColumn("_slice", F.pmod(F.xxhash64(*_hashable(df)), F.lit(slices)))
+    sliced = df.withColumn("_slice", slices)
     leaders = sliced.withColumn(rank, F.row_number().over(Window.partitionBy(*keys, "_slice").orderBy(*order)))
     leaders = leaders.filter(F.col(rank) <= limit).drop("_slice")
     final = leaders.withColumn(rank, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
     return final.filter(F.col(rank) <= limit)
 
 
-def _hashable(df: DataFrame) -> list[str]:
-    return [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
-
-
 def dense_codes(values: DataFrame, by: Sequence[str], column: str, code: str = "code") -> DataFrame:
     """Number the distinct values of every group from 0 in ascending order.
 
@@ -129,7 +155,7 @@ def dense_codes(values: DataFrame, by: Sequence[str], column: str, code: str = "
 
 
 def medians(
-    df: DataFrame, by: Sequence[str], value: str, cuts: Sequence[float] | None = None, name: str = "median"
+    df: DataFrame, by: Sequence[str], value: str, cuts: Cuts | None = None, name: str = "median"
 ) -> DataFrame:
     """Exact median and row count per group, without gathering a group.
 

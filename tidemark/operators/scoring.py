@@ -9,7 +9,6 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark.contract import EVENT_DATE, TableContract, require_columns
 
@@ -45,8 +44,8 @@ def prediction_values(raw: object, column: str, rows: int) -> np.ndarray:
 def score(df: DataFrame, scorer: Scorer, contract: TableContract, name: str = "prediction") -> DataFrame:
     """Add the model's prediction to every row; NaN predictions become NULL.
 
-    Expressions and ``pyspark.ml`` models run in the JVM. An opaque function gets Arrow batches on the
-    executors and the whole row travels with its prediction, so nothing is matched by position.
+    Expressions and ``pyspark.ml`` models run in the JVM. An opaque function gets Arrow batches of the
+    model's columns on the executors; all other columns stay in the JVM beside the returned values.
     """
     if scorer.expression is not None:
         value = F.expr(scorer.expression) if isinstance(scorer.expression, str) else scorer.expression
@@ -55,16 +54,14 @@ def score(df: DataFrame, scorer: Scorer, contract: TableContract, name: str = "p
         added = scorer.transformer.transform(df)
         scored = added.select(*df.columns, F.col("prediction").cast("double").alias(name))
     else:
-        schema = T.StructType([*df.schema.fields, T.StructField(name, T.DoubleType())])
-        inputs = predict_input(df, contract).columns
         predict, column = scorer.predict, contract.prediction_col
 
-        def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        @F.pandas_udf("double")
+        def apply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
             for batch in batches:
-                values = prediction_values(predict(batch[inputs]), column, len(batch))
-                yield batch.assign(**{name: values})
+                yield pd.Series(prediction_values(predict(batch), column, len(batch)))
 
-        scored = df.mapInPandas(add, schema)
+        scored = df.withColumn(name, apply(F.struct(*predict_input(df, contract).columns)))
     return scored.withColumn(name, F.when(~F.isnan(name), F.col(name)))
 
 

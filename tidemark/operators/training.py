@@ -8,7 +8,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import Imputer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -148,9 +148,10 @@ def make_estimator(family: str, params: Mapping[str, object], features: Sequence
     ])
 
 
-def numeric_features(rows: DataFrame, features: Sequence[str], target: str) -> DataFrame:
-    """Features and target as doubles, the form the estimators take."""
-    return rows.withColumns({c: F.col(c).cast("double") for c in [*features, target]})
+def numeric_features(rows: DataFrame, features: Sequence[str], target: str, keys: Sequence[str] = ()) -> DataFrame:
+    """What the estimators need and nothing else: the split columns, features and target as doubles."""
+    numbers = [F.col(c).cast("double").alias(c) for c in [*features, target]]
+    return rows.select(*keys, "split_no", "split_name", "weight", "role", *numbers)
 
 
 def evaluate_split(
@@ -174,6 +175,21 @@ _RESULT = T.StructType([
 ])
 
 
+def fit_and_measure(
+    ready: DataFrame, family: str, trial_no: int, params: Mapping[str, object], split_no: int, features: Sequence[str], target: str
+) -> tuple[tuple, PipelineModel]:
+    """One fit: its metrics as a row of the result table, and the model."""
+    measured, model = evaluate_split(ready, split_no, make_estimator(family, params, features, target), target)
+    row = measured.first()
+    if row is None:
+        raise ValueError(f"split {split_no} has no test rows")
+    return (family, trial_no, row.split_no, row.split_name, row.weight, *[row[m] for m in METRICS], row.n), model
+
+
+def measured_frame(spark: SparkSession, measured: Sequence[tuple]) -> DataFrame:
+    return spark.createDataFrame(list(measured), _RESULT)
+
+
 def evaluate_trials(
     rows: DataFrame,
     trials: Iterable[tuple[str, int, Mapping[str, object]]],
@@ -187,19 +203,16 @@ def evaluate_trials(
     The fits are Spark jobs over one cached frame, started from a few threads as Spark's own cross
     validation does. Only one metric row per fit comes back to the driver.
     """
-    ready = numeric_features(rows, features, target).persist()
+    ready = numeric_features(rows.filter(F.col("split_no").isin(list(split_nos))), features, target).persist()
     work = [(t, s) for t in trials for s in split_nos]
 
     def run(item: tuple[tuple[str, int, Mapping[str, object]], int]) -> tuple:
         (family, number, params), split_no = item
-        row = evaluate_split(ready, split_no, make_estimator(family, params, features, target), target)[0].first()
-        if row is None:
-            raise ValueError(f"split {split_no} has no test rows")
-        return (family, number, row.split_no, row.split_name, row.weight, *[row[m] for m in METRICS], row.n)
+        return fit_and_measure(ready, family, number, params, split_no, features, target)[0]
 
     try:
         with ThreadPoolExecutor(parallelism) as pool:
             results = list(pool.map(run, work))
     finally:
         ready.unpersist()
-    return rows.sparkSession.createDataFrame(results, _RESULT)
+    return measured_frame(rows.sparkSession, results)

@@ -144,7 +144,7 @@ def _best_exact(asked: DataFrame, runs: DataFrame, run_metrics: DataFrame, reque
 def _best_by_pattern(asked: DataFrame, runs: DataFrame, run_metrics: DataFrame, request: list[str]) -> DataFrame:
     """The newest runs compete; the limit comes before the search for the metric."""
     pool = runs.join(asked.select(F.col("matched").alias("experiment")).distinct(), "experiment", "left_semi")
-    widest = asked.agg(F.max("search_max_results").alias("n")).scalar()
+    widest = asked.agg(F.max("search_max_results")).first()[0] or 0  # one number, so that the limit is a literal
     recent = materialise(newest_runs(pool.select("experiment", "run_id", "start_time"), widest), "recent-runs")
     competing = asked.join(recent, (asked.matched == recent.experiment) & (recent["rank"] <= asked.search_max_results))
     entries = competing.join(run_metrics, "run_id")

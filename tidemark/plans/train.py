@@ -14,7 +14,7 @@ from tidemark.contract import EVENT_DATE, TableContract
 from tidemark.functions.values import to_number
 from tidemark.operators.runs import log_run_metrics
 from tidemark.operators.training import (
-    SPACES, category_codes, evaluate_split, evaluate_trials, importance_of, make_estimator, numeric_features,
+    SPACES, category_codes, evaluate_trials, fit_and_measure, importance_of, measured_frame, numeric_features,
     predictions, training_set, usable_target, with_codes,
 )
 from tidemark.operators.tuning import median_prune, rank_trials, sample_trials
@@ -76,7 +76,9 @@ def prepare(
     splits = time_splits(dated, EVENT_DATE, n_splits, val_weeks, step_weeks, anchor)
     rows = split_rows(dated, splits, EVENT_DATE)
     if categorical:
-        rows = with_codes(rows, category_codes(rows, categorical), categorical)
+        # Stored, so that Spark knows the size of the lookups: small ones are broadcast, large ones are not.
+        codes = materialise(category_codes(rows, categorical), "category-codes")
+        rows = with_codes(rows, codes, categorical)
     usable = {f.name for f in rows.schema.fields if isinstance(f.dataType, T.NumericType)}
     names = [c for c in joined.columns if c in usable and c not in (*contract.keys, target)]
     names = [c for c in names if c not in contract.exclude_from_features]
@@ -140,19 +142,16 @@ def tune(
     ranking = rank_trials(finished, [s.weight for s in split_list])
     best = ranking.filter("is_best").first()
 
-    ready = numeric_features(prepared.rows, features, target).persist()
-    estimator = make_estimator(family, params[best.trial_no], features, target)
-    refits = [evaluate_split(ready, s.split_no, estimator, target) for s in split_list]
-    best_metrics = refits[0][0]
-    for more, _ in refits[1:]:
-        best_metrics = best_metrics.unionByName(more)
+    chosen = params[best.trial_no]
+    ready = numeric_features(prepared.rows, features, target, keys)
+    refits = [fit_and_measure(ready, family, best.trial_no, chosen, s.split_no, features, target) for s in split_list]
+    best_metrics = measured_frame(spark, [row for row, _ in refits])
     model = refits[-1][1]
-    scored = model.transform(ready.filter((F.col("split_no") == split_list[-1].split_no) & (F.col("role") == "test")))
-    log = best_metrics.transform(lambda m: log_run_metrics(m, primary, best=True))
+    last = ready.filter((F.col("split_no") == split_list[-1].split_no) & (F.col("role") == "test"))
     return Tuned(
-        family, trials, measured, ranking, params[best.trial_no], best_metrics, log,
+        family, trials, measured, ranking, chosen, best_metrics, log_run_metrics(best_metrics, primary, best=True),
         importance_of(model, prepared.rows, features),
-        predictions(scored, keys, target, "prediction"), model,
+        predictions(model.transform(last), keys, target, "prediction"), model,
     )
 
 

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.contract import TableContract
 from tidemark.operators.scan import newest
@@ -106,8 +107,15 @@ TRIAL_SCORES = [
 ]
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table. Its schema is read from the files once per process, not once per use."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def features(spark: SparkSession, sf: str) -> DataFrame:
@@ -156,12 +164,12 @@ def runs(spark: SparkSession, sf: str) -> DataFrame:
 def run_metrics(spark: SparkSession, sf: str) -> DataFrame:
     """Up to five metric rows per event, from one pass."""
     day = F.col("ts").cast("date")
+    ends = {n: F.date_add(day, n).cast("string").alias(f"d{n}") for n in (-28, 0, 28, 56)}
+    events = table(spark, sf, "events").select("event_id", "value", *ends.values())
+    event, value = F.col("event_id"), F.col("value")
 
     def stamped(prefix: str, start: int) -> Column:
-        ends = [F.date_add(day, n).cast("string") for n in (start, start + 56)]
-        return F.concat(F.lit(prefix), ends[0], F.lit("_"), ends[1])
-
-    event, value = F.col("event_id"), F.col("value")
+        return F.concat(F.lit(prefix), F.col(f"`d{start}`"), F.lit("_"), F.col(f"`d{start + 56}`"))
 
     def entry(key: Column, amount: Column) -> Column:
         return F.struct(key.alias("key"), amount.alias("value"))
@@ -173,11 +181,8 @@ def run_metrics(spark: SparkSession, sf: str) -> DataFrame:
         F.when(event % 4 == 0, entry(stamped("best_rmse_val_", 0), value)),
         F.when(event % 2 == 0, entry(F.lit("test_rmse"), value)),
     )
-    present = F.filter(entries, lambda e: e.isNotNull())
-    events = table(spark, sf, "events")
-    return events.select(event.cast("string").alias("run_id"), F.inline(present)).select(
-        "run_id", "key", F.lit(0).alias("step"), "value"
-    )
+    listed = events.select(event.cast("string").alias("run_id"), F.explode(entries).alias("m")).filter("m IS NOT NULL")
+    return listed.select("run_id", "m.key", F.lit(0).alias("step"), "m.value")
 
 
 def candidates(spark: SparkSession, sf: str) -> DataFrame:
