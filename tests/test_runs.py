@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tidemark.contract import ModelSpec
 from tidemark.functions.values import file_extension, merge_maps, to_number
 from tidemark.operators import runs as r
-from tidemark.operators.artifacts import classify_artifacts
+from tidemark.operators.artifacts import classify_artifacts, list_artifacts
 from tidemark.plans.registration import resolve_candidates, specs_frame
 
 RUN = "run_id string, experiment string, parent_run_id string, start_time timestamp, params map<string,string>, tags map<string,string>"
@@ -105,6 +105,14 @@ def test_classify_artifacts(spark):
     ]
 
 
+def test_list_artifacts(spark, tmp_path):
+    (tmp_path / "sub").mkdir()
+    for name in ("a.pkl", "sub/b.zip"):
+        (tmp_path / name).write_bytes(b"x")
+    found = classify_artifacts(list_artifacts(spark, str(tmp_path))).collect()
+    assert sorted((x.path.rsplit("/", 1)[1], x.resolved_format) for x in found) == [("a.pkl", "pickle"), ("b.zip", None)]
+
+
 @pytest.mark.parametrize("text, want", [("1", 1.0), (" 2.5 ", 2.5), ("-1e3", -1000.0), (".5", 0.5), ("x", None), ("1d", None),
                                         ("", None), (None, None), ("NaN", None), ("1,5", None)])
 def test_to_number(spark, text, want):
@@ -146,20 +154,23 @@ def test_resolve_candidates(spark):
         "both": ModelSpec("o", metric="exact", metric_pattern="^m_", experiment_path="/e", search_max_results=2),
         "lost": ModelSpec("l", metric="exact", experiment_path="/nowhere"),
         "empty": ModelSpec("y", metric_pattern="^m_", experiment_path="/empty"),
+        "heir": ModelSpec("h", metric="exact", experiment_path="/e"),
         "run": ModelSpec("n", metric_pattern="^m_", source="run", run_id="b"),
         "norun": ModelSpec("q", metric="exact", source="run", run_id="zz"),
         "nometric": ModelSpec("s", metric="exact", source="run", run_id="c"),
         "file": ModelSpec("f", metric="claimed", source="file", model_path="/f.cbm", metrics={"claimed": 0.5}),
         "badfile": ModelSpec("g", metric="claimed", source="file", model_path="/f.zip", metrics={"claimed": 0.5}),
     })
-    got = {x.spec: x for x in resolve_candidates(specs, runs, metrics, at(0)).collect()}
-    assert len(got) == 12
+    specs = specs.withColumn("experiment", F.when(F.col("spec") != "heir", F.col("experiment")))
+    got = {x.spec: x for x in resolve_candidates(specs, runs, metrics, at(0), "/e/").collect()}
+    assert len(got) == 13
     chosen = {k: (x.run_id, x.resolved_key, x.value) for k, x in got.items() if x.error is None}
     file_run = chosen.pop("file")
     assert file_run[1:] == ("claimed", 0.5) and len(file_run[0]) == 64
     assert chosen == {
         "pattern": ("a", "m_1", 1.0), "recent": ("b", "m_2", 2.0), "exact": ("a", "exact", 5.0), "max": ("b", "exact", 6.0),
         "both": ("c", "m_3", 3.0), "run": ("b", "m_2", 2.0),
+        "heir": ("a", "exact", 5.0),
     }
     assert got["lost"].error == "experiment not found"
     assert "/empty" in got["empty"].error and "no run 'zz'" == got["norun"].error

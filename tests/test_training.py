@@ -7,9 +7,10 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from tidemark.contract import TableContract
+from tidemark.operators.runs import best_run
 from tidemark.operators.training import category_codes, make_estimator, training_set, with_codes
 from tidemark.operators.tuning import median_prune, rank_trials, sample_trials
-from tidemark.plans.train import prepare, space_frame, tune
+from tidemark.plans.train import prepare, space_frame, tune, tuning_runs
 from tidemark.sources.tables import write_predictions, write_split_metrics, write_split_rows
 
 CONTRACT = TableContract("f", "b", "a", date_col="day", join_keys=["k"], label_col="cost", min_valid_date="2000-01-01",
@@ -116,8 +117,32 @@ def test_unknown_family():
         make_estimator("svm", {}, ["x"], "y")
 
 
-def test_tune_finds_the_line(spark, prepared, tmp_path):
-    tuned = tune(prepared, "linear", {"regParam": ("float", 1e-3, 50.0, True), "elasticNetParam": 0.0}, n_trials=4, keys=["k"])
+@pytest.fixture(scope="module")
+def tuned(prepared):
+    space = {"regParam": ("float", 1e-3, 50.0, True), "elasticNetParam": 0.0}
+    return tune(prepared, "linear", space, n_trials=4, keys=["k"], n_startup=1)
+
+
+def test_tuning_becomes_runs(spark, prepared, tuned):
+    runs, metrics = tuning_runs(tuned, "/exp/train", dt.datetime(2024, 1, 1))
+    found = {r.run_id: r for r in runs.collect()}
+    family = next(r for r in found.values() if r.parent_run_id is None)
+    assert len(found) == 5 and family.tags["stage"] == "best_model_refit" and family.tags["n_trials"] == "4"
+    assert family.params["best_elasticNetParam"] == "0.0" and family.tags["best_trial_number"] == str(tuned.best_trial)
+    trials = [r for r in found.values() if r.parent_run_id == family.run_id]
+    pruned = {int(r.run_id.split("-")[1]) for r in trials if r.tags["trial_status"] == "pruned"}
+    assert sorted(pruned) == tuned.pruned and 0 < len(pruned) < 4
+    assert all(r.params["model_name"] == "linear" and "regParam" in r.params for r in trials)
+    means = {r.run_id for r in metrics.filter("key = 'weighted_mean_rmse'").collect()}
+    assert means == {r.run_id for r in trials if r.tags["trial_status"] == "completed"}
+    # The tracking tables feed registration: the nested runs compete too unless they are left out.
+    best = best_run(runs, metrics, pattern="^best_rmse_val_")
+    assert best.first().run_id == family.run_id
+    assert best_run(runs, metrics, pattern="^rmse_val_").first().run_id != family.run_id
+    assert best_run(runs, metrics, pattern="^rmse_val_", top_level_only=True).collect() == []
+
+
+def test_tune_finds_the_line(spark, prepared, tuned, tmp_path):
     best = tuned.ranking.filter("is_best").first()
     assert best.score < 1 and best.trial_no in (0, 1, 2, 3)
     assert {r.n for r in tuned.best_metrics.collect()} <= {r.n_test for r in prepared.summary.collect()}

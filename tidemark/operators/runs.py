@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.metrics import METRICS
-from tidemark.functions.values import finite
+from tidemark.functions.values import finite, merge_maps
 from tidemark.operators.artifacts import classify_artifacts
 from tidemark.operators.scan import newest
 from tidemark.session import materialise
@@ -197,14 +197,13 @@ def file_runs(claims: DataFrame, logged_at: dt.datetime | Column) -> DataFrame:
         F.lit("registered_via"), F.lit("file"),
     )
     own = F.coalesce("tags", F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>")))
-    kept = F.map_filter(standard, lambda k, v: ~F.array_contains(F.map_keys(own), k) & v.isNotNull())
     return known.select(
         F.when(F.col("error").isNull(), file_run_id("model_name", "path", when)).alias("run_id"),
         "experiment",
         F.lit(None).cast("string").alias("parent_run_id"),
         when.cast("timestamp").alias("start_time"),
         "params",
-        F.map_concat(kept, own).alias("tags"),
+        merge_maps(F.map_filter(standard, lambda _, v: v.isNotNull()), own).alias("tags"),
         F.concat_ws("_", "model_name", "resolved_format", _stamp(when)).alias("run_name"),
         "metrics",
         "error",

@@ -44,7 +44,7 @@ def cut_points(df: DataFrame, column: str, tie: str | None = None, buckets: int
     columns = [column, tie] if tie else [column]
     found = df.approxQuantile(columns, shares, 1 / (4 * count))
     heavy = sorted({a for a, b in zip(found[0], found[0][1:]) if a == b}) if tie else []
-    edges = sorted({*found[0], *(math.nextafter(h, math.inf) for h in heavy)})
+    edges = sorted(filter(math.isfinite, {*found[0], *(math.nextafter(h, math.inf) for h in heavy)}))
     return Cuts(edges, heavy, sorted(set(found[1])) if heavy else [])
 
 

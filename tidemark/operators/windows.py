@@ -150,7 +150,9 @@ def split_rows(df: DataFrame, splits: DataFrame, date_col: str) -> DataFrame:
     return out.select(*df.columns, "_split.*")
 
 
-def split_sizes(rows: DataFrame, splits: DataFrame, features: Sequence[str], target: str) -> DataFrame:
+def split_sizes(
+    rows: DataFrame, splits: DataFrame, features: Sequence[str], target: str, categorical: Sequence[str] = ()
+) -> DataFrame:
     """One record per split: row counts of both roles, the ranges and what the model sees.
 
     A split nobody belongs to keeps its record with zero counts.
@@ -164,6 +166,7 @@ def split_sizes(rows: DataFrame, splits: DataFrame, features: Sequence[str], tar
         F.coalesce("n_train", F.lit(0)).cast("long").alias("n_train"),
         F.coalesce("n_test", F.lit(0)).cast("long").alias("n_test"),
         F.lit(len(features)).alias("n_features"),
+        F.lit(",".join(categorical)).alias("categorical_features"),
         F.lit(target).alias("target"),
     )
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import hashlib
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -11,7 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.contract import EVENT_DATE, TableContract
-from tidemark.functions.values import to_number
+from tidemark.functions.metrics import METRICS
+from tidemark.functions.values import merge_maps, to_number
 from tidemark.operators.runs import log_run_metrics
 from tidemark.operators.training import (
     SPACES, category_codes, evaluate_trials, fit_and_measure, importance_of, measured_frame, numeric_features,
@@ -44,6 +47,9 @@ class Tuned:
     trials: DataFrame
     split_metrics: DataFrame
     ranking: DataFrame
+    best_trial: int
+    pruned: list[int]
+    primary: str
     best_params: dict[str, object]
     best_metrics: DataFrame
     run_metrics: DataFrame
@@ -82,11 +88,17 @@ def prepare(
     usable = {f.name for f in rows.schema.fields if isinstance(f.dataType, T.NumericType)}
     names = [c for c in joined.columns if c in usable and c not in (*contract.keys, target)]
     names = [c for c in names if c not in contract.exclude_from_features]
-    summary = split_sizes(rows, splits, names, target)
+    summary = split_sizes(rows, splits, names, target, categorical)
     check_splits(summary, min_rows)
     return Prepared(rows, splits, summary, names, target)
 
 
+RUN_SCHEMA = (
+    "run_id string, experiment string, parent_run_id string, start_time timestamp, params map<string,string>, "
+    "tags map<string,string>"
+)
+
+
 def space_frame(spark: SparkSession, family: str, space: Mapping[str, object] | None = None) -> DataFrame:
     """A parameter space as a table."""
     rows = []
@@ -149,7 +161,7 @@ def tune(
     model = refits[-1][1]
     last = ready.filter((F.col("split_no") == split_list[-1].split_no) & (F.col("role") == "test"))
     return Tuned(
-        family, trials, measured, ranking, chosen, best_metrics, log_run_metrics(best_metrics, primary, best=True),
+        family, trials, measured, ranking, best.trial_no, sorted(set(params) - set(alive)), primary, chosen, best_metrics, log_run_metrics(best_metrics, primary, best=True),
         importance_of(model, prepared.rows, features),
         predictions(model.transform(last), keys, target, "prediction"), model,
     )
@@ -157,3 +169,45 @@ def tune(
 
 def _scores(measured: DataFrame, primary: str) -> DataFrame:
     return measured.select("model_name", "trial_no", F.col("split_no").alias("step"), F.col(primary).alias("value"))
+
+
+def tuning_runs(tuned: Tuned, experiment: str, started_at: dt.datetime) -> tuple[DataFrame, DataFrame]:
+    """The runs a tuning leaves in the tracking tables, as rows of ``runs`` and of ``run_metrics``.
+
+    One run for the family with the refitted best model, and one below it per trial. Only the family's
+    run carries the ``best_`` metrics. A pruned trial has metrics for the splits it reached and no
+    weighted mean.
+    """
+    spark = tuned.trials.sparkSession
+    stamp = f"{started_at:%Y%m%d_%H%M%S}"
+    parent = hashlib.sha256(f"{experiment}\n{tuned.family}\n{stamp}".encode()).hexdigest()
+    trial_id = F.concat(F.lit(f"{parent}-"), F.col("trial_no").cast("string"))
+
+    text = F.coalesce("text", F.col("value").cast("string"))
+    entry = F.struct(F.col("param").alias("key"), text.alias("value"))
+    drawn = tuned.trials.groupBy("trial_no").agg(F.map_from_entries(F.collect_list(entry)).alias("drawn"))
+    status = F.when(F.col("trial_no").isin(tuned.pruned), "pruned").otherwise("completed")
+    name = F.create_map(F.lit("model_name"), F.lit(tuned.family))
+    trials = drawn.select(
+        trial_id.alias("run_id"), F.lit(experiment).alias("experiment"), F.lit(parent).alias("parent_run_id"),
+        F.lit(started_at).cast("timestamp").alias("start_time"), merge_maps(F.col("drawn"), name).alias("params"),
+        F.create_map(
+            F.lit("trial_status"), status, F.lit("run_name"), F.concat(F.lit("trial_"), F.col("trial_no").cast("string"))
+        ).alias("tags"),
+    )
+    best = {"model_name": tuned.family, **{f"best_{k}": str(v) for k, v in tuned.best_params.items()}}
+    tags = {
+        "model_name": tuned.family, "run_name": tuned.family, "stage": "best_model_refit", "primary_metric": tuned.primary,
+        "best_trial_number": str(tuned.best_trial), "n_trials": str(drawn.count()),
+    }
+    family = spark.createDataFrame([(parent, experiment, None, started_at, best, tags)], RUN_SCHEMA)
+
+    keyed = tuned.split_metrics.withColumn("run_id", trial_id)
+    long = keyed.unpivot(["run_id", "split_name"], list(METRICS), "metric", "value")
+    per_split = long.select("run_id", F.concat_ws("_", "metric", "split_name").alias("key"), "value")
+    means = tuned.ranking.select(
+        trial_id.alias("run_id"), F.lit(f"weighted_mean_{tuned.primary}").alias("key"), F.col("score").alias("value")
+    )
+    own = tuned.run_metrics.select(F.lit(parent).alias("run_id"), "key", "value")
+    metrics = per_split.unionByName(means).unionByName(own)
+    return family.unionByName(trials), metrics.select("run_id", "key", F.lit(0).alias("step"), "value")

@@ -67,7 +67,7 @@ def rows_by_split(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "split_summary",
-    "SELECT split_no, split_name, train_start, train_end, test_start, test_end, n_train, n_test, 7 AS n_features, 'total_cost' AS target "
+    "SELECT split_no, split_name, train_start, train_end, test_start, test_end, n_train, n_test, 7 AS n_features, 'o_orderstatus,o_orderpriority' AS categorical_features, 'total_cost' AS target "
     "FROM f_splits JOIN (SELECT split_no, count(*) FILTER (role = 'train') AS n_train, count(*) FILTER (role = 'test') AS n_test "
     "FROM f_split_rows GROUP BY split_no) USING (split_no)",
     "f_splits f_split_rows",
@@ -75,7 +75,7 @@ def rows_by_split(spark: SparkSession, sf: str) -> DataFrame:
 def split_summary(spark: SparkSession, sf: str) -> DataFrame:
     dated = _stored(spark, sf)
     found = _splits(dated)
-    return split_sizes(split_rows(dated, found, EVENT_DATE), found, _FEATURES, "total_cost")
+    return split_sizes(split_rows(dated, found, EVENT_DATE), found, _FEATURES, "total_cost", ["o_orderstatus", "o_orderpriority"])
 
 
 def _ols_metrics(spark: SparkSession, sf: str) -> DataFrame:
