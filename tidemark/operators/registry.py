@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.values import four_decimals, is_better, minute_text, short_id, tag
 from tidemark.operators.runs import chosen_key, chosen_value, metric_choice, resolve_metric
 from tidemark.operators.scan import BUCKET, Running, add_buckets, cut_points, running
-from tidemark.session import materialise, shuffle_width
+from tidemark.session import materialise
 
 # What can happen to a candidate.
 FIRST, PROMOTED, CHALLENGER, SKIPPED = "first_registration", "promoted", "challenger", "skipped_duplicate"
@@ -293,8 +293,7 @@ def promotion_history(
 
 def _fold(records: DataFrame, threshold: float) -> DataFrame:
     """The records that are promoted under a relative threshold; values are to be minimised."""
-    spark = records.sparkSession
-    ordered = records.repartition(shuffle_width(spark), "model_name").sortWithinPartitions("model_name", "_at", "arrival_no")
+    ordered = records.repartition("model_name").sortWithinPartitions("model_name", "_at", "arrival_no")
 
     def step(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model, champion = None, None

@@ -148,7 +148,7 @@ def dense_codes(values: DataFrame, by: Sequence[str], column: str, code: str = "
     """
     shared_dir(values.sparkSession)
     distinct = values.select(*by, column).distinct()
-    ordered = distinct.repartitionByRange(shuffle_width(values.sparkSession), *by, column)
+    ordered = distinct.repartitionByRange(*by, column)
     placed = ordered.withColumn(BUCKET, F.spark_partition_id()).checkpoint()
     numbered = running(placed, by, [column], {code: Running("count", F.lit(1), inclusive=False)})
     return numbered.select(*by, column, F.col(code).cast("int").alias(code))

@@ -11,6 +11,7 @@ from tidemark.operators.artifacts import classify_artifacts
 from tidemark.plans.registration import resolve_candidates
 from tidemark.queries import views as v
 from tidemark.queries.catalog import query
+from tidemark.session import materialise
 
 
 @query("resolve_metric", "SELECT run_id, resolved_key, round(value, 6) AS value FROM f_stamped", "f_stamped")
@@ -180,6 +181,6 @@ resolved AS (
 )
 def candidates(spark: SparkSession, sf: str) -> DataFrame:
     found = resolve_candidates(
-        v.specs(spark, sf), v.runs(spark, sf), v.run_metrics(spark, sf), F.lit(v.REGISTERED_AT).cast("timestamp")
+        materialise(v.specs(spark, sf), "specs"), v.runs(spark, sf), v.run_metrics(spark, sf), F.lit(v.REGISTERED_AT).cast("timestamp")
     )
     return found.select("spec", "run_id", "resolved_key", F.round("value", 6).alias("value"), "error")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import math
+import os
 import sys
 import time
 from pathlib import Path
@@ -64,7 +65,7 @@ def compare(spark, con, name: str, sf_dir: str) -> tuple[str, int, float]:
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     names = sys.argv[2:] or list(QUERIES)
-    spark, con = local_session(), database(sf_dir)
+    spark, con = local_session(shuffle_partitions=int(os.environ.get("CHECK_PARTITIONS", "8"))), database(sf_dir)
     bad = 0
     for name in names:
         try:
