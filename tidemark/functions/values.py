@@ -29,8 +29,13 @@ def short_id(run_id: Column) -> Column:
     return F.concat(F.substring(run_id, 1, 8), F.lit("..."))
 
 
+def utc_text(at: Column, pattern: str) -> Column:
+    """A point in time as UTC text, whatever the session time zone."""
+    return F.date_format(F.to_utc_timestamp(at, F.current_timezone()), pattern)
+
+
 def minute_text(at: Column) -> Column:
-    return F.date_format(at, "yyyy-MM-dd HH:mm")
+    return utc_text(at, "yyyy-MM-dd HH:mm")
 
 
 def qualified_name(catalog: Column, schema: Column, name: Column) -> Column:

@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.values import four_decimals, is_better, minute_text, short_id, tag
+from tidemark.functions.values import four_decimals, is_better, minute_text, short_id, tag, utc_text
 from tidemark.operators.runs import chosen_key, chosen_value, metric_choice, resolve_metric
 from tidemark.operators.scan import BUCKET, Running, add_buckets, cut_points, running
 from tidemark.session import materialise
@@ -104,7 +104,7 @@ def versions_after(decisions: DataFrame, versions: DataFrame, registered_at: dt.
 
 def description(registered_at: Column) -> Column:
     """The text kept with a version: headline, metric, time, the other version involved and the run."""
-    at = F.date_format(registered_at, "yyyy-MM-dd HH:mm:ss 'UTC'")
+    at = utc_text(registered_at, "yyyy-MM-dd HH:mm:ss 'UTC'")
     result = F.concat("resolved_key", F.lit(" = "), four_decimals(F.col("value")))
     champion = F.col("champion_version").cast("string")
     # Headlines and field labels of the three texts.
@@ -167,7 +167,7 @@ def version_tags(
     }
     if registered_at is not None:
         when = registered_at if isinstance(registered_at, Column) else F.lit(registered_at)
-        fields["registered_date"] = F.date_format(when, "yyyy-MM-dd HH:mm:ss 'UTC'")
+        fields["registered_date"] = utc_text(when, "yyyy-MM-dd HH:mm:ss 'UTC'")
     entries = F.array(*[F.struct(F.lit(k).alias("key"), v.alias("value")) for k, v in fields.items()])
     present = F.filter(entries, lambda e: e["value"].isNotNull())
     roles = about.select("model_name", F.col("new_version").alias("version"), F.inline(present))

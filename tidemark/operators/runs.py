@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.metrics import METRICS
-from tidemark.functions.values import finite, merge_maps
+from tidemark.functions.values import finite, merge_maps, utc_text
 from tidemark.operators.artifacts import classify_artifacts
 from tidemark.operators.scan import newest
 from tidemark.session import materialise
@@ -180,7 +180,7 @@ def file_run_id(model_name: str, path: str, logged_at: Column) -> Column:
 
 
 def _stamp(at: Column) -> Column:
-    return F.date_format(at, "yyyyMMdd_HHmmss")
+    return utc_text(at.cast("timestamp"), "yyyyMMdd_HHmmss")
 
 
 def file_runs(claims: DataFrame, logged_at: dt.datetime | Column) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.values import qualified_name
+from tidemark.functions.values import minute_text, qualified_name
 from tidemark.operators import registry as g
 from tidemark.operators.runs import resolve_metric
 from tidemark.plans.registration import Registry, register
@@ -15,10 +15,6 @@ from tidemark.queries.ranking import RESOLVED_SQL
 from tidemark.session import materialise
 
 
-def _at():
-    return F.lit(v.REGISTERED_AT).cast("timestamp")
-
-
 def _resolved(spark: SparkSession, sf: str) -> DataFrame:
     """The newest candidate per model with its own metric."""
     latest = v.latest_candidates(spark, sf)
@@ -91,8 +87,8 @@ _VERSIONS_AFTER = (
 )
 def versions_after(spark: SparkSession, sf: str) -> DataFrame:
     versions = _versions(spark, sf)
-    after = g.versions_after(_decisions(spark, sf, versions), versions, _at())
-    return after.select("model_name", "version", "run_id", F.date_format("created_at", "yyyy-MM-dd HH:mm").alias("created"))
+    after = g.versions_after(_decisions(spark, sf, versions), versions, v.registered_at())
+    return after.select("model_name", "version", "run_id", minute_text(F.col("created_at")).alias("created"))
 
 
 @query(
@@ -136,7 +132,7 @@ def tags(spark: SparkSession, sf: str) -> DataFrame:
 )
 def descriptions(spark: SparkSession, sf: str) -> DataFrame:
     versions = _versions(spark, sf)
-    after = g.versions_after(_decisions(spark, sf, versions), versions, _at())
+    after = g.versions_after(_decisions(spark, sf, versions), versions, v.registered_at())
     return after.filter("description IS NOT NULL").select("model_name", "version", "description")
 
 
@@ -161,7 +157,7 @@ def descriptions(spark: SparkSession, sf: str) -> DataFrame:
 def results(spark: SparkSession, sf: str) -> DataFrame:
     versions = _versions(spark, sf)
     before = Registry(v.runs(spark, sf), v.run_metrics(spark, sf), versions, v.aliases(spark, sf))
-    done = register(materialise(v.specs(spark, sf), "specs"), before, _at(), "main", "ops")
+    done = register(materialise(v.specs(spark, sf), "specs"), before, v.registered_at(), "main", "ops")
     return done.results.withColumn("metric_value", F.round("metric_value", 6))
 
 
@@ -179,7 +175,7 @@ def qualified(spark: SparkSession, sf: str) -> DataFrame:
 )
 def state(spark: SparkSession, sf: str) -> DataFrame:
     versions = _versions(spark, sf)
-    after = g.versions_after(_decisions(spark, sf, versions), versions, _at())
+    after = g.versions_after(_decisions(spark, sf, versions), versions, v.registered_at())
     return g.final_state(after, v.run_metrics(spark, sf), pattern=v.STAMPED)
 
 

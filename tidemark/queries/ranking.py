@@ -110,7 +110,7 @@ def from_files(spark: SparkSession, sf: str) -> DataFrame:
         F.lit(None).cast("map<string,string>").alias("params"),
         F.create_map(F.lit("brand"), F.col("p_brand")).alias("tags"),
     )
-    logged = r.file_runs(claims, F.lit(v.REGISTERED_AT).cast("timestamp")).filter("error IS NULL")
+    logged = r.file_runs(claims, v.registered_at()).filter("error IS NULL")
     tags = [F.col("tags")[t].alias(t) for t in ("model_type", "source_artifact", "registered_via")]
     return logged.select("run_id", *tags, F.explode("metrics").alias("key", "value"))
 
@@ -181,6 +181,6 @@ resolved AS (
 )
 def candidates(spark: SparkSession, sf: str) -> DataFrame:
     found = resolve_candidates(
-        materialise(v.specs(spark, sf), "specs"), v.runs(spark, sf), v.run_metrics(spark, sf), F.lit(v.REGISTERED_AT).cast("timestamp")
+        materialise(v.specs(spark, sf), "specs"), v.runs(spark, sf), v.run_metrics(spark, sf), v.registered_at()
     )
     return found.select("spec", "run_id", "resolved_key", F.round("value", 6).alias("value"), "error")

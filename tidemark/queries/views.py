@@ -118,6 +118,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
+def instant(utc: Column) -> Column:
+    """The point in time a zoneless UTC clock value means."""
+    return F.convert_timezone(F.lit("UTC"), F.current_timezone(), utc).cast("timestamp")
+
+
+def registered_at() -> Column:
+    return F.lit(f"{REGISTERED_AT} UTC").cast("timestamp")
+
+
 def features(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "orders").selectExpr(*FEATURES)
 
@@ -156,7 +165,7 @@ def runs(spark: SparkSession, sf: str) -> DataFrame:
     none = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))
     events = table(spark, sf, "events").selectExpr(*RUNS, "event_id", "event_type")
     return events.select(
-        "run_id", "experiment", "parent_run_id", F.col("start_time").cast("timestamp").alias("start_time"),
+        "run_id", "experiment", "parent_run_id", instant(F.col("start_time")).alias("start_time"),
         none.alias("params"), tags.alias("tags"),
     )
 
@@ -194,7 +203,7 @@ def versions(spark: SparkSession, sf: str) -> DataFrame:
     ranked = newest(some, ["model_name"], [F.col("arrived"), F.col("event_id")], 2, "version")
     return ranked.select(
         "model_name", "version", "run_id", F.lit(None).cast("string").alias("description"),
-        F.col("arrived").cast("timestamp").alias("created_at"),
+        instant(F.col("arrived")).alias("created_at"),
     )
 
 
