@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.values import four_decimals, is_better, minute_text, short_id, tag, utc_text
-from tidemark.operators.runs import chosen_key, chosen_value, metric_choice, resolve_metric
+from tidemark.operators.runs import resolve_metric, resolve_metric_per_spec
 from tidemark.operators.scan import BUCKET, Running, add_buckets, cut_points, running
 from tidemark.session import materialise
 
@@ -46,15 +46,16 @@ def champion_lookup(
     holders = holders.select(
         "model_name", F.col("version").alias("champion_version"), F.col("run_id").alias("champion_run_id")
     )
-    known = candidates.join(holders, "model_name", "left")
-    entries = run_metrics.select(
-        F.col("run_id").alias("champion_run_id"), F.col("key").alias("_key"), F.col("step").alias("_step"),
-        F.col("value").alias("_value"),
+    # One row per candidate model. Stored, so that its size decides how the metrics are searched, and
+    # joined to them the inner way, which never moves the large side while this one is small.
+    known = materialise(candidates.join(holders, "model_name", "left"), "champions")
+    asked = known.filter("champion_run_id IS NOT NULL").select(
+        "model_name", F.col("champion_run_id").alias("run_id"), "metric", "metric_pattern", "metric_select"
     )
-    # One row per model goes in and comes out: grouping by the candidate keeps this a single pass.
-    choice = metric_choice(F.col("_key"), F.col("_step"), F.col("_value"))
-    grouped = known.join(entries, "champion_run_id", "left").groupBy(*known.columns).agg(*choice)
-    return grouped.select(*known.columns, chosen_key().alias("champion_key"), chosen_value().alias("champion_value"))
+    resolved = resolve_metric_per_spec(asked.join(run_metrics, "run_id"), ["model_name"]).select(
+        "model_name", F.col("resolved_key").alias("champion_key"), F.col("value").alias("champion_value")
+    )
+    return known.join(resolved, "model_name", "left")
 
 
 def decide(candidates: DataFrame, versions: DataFrame) -> DataFrame:
@@ -64,8 +65,10 @@ def decide(candidates: DataFrame, versions: DataFrame) -> DataFrame:
     resolved_key, value, metric_direction, improvement_threshold and, where its run could not be
     resolved, ``error``. A champion without the metric is an error as well.
     """
-    state = versions.groupBy("model_name").agg(F.max("version").alias("_max_version"))
-    taken = versions.select("model_name", "run_id").distinct().withColumn("_taken", F.lit(True))
+    own = versions.join(candidates.select("model_name"), "model_name", "left_semi")
+    state = own.groupBy("model_name").agg(F.max("version").alias("_max_version"))
+    taken = own.join(candidates.select("model_name", "run_id"), ["model_name", "run_id"], "left_semi")
+    taken = taken.select("model_name", "run_id").distinct().withColumn("_taken", F.lit(True))
     known = candidates.join(state, "model_name", "left").join(taken, ["model_name", "run_id"], "left")
 
     beaten = is_better(F.col("value"), F.col("champion_value"), F.col("metric_direction"), F.col("improvement_threshold"))
@@ -156,7 +159,8 @@ def version_tags(
     A role tag wins over a metric of the same name. Without ``registered_at`` the date tag is left out.
     """
     new = decisions.filter("new_version IS NOT NULL")
-    about = new.join(runs.select("run_id", "tags"), "run_id", "left")
+    tagged = runs.join(new.select("run_id"), "run_id", "left_semi").select("run_id", "tags")
+    about = new.join(tagged, "run_id", "left")
     fields = {
         "model_type": tag(F.col("tags"), "model_type", "model_name"),
         "run_name": tag(F.col("tags"), "run_name", "mlflow.runName"),
@@ -218,7 +222,8 @@ def final_state(
     select: str = "latest",
 ) -> DataFrame:
     """All versions, newest first per model, with their metric as text, creation minute and short run id."""
-    shown = versions.join(resolve_metric(run_metrics, metric, pattern, select), "run_id", "left")
+    own = run_metrics.join(versions.select("run_id"), "run_id", "left_semi")
+    shown = versions.join(resolve_metric(own, metric, pattern, select), "run_id", "left")
     return shown.select(
         "model_name",
         "version",

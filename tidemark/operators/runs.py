@@ -31,31 +31,6 @@ def last_values(run_metrics: DataFrame) -> DataFrame:
     return latest.select("run_id", "key", finite(F.col("_last.value")).alias("value"))
 
 
-def metric_choice(key: Column, step: Column, value: Column) -> list[Column]:
-    """Aggregates that pick one metric entry of a group by its metric, metric_pattern and metric_select.
-
-    The exact name beats any pattern match; among matches the last or the first key in code-point order
-    counts, and within a key the last step. Both picks are mergeable, so a run with very many entries is
-    reduced where its rows lie.
-    """
-    select = F.col("metric_select")
-    exact = F.coalesce(key == F.col("metric"), F.lit(False))
-    matched = exact | F.coalesce(F.rlike(key, F.col("metric_pattern")), F.lit(False))
-    last = F.struct(exact.alias("exact"), key.alias("key"), step.alias("step"), value.alias("value"))
-    first = F.struct((~exact).alias("other"), key.alias("key"), (-step).alias("back"), value.alias("value"))
-    latest = F.max(F.when(matched & (select == "latest"), last))
-    earliest = F.min(F.when(matched & (select == "first"), first))
-    return [latest.alias("_latest"), earliest.alias("_first")]
-
-
-def chosen_key() -> Column:
-    return F.coalesce("_latest.key", "_first.key")
-
-
-def chosen_value() -> Column:
-    return F.coalesce(finite(F.col("_latest.value")), finite(F.col("_first.value")))
-
-
 def _entries(run_metrics: DataFrame, metric: str | None, pattern: str | None, select: str) -> DataFrame:
     """Metric rows that can matter, with the request beside them; the filter reaches the scan."""
     candidate = F.lit(False)
@@ -80,10 +55,26 @@ def resolve_metric(
 
 
 def resolve_metric_per_spec(entries: DataFrame, keys: list[str]) -> DataFrame:
-    """The same for rows that carry their own metric, metric_pattern and metric_select."""
-    choice = metric_choice(F.col("key"), F.col("step"), F.col("value"))
-    picked = entries.groupBy(*keys).agg(*choice)
-    found = picked.select(*keys, chosen_key().alias("resolved_key"), chosen_value().alias("value"))
+    """The same for metric rows that carry their own metric, metric_pattern and metric_select.
+
+    The exact name beats any pattern match; among matches the last or the first key in code-point order
+    counts, and within a key the last step. Both picks are mergeable, so a run with very many entries is
+    reduced where its rows lie.
+    """
+    key, step, value, select = (F.col(c) for c in ("key", "step", "value", "metric_select"))
+    exact = F.coalesce(key == F.col("metric"), F.lit(False))
+    matched = exact | F.coalesce(F.rlike(key, F.col("metric_pattern")), F.lit(False))
+    last = F.struct(exact.alias("exact"), key.alias("key"), step.alias("step"), value.alias("value"))
+    first = F.struct((~exact).alias("other"), key.alias("key"), (-step).alias("back"), value.alias("value"))
+    picked = entries.groupBy(*keys).agg(
+        F.max(F.when(matched & (select == "latest"), last)).alias("_latest"),
+        F.min(F.when(matched & (select == "first"), first)).alias("_first"),
+    )
+    found = picked.select(
+        *keys,
+        F.coalesce("_latest.key", "_first.key").alias("resolved_key"),
+        F.coalesce(finite(F.col("_latest.value")), finite(F.col("_first.value"))).alias("value"),
+    )
     return found.filter("resolved_key IS NOT NULL")
 
 

@@ -13,11 +13,10 @@ from tidemark.contract import ModelSpec
 from tidemark.functions.values import finite
 from tidemark.operators.artifacts import classify_artifacts
 from tidemark.operators.registry import (
-    aliases_after, champion_lookup, decide, registration_results, version_tags, versions_after,
+    SKIPPED, aliases_after, champion_lookup, decide, registration_results, version_tags, versions_after,
 )
 from tidemark.operators.runs import (
-    chosen_key, chosen_value, claimed_metrics, file_run_id, file_runs, last_values, match_experiment, metric_choice,
-    newest_runs, resolve_metric_per_spec,
+    claimed_metrics, file_run_id, file_runs, last_values, match_experiment, newest_runs, resolve_metric_per_spec,
 )
 from tidemark.session import materialise
 
@@ -75,11 +74,11 @@ def resolve_candidates(
         specs = specs.withColumn("experiment", F.coalesce("experiment", F.lit(default_experiment)))
     keep = ["spec", "model_name", "source", *_REQUEST]
     given = specs.filter("source = 'run'")
-    known = given.select(*keep, "run_id").join(runs.select("run_id", F.lit(True).alias("_found")), "run_id", "left")
-    entries = known.join(run_metrics, "run_id", "left")
-    choice = metric_choice(F.col("key"), F.col("step"), F.col("value"))
-    by_run = entries.groupBy(*known.columns).agg(*choice).select(
-        *keep, "run_id", chosen_key().alias("resolved_key"), chosen_value().alias("value"),
+    named = given.select("spec", "run_id", *_REQUEST[:3])
+    there = runs.join(named.select("run_id"), "run_id", "left_semi").select("run_id", F.lit(True).alias("_found"))
+    resolved = resolve_metric_per_spec(named.join(run_metrics, "run_id"), ["spec"])
+    by_run = given.join(there, "run_id", "left").join(resolved, "spec", "left").select(
+        *keep, "run_id", "resolved_key", "value",
         F.when(F.col("_found").isNull(), F.concat(F.lit("no run '"), "run_id", F.lit("'"))).alias("error"),
     )
     by_file = _from_files(specs.filter("source = 'file'"), keep, _column(logged_at))
@@ -172,17 +171,16 @@ def register(
         "error", F.coalesce("error", F.when(F.col("_repeated"), "several specs for one model in a batch"))
     ).drop("_repeated")
     candidates = materialise(candidates, "candidates")
+    looked_up = champion_lookup(candidates, registry.aliases, registry.versions, registry.run_metrics)
+    decisions = materialise(decide(looked_up, registry.versions), "decisions")
     new_runs = file_runs(
         specs.filter("source = 'file'").withColumns({"path": F.col("model_path"), "format": F.col("model_format")}),
         registered_at,
     )
-    logged = new_runs.filter("error IS NULL").select(*registry.runs.columns)
-    runs = registry.runs.unionByName(logged.join(registry.runs.select("run_id"), "run_id", "left_anti"))
-    claimed = claimed_metrics(new_runs).join(registry.runs.select("run_id"), "run_id", "left_anti")
-    run_metrics = registry.run_metrics.unionByName(claimed)
-
-    decisions = decide(champion_lookup(candidates, registry.aliases, registry.versions, run_metrics), registry.versions)
-    decisions = materialise(decisions, "decisions")
+    # A file seen before at the very same time is the run that is already there.
+    logged = new_runs.join(decisions.filter(F.col("scenario") != SKIPPED).select("run_id"), "run_id", "left_semi")
+    runs = registry.runs.unionByName(logged.select(*registry.runs.columns))
+    run_metrics = registry.run_metrics.unionByName(claimed_metrics(logged))
     results = registration_results(decisions, catalog, schema)
     if fail_fast:
         failed = results.filter("error IS NOT NULL").select("registered_model_name", "error").first()
