@@ -4,7 +4,6 @@ import statistics
 
 import pytest
 from conftest import rows
-from pyspark.sql import functions as F
 
 from tidemark.contract import TableContract
 from tidemark.operators.runs import best_run

@@ -177,8 +177,8 @@ def _stamp(at: Column) -> Column:
 def file_runs(claims: DataFrame, logged_at: dt.datetime | Column) -> DataFrame:
     """Runs for models that arrive as a file with claimed metrics.
 
-    ``claims``: model_name, path, format (override or NULL), experiment, metrics, params, tags. User tags override the standard ones. Files of unknown format come
-    back with an ``error`` and no run id.
+    ``claims``: model_name, path, format (override or NULL), experiment, metrics, params, tags. User tags
+    override the standard ones. Files of unknown format come back with an ``error`` and no run id.
     """
     known = classify_artifacts(claims, "path", "format")
     when = logged_at if isinstance(logged_at, Column) else F.lit(logged_at)

@@ -68,7 +68,8 @@ def resolve_candidates(
     """The run each spec stands for and the metric it is judged by, or an error text.
 
     All columns of the spec come back with run_id, resolved_key, value and error. The three kinds of
-    source are three branches of one plan; specs without an experiment take the default one, file sources use the claimed metrics and the run they are logged as.
+    source are three branches of one plan. Specs without an experiment take the default one; file sources
+    use the claimed metrics and the run they are logged as.
     """
     if default_experiment is not None:
         specs = specs.withColumn("experiment", F.coalesce("experiment", F.lit(default_experiment)))

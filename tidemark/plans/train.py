@@ -161,7 +161,8 @@ def tune(
     model = refits[-1][1]
     last = ready.filter((F.col("split_no") == split_list[-1].split_no) & (F.col("role") == "test"))
     return Tuned(
-        family, trials, measured, ranking, best.trial_no, sorted(set(params) - set(alive)), primary, chosen, best_metrics, log_run_metrics(best_metrics, primary, best=True),
+        family, trials, measured, ranking, best.trial_no, sorted(set(params) - set(alive)), primary, chosen,
+        best_metrics, log_run_metrics(best_metrics, primary, best=True),
         importance_of(model, prepared.rows, features),
         predictions(model.transform(last), keys, target, "prediction"), model,
     )
