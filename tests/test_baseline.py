@@ -46,7 +46,8 @@ def test_baseline(features, actuals):
     assert got == sorted(
         [(1, 2.0, 10.0, "7"), (2, 4.0, 20.0, "7"), (2, 4.0, 21.0, "7"), (3, 6.0, None, "7"), (None, 8.0, 40.0, "7"), (6, None, None, "7")], key=repr
     )
-    assert tuple(join_report(built, features, "y").first()) == (6, 6, 4)
+    assert tuple(join_report(built, features, "y").first()) == (6, 6, 4, "ok")
+    assert join_report(built, features.limit(5), "y").first().level == "warning"
     with pytest.raises(ValueError, match="5 rows but 4 distinct"):
         build_baseline(features, actuals, DOUBLE, contract(), "m", 7, strict=True)
 
@@ -141,7 +142,9 @@ def test_run_pipeline(spark, use_case, tmp_path):
     pipeline, registry = use_case
     assert dry_run(spark, pipeline) == (dt.date(2024, 2, 29), dt.date(2024, 3, 31))
     outcome = run_pipeline(spark, pipeline, registry, lambda name, version, run: Scorer(expression=F.col("x") + version), AT)
-    got = {(r.model, r.stage): (r.status, r.detail) for r in outcome.rows.collect()}
+    got = {(r.model, r.stage): (r.status, r.detail) for r in outcome.rows.filter("status != 'warning'").collect()}
+    warned = outcome.rows.filter("status = 'warning'").collect()
+    assert {(r.model, r.detail) for r in warned} == {(m, "repeated keys in the actuals made 6 rows of 5") for m in ("old", "best")}
     assert got.pop(("bad", "registration"))[0] == "failed"
     assert got == {
         ("old", "registration"): ("done", "first_registration"),

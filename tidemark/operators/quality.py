@@ -36,10 +36,15 @@ def key_uniqueness(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def join_report(joined: DataFrame, rows_before: DataFrame, label: str) -> DataFrame:
-    """One row: rows before and after attaching the labels and how many got one."""
+    """One row: rows before and after attaching the labels and how many got one.
+
+    The level is a warning where repeated keys multiplied rows or nothing matched.
+    """
     after = joined.agg(F.count(F.lit(1)).alias("n_after"), F.count(label).alias("n_matched"))
     before = rows_before.agg(F.count(F.lit(1)).alias("n")).scalar()
-    return after.select(before.alias("n_before"), "n_after", "n_matched")
+    counted = after.select(before.alias("n_before"), "n_after", "n_matched")
+    suspicious = (F.col("n_after") != F.col("n_before")) | (F.col("n_matched") == 0)
+    return counted.withColumn("level", F.when(suspicious, "warning").otherwise("ok"))
 
 
 def validate_table(

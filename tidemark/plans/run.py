@@ -22,7 +22,7 @@ LoadChampion = Callable[[str, int, str], Scorer]
 
 @dataclass(frozen=True)
 class Outcome:
-    """Result and failure rows (model, stage, status, detail) and the registry as it should become."""
+    """Result, warning and failure rows (model, stage, status, detail) and the registry as it should become."""
 
     rows: DataFrame
     registry: Registry
@@ -84,13 +84,18 @@ def run_pipeline(
         try:
             version, run_id = champions[models[key].model_name]
             name = f"{pipeline.catalog}.{pipeline.schema}.{models[key].model_name}"
-            if window_rows(features, contract, bounds).isEmpty():
+            before = window_rows(features, contract, bounds).count()
+            if before == 0:
                 raise ValueError(f"no feature rows between {bounds[0]} and {bounds[1]}")
             scorer = load_champion(models[key].model_name, version, run_id)
             baseline = build_baseline(features, actuals, scorer, contract, name, version, bounds, now)
             written = write_baseline(baseline, contract)
             matched = written.agg(F.count(F.lit(1)).alias("n"), F.count(contract.label_col).alias("m")).first()
             outcome.append((key, "baseline", "done", f"{matched.n} rows, {matched.m} with actuals"))
+            if matched.n != before:
+                outcome.append((key, "baseline", "warning", f"repeated keys in the actuals made {matched.n} rows of {before}"))
+            if matched.m == 0:
+                outcome.append((key, "baseline", "warning", "no row has an actual" if actuals is not None else "there is no actuals table"))
         except Exception as problem:
             if fail_fast:
                 raise

@@ -212,7 +212,8 @@ def baseline_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "join_report",
-    "SELECT (SELECT count(*) FROM f_window_rows) AS n_before, count(*) AS n_after, count(label) AS n_matched FROM f_baseline",
+    "SELECT *, CASE WHEN n_after <> n_before OR n_matched = 0 THEN 'warning' ELSE 'ok' END AS level FROM "
+    "(SELECT (SELECT count(*) FROM f_window_rows) AS n_before, count(*) AS n_after, count(label) AS n_matched FROM f_baseline)",
     "f_baseline",
 )
 def report_join(spark: SparkSession, sf: str) -> DataFrame:
