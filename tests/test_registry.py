@@ -198,3 +198,10 @@ def test_files_become_runs(spark, registry):
     assert result.scenario == "error" and "has no metric for test_rmse" in result.error
     assert batch.registry.runs.filter(F.col("run_id") == result.run_id).first().tags["registered_via"] == "file"
     assert batch.registry.run_metrics.filter(F.col("run_id") == result.run_id).first().value == 4.0
+
+
+def test_history_of_a_model_that_always_improves(spark):
+    """Every candidate is a record; the fold runs over several Arrow batches and two models."""
+    start = dt.datetime(2024, 1, 1)
+    candidates = [(m, f"{m}{i}", start + dt.timedelta(seconds=i), i, 1000.0 - i / 20) for m in ("a", "b") for i in range(15_000)]
+    assert history(spark, candidates, "minimize", 0.02) == replay(candidates, "minimize", 0.02)

@@ -10,6 +10,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -301,20 +302,26 @@ def _fold(records: DataFrame, threshold: float) -> DataFrame:
     ordered = records.repartition("model_name").sortWithinPartitions("model_name", "_at", "arrival_no")
 
     def step(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model, champion = None, None
+        model, champion = None, 0.0
         for batch in batches:
-            keep = []
-            for name, value in zip(batch["model_name"], batch["_v"]):
-                if name != model:
-                    model, champion, won = name, None, True
-                elif champion == 0:
-                    won = value < 0
-                else:
-                    won = (champion - value) / abs(champion) >= threshold
-                if won:
-                    champion = value
-                keep.append(won)
-            yield batch.loc[keep, ["model_name", "_bucket", "_at", "arrival_no"]]
+            names, values = batch["model_name"].to_numpy(), batch["_v"].to_numpy()
+            won = np.zeros(len(batch), dtype=bool)
+            starts = np.flatnonzero(np.append(True, names[1:] != names[:-1]))
+            for at, end in zip(starts, np.append(starts[1:], len(batch))):
+                if names[at] != model:
+                    model, champion, won[at] = names[at], values[at], True
+                    at += 1
+                # Jump from promotion to promotion; the records between them are compared at once.
+                while at < end:
+                    rest = values[at:end]
+                    beats = rest < 0 if champion == 0 else (champion - rest) / abs(champion) >= threshold
+                    ahead = int(beats.argmax())
+                    if not beats[ahead]:
+                        break
+                    at += ahead
+                    champion, won[at] = values[at], True
+                    at += 1
+            yield batch.loc[won, ["model_name", BUCKET, "_at", "arrival_no"]]
 
     schema = records.drop("_v").schema
     return ordered.mapInPandas(step, schema)
