@@ -38,6 +38,8 @@ from tidemark.session import materialise, scratch_path, shuffle_width
 
 GRAM = 24
 PART_BYTES = 16 << 20
+# Groups of values per part, so that the suffixes sorted at a time are a few megabytes.
+GROUPS = 8
 NO_ID = (1 << 63) - 1
 _META = np.dtype([("tid", "<i8"), ("node", "<i8"), ("start", "<i4"), ("windows", "<i4"), ("bytes", "<i4"), ("part", "<i4")])
 _SPAN = np.dtype([("tid", "<i8"), ("start", "<i4"), ("end", "<i4")])
@@ -112,8 +114,8 @@ class Runs:
         return values, counts
 
 
-def cuts(table: pa.Table, limit: int = 4 << 20) -> Iterator[tuple[list[int], list[int], list[bytes]]]:
-    """tid, node and text of a part's rows, a few megabytes at a time."""
+def cuts(table: pa.Table, limit: int = 1 << 20) -> Iterator[tuple[list[int], list[int], list[bytes]]]:
+    """tid, node and text of a part's rows, about a megabyte of text at a time."""
     tids, nodes, texts, size = [], [], [], 0
     for tid, node, text in zip(table["tid"].to_pylist(), table["node"].to_pylist(), table["packed"]):
         held = unpacked(text.as_py())
@@ -220,7 +222,7 @@ def spans_of(meta: np.ndarray, segment: np.ndarray, offset: np.ndarray, length:
     return {int(p): spans[parts == p].tobytes() for p in np.unique(parts)}
 
 
-def segments(texts: DataFrame, values: DataFrame, parts: int, length: int) -> DataFrame:
+def segments(texts: DataFrame, values: DataFrame, places: int, length: int) -> DataFrame:
     """The stretches of text under repeated values: place, meta, body. Removals already certain: place -1, part, body."""
 
     def cut(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -230,7 +232,7 @@ def segments(texts: DataFrame, values: DataFrame, parts: int, length: int) -> Da
             wanted = np.unique(np.concatenate([np.frombuffer(v, np.uint64) for v in right["vals"].to_pylist()]))
             hot = np.unique(np.concatenate([np.frombuffer(v, np.uint64) for v in right["hot_vals"].to_pylist()]))
             earliest: dict[int, tuple] = {}
-            metas, bodies, places = [], [], []
+            metas, bodies, groups = [], [], []
             certain: list[np.ndarray] = []
             for tids, nodes, held in cuts(left):
                 runs = Runs(held, length)
@@ -245,7 +247,7 @@ def segments(texts: DataFrame, values: DataFrame, parts: int, length: int) -> Da
                 meta["bytes"], meta["part"] = meta["windows"] + length - 1, part
                 cool = ~burning
                 metas.append(meta[cool])
-                places.append((runs.value[chosen][cool] % np.uint64(parts)).astype(np.int64))
+                groups.append((runs.value[chosen][cool] % np.uint64(places)).astype(np.int64))
                 bodies += [runs.held[a : a + n] for a, n in zip(runs.start[chosen][cool].tolist(), meta["bytes"][cool].tolist())]
                 # Single strings of hot values: the earliest of equals in this part goes on, the others are removed.
                 single = np.repeat(np.flatnonzero(burning), meta["windows"][burning])
@@ -264,12 +266,12 @@ def segments(texts: DataFrame, values: DataFrame, parts: int, length: int) -> Da
                 meta["node"], meta["tid"], meta["start"] = (np.array(x) for x in zip(*earliest.values()))
                 meta["windows"], meta["bytes"], meta["part"] = 1, length, part
                 metas.append(meta)
-                places.append(np.array([code % parts for code, _ in earliest], np.int64))
+                groups.append(np.array([code % places for code, _ in earliest], np.int64))
                 bodies += [body for _, body in earliest]
             if certain:
                 out.append((-1, part, b"", np.concatenate(certain).tobytes()))
             if metas:
-                meta, place = np.concatenate(metas), np.concatenate(places)
+                meta, place = np.concatenate(metas), np.concatenate(groups)
                 for p in np.unique(place).tolist():
                     own = np.flatnonzero(place == p)
                     out.append((p, part, meta[own].tobytes(), packed(b"".join(bodies[i] for i in own.tolist()))))
@@ -346,7 +348,7 @@ def deduplicate(docs: DataFrame, length: int = 100, hot: int = 5_000, with_text:
     """Per row: doc_id, n_bytes, n_removed, n_spans (runs of removed bytes), kept_sha256, and kept (bytes) if asked for."""
     rows, texts, parts = first_texts(docs, length)
     values = value_counts(texts, parts, length, hot)
-    found = materialise(segments(texts, values, parts, length), "segments")
+    found = materialise(segments(texts, values, parts * GROUPS, length), "segments")
     spans = materialise(removals(found, length), "removals")
     done = apply_removals(texts, spans)
     done = materialise(done if with_text else done.drop("kept"), "kept")
