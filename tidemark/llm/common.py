@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Texts worked on at a time by a task, in bytes; one longer text is worked on alone.
-STRETCH = 16 << 20
+STRETCH = 4 << 20
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -43,11 +43,11 @@ def stretches(batch: pa.RecordBatch, column: int, limit: int = STRETCH) -> Itera
         yield batch.slice(start)
 
 
-def append(df: DataFrame, make: Callable[[], Callable], fields: list[T.StructField], inputs: list[str]) -> DataFrame:
+def append(df: DataFrame, make: Callable[[], Callable], fields: list[T.StructField], inputs: list[str], limit: int = STRETCH) -> DataFrame:
     """The frame with further columns, computed from the columns ``inputs`` batch by batch, without a shuffle.
 
     ``make()`` runs once per task and returns a function from the input arrays to the new arrays. The first
-    input is a text: batches are cut by its size. New names must not be among the frame's.
+    input is a text: batches are cut by its size, at ``limit`` bytes. New names must not be among the frame's.
     """
     where = [df.columns.index(name) for name in inputs]
     schema = T.StructType([*df.schema.fields, *fields])
@@ -56,7 +56,7 @@ def append(df: DataFrame, make: Callable[[], Callable], fields: list[T.StructFie
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
         for batch in batches:
-            for cut in stretches(batch, where[0]):
+            for cut in stretches(batch, where[0], limit):
                 added = work(*(cut.column(i) for i in where))
                 yield pa.RecordBatch.from_arrays([*cut.columns, *added], names=names)
 

@@ -5,11 +5,11 @@ give all coordinates of its signature; bands of coordinates are bucket keys, and
 linked. Every link is confirmed on the full sets. Documents with equal sets are one class from the start: only the
 class's smallest document takes part in the search.
 
-Inside a bucket not all pairs are compared. In a few rounds every class is compared with a hub of one of its buckets and
-the linked classes are joined into components; the hubs change from round to round. Then only pairs of different
-components of a bucket are left, and all of them are compared. Crowded buckets of many components are first split by
-the other bands of their members (such a pair has to share two bands). Before sets are fetched, pairs of clearly
-different signatures are dropped.
+Inside a bucket not all pairs are compared. In a few rounds every class is compared with hubs of its buckets and the
+linked classes are joined into components; the hubs change from round to round. Then only pairs of different
+components of a bucket are left. Their signatures are compared in blocks of bounded size, and the pairs that agree
+enough are confirmed: one by one, or, in blocks with many of them, through an index of the members' shingles. Crowded buckets of many components are first split by the other bands of their members (such a
+pair has to share two bands).
 
 With 32 bands of 5 coordinates a pair of similarity 0.8 is missed with a probability of 3 in a million (5 in a hundred
 thousand if it meets in crowded buckets only), and 7 in a million by the comparison of signatures.
@@ -36,6 +36,12 @@ BANDS, ROWS = 32, 5
 # A pair of similarity 0.8 agrees in 128 of 160 coordinates, standard deviation 5.
 LEAST_AGREEMENT = 106
 NO_ID = (1 << 63) - 1
+# Hashing a stretch of text takes some forty times its size in memory.
+STRETCH = 1 << 20
+# Members of a bucket whose signatures are compared with each other at a time.
+BLOCK = 500
+# A cell with so many pairs per member is confirmed as a whole.
+DENSE = 4
 
 
 def signatures(docs: DataFrame, words: int) -> DataFrame:
@@ -58,7 +64,7 @@ def signatures(docs: DataFrame, words: int) -> DataFrame:
 
     fields = [field("n", "long"), field("digest", "binary"), field("bands", "array<long>"), field("signature", "binary")]
     nodes = docs.select("text", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("node"))
-    return materialise(append(nodes, make, fields, ["text"]).drop("text"), "signatures")
+    return materialise(append(nodes, make, fields, ["text"], STRETCH).drop("text"), "signatures")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -118,14 +124,16 @@ def labelled(members: DataFrame, labels: DataFrame | None) -> DataFrame:
     return members.join(named, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
 
 
-def hub_pairs(members: DataFrame, turn: int) -> DataFrame:
-    """For each class one pair with a hub of its buckets that is in another component: hi, lo, and their sizes."""
+def hub_pairs(members: DataFrame, turn: int, most: int) -> DataFrame:
+    """For each class up to ``most`` pairs with hubs of its buckets that are in other components: hi, lo."""
     place = F.xxhash64(F.lit(turn), "rep")
     hub = F.min(F.struct(place.alias("place"), F.col("rep").alias("hub"), F.col("n").alias("hub_n"), F.col("component").alias("hub_component"))).alias("h")
     hubs = members.groupBy("key").agg(hub, F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("key", "h.*")
     met = members.join(hubs, "key").filter("component <> hub_component").filter(fitting("n", "hub_n"))
-    first = met.groupBy("rep").agg(F.min(F.struct("place", "hub")).alias("h"))
-    return first.select(F.greatest("rep", "h.hub").alias("hi"), F.least("rep", "h.hub").alias("lo")).distinct()
+    # A class has one hub per band at most.
+    some = met.groupBy("rep").agg(F.slice(F.sort_array(F.collect_set(F.struct("place", "hub"))), 1, most).alias("h"))
+    some = some.select("rep", F.explode("h.hub").alias("hub"))
+    return some.select(F.greatest("rep", "hub").alias("hi"), F.least("rep", "hub").alias("lo")).distinct()
 
 
 def fitting(a: str, b: str):
@@ -134,20 +142,85 @@ def fitting(a: str, b: str):
 
 
 def left_pairs(members: DataFrame, reps: DataFrame, crowd: int) -> DataFrame:
-    """All pairs of different components that share a bucket (two, if the bucket holds more than ``crowd`` components)."""
-    counts = members.groupBy("key").agg(F.count_distinct("component").alias("held")).filter("held > 1")
+    """Pairs of different components that share a bucket (two, if the bucket holds more than ``crowd`` components) and
+    whose sizes and signatures allow a link: hi, lo, and no cell. Of cells with many such pairs the members instead:
+    cell, hi (the class), lo (its component)."""
+    counts = members.groupBy("key").agg(F.count_distinct("component").alias("held"), F.count("*").alias("size")).filter("held > 1")
     counts = materialise(counts, "open-buckets")
-    few = members.join(counts.filter(F.col("held") <= crowd), "key").select("key", "rep", "n", "component")
+    few = members.join(counts.filter(F.col("held") <= crowd), "key").select("key", "band", "rep", "n", "component", "size")
     many = members.join(counts.filter(F.col("held") > crowd), "key").select(F.col("key").alias("first"), "rep", "n", "component")
     split = many.join(reps.select("rep", "bands"), "rep").withColumn("other", F.explode("bands")).filter("other <> first")
     split = split.select(F.xxhash64(F.least("first", "other"), F.greatest("first", "other")).alias("key"), "rep", "n", "component").distinct()
-    open_ = materialise(few.unionByName(split), "open-members")
-    left, right = (open_.select("key", *(F.col(c).alias(f"{c}{i}") for c in ("rep", "n", "component"))) for i in (1, 2))
-    met = left.join(right, "key").filter("component1 < component2").filter(fitting("n1", "n2"))
-    return met.select(F.greatest("rep1", "rep2").alias("hi"), F.least("rep1", "rep2").alias("lo")).distinct()
+    again = split.groupBy("key").agg(F.count_distinct("component").alias("held"), F.count("*").alias("size")).filter("held > 1")
+    split = split.join(again, "key").select("key", F.lit(-1).alias("band"), "rep", "n", "component", "size")
+    open_ = few.unionByName(split).join(reps.select("rep", "signature"), "rep")
+    # Large buckets are cut into blocks, and every two blocks meet in a cell.
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    open_ = open_.withColumn("block", F.pmod(F.xxhash64(F.lit("block"), "rep"), blocks).cast("int")).withColumn("with", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    cell = F.xxhash64("key", F.least("block", "with"), F.greatest("block", "with")).alias("cell")
+    cells = open_.select(cell, "band", "rep", "n", "component", "signature", "block", (F.col("block") == F.col("with")).alias("alone"))
+    return cells.groupBy("cell").applyInArrow(met_in_cell, "cell long, hi long, lo long").distinct()
+
+
+def met_in_cell(table: pa.Table) -> pa.Table:
+    """Pairs of one cell. A pair that shares several buckets is taken from that of the first shared band only."""
+    band, rep, n, component, block, alone = (table[c].to_numpy() for c in ("band", "rep", "n", "component", "block", "alone"))
+    signature = np.frombuffer(b"".join(table["signature"].to_pylist()), np.uint8).reshape(-1, BANDS * ROWS)
+    out = [np.zeros((0, 2), np.int64)]
+    for a in range(len(rep) - 1):
+        others = np.arange(a + 1, len(rep))
+        sizes = n[others]
+        good = (component[others] != component[a]) & (100 * np.minimum(sizes, n[a]) >= 80 * np.maximum(sizes, n[a]))
+        good &= alone[a] | (block[others] != block[a])
+        others = others[good]
+        if not len(others):
+            continue
+        same = signature[others] == signature[a]
+        near = same.sum(axis=1) >= LEAST_AGREEMENT
+        if band[a] >= 0:
+            near &= same.reshape(len(others), BANDS, ROWS).all(axis=2).argmax(axis=1) == band[a]
+        others = others[near]
+        out.append(np.stack([np.maximum(rep[others], rep[a]), np.minimum(rep[others], rep[a])], axis=1))
+    pairs = np.concatenate(out)
+    if len(rep) > 50 and len(pairs) > DENSE * len(rep):
+        return pa.table({"cell": table["cell"], "hi": pa.array(rep), "lo": pa.array(component)})
+    return pa.table({"cell": pa.nulls(len(pairs), pa.int64()), "hi": pa.array(pairs[:, 0]), "lo": pa.array(pairs[:, 1])})
+
+
+def links_in_cell(percent: int):
+    """Links between different components among a cell's members, counted through an index of their shingles."""
+
+    def run(table: pa.Table) -> pa.Table:
+        rep, component = table["rep"].to_numpy(), table["component"].to_numpy()
+        sets = [np.frombuffer(x, np.uint64) for x in table["shingles"].to_pylist()]
+        sizes = np.array([len(x) for x in sets])
+        every, number = np.unique(np.concatenate(sets), return_inverse=True)
+        owner = np.repeat(np.arange(len(sets)), sizes)
+        order = np.argsort(number, kind="stable")
+        holders = owner[order]
+        begin = np.searchsorted(number[order], np.arange(len(every) + 1))
+        first = np.cumsum(sizes) - sizes
+        out = [np.zeros((0, 2), np.int64)]
+        for a in range(len(rep)):
+            if not (component != component[a]).any():
+                break
+            own = number[first[a] : first[a] + sizes[a]]
+            both = np.zeros(len(rep), np.int64)
+            for shingle in own.tolist():
+                both[holders[begin[shingle] : begin[shingle + 1]]] += 1
+            good = (component != component[a]) & (100 * both >= percent * (sizes + sizes[a] - both))
+            # One link to each other component is enough; they are one component from here on.
+            for b in np.flatnonzero(good).tolist():
+                if component[b] != component[a]:
+                    out.append(np.array([[max(rep[a], rep[b]), min(rep[a], rep[b])]], np.int64))
+                    component = np.where(component == component[b], component[a], component)
+        pairs = np.concatenate(out)
+        return pa.table({"hi": pa.array(pairs[:, 0]), "lo": pa.array(pairs[:, 1])})
+
+    return run
 
 
-def groups(docs: DataFrame, words: int = 5, percent: int = 80, rounds: int = 3, crowd: int = 100) -> DataFrame:
+def groups(docs: DataFrame, words: int = 5, percent: int = 80, hubs: tuple[int, ...] = (1, 8, 8), crowd: int = 2_000) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id (the smallest doc_id linked through any chain), kept."""
     signed = signatures(docs, words)
     classes = materialise(signed.filter("n > 0").groupBy("digest").agg(F.min("node").alias("rep")), "classes")
@@ -158,7 +231,7 @@ def groups(docs: DataFrame, words: int = 5, percent: int = 80, rounds: int = 3,
     repeated = rows.groupBy("node").agg(F.min("rep").alias("low"), F.max("rep").alias("high"), F.count("*").alias("sets")).filter("sets > 1")
     same_id = rows.join(repeated.select("node"), "node").select(F.greatest("node", "rep").alias("hi"), F.least("node", "rep").alias("lo"))
 
-    members = reps.select(F.explode("bands").alias("key"), "rep", "n")
+    members = reps.select(F.posexplode("bands").alias("band", "key"), "rep", "n")
     shared = members.groupBy("key").agg(F.count("*").alias("held")).filter("held > 1").select("key")
     members = materialise(members.join(shared, "key"), "members")
     wanted = members.select(F.col("rep").alias("node")).distinct()
@@ -167,7 +240,7 @@ def groups(docs: DataFrame, words: int = 5, percent: int = 80, rounds: int = 3,
         return lambda texts: [pa.array([s.tobytes() for s in shingle_sets(texts.to_pylist(), words)], pa.binary())]
 
     nodes = docs.select("text", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("node")).join(wanted, "node")
-    sets = materialise(append(nodes, make, [field("shingles", "binary")], ["text"]).select("node", "shingles").filter("length(shingles) > 0"), "sets")
+    sets = materialise(append(nodes, make, [field("shingles", "binary")], ["text"], STRETCH).select("node", "shingles").filter("length(shingles) > 0"), "sets")
 
     def linked(pairs: DataFrame) -> DataFrame:
         """The pairs whose sets are similar enough."""
@@ -178,11 +251,15 @@ def groups(docs: DataFrame, words: int = 5, percent: int = 80, rounds: int = 3,
 
     labels = None
     edges = materialise(same_id, "same-id")
-    for turn in range(rounds):
-        edges = materialise(edges.unionByName(linked(hub_pairs(labelled(members, labels), turn))), "links")
+    for turn, most in enumerate(hubs):
+        edges = materialise(edges.unionByName(linked(hub_pairs(labelled(members, labels), turn, most))), "links")
         labels = components(edges)
         edges = labels.select(F.col("node").alias("hi"), F.col("component").alias("lo"))
-    rest = materialise(linked(left_pairs(labelled(members, labels), reps, crowd)), "links")
+    left = materialise(left_pairs(labelled(members, labels), reps, crowd), "left")
+    dense = left.filter("cell IS NOT NULL").select("cell", F.col("hi").alias("rep"), F.col("lo").alias("component"))
+    held = dense.join(sets.withColumnRenamed("node", "rep"), "rep").groupBy("cell").applyInArrow(links_in_cell(percent), "hi long, lo long")
+    rest = linked(left.filter("cell IS NULL").select("hi", "lo")).unionByName(held.filter("hi > lo").distinct())
+    rest = materialise(rest, "links")
     if not rest.isEmpty():
         labels = components(edges.unionByName(rest))
 
