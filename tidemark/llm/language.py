@@ -122,7 +122,7 @@ class Languages:
         going = np.searchsorted(-lengths[order], -np.arange(PART), "left")  # lanes longer than the step's number
         roots = np.array(self.roots, np.int64)[:, None]
         state = np.repeat(roots, len(parts), axis=1)
-        found = np.ones((len(self.names), len(parts)), np.int64)
+        found = np.zeros((len(self.names), len(parts)), np.int64)
         for step in range(PART):
             n = going[step]
             if not n:
@@ -130,11 +130,12 @@ class Languages:
             symbol = grid[step, :n]
             then = self.table[state[:, :n] + symbol]
             stuck = then < 0
+            # A phrase begins at the start state, or where the one before it cannot go on.
+            found[:, :n] += stuck | (state[:, :n] == roots)
             if stuck.any():
-                # The phrase ends before this symbol, which begins the next; a symbol of no stretch is a phrase itself.
+                # A symbol that occurs nowhere in the excerpt is a phrase by itself.
                 fresh = self.table[roots + symbol]
                 fresh = np.where(fresh < 0, roots, fresh)
-                found[:, :n] += stuck
                 then = np.where(stuck, fresh, then)
             state[:, :n] = then
         np.add.at(counts, np.array(owner)[order], found.T)

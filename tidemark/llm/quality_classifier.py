@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import append, field
-from tidemark.llm.linear import FeatureMap, edges_of, labelled_sample, sample_of, summed, with_measures
+from tidemark.llm.linear import N_MEASURES, FeatureMap, edges_of, labelled_sample, sample_of, summed, with_measures
 
 
 @dataclass
@@ -87,7 +87,7 @@ def fit(docs: DataFrame, labels: DataFrame, where: Column, bound: int = 12_000,
 
     def measured(frame: DataFrame) -> np.ndarray:
         rows = with_measures(frame.select("text")).select("measures").toArrow().column("measures").to_pylist()
-        return np.array(rows, float).reshape(len(rows), -1)
+        return np.array(rows, float).reshape(-1, N_MEASURES)
 
     good, unlabelled = measured(positives), measured(web)
     features = FeatureMap(edges_of(unlabelled))

@@ -33,10 +33,11 @@ class Encoder:
 
     The tokenizer splits a text into pieces before it merges bytes, and a blank next to a character that is not
     white space always begins a piece. So a text can be cut there, and the cuts encoded once each. Unknown cuts are
-    encoded together as one text and told apart by the byte lengths of their ids. At most ``words`` cuts are kept.
+    encoded together as one text and told apart by the byte lengths of their ids. When ``words`` cuts are held they
+    become the old generation; a cut of it that is met again moves on, the others go with the next change.
     """
 
-    def __init__(self, path: str, words: int = 400_000) -> None:
+    def __init__(self, path: str, words: int = 350_000) -> None:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -46,6 +47,7 @@ class Encoder:
         count = self.tokenizer.get_vocab_size()
         self.width = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(count)], np.int64)
         self.known: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         self.words = words
 
     def plain(self, text: str) -> bytes:
@@ -65,9 +67,9 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """For each text its ids as 32-bit integers."""
-        known = self.known
-        if len(known) > self.words:
-            known.clear()
+        if len(self.known) > self.words:
+            self.known, self.old = {}, self.known
+        known, old = self.known, self.old
         cut_texts: list[list[str] | None] = []
         unseen: dict[str, None] = {}
         for text in texts:
@@ -79,7 +81,10 @@ class Encoder:
             cuts[0] = parts[0]
             unseen.update(dict.fromkeys(cut for cut in cuts if cut not in known))
             cut_texts.append(cuts)
-        simple = [cut for cut in unseen if cut[:1] == " " and cut[1:2].strip() and len(cut) < 1000]
+        for cut in unseen:
+            if cut in old:
+                known[cut] = old[cut]
+        simple = [cut for cut in unseen if cut not in known and cut[:1] == " " and cut[1:2].strip() and len(cut) < 1000]
         self.learn(simple)
         for cut in unseen:
             if cut not in known:
