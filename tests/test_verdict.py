@@ -1,0 +1,72 @@
+"""Faults found by probing, each with the values that showed it."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.contract import TableContract
+from tidemark.functions.dates import date_from_epoch_days, date_from_epoch_seconds
+from tidemark.functions.values import minute_text
+from tidemark.operators.runs import resolve_metric
+from tidemark.operators.training import FAMILIES, fit_lines, importance_by_correlation, make_estimator, training_set
+from tidemark.operators.tuning import sample_trials
+from tidemark.plans.train import space_frame
+
+
+def test_all_importances_are_kept(spark):
+    names = [f"f{i}" for i in range(40)]
+    rows = spark.range(20).select(F.col("id").cast("double").alias("y"), *((F.col("id") * (i + 1) % 7).alias(n) for i, n in enumerate(names)))
+    assert importance_by_correlation(rows, names, "y").count() == 40
+    assert importance_by_correlation(rows, names, "y", 30).count() == 30
+
+
+def test_small_slopes_survive(spark):
+    rows = spark.range(1, 50).select((F.col("id") * 1e9).alias("x"), (F.col("id") * 1e9 * 3e-7).alias("y"))
+    assert fit_lines(rows, "x", "y").first().slope == pytest.approx(3e-7)
+
+
+@pytest.mark.parametrize("family", sorted(FAMILIES))
+def test_every_family_has_a_space_its_learner_accepts(spark, family):
+    trials = sample_trials(space_frame(spark, family), 2).filter("trial_no = 1").collect()
+    params = {r.param: r.value if r.value is not None else r.text for r in trials}
+    assert make_estimator(family, params, ["x"], "y").getStages()
+
+
+def test_epoch_columns_never_raise(spark):
+    row = spark.sql("SELECT 20240131L AS days, 1706659200000000L AS seconds, 1706659200L AS good").select(
+        date_from_epoch_days(F.col("days")).alias("a"), date_from_epoch_seconds(F.col("seconds")).alias("b"), date_from_epoch_seconds(F.col("good")).cast("string").alias("c")
+    ).first()
+    assert (row.a, row.b, row.c) == (None, None, "2024-01-31")
+
+
+def test_utc_texts_inside_a_clock_change(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for other in ("UTC", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", other)
+            frame = spark.range(1).select(minute_text(F.timestamp_seconds(F.lit(1710037800))).alias("t"))
+            assert frame.first().t == "2024-03-10 02:30"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_first_and_latest_agree_on_a_repeated_step(spark):
+    rows = spark.createDataFrame(
+        [("r", "rmse", 3, 1.0), ("r", "rmse", 3, 2.0), ("r", "rmse", 3, float("nan")), ("n", "rmse", 0, float("nan"))],
+        "run_id string, key string, step long, value double",
+    )
+    for select in ("latest", "first"):
+        found = {r.run_id: r.value for r in resolve_metric(rows, pattern="^rmse", select=select).collect()}
+        assert found == {"r": 2.0, "n": None}
+
+
+def test_text_keys_do_not_join_numbers(spark):
+    features = spark.createDataFrame([("01", 1.0)], "po string, f double")
+    actuals = spark.createDataFrame([(1, 2.0)], "po int, cost double")
+    contract = TableContract(
+        feature_table="a.f", actual_table="a.a", baseline_table="a.b", date_kind="parts", date_parts=("y", "m", "d"),
+        min_valid_date="1990-01-01", join_keys=["po"], label_col="cost", test_months=2, exclude_from_features=["po"],
+    )
+    with pytest.raises(TypeError):
+        training_set(features, actuals, contract, "target")

@@ -134,3 +134,11 @@ def require_columns(df: DataFrame, columns: Sequence[str], table: str) -> None:
     missing = [c for c in columns if c not in df.columns]
     if missing:
         raise ValueError(f"table {table!r} lacks {missing}; it has {sorted(df.columns)}")
+
+
+def same_key_types(features: DataFrame, actuals: DataFrame, keys: Sequence[str]) -> None:
+    """Refuse join keys that are text on one side only: Spark would quietly cast them."""
+    left, right = dict(features.dtypes), dict(actuals.dtypes)
+    for key in keys:
+        if (left[key] == "string") != (right[key] == "string"):
+            raise TypeError(f"join key {key!r} is {left[key]} in the features and {right[key]} in the actuals")

@@ -25,13 +25,18 @@ def date_from_packed(packed: Column) -> Column:
     return date_from_parts(F.floor(n / 10000), F.floor(n / 100) % 100, n % 100)
 
 
+def _readable(days: Column) -> Column:
+    """The date of an epoch day of the years 1000 to 9999."""
+    return F.date_from_unix_date(F.when(days.between(-354285, 2932896), days))
+
+
 def date_from_epoch_days(days: Column) -> Column:
-    return F.date_from_unix_date(days.try_cast("int"))
+    return _readable(days.try_cast("int"))
 
 
 def date_from_epoch_seconds(seconds: Column) -> Column:
     """UTC day of an epoch second, whatever the session time zone."""
-    return F.date_from_unix_date(F.floor(seconds.try_cast("long") / 86400).cast("int"))
+    return _readable(F.floor(seconds.try_cast("long") / 86400).try_cast("int"))
 
 
 def date_from_text(text: Column, pattern: str) -> Column:

@@ -29,13 +29,20 @@ def short_id(run_id: Column) -> Column:
     return F.concat(F.substring(run_id, 1, 8), F.lit("..."))
 
 
-def utc_text(at: Column, pattern: str) -> Column:
-    """A point in time as UTC text, whatever the session time zone."""
-    return F.date_format(F.to_utc_timestamp(at, F.current_timezone()), pattern)
+def utc_text(at: Column) -> Column:
+    """A point in time as UTC text such as 2024-03-10 02:30:00, whatever the session time zone.
+
+    From the epoch second, because a local time of the session may not exist or exist twice.
+    """
+    second = F.floor(F.unix_micros(at.cast("timestamp")) / 1_000_000)
+    day = F.date_from_unix_date(F.floor(second / 86400).cast("int"))
+    left = F.pmod(second, F.lit(86400))
+    clock = F.format_string("%02d:%02d:%02d", F.floor(left / 3600), F.floor(left / 60) % 60, left % 60)
+    return F.when(at.isNotNull(), F.concat_ws(" ", day.cast("string"), clock))
 
 
 def minute_text(at: Column) -> Column:
-    return utc_text(at, "yyyy-MM-dd HH:mm")
+    return F.substring(utc_text(at), 1, 16)
 
 
 def qualified_name(catalog: Column, schema: Column, name: Column) -> Column:

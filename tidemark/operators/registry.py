@@ -108,7 +108,7 @@ def versions_after(decisions: DataFrame, versions: DataFrame, registered_at: dt.
 
 def description(registered_at: Column) -> Column:
     """The text kept with a version: headline, metric, time, the other version involved and the run."""
-    at = utc_text(registered_at, "yyyy-MM-dd HH:mm:ss 'UTC'")
+    at = F.concat(utc_text(registered_at), F.lit(" UTC"))
     result = F.concat("resolved_key", F.lit(" = "), four_decimals(F.col("value")))
     champion = F.col("champion_version").cast("string")
     # Headlines and field labels of the three texts.
@@ -172,7 +172,7 @@ def version_tags(
     }
     if registered_at is not None:
         when = registered_at if isinstance(registered_at, Column) else F.lit(registered_at)
-        fields["registered_date"] = utc_text(when, "yyyy-MM-dd HH:mm:ss 'UTC'")
+        fields["registered_date"] = F.concat(utc_text(when), F.lit(" UTC"))
     entries = F.array(*[F.struct(F.lit(k).alias("key"), v.alias("value")) for k, v in fields.items()])
     present = F.filter(entries, lambda e: e["value"].isNotNull())
     roles = about.select("model_name", F.col("new_version").alias("version"), F.inline(present))

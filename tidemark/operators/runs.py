@@ -64,8 +64,10 @@ def resolve_metric_per_spec(entries: DataFrame, keys: list[str]) -> DataFrame:
     key, step, value, select = (F.col(c) for c in ("key", "step", "value", "metric_select"))
     exact = F.coalesce(key == F.col("metric"), F.lit(False))
     matched = exact | F.coalesce(F.rlike(key, F.col("metric_pattern")), F.lit(False))
-    last = F.struct(exact.alias("exact"), key.alias("key"), step.alias("step"), value.alias("value"))
-    first = F.struct((~exact).alias("other"), key.alias("key"), (-step).alias("back"), value.alias("value"))
+    # Of values logged twice for one step the larger counts, in both picks; NaN counts least.
+    number, nothing = finite(value), F.lit(float("inf"))
+    last = F.struct(exact.alias("exact"), key.alias("key"), step.alias("step"), number.alias("value"))
+    first = F.struct((~exact).alias("other"), key.alias("key"), (-step).alias("back"), F.coalesce(-number, nothing).alias("minus"))
     picked = entries.groupBy(*keys).agg(
         F.max(F.when(matched & (select == "latest"), last)).alias("_latest"),
         F.min(F.when(matched & (select == "first"), first)).alias("_first"),
@@ -73,7 +75,7 @@ def resolve_metric_per_spec(entries: DataFrame, keys: list[str]) -> DataFrame:
     found = picked.select(
         *keys,
         F.coalesce("_latest.key", "_first.key").alias("resolved_key"),
-        F.coalesce(finite(F.col("_latest.value")), finite(F.col("_first.value"))).alias("value"),
+        F.coalesce("_latest.value", F.when(F.col("_first.minus") != nothing, -F.col("_first.minus"))).alias("value"),
     )
     return found.filter("resolved_key IS NOT NULL")
 
@@ -171,7 +173,7 @@ def file_run_id(model_name: str, path: str, logged_at: Column) -> Column:
 
 
 def _stamp(at: Column) -> Column:
-    return utc_text(at.cast("timestamp"), "yyyyMMdd_HHmmss")
+    return F.translate(utc_text(at), " -:", "_")
 
 
 def file_runs(claims: DataFrame, logged_at: dt.datetime | Column) -> DataFrame:

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.contract import EVENT_DATE, TableContract, require_columns
+from tidemark.contract import EVENT_DATE, TableContract, require_columns, same_key_types
 
 
 @dataclass(frozen=True)
@@ -75,10 +75,7 @@ def attach_actuals(scored: DataFrame, actuals: DataFrame | None, contract: Table
     if actuals is None:
         return base.withColumn(label, F.lit(None).cast("float"))
     require_columns(actuals, [*contract.keys, label], contract.actual_table or "actuals")
-    left, right = dict(base.dtypes), dict(actuals.dtypes)
-    for key in contract.keys:
-        if (left[key] == "string") != (right[key] == "string"):
-            raise TypeError(f"join key {key!r} is {left[key]} in the features and {right[key]} in the actuals")
+    same_key_types(base, actuals, contract.keys)
     renamed = {k: f"_actual_{k}" for k in contract.keys}
     labels = actuals.select(*[F.col(k).alias(a) for k, a in renamed.items()], F.col(label).try_cast("float").alias(label))
     same = [F.col(k).eqNullSafe(F.col(a)) for k, a in renamed.items()]

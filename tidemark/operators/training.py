@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.contract import TableContract, require_columns
+from tidemark.contract import TableContract, require_columns, same_key_types
 from tidemark.functions.metrics import METRICS, regression_metrics
 from tidemark.functions.values import to_number
 from tidemark.operators.scan import dense_codes
@@ -27,13 +27,15 @@ FAMILIES = {
     "catboost": GBTRegressor,
 }
 
-# Tuned ranges in terms of Spark's own parameters: (kind, low, high, log) or one fixed value.
+# Tuned ranges in terms of Spark's own parameters: (kind, low, high, log), ("categorical", choices) or one
+# value. Shares of columns or features per tree become featureSubsetStrategy, the least gain of a split minInfoGain.
 SPACES: dict[str, dict[str, tuple | int | float | str]] = {
     "linear": {"regParam": ("float", 1e-4, 1.0, True), "elasticNetParam": ("float", 0.0, 1.0, False)},
     "random_forest": {
         "numTrees": ("int", 100, 500, False),
         "maxDepth": ("int", 5, 25, False),
         "minInstancesPerNode": ("int", 1, 10, False),
+        "featureSubsetStrategy": ("categorical", ["0.4", "0.6", "0.8", "1.0"]),
         "seed": 42,
     },
     "gbt": {
@@ -44,6 +46,31 @@ SPACES: dict[str, dict[str, tuple | int | float | str]] = {
         "subsamplingRate": ("float", 0.5, 0.95, False),
         "seed": 42,
     },
+    "xgboost": {
+        "maxIter": ("int", 200, 1500, False),
+        "maxDepth": ("int", 3, 10, False),
+        "minInstancesPerNode": ("int", 1, 20, False),
+        "stepSize": ("float", 1e-3, 0.2, True),
+        "minInfoGain": ("float", 0.0, 5.0, False),
+        "subsamplingRate": ("float", 0.5, 0.95, False),
+        "featureSubsetStrategy": ("categorical", ["0.5", "0.65", "0.8", "0.95"]),
+        "seed": 42,
+    },
+    "lightgbm": {
+        "maxIter": ("int", 200, 1500, False),
+        "maxDepth": ("int", 3, 12, False),
+        "minInstancesPerNode": ("int", 10, 100, False),
+        "stepSize": ("float", 1e-3, 0.2, True),
+        "subsamplingRate": ("float", 0.5, 0.95, False),
+        "featureSubsetStrategy": ("categorical", ["0.5", "0.65", "0.8", "0.95"]),
+        "seed": 42,
+    },
+    "catboost": {
+        "maxIter": ("int", 300, 1500, False),
+        "maxDepth": ("int", 4, 10, False),
+        "stepSize": ("float", 1e-3, 0.2, True),
+        "seed": 42,
+    },
 }
 
 
@@ -51,6 +78,7 @@ def training_set(features: DataFrame, actuals: DataFrame, contract: TableContrac
     """Features with their known target: inner join on the keys, label renamed."""
     require_columns(features, contract.keys, contract.feature_table)
     require_columns(actuals, [*contract.keys, contract.label_col], contract.actual_table or "actuals")
+    same_key_types(features, actuals, contract.keys)
     labels = actuals.select(*contract.keys, F.col(contract.label_col).alias(target))
     return features.drop(contract.label_col, target).join(labels, contract.keys)
 
@@ -80,12 +108,12 @@ def with_codes(rows: DataFrame, codes: DataFrame, columns: Sequence[str]) -> Dat
     return out
 
 
-def fit_lines(rows: DataFrame, x: str, y: str, by: Sequence[str] = (), digits: tuple[int, int] = (6, 2)) -> DataFrame:
-    """Least-squares line per group from one aggregate; coefficients are kept rounded."""
+def fit_lines(rows: DataFrame, x: str, y: str, by: Sequence[str] = ()) -> DataFrame:
+    """Least-squares line per group from one aggregate."""
     usable = rows.filter(F.col(x).isNotNull() & F.col(y).isNotNull())
     return usable.groupBy(*by).agg(
-        F.round(F.regr_slope(y, x), digits[0]).alias("slope"),
-        F.round(F.regr_intercept(y, x), digits[1]).alias("intercept"),
+        F.regr_slope(y, x).alias("slope"),
+        F.regr_intercept(y, x).alias("intercept"),
     )
 
 
@@ -98,9 +126,12 @@ def score_lines(rows: DataFrame, lines: DataFrame, x: str, name: str = "y_pred")
     return scored.withColumn(name, F.col("slope") * F.col(x) + F.col("intercept")).drop("slope", "intercept")
 
 
-def evaluate_lines(rows: DataFrame, x: str, y: str) -> DataFrame:
-    """Fit every split on its train rows and measure it on its test rows, all splits in one plan."""
-    lines = fit_lines(rows.filter("role = 'train'"), x, y, ["split_no"])
+def evaluate_lines(rows: DataFrame, x: str, y: str, lines: DataFrame | None = None) -> DataFrame:
+    """Fit every split on its train rows and measure it on its test rows, all splits in one plan.
+
+    ``lines`` replaces the fitted lines: split_no, slope, intercept.
+    """
+    lines = fit_lines(rows.filter("role = 'train'"), x, y, ["split_no"]) if lines is None else lines
     scored = score_lines(rows.filter("role = 'test'"), lines, x)
     return regression_metrics(scored, y, "y_pred", ["split_no", "split_name", "weight"])
 
@@ -111,15 +142,22 @@ def predictions(scored: DataFrame, keys: Sequence[str], truth: str, predicted: s
     return scored.select(*keys, y.alias("y_true"), p.alias("y_pred"), (y - p).alias("residual"))
 
 
-def importance_by_correlation(rows: DataFrame, features: Sequence[str], target: str, top: int | None = 30) -> DataFrame:
+def importance_by_correlation(rows: DataFrame, features: Sequence[str], target: str, top: int | None = None) -> DataFrame:
     """Features by absolute correlation with the target, from one aggregate over the rows."""
-    one_row = rows.agg(*[F.abs(F.corr(F.col(c).cast("double"), F.col(target).cast("double"))).alias(c) for c in features])
+    def correlation(name: str):
+        x, y = F.col(name).cast("double"), F.col(target).cast("double")
+        both = x.isNotNull() & y.isNotNull()
+        x, y = F.when(both, x), F.when(both, y)
+        # A column of one value has no correlation; Spark's own corr would raise.
+        return F.abs(F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y)))
+
+    one_row = rows.agg(*[correlation(c).alias(c) for c in features])
     long = one_row.unpivot([], list(features), "feature", "importance")
     ordered = long.orderBy(F.col("importance").desc_nulls_last(), "feature")
     return ordered.limit(top) if top else ordered
 
 
-def importance_of(model: PipelineModel, rows: DataFrame, features: Sequence[str], top: int | None = 30) -> DataFrame:
+def importance_of(model: PipelineModel, rows: DataFrame, features: Sequence[str], top: int | None = None) -> DataFrame:
     """Feature importances of a fitted tree ensemble, or absolute coefficients of a linear model."""
     last = model.stages[-1]
     weights = last.featureImportances if hasattr(last, "featureImportances") else last.coefficients

@@ -79,7 +79,9 @@ def split_summary(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _ols_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    return t.evaluate_lines(split_table(spark, sf), "o_totalprice", "total_cost")
+    rows = split_table(spark, sf)
+    lines = v.rounded_line(t.fit_lines(rows.filter("role = 'train'"), "o_totalprice", "total_cost", ["split_no"]))
+    return t.evaluate_lines(rows, "o_totalprice", "total_cost", lines)
 
 
 @query(
@@ -124,7 +126,7 @@ def metrics_by_group(spark: SparkSession, sf: str) -> DataFrame:
 )
 def residuals(spark: SparkSession, sf: str) -> DataFrame:
     rows = _last(split_table(spark, sf))
-    lines = t.fit_lines(rows.filter("role = 'train'"), "o_totalprice", "total_cost", ["split_no"])
+    lines = v.rounded_line(t.fit_lines(rows.filter("role = 'train'"), "o_totalprice", "total_cost", ["split_no"]))
     scored = t.score_lines(rows.filter("role = 'test'"), lines, "o_totalprice")
     # Costs have four decimals; rounding takes off the noise of their summation order.
     return t.predictions(scored.withColumn("total_cost", F.round("total_cost", 4)), ["po"], "total_cost", "y_pred")
@@ -165,4 +167,4 @@ _NUMERIC = ["req_year", "req_month", "req_day", "o_custkey", "o_totalprice"]
 )
 def importance(spark: SparkSession, sf: str) -> DataFrame:
     rows = _last(split_table(spark, sf)).filter("role = 'train'")
-    return t.importance_by_correlation(rows, _NUMERIC, "total_cost").withColumn("importance", F.round("importance", 6))
+    return t.importance_by_correlation(rows, _NUMERIC, "total_cost", 30).withColumn("importance", F.round("importance", 6))

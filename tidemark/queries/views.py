@@ -155,7 +155,12 @@ def training(spark: SparkSession, sf: str) -> DataFrame:
 
 def line(spark: SparkSession, sf: str) -> DataFrame:
     """The stand-in champion: one line from total price to cost, as a one-row frame."""
-    return fit_lines(training(spark, sf), "o_totalprice", "total_cost")
+    return rounded_line(fit_lines(training(spark, sf), "o_totalprice", "total_cost"))
+
+
+def rounded_line(lines: DataFrame) -> DataFrame:
+    """Coefficients as the SQL twins round them."""
+    return lines.withColumns({"slope": F.round("slope", 6), "intercept": F.round("intercept", 2)})
 
 
 def runs(spark: SparkSession, sf: str) -> DataFrame:
