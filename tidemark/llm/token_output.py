@@ -32,9 +32,9 @@ class Encoder:
     """Encodes texts with a byte-level BPE tokenizer, remembering the ids of words.
 
     The tokenizer splits a text into pieces before it merges bytes, and a blank next to a character that is not
-    white space always begins a piece. So a text can be cut there, and the cuts encoded once each. Unknown cuts are
-    encoded together as one text and told apart by the byte lengths of their ids. When ``words`` cuts are held they
-    become the old generation; a cut of it that is met again moves on, the others go with the next change.
+    white space always begins a piece. So a text can be cut there into words, each encoded once with the blank before
+    it. Unknown words are encoded together as one text and told apart by the byte lengths of their ids. When ``words``
+    words are held they become the old generation; a word of it that is met again moves on, the others go with the next.
     """
 
     def __init__(self, path: str, words: int = 350_000) -> None:
@@ -53,44 +53,53 @@ class Encoder:
     def plain(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.int32).tobytes()
 
-    def learn(self, cuts: list[str]) -> None:
-        """``cuts`` begin with a blank and a character that is not white space."""
-        if not cuts:
+    def learn(self, words: list[str]) -> None:
+        """The ids of words with a blank before them. Words begin with a character that is not white space."""
+        if not words:
             return
-        ids = np.array(self.tokenizer.encode("".join(cuts), add_special_tokens=False).ids, np.int32)
-        ends = np.cumsum([len(cut.encode()) for cut in cuts])
+        ids = np.array(self.tokenizer.encode(" " + " ".join(words), add_special_tokens=False).ids, np.int32)
+        ends = np.cumsum([len(word.encode()) + 1 for word in words])
         stops = (np.searchsorted(np.cumsum(self.width[ids]), ends) + 1) * 4
         held, begin = ids.tobytes(), 0
-        for cut, stop in zip(cuts, stops.tolist()):
-            self.known[cut] = held[begin:stop]
+        for word, stop in zip(words, stops.tolist()):
+            self.known[word] = held[begin:stop]
             begin = stop
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """For each text its ids as 32-bit integers."""
         if len(self.known) > self.words:
             self.known, self.old = {}, self.known
-        known, old = self.known, self.old
-        cut_texts: list[list[str] | None] = []
+        known, old, get = self.known, self.old, self.known.get
+        rows: list[tuple[list[str], list[bytes | None]] | None] = []
         unseen: dict[str, None] = {}
         for text in texts:
             if UNSAFE.search(text):
-                cut_texts.append(None)
+                rows.append(None)
                 continue
-            parts = text.split(" ")
-            cuts = [" " + part for part in parts]
-            cuts[0] = parts[0]
-            unseen.update(dict.fromkeys(cut for cut in cuts if cut not in known))
-            cut_texts.append(cuts)
-        for cut in unseen:
-            if cut in old:
-                known[cut] = old[cut]
-        simple = [cut for cut in unseen if cut not in known and cut[:1] == " " and cut[1:2].strip() and len(cut) < 1000]
-        self.learn(simple)
-        for cut in unseen:
-            if cut not in known:
-                known[cut] = self.plain(cut) if cut else b""
-        get = known.__getitem__
-        return [self.plain(t) if c is None else b"".join(map(get, c)) for t, c in zip(texts, cut_texts)]
+            first, *words = text.split(" ")
+            found = list(map(get, words))
+            if None in found:
+                unseen.update(dict.fromkeys(word for word, ids in zip(words, found) if ids is None))
+            found.insert(0, self.plain(first) if first else b"")
+            rows.append((words, found))
+        for word in unseen:
+            if word in old:
+                known[word] = old[word]
+        left = [word for word in unseen if word not in known]
+        self.learn([word for word in left if word[:1].strip() and len(word) < 1000])
+        for word in left:
+            if word not in known:
+                known[word] = self.plain(" " + word)
+        out = []
+        for text, row in zip(texts, rows):
+            if row is None:
+                out.append(self.plain(text))
+                continue
+            words, found = row
+            if None in found:
+                found = [found[0], *(known[word] if ids is None else ids for word, ids in zip(words, found[1:]))]
+            out.append(b"".join(found))
+        return out
 
 
 _ENCODERS: dict[str, Encoder] = {}
