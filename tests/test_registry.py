@@ -205,3 +205,33 @@ def test_history_of_a_model_that_always_improves(spark):
     start = dt.datetime(2024, 1, 1)
     candidates = [(m, f"{m}{i}", start + dt.timedelta(seconds=i), i, 1000.0 - i / 20) for m in ("a", "b") for i in range(15_000)]
     assert history(spark, candidates, "minimize", 0.02) == replay(candidates, "minimize", 0.02)
+
+
+def test_metrics_that_are_no_numbers(spark, registry):
+    """Such a candidate is an error whatever its source; such a champion keeps its place."""
+    nan = spark.createDataFrame([("new-new", "odd", 0, float("nan")), ("old-worse", "odd", 0, float("nan")), ("new-worse", "odd", 0, 1.0)], registry.run_metrics.schema)
+    state = Registry(registry.runs, registry.run_metrics.unionByName(nan), registry.versions, registry.aliases)
+    models = {
+        "run": ModelSpec("new", metric="odd", source="run", run_id="new-new"),
+        "champion": ModelSpec("worse", metric="odd", source="run", run_id="new-worse"),
+        "file": ModelSpec("filed", metric="odd", source="file", model_path="/m/x.cb", metrics={"odd": float("nan")}, experiment_path="/files"),
+    }
+    got = {x.registered_model_name: x for x in register(specs_frame(spark, models), state, NOW).results.collect()}
+    assert "'odd' of run 'new-new' is not a number" in got["new"].error and "is not a number" in got["filed"].error
+    assert got["worse"].scenario == "challenger" and got["worse"].error is None
+
+
+def test_versions_of_files_carry_the_name_of_their_run(spark, registry):
+    models = {"f": ModelSpec("filed", metric="a", source="file", model_path="/m/x.cb", metrics={"a": 4.0}, experiment_path="/files")}
+    batch = register(specs_frame(spark, models), registry, NOW)
+    name = batch.registry.version_tags.filter("model_name = 'filed' AND key = 'run_name'").first().value
+    assert name.startswith("filed_") and name.endswith("20240201_120000")
+
+
+def test_best_run_in_both_directions(spark, registry):
+    both = spark.createDataFrame([(f"new-{m}", "gain", 0, v) for m, v in (("new", 1.0), ("better", 5.0))], registry.run_metrics.schema)
+    runs = registry.runs.withColumn("experiment", F.lit("/one"))
+    state = Registry(runs, registry.run_metrics.unionByName(both), registry.versions.limit(0), registry.aliases.limit(0))
+    models = {d: ModelSpec(d, metric="gain", metric_direction=d, experiment_path="/one") for d in ("minimize", "maximize")}
+    got = {x.registered_model_name: (x.run_id, x.metric_value) for x in register(specs_frame(spark, models), state, NOW).results.collect()}
+    assert got == {"minimize": ("new-new", 1.0), "maximize": ("new-better", 5.0)}

@@ -10,7 +10,8 @@ from tidemark.functions.dates import date_from_epoch_days, date_from_epoch_secon
 from tidemark.functions.values import minute_text
 from tidemark.operators.runs import resolve_metric
 from tidemark.operators.training import FAMILIES, fit_lines, importance_by_correlation, make_estimator, training_set
-from tidemark.operators.tuning import sample_trials
+from tidemark.operators.tuning import median_prune, sample_trials
+from tidemark.operators.windows import window_rows
 from tidemark.plans.train import space_frame
 
 
@@ -70,3 +71,23 @@ def test_text_keys_do_not_join_numbers(spark):
     )
     with pytest.raises(TypeError):
         training_set(features, actuals, contract, "target")
+
+
+def test_a_window_reads_its_months_only(spark, tmp_path, capsys):
+    days = spark.sql("SELECT year(d) AS y, month(d) AS m, day(d) AS d, id FROM (SELECT date_add(DATE'2000-01-01', CAST(id AS INT)) AS d, id FROM range(1000))")
+    days.repartition(1).write.partitionBy("y", "m").parquet(str(tmp_path / "t"))
+    contract = TableContract(feature_table="t", baseline_table="b", date_kind="parts", date_parts=("y", "m", "d"), join_keys=["id"], label_col="l")
+    rows = window_rows(spark.read.parquet(str(tmp_path / "t")), contract, ("2000-11-15", "2001-01-10"))
+    assert rows.count() == 57
+    spark.conf.set("spark.sql.maxMetadataStringLength", 4000)
+    rows.explain()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    plan = capsys.readouterr().out
+    partitions = plan[plan.index("PartitionFilters") : plan.index("PushedFilters")]
+    assert ">= 11)" in partitions and "<= 1)" in partitions
+
+
+def test_the_pruning_plan_does_not_grow_with_the_steps(spark):
+    scores = spark.range(60).selectExpr("'a' AS model_name", "CAST(id % 10 AS INT) AS trial_no", "CAST(id DIV 10 AS INT) AS step", "CAST(id % 7 AS DOUBLE) AS value")
+    joins = [median_prune(scores, n)._jdf.queryExecution().optimizedPlan().toString().count("Join ") for n in (2, 4)]
+    assert joins == [0, 0]

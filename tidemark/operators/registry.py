@@ -64,7 +64,8 @@ def decide(candidates: DataFrame, versions: DataFrame) -> DataFrame:
 
     One candidate per model. ``candidates`` comes from ``champion_lookup`` and carries run_id,
     resolved_key, value, metric_direction, improvement_threshold and, where its run could not be
-    resolved, ``error``. A champion without the metric is an error as well.
+    resolved, ``error``. A champion without the metric is an error as well; one that logged it as no number
+    is beaten by nobody.
     """
     own = versions.join(candidates.select("model_name"), "model_name", "left_semi")
     state = own.groupBy("model_name").agg(F.max("version").alias("_max_version"))
@@ -77,7 +78,8 @@ def decide(candidates: DataFrame, versions: DataFrame) -> DataFrame:
         F.when(F.col("error").isNotNull(), ERROR)
         .when(F.col("_taken"), SKIPPED)
         .when(F.col("champion_version").isNull(), FIRST)
-        .when(F.col("champion_value").isNull(), ERROR)
+        .when(F.col("champion_key").isNull(), ERROR)
+        .when(F.col("champion_value").isNull(), CHALLENGER)
         .when(beaten, PROMOTED)
         .otherwise(CHALLENGER)
     )

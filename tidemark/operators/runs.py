@@ -25,10 +25,10 @@ def newest_runs(runs: DataFrame, limit: int | Column = 200) -> DataFrame:
 
 
 def last_values(run_metrics: DataFrame) -> DataFrame:
-    """One value per run and key: that of the last step."""
-    by_step = F.struct("step", "value")
+    """One value per run and key: that of the last step; the larger of two for one step, NaN counts least."""
+    by_step = F.struct("step", finite(F.col("value")).alias("value"))
     latest = run_metrics.groupBy("run_id", "key").agg(F.max(by_step).alias("_last"))
-    return latest.select("run_id", "key", finite(F.col("_last.value")).alias("value"))
+    return latest.select("run_id", "key", F.col("_last.value").alias("value"))
 
 
 def _entries(run_metrics: DataFrame, metric: str | None, pattern: str | None, select: str) -> DataFrame:

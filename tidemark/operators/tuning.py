@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.scan import cut_points, medians
+from tidemark.session import materialise
 
 
 def uniform(*parts: Column) -> Column:
@@ -62,6 +63,8 @@ def median_prune(trial_scores: DataFrame, n_steps: int, n_startup: int = 5) -> D
         judged = now.join(middle, "model_name", "left")
         enough = F.coalesce(F.col("n"), F.lit(0)) - 1 >= n_startup
         judged = judged.withColumn("pruned", F.coalesce(enough & (F.col("best") > F.col("median")), F.lit(False))).drop("n")
+        # Stored: the next step starts from it, and the plan would grow threefold with every step.
+        judged = materialise(judged, "judged")
         out = judged if out is None else out.unionByName(judged)
         alive = judged.filter(~F.col("pruned")).select("model_name", "trial_no", F.col("best").alias("_best"))
     return out

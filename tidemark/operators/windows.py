@@ -60,9 +60,24 @@ def window_rows(df: DataFrame, contract: TableContract, bounds: Bounds) -> DataF
         name, encode = raw
         # Up to the day after the end, to keep every second of the last day; the date filter is exact.
         df = df.filter(F.col(name).between(encode(low), encode(F.date_add(high, 1))))
+    months = _month_range(df, contract, low, high)
+    if months is not None:
+        df = df.filter(months)
     return with_event_date(df, contract).filter(F.col(EVENT_DATE).between(low, high))
 
 
+def _month_range(df: DataFrame, contract: TableContract, low: Column, high: Column) -> Column | None:
+    """The months of a window as a predicate on stored columns, for dates kept as year, month and day."""
+    if contract.date_kind != "parts":
+        return None
+    kinds, names = dict(df.dtypes), contract.date_parts[:2]
+    if any(kinds.get(c) not in ("tinyint", "smallint", "int", "bigint") for c in names):
+        return None
+    year, month = (F.col(c) for c in names)
+    (y0, m0), (y1, m1) = ([part(d).cast(kinds[c]) for part, c in zip((F.year, F.month), names)] for d in (low, high))
+    return ((year > y0) | ((year == y0) & (month >= m0))) & ((year < y1) | ((year == y1) & (month <= m1)))
+
+
 def fixed_bounds(bounds: DataFrame, table: str) -> tuple[dt.date, dt.date]:
     """The two dates of a one-row frame of bounds; raises if the table had no usable date."""
     row = bounds.first()

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.contract import ModelSpec
-from tidemark.functions.values import finite
+from tidemark.functions.values import finite, merge_maps
 from tidemark.operators.artifacts import classify_artifacts
 from tidemark.operators.registry import (
     SKIPPED, aliases_after, champion_lookup, decide, registration_results, version_tags, versions_after,
@@ -87,7 +87,9 @@ def resolve_candidates(
     found = by_run.unionByName(by_file).unionByName(by_experiment)
     pattern = F.concat(F.lit("pattern '"), "metric_pattern", F.lit("'"))
     nothing = F.concat(F.lit("no metric for "), F.coalesce("metric", pattern), F.lit(" in run '"), "run_id", F.lit("'"))
-    error = F.coalesce("error", F.when(F.col("resolved_key").isNull(), nothing))
+    unusable = F.concat(F.lit("metric '"), "resolved_key", F.lit("' of run '"), "run_id", F.lit("' is not a number"))
+    missing = F.when(F.col("resolved_key").isNull(), nothing).when(F.col("value").isNull(), unusable)
+    error = F.coalesce("error", missing)
     return found.withColumn("error", error)
 
 
@@ -99,7 +101,7 @@ def _from_files(specs: DataFrame, keep: list[str], logged_at: Column) -> DataFra
     known = classify_artifacts(specs.drop("run_id"), "model_path", "model_format")
     run_id = F.when(F.col("error").isNull(), file_run_id("model_name", "model_path", logged_at))
     value = finite(F.try_element_at("metrics", F.col("metric")))
-    key = F.when(value.isNotNull(), F.col("metric"))
+    key = F.when(F.map_contains_key("metrics", F.col("metric")), F.col("metric"))
     return known.select(*keep, run_id.alias("run_id"), key.alias("resolved_key"), value.alias("value"), "error")
 
 
@@ -136,12 +138,21 @@ def _winner(scored: DataFrame, request: list[str]) -> DataFrame:
 
 
 def _best_exact(asked: DataFrame, runs: DataFrame, run_metrics: DataFrame, request: list[str]) -> DataFrame:
-    """All runs of the experiment compete, whatever their age."""
-    entries = run_metrics.join(asked.select(F.col("metric").alias("key")).distinct(), "key", "left_semi")
-    pool = runs.join(asked.select(F.col("matched").alias("experiment")).distinct(), "experiment", "left_semi")
-    scored = last_values(entries).join(pool.select("experiment", "run_id", "start_time"), "run_id")
-    same = [asked.matched == scored.experiment, asked.metric == scored.key]
-    return _winner(scored.join(asked, same).withColumn("resolved_key", F.col("key")), request)
+    """All runs of the experiment compete, whatever their age.
+
+    The lowest and the highest value of an experiment and key are found once, however many requests ask for them.
+    """
+    wanted = asked.select(F.col("matched").alias("experiment"), F.col("metric").alias("key")).distinct()
+    pool = runs.join(wanted.select("experiment").distinct(), "experiment", "left_semi").select("experiment", "run_id", "start_time")
+    entries = run_metrics.join(wanted.select("key").distinct(), "key", "left_semi").join(pool.select("run_id"), "run_id", "left_semi")
+    scored = last_values(entries).filter("value IS NOT NULL").join(pool, "run_id").join(wanted, ["experiment", "key"], "left_semi")
+    age = -F.unix_micros(F.col("start_time").cast("timestamp"))
+    ends = [F.min(F.struct(v.alias("rank"), age.alias("age"), "run_id", "value")) for v in (F.col("value"), -F.col("value"))]
+    best = scored.groupBy("experiment", "key").agg(ends[0].alias("low"), ends[1].alias("high"))
+    found = asked.join(best, [asked.matched == best.experiment, asked.metric == best.key])
+    chosen = F.when(F.col("metric_direction") == "maximize", F.col("high")).otherwise(F.col("low"))
+    found = found.withColumn("_best", chosen)
+    return found.select(*request, "_best.run_id", F.col("key").alias("resolved_key"), "_best.value")
 
 
 def _best_by_pattern(asked: DataFrame, runs: DataFrame, run_metrics: DataFrame, request: list[str]) -> DataFrame:
@@ -179,6 +190,8 @@ def register(
         registered_at,
     )
     # A file seen before at the very same time is the run that is already there.
+    named = F.create_map(F.lit("mlflow.runName"), F.col("run_name"))
+    new_runs = new_runs.withColumn("tags", merge_maps(named, F.col("tags")))
     logged = new_runs.join(decisions.filter(F.col("scenario") != SKIPPED).select("run_id"), "run_id", "left_semi")
     runs = registry.runs.unionByName(logged.select(*registry.runs.columns))
     run_metrics = registry.run_metrics.unionByName(claimed_metrics(logged))

@@ -37,6 +37,8 @@ class Prepared:
     summary: DataFrame
     features: list[str]
     target: str
+    # Columns that are neither numbers nor declared as categories: no model sees them.
+    left_out: list[str]
 
 
 @dataclass(frozen=True)
@@ -79,18 +81,23 @@ def prepare(
     anchor = split_anchor(dated, EVENT_DATE, n_splits, val_weeks, step_weeks, min_rows)
     if anchor.isEmpty():
         raise ValueError(f"no date leaves {min_rows} rows in each of {n_splits} windows of {val_weeks} weeks")
-    splits = time_splits(dated, EVENT_DATE, n_splits, val_weeks, step_weeks, anchor)
-    rows = split_rows(dated, splits, EVENT_DATE)
+    anchor = materialise(anchor, "anchor")
+    splits = materialise(time_splits(dated, EVENT_DATE, n_splits, val_weeks, step_weeks, anchor), "splits")
     if categorical:
-        # Stored, so that Spark knows the size of the lookups: small ones are broadcast, large ones are not.
-        codes = materialise(category_codes(rows, categorical), "category-codes")
-        rows = with_codes(rows, codes, categorical)
+        # Coded before the splits repeat the rows; up to the anchor every row is in a split. Stored, so that Spark
+        # knows the size of the lookups: small ones are broadcast, large ones are not.
+        seen = dated.filter(F.col(EVENT_DATE) <= anchor.select("anchor").scalar())
+        codes = materialise(category_codes(seen, categorical), "category-codes")
+        dated = with_codes(dated, codes, categorical)
+    rows = split_rows(dated, splits, EVENT_DATE)
     usable = {f.name for f in rows.schema.fields if isinstance(f.dataType, T.NumericType)}
     names = [c for c in joined.columns if c in usable and c not in (*contract.keys, target)]
     names = [c for c in names if c not in contract.exclude_from_features]
+    seen_by_none = {*names, *contract.keys, target, *contract.exclude_from_features}
+    left_out = [c for c in joined.columns if c not in seen_by_none]
     summary = split_sizes(rows, splits, names, target, categorical)
     check_splits(summary, min_rows)
-    return Prepared(rows, splits, summary, names, target)
+    return Prepared(rows, splits, summary, names, target, left_out)
 
 
 RUN_SCHEMA = (

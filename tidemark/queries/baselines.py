@@ -12,7 +12,7 @@ from tidemark.functions import dates as d
 from tidemark.functions.values import to_number
 from tidemark.operators.quality import date_coverage, join_report, key_uniqueness, validate_table
 from tidemark.operators.scoring import Scorer, predict_input, score
-from tidemark.operators.windows import test_window, window_rows, with_event_date
+from tidemark.operators.windows import fixed_bounds, test_window, window_rows, with_event_date
 from tidemark.plans.baseline import build_baseline
 from tidemark.queries import views as v
 from tidemark.queries.catalog import query
@@ -105,7 +105,7 @@ def window(spark: SparkSession, sf: str) -> DataFrame:
 
 def _window_rows(spark: SparkSession, sf: str) -> DataFrame:
     features = v.features(spark, sf)
-    return window_rows(features, v.CONTRACT, test_window(features, v.CONTRACT))
+    return window_rows(features, v.CONTRACT, fixed_bounds(test_window(features, v.CONTRACT), "orders"))
 
 
 @query("test_window_rows", "SELECT po, event_date FROM f_window_rows", "f_window_rows")

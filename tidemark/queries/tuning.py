@@ -63,7 +63,7 @@ _QUICK = {
 
 
 def _prepared(spark: SparkSession, sf: str) -> Prepared:
-    return prepare(v.features(spark, sf), v.actuals(spark, sf), v.TRAINING, "total_cost")
+    return prepare(v.features(spark, sf), v.actuals(spark, sf), v.TRAINING, "total_cost", categorical=["o_orderstatus", "o_orderpriority"])
 
 
 @query("train_ml_families")
