@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.orc as orc
 import pytest
 from pyspark.sql import functions as F
@@ -171,6 +172,19 @@ def test_dense_cells_are_confirmed_exactly(spark, monkeypatch):
     assert {r.doc_id: r.component_id for r in near_dedup.groups(frame, 4, hubs=(0,)).collect()} == exact_groups(made, 4)
 
 
+def test_first_shared_band_is_told_by_whole_keys():
+    # Both agree in the low bytes of all coordinates, but in band 0 not in the others: they meet in band 3 only.
+    bands = np.arange(2 * near_dedup.BANDS).reshape(2, -1)
+    bands[:, 3] = 77
+    cell = pa.table({
+        "cell": [5, 5], "band": [3, 3], "rep": [1, 2], "n": [50, 50], "component": [1, 2], "block": [0, 0], "alone": [True, True],
+        "signature": [bytes(near_dedup.BANDS * near_dedup.ROWS)] * 2, "bands": bands.tolist(),
+    })
+    assert near_dedup.met_in_cell(cell).select(["hi", "lo"]).to_pylist() == [{"hi": 2, "lo": 1}]
+    elsewhere = cell.set_column(1, "band", pa.array([4, 4]))
+    assert near_dedup.met_in_cell(elsewhere).num_rows == 0
+
+
 def brute_removed(texts, length=100):
     seen, out = set(), []
     order = sorted(texts, key=lambda r: (r[0] is None, r[0] or 0))

@@ -25,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -153,19 +154,21 @@ def left_pairs(members: DataFrame, reps: DataFrame, crowd: int) -> DataFrame:
     split = split.select(F.xxhash64(F.least("first", "other"), F.greatest("first", "other")).alias("key"), "rep", "n", "component").distinct()
     again = split.groupBy("key").agg(F.count_distinct("component").alias("held"), F.count("*").alias("size")).filter("held > 1")
     split = split.join(again, "key").select("key", F.lit(-1).alias("band"), "rep", "n", "component", "size")
-    open_ = few.unionByName(split).join(reps.select("rep", "signature"), "rep")
+    open_ = few.unionByName(split).join(reps.select("rep", "signature", "bands"), "rep")
     # Large buckets are cut into blocks, and every two blocks meet in a cell.
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     open_ = open_.withColumn("block", F.pmod(F.xxhash64(F.lit("block"), "rep"), blocks).cast("int")).withColumn("with", F.explode(F.sequence(F.lit(0), blocks - 1)))
     cell = F.xxhash64("key", F.least("block", "with"), F.greatest("block", "with")).alias("cell")
-    cells = open_.select(cell, "band", "rep", "n", "component", "signature", "block", (F.col("block") == F.col("with")).alias("alone"))
+    cells = open_.select(cell, "band", "rep", "n", "component", "signature", "bands", "block", (F.col("block") == F.col("with")).alias("alone"))
     return cells.groupBy("cell").applyInArrow(met_in_cell, "cell long, hi long, lo long").distinct()
 
 
 def met_in_cell(table: pa.Table) -> pa.Table:
-    """Pairs of one cell. A pair that shares several buckets is taken from that of the first shared band only."""
+    """Pairs of one cell. A pair that shares several buckets is taken from that of the first shared band only; bands are
+    shared if their whole keys are equal, as in buckets (the signature has one byte of every coordinate)."""
     band, rep, n, component, block, alone = (table[c].to_numpy() for c in ("band", "rep", "n", "component", "block", "alone"))
     signature = np.frombuffer(b"".join(table["signature"].to_pylist()), np.uint8).reshape(-1, BANDS * ROWS)
+    bands = pc.list_flatten(table["bands"]).to_numpy().reshape(-1, BANDS)
     out = [np.zeros((0, 2), np.int64)]
     for a in range(len(rep) - 1):
         others = np.arange(a + 1, len(rep))
@@ -175,11 +178,9 @@ def met_in_cell(table: pa.Table) -> pa.Table:
         others = others[good]
         if not len(others):
             continue
-        same = signature[others] == signature[a]
-        near = same.sum(axis=1) >= LEAST_AGREEMENT
+        others = others[(signature[others] == signature[a]).sum(axis=1) >= LEAST_AGREEMENT]
         if band[a] >= 0:
-            near &= same.reshape(len(others), BANDS, ROWS).all(axis=2).argmax(axis=1) == band[a]
-        others = others[near]
+            others = others[(bands[others] == bands[a]).argmax(axis=1) == band[a]]
         out.append(np.stack([np.maximum(rep[others], rep[a]), np.minimum(rep[others], rep[a])], axis=1))
     pairs = np.concatenate(out)
     if len(rep) > 50 and len(pairs) > DENSE * len(rep):
