@@ -249,6 +249,14 @@ def test_divergence_keeps_good_and_drops_junk(spark, docs, labels):
     assert divergence.distances(p, q) == pytest.approx([0.0, 1.0])
 
 
+def test_rare_languages_have_references(spark):
+    english = " ".join(f"the old house number {i} is near to river {i}" for i in range(12))
+    greek = " ".join(f"λέξη{chr(945 + i % 24)}{chr(945 + i // 24)}" for i in range(70))
+    rows = [(i, english, "en") for i in range(2500)] + [(9000 + i, f"{greek} τέλος{i}", "el") for i in range(2)]
+    judged = divergence.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert [(r.kept, r.char_distance < 0.05) for r in judged.filter("doc_id >= 9000").collect()] == [(True, True)] * 2
+
+
 def test_phrases_equal_greedy_search(spark):
     found = language.Languages({"aa": "the cat sat on the mat", "bb": "der hund lag auf dem sofa"})
     found.build()

@@ -5,8 +5,9 @@ mean histogram of common function words (each word of the list below, and all ot
 is the Jensen-Shannon distance (base 2, 0 to 1) to the nearest reference. Documents below a minimum length are not
 judged by that histogram. Base rules on length and on repeated stretches of five words come first.
 
-References are sums of whole numbers, so they do not depend on the order of rows. Languages of fewer than one in a
-thousand documents have no reference, so there are at most a thousand.
+References are sums of whole numbers, so they do not depend on the order of rows. Every language has its reference,
+however few its documents are, so more rows of other languages do not change which references there are; the driver
+holds one row of shares for each value of lang.
 
 Defined cases: a missing or empty text has no words and fails the base rules; missing languages give no reference;
 without any reference only the base rules decide; repeated rows get equal results; further columns are ignored.
@@ -102,8 +103,8 @@ def references(docs: DataFrame, min_bytes: int, min_words: int) -> tuple[np.ndar
 
     known = docs.select("text", "lang").filter(F.col("lang").isNotNull())
     shares = append(known, make, [field("shares", "array<long>")], ["text"]).drop("text")
-    rows = shares.groupBy("lang").agg(F.count("*").alias("n"), F.array(*(F.sum(F.col("shares")[i]) for i in range(size + 2))).alias("sums"))
-    found = rows.filter(F.col("n") >= F.lit(0.001) * known.count()).orderBy("lang").collect()
+    rows = shares.groupBy("lang").agg(F.array(*(F.sum(F.col("shares")[i]) for i in range(size + 2))).alias("sums"))
+    found = rows.orderBy("lang").collect()
     sums = np.array([row.sums for row in found], float).reshape(-1, size + 2)
     chars = sums[sums[:, size] > 0]
     words = sums[sums[:, size + 1] > 0]
