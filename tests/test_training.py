@@ -7,9 +7,10 @@ from conftest import rows
 
 from tidemark.contract import TableContract
 from tidemark.operators.runs import best_run
-from tidemark.operators.training import category_codes, make_estimator, training_set, with_codes
+from tidemark.operators.training import FAMILIES, category_codes, make_estimator, training_set, with_codes
 from tidemark.operators.tuning import median_prune, rank_trials, sample_trials
 from tidemark.plans.train import prepare, space_frame, tune, tuning_runs
+from tidemark.queries import QUERIES
 from tidemark.sources.tables import write_predictions, write_split_metrics, write_split_rows
 
 CONTRACT = TableContract("f", "b", "a", date_col="day", join_keys=["k"], label_col="cost", min_valid_date="2000-01-01",
@@ -161,3 +162,14 @@ def test_tune_finds_the_line(spark, prepared, tuned, tmp_path):
 def test_tree_families_train(prepared):
     tuned = tune(prepared, "gbt", {"maxIter": ("int", 2, 3), "maxDepth": 3, "seed": 42}, n_trials=1, keys=["k"])
     assert tuned.best_params["maxDepth"] == 3.0 and tuned.best_metrics.first().r2 > 0.5
+
+
+def test_fit_queries_tune_whole_spaces(spark):
+    ranking = QUERIES["trial_sweep"].run(spark, "/root/testdata/sf0.01").collect()
+    # Of twenty trials the pruner stops some at each of two steps.
+    assert 1 <= len(ranking) < 20 and max(r.trial_no for r in ranking) >= 8
+    assert min(ranking, key=lambda r: (r.score, r.trial_no)).is_best and sum(r.is_best for r in ranking) == 1
+
+
+def test_every_family_is_fitted(spark):
+    assert {r.family for r in QUERIES["train_ml_families"].run(spark, "/root/testdata/sf0.01").collect()} == set(FAMILIES)

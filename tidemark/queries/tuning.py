@@ -7,10 +7,9 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.metrics import regression_metrics
 from tidemark.operators import training as t
-from tidemark.operators.runs import log_run_metrics
 from tidemark.operators.tuning import median_prune, rank_trials, sample_trials
 from tidemark.operators.windows import split_weights
-from tidemark.plans.train import Prepared, prepare, space_frame
+from tidemark.plans.train import Prepared, Tuned, prepare, tune
 from tidemark.queries import views as v
 from tidemark.queries.catalog import query
 
@@ -54,11 +53,14 @@ def ranked(spark: SparkSession, sf: str) -> DataFrame:
     return rank_trials(v.trial_scores(spark, sf), split_weights(2)).withColumn("score", F.round("score", 4))
 
 
-# Small settings that keep a fit short; the defaults are in SPACES.
+# Small settings that keep the fits of trees short; the README has the time of settings from SPACES.
 _QUICK = {
     "linear": {"regParam": 0.01},
     "random_forest": {"numTrees": 5, "maxDepth": 3, "seed": 42},
     "gbt": {"maxIter": 3, "maxDepth": 3, "seed": 42},
+    "xgboost": {"maxIter": 3, "maxDepth": 3, "featureSubsetStrategy": "0.8", "seed": 42},
+    "lightgbm": {"maxIter": 3, "maxDepth": 3, "minInstancesPerNode": 10, "seed": 42},
+    "catboost": {"maxIter": 3, "maxDepth": 4, "seed": 42},
 }
 
 
@@ -81,39 +83,24 @@ def families(spark: SparkSession, sf: str) -> DataFrame:
     return out
 
 
-def _linear_trials(spark: SparkSession, ready: Prepared, count: int) -> DataFrame:
-    sampled = sample_trials(space_frame(spark, "linear"), count).collect()
-    params: dict[int, dict[str, float]] = {}
-    for row in sampled:
-        params.setdefault(row.trial_no, {})[row.param] = row.value
-    work = [("linear", no, p) for no, p in sorted(params.items())]
-    return t.evaluate_trials(ready.rows, work, [0, 1], ready.features, ready.target)
+def _tuned(spark: SparkSession, sf: str) -> Tuned:
+    """The linear family over its whole space, with pruning and refit."""
+    return tune(_prepared(spark, sf), "linear", n_trials=20)
 
 
 @query("split_metrics_ml")
 def split_metrics_ml(spark: SparkSession, sf: str) -> DataFrame:
-    ready = _prepared(spark, sf)
-    measured = t.evaluate_trials(ready.rows, [("linear", 0, _QUICK["linear"])], [0, 1], ready.features, ready.target)
-    return measured.drop("model_name", "trial_no")
-
-
-def _sweep(spark: SparkSession, ready: Prepared) -> DataFrame:
-    measured = _linear_trials(spark, ready, 2)
-    scores = measured.select("model_name", "trial_no", F.col("split_no").alias("step"), F.col("rmse").alias("value"))
-    return rank_trials(scores, split_weights(2))
+    """The tuned model on every split."""
+    return _tuned(spark, sf).best_metrics.drop("model_name", "trial_no")
 
 
 @query("trial_sweep")
 def sweep(spark: SparkSession, sf: str) -> DataFrame:
-    return _sweep(spark, _prepared(spark, sf))
+    """The trials that were not pruned, ranked."""
+    return _tuned(spark, sf).ranking
 
 
 @query("best_trial_refit")
 def refit(spark: SparkSession, sf: str) -> DataFrame:
     """The winner of the sweep fitted again on every split; its metrics as a run logs them."""
-    ready = _prepared(spark, sf)
-    winner = _sweep(spark, ready).filter("is_best").first().trial_no
-    sampled = sample_trials(space_frame(spark, "linear"), 2).filter(F.col("trial_no") == winner).collect()
-    best = {r.param: r.value for r in sampled}
-    measured = t.evaluate_trials(ready.rows, [("linear", winner, best)], [0, 1], ready.features, ready.target)
-    return log_run_metrics(measured, best=True)
+    return _tuned(spark, sf).run_metrics
