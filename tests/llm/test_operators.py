@@ -185,6 +185,11 @@ def test_first_shared_band_is_told_by_whole_keys():
     assert near_dedup.met_in_cell(elsewhere).num_rows == 0
 
 
+def test_lower_similarities_are_refused(docs):
+    with pytest.raises(ValueError, match="percent is 70"):
+        near_dedup.groups(docs, 4, percent=70)
+
+
 def brute_removed(texts, length=100):
     seen, out = set(), []
     order = sorted(texts, key=lambda r: (r[0] is None, r[0] or 0))

@@ -222,7 +222,12 @@ def links_in_cell(percent: int):
 
 
 def groups(docs: DataFrame, words: int = 5, percent: int = 80, hubs: tuple[int, ...] = (1, 8, 8), crowd: int = 2_000) -> DataFrame:
-    """Per row: doc_id, n_shingles, component_id (the smallest doc_id linked through any chain), kept."""
+    """Per row: doc_id, n_shingles, component_id (the smallest doc_id linked through any chain), kept.
+
+    Bands, sizes and the least agreement of signatures are set for a similarity of 0.8; links below that would be lost.
+    """
+    if percent < 80:
+        raise ValueError(f"percent is {percent}; the search finds links of 80 percent and more only")
     signed = signatures(docs, words)
     classes = materialise(signed.filter("n > 0").groupBy("digest").agg(F.min("node").alias("rep")), "classes")
     reps = signed.filter("n > 0").join(classes, "digest").filter("node = rep").select("rep", "digest", "n", "bands", "signature").dropDuplicates(["digest"])
