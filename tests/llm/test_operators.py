@@ -128,7 +128,7 @@ def test_near_groups_on_odd_tables(spark, odd, empty):
     assert by[2][0].component_id == 2 and by[1][0].n_shingles == 0 and by[8][0].kept
     assert {r.component_id for r in by[4] + by[5]} == {4} and by[3][0].component_id == 3 == by[7][0].component_id
     assert {r.component_id for r in by[9]} == {9}
-    assert {r.component_id for r in by[None] if r.n_shingles} == {4}
+    assert {(r.component_id, r.kept) for r in by[None] if r.n_shingles} == {(4, False)}
     assert near_dedup.groups(empty, 4).count() == 0
     left = near_dedup.drop_copies(odd)
     assert left.columns == odd.columns and left.filter("doc_id = 5").count() == 0 and left.filter("doc_id = 4").count() == 2
@@ -162,10 +162,54 @@ def test_near_groups_equal_all_pairs(spark, docs):
     made = [(10_000 + k, " ".join(base[: 118 - k] + [f"x{k}y{j}" for j in range(k)])) for k in range(40)]
     frame = docs.select("doc_id", "text").unionByName(spark.createDataFrame(made, "doc_id long, text string"))
     want = exact_groups(texts_of(frame), 4)
-    for options in ({}, {"crowd": 3, "hubs": (1,)}):
+    for options in ({}, {"hubs": (1,)}):
         assert {r.doc_id: r.component_id for r in near_dedup.groups(frame, 4, **options).collect()} == want
 
 
+def test_missing_and_repeated_ids_link_nothing(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    near = a + " more"
+    columns = "doc_id long, text string, kept_id long, kept_text string, Score double, hit int, rate int"
+    rows = [(1, a), (2, b), (None, a), (None, b), (3, near), (3, b), (None, c), (None, c + " x"), (4, None), (None, "")]
+    frame = spark.createDataFrame([(*r, 5, "t", 0.1, 2, 3) for r in rows], columns)
+    got = sorted(((r.doc_id, r.component_id, r.kept) for r in near_dedup.groups(frame, 4).collect()), key=repr)
+    held = [r for r in got if r[0] is None and r[1] is None]
+    assert [r for r in got if r not in held] == sorted([(1, 1, True), (2, 2, True), (None, 1, False), (None, 2, False), (3, 1, False), (3, 2, False), (4, 4, True)], key=repr)
+    assert sorted(r[2] for r in held) == [False, True, True]
+    left = near_dedup.drop_copies(frame, 4)
+    assert left.columns == frame.columns
+    texts = [(r.doc_id, r.text) for r in left.collect()]
+    assert sorted(x for x in texts if x[1] and x[0]) == [(1, a), (2, b)] and len([x for x in texts if x[1] in (c, c + " x")]) == 1
+    assert (4, None) in texts and (None, "") in texts and len(texts) == 5
+
+
+def test_one_large_bucket_equals_all_pairs(spark, monkeypatch):
+    # All share a bucket and few are linked, in blocks of five members.
+    monkeypatch.setattr(near_dedup, "BLOCK", 5)
+    common = [f"w{i}" for i in range(100)]
+    made = [(k, " ".join(common[: 40 + k % 45] + [f"z{k // 2}_{j}" for j in range(60 - k % 45)] + ["end"] * (k % 2))) for k in range(300)]
+    frame = spark.createDataFrame(made, "doc_id long, text string")
+    bands = F.array_sort(F.col("bands"))
+    signed = near_dedup.signatures(frame, 4).withColumn("bands", F.when(F.lit(True), F.concat(F.array(F.lit(7).cast("long")), F.slice(bands, 2, 31))))
+    monkeypatch.setattr(near_dedup, "signatures", lambda docs, words: signed)
+    assert {r.doc_id: r.component_id for r in near_dedup.groups(frame, 4, hubs=(1,)).collect()} == exact_groups(made, 4)
+
+
+def test_stages_with_clashing_names(spark, docs, labels):
+    names = ["score", "SCORE_", "hit", "rate", "copy", "copies", "__copy", "__rate", "__score", "__hit_spans", "rep", "component", "digest", "n"]
+    frame = docs.limit(60).withColumns({name: F.lit(i) for i, name in enumerate(names)})
+    model = quality_classifier.fit(docs, labels, F.lit(True))
+    domains = mixing.fit_domains(docs, labels, domain(), ["plain", "toxic", "junk"])
+    bench = spark.createDataFrame([(1, "no such passage anywhere")], "item_id long, text string")
+    for made in (
+        quality_classifier.keep_good(frame, model, 0.0), near_dedup.drop_copies(frame), decontaminate.clean(frame, bench),
+        mixing.mix(frame, domains, {"plain": 1.0, "toxic": 0.0, "junk": 0.0}, "plain"),
+    ):
+        assert made.columns == frame.columns
+        rows = made.collect()
+        assert rows and all([r[name] for name in names] == list(range(len(names))) for r in rows)
+
+
 def test_dense_cells_are_confirmed_exactly(spark, monkeypatch):
     made = [(k, " ".join(f"w{i}" if (i * 7 + k * 13) % 41 else f"z{k}_{i}" for i in range(150))) for k in range(70)]
     frame = spark.createDataFrame(made, "doc_id long, text string")

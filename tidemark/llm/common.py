@@ -47,7 +47,8 @@ def append(df: DataFrame, make: Callable[[], Callable], fields: list[T.StructFie
     """The frame with further columns, computed from the columns ``inputs`` batch by batch, without a shuffle.
 
     ``make()`` runs once per task and returns a function from the input arrays to the new arrays. The first
-    input is a text: batches are cut by its size, at ``limit`` bytes. New names must not be among the frame's.
+    input is a text: batches are cut by its size, at ``limit`` bytes. New names must not be among the frame's; for
+    frames with columns of a user's own see ``computed``.
     """
     where = [df.columns.index(name) for name in inputs]
     schema = T.StructType([*df.schema.fields, *fields])
@@ -63,5 +64,37 @@ def append(df: DataFrame, make: Callable[[], Callable], fields: list[T.StructFie
     return df.mapInArrow(run, schema)
 
 
+def fresh(df: DataFrame, *wanted: str) -> list[str]:
+    """Names made from ``wanted`` that no column of the frame has, in whatever case."""
+    taken = {name.lower() for name in df.columns}
+    names = []
+    for name in wanted:
+        while name.lower() in taken:
+            name = f"{name}_"
+        taken.add(name.lower())
+        names.append(name)
+    return names
+
+
+def computed(make: Callable[[], Callable], kind: str, inputs: list[Column], limit: int = STRETCH) -> Column:
+    """A column of type ``kind`` computed in Arrow batches from ``inputs`` alone; all other columns stay in the JVM.
+
+    ``make`` and ``limit`` are as in ``append``; the function returns one array.
+    """
+
+    def run(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+        work = make()
+        for arrays in batches:
+            batch = pa.RecordBatch.from_arrays(list(arrays), names=[str(i) for i in range(len(arrays))])
+            made = [work(*cut.columns) for cut in stretches(batch, 0, limit)]
+            yield pa.concat_arrays(made) if made else work(*batch.columns)
+
+    def run_one(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        yield from run((array,) for array in batches)
+
+    # Not to be evaluated twice, once in a filter and once in its output.
+    return F.arrow_udf(run_one if len(inputs) == 1 else run, kind).asNondeterministic()(*inputs)
+
+
 def field(name: str, kind: str) -> T.StructField:
     return T.StructField(name, T._parse_datatype_string(kind))

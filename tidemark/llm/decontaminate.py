@@ -12,7 +12,7 @@ what the blocks before it found is carried along.
 
 Defined cases: missing or wordless texts have no words, no hits and no items; a missing item id makes no item; repeated
 rows are worked on each by itself; equal windows of several items count for all of them; further columns are kept by
-``scan`` and ``clean`` and ignored by ``report``; empty tables give no hits or no rows.
+``scan`` (but for names beginning with two underscores) and ``clean`` and ignored by ``report``; empty tables give no hits or no rows.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import append, field
+from tidemark.llm.common import append, computed, field, fresh
 from tidemark.session import materialise
 
 # Bytes as the search sees them: A-Z lowered, every other ASCII character that is not a letter or digit a blank.
@@ -220,7 +220,20 @@ def report(docs: DataFrame, benchmark: DataFrame, n: int = 10, key: str = "doc_i
     )
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, n: int = 10, **options) -> DataFrame:
-    """The documents without any occurrence, with their own columns only."""
-    found = scan(docs, benchmark, n, **options)
-    return found.filter(F.size(SPANS) == 0).select(*(F.col(f"`{c}`") for c in docs.columns))
+def clean(docs: DataFrame, benchmark: DataFrame, n: int = 10, block_bytes: int = 4 << 20, item: str = "item_id", text: str = "text") -> DataFrame:
+    """The documents without any occurrence, with their own columns only; they may have any names.
+
+    Every block of the benchmark removes its documents; the next one reads only what is left.
+    """
+    context = docs.sparkSession.sparkContext
+    out = docs
+    (name,) = fresh(docs, "hit")
+    for number, block in enumerate(blocks(benchmark, block_bytes, item, text)):
+        tables = context.broadcast(Search(block, n))
+        held = materialise(out, "clean") if number else out
+        out = held.withColumn(name, computed(_hit(tables), "boolean", [F.col(text)])).filter(~F.col(name)).drop(name)
+    return out
+
+
+def _hit(tables) -> Callable:
+    return lambda: lambda texts: pa.array([len(spans) > 0 for spans in tables.value(texts)[1].to_pylist()], pa.bool_())

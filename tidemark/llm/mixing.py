@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import append, field, uniform
+from tidemark.llm.common import append, computed, field, fresh, uniform
 from tidemark.llm.linear import FeatureMap, collected, fit_softmax, labelled_sample, learn_features, probabilities
 from tidemark.session import materialise
 
@@ -120,13 +120,7 @@ def fit_rates(rows: DataFrame, targets: np.ndarray, most: int = 60, tolerance: f
     return fit
 
 
-def rates(docs: DataFrame, domains: Domains, targets: dict[str, float], tokens: str | float = "same") -> DataFrame:
-    """Per document: doc_id, n_tokens, p_<domain>, and rate, how often it should be used.
-
-    ``targets`` are the domains' shares. The total is that of the documents (``same``), a number, or the name of a
-    domain that shall keep all its tokens.
-    """
-    rows = posteriors(docs, domains)
+def fitted_to(rows: DataFrame, domains: Domains, targets: dict[str, float], tokens: str | float) -> Fit:
     k = len(domains.names)
     share = np.array([targets[name] for name in domains.names], float)
     share = share / share.sum()
@@ -136,7 +130,18 @@ def rates(docs: DataFrame, domains: Domains, targets: dict[str, float], tokens:
         total = mass[at] / share[at]
     else:
         total = mass.sum() if tokens == "same" else tokens
-    fitted = fit_rates(rows, share * total)
+    return fit_rates(rows, share * total)
+
+
+def rates(docs: DataFrame, domains: Domains, targets: dict[str, float], tokens: str | float = "same") -> DataFrame:
+    """Per document: doc_id, n_tokens, p_<domain>, and rate, how often it should be used.
+
+    ``targets`` are the domains' shares. The total is that of the documents (``same``), a number, or the name of a
+    domain that shall keep all its tokens.
+    """
+    rows = posteriors(docs, domains)
+    k = len(domains.names)
+    fitted = fitted_to(rows, domains, targets, tokens)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -154,9 +159,19 @@ def copies(rate: Column, key: Column, slack: float = 0.02) -> Column:
 
 
 def mix(docs: DataFrame, domains: Domains, targets: dict[str, float], tokens: str | float = "same") -> DataFrame:
-    """The documents, each as often as its rate says, with their own columns."""
-    rated = rates(docs, domains, targets, tokens).groupBy("doc_id").agg(F.max("rate").alias("__rate"))
-    named = rated.withColumnRenamed("doc_id", "__id")
-    joined = docs.join(named, docs["doc_id"].eqNullSafe(named["__id"]))
-    used = joined.withColumn("__copies", copies(F.col("__rate"), F.col("__id")))
-    return used.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).filter("__copies > 0").select(*(F.col(f"`{c}`") for c in docs.columns))
+    """The documents, each as often as its rate says, with their own columns.
+
+    Every row has the rate of its own text, computed where the row lies. The fraction of a rate is decided by the id, so
+    rows with equal ids, or without one, fall on the same side of it.
+    """
+    fitted = fitted_to(posteriors(docs, domains), domains, targets, tokens)
+    shared = docs.sparkSession.sparkContext.broadcast((domains, fitted))
+
+    def make():
+        model, steps = shared.value
+        return lambda texts: pa.array(steps.replay(p_matrix(model(texts)[1], len(model.names)))[0], pa.float64())
+
+    rate, copy = fresh(docs, "rate", "copy")
+    rated = docs.withColumn(rate, computed(make, "double", [F.col("text")]))
+    used = rated.withColumn(copy, copies(F.col(rate), F.col("doc_id"))).filter(F.col(copy) > 0)
+    return used.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copy)))).drop(rate, copy)

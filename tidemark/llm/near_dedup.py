@@ -7,16 +7,17 @@ class's smallest document takes part in the search.
 
 Inside a bucket not all pairs are compared. In a few rounds every class is compared with hubs of its buckets and the
 linked classes are joined into components; the hubs change from round to round. Then only pairs of different
-components of a bucket are left. Their signatures are compared in blocks of bounded size, and the pairs that agree
-enough are confirmed: one by one, or, in blocks with many of them, through an index of the members' shingles. Crowded buckets of many components are first split by the other bands of their members (such a
-pair has to share two bands).
+components of a bucket are left. Their signatures are compared in cells, two blocks of bounded size each, and the pairs
+that agree enough are confirmed: one by one, or, in cells with many of them, through an index of the members' shingles.
 
-With 32 bands of 5 coordinates a pair of similarity 0.8 is missed with a probability of 3 in a million (5 in a hundred
-thousand if it meets in crowded buckets only), and 7 in a million by the comparison of signatures.
+With 32 bands of 5 coordinates a pair of similarity 0.8 is missed with a probability of 3 in a million, and of 7 in a
+million by the comparison of signatures, whatever the size of its buckets.
 
-Defined cases: a missing, empty or wordless text has no shingles and is linked with nothing; rows with equal ids count
-as one document; rows without an id are linked with each other, and take the id of what they are linked to; further
-columns are kept by ``drop_copies`` and ignored by ``groups``; an empty table gives an empty result. Ids are integers.
+Defined cases: a missing, empty or wordless text has no shingles and is linked with nothing. Links are links of sets of
+shingles alone: rows with equal ids but different sets, and rows without an id, are linked only if their sets are. A
+row without an id never names a component; in a component without any id the rows of one set are kept. Rows that are
+equal in id and set are kept or dropped together. Further columns are kept by ``drop_copies`` and ignored by
+``groups``; an empty table gives an empty result. Ids are integers.
 """
 
 from __future__ import annotations
@@ -29,24 +30,25 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import append, field
+from tidemark.llm.common import append, field, fresh
 from tidemark.llm.shingles import Circulant, band_keys, digest, shingle_sets
 from tidemark.session import materialise
 
 BANDS, ROWS = 32, 5
 # A pair of similarity 0.8 agrees in 128 of 160 coordinates, standard deviation 5.
 LEAST_AGREEMENT = 106
-NO_ID = (1 << 63) - 1
 # Hashing a stretch of text takes some forty times its size in memory.
 STRETCH = 1 << 20
 # Members of a bucket whose signatures are compared with each other at a time.
 BLOCK = 500
+# Shingles that the members of a block hold together, about; a cell has two blocks.
+BLOCK_SHINGLES = 200_000
 # A cell with so many pairs per member is confirmed as a whole.
 DENSE = 4
 
 
 def signatures(docs: DataFrame, words: int) -> DataFrame:
-    """node, n (shingles), digest (of the set), bands and one byte of every coordinate; stored."""
+    """doc_id, text_key, n (shingles), digest (of the set), bands and one byte of every coordinate; stored."""
 
     def make():
         circulant = Circulant(BANDS * ROWS)
@@ -64,8 +66,8 @@ def signatures(docs: DataFrame, words: int) -> DataFrame:
         return signed
 
     fields = [field("n", "long"), field("digest", "binary"), field("bands", "array<long>"), field("signature", "binary")]
-    nodes = docs.select("text", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("node"))
-    return materialise(append(nodes, make, fields, ["text"], STRETCH).drop("text"), "signatures")
+    rows = docs.select("text", F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"))
+    return materialise(append(rows, make, fields, ["text"], STRETCH).drop("text"), "signatures")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -142,21 +144,14 @@ def fitting(a: str, b: str):
     return 100 * F.least(a, b) >= 80 * F.greatest(a, b)
 
 
-def left_pairs(members: DataFrame, reps: DataFrame, crowd: int) -> DataFrame:
-    """Pairs of different components that share a bucket (two, if the bucket holds more than ``crowd`` components) and
-    whose sizes and signatures allow a link: hi, lo, and no cell. Of cells with many such pairs the members instead:
-    cell, hi (the class), lo (its component)."""
-    counts = members.groupBy("key").agg(F.count_distinct("component").alias("held"), F.count("*").alias("size")).filter("held > 1")
+def left_pairs(members: DataFrame, reps: DataFrame) -> DataFrame:
+    """Pairs of different components that share a bucket and whose sizes and signatures allow a link: hi, lo, and no
+    cell. Of cells with many such pairs the members instead: cell, hi (the class), lo (its component)."""
+    counts = members.groupBy("key").agg(F.count_distinct("component").alias("held"), F.count("*").alias("size"), F.sum("n").alias("weight")).filter("held > 1")
     counts = materialise(counts, "open-buckets")
-    few = members.join(counts.filter(F.col("held") <= crowd), "key").select("key", "band", "rep", "n", "component", "size")
-    many = members.join(counts.filter(F.col("held") > crowd), "key").select(F.col("key").alias("first"), "rep", "n", "component")
-    split = many.join(reps.select("rep", "bands"), "rep").withColumn("other", F.explode("bands")).filter("other <> first")
-    split = split.select(F.xxhash64(F.least("first", "other"), F.greatest("first", "other")).alias("key"), "rep", "n", "component").distinct()
-    again = split.groupBy("key").agg(F.count_distinct("component").alias("held"), F.count("*").alias("size")).filter("held > 1")
-    split = split.join(again, "key").select("key", F.lit(-1).alias("band"), "rep", "n", "component", "size")
-    open_ = few.unionByName(split).join(reps.select("rep", "signature", "bands"), "rep")
+    open_ = members.join(counts, "key").join(reps.select("rep", "signature", "bands"), "rep")
     # Large buckets are cut into blocks, and every two blocks meet in a cell.
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    blocks = F.greatest(F.ceil(F.col("size") / BLOCK), F.least(F.ceil(F.col("weight") / BLOCK_SHINGLES), F.col("size"))).cast("int")
     open_ = open_.withColumn("block", F.pmod(F.xxhash64(F.lit("block"), "rep"), blocks).cast("int")).withColumn("with", F.explode(F.sequence(F.lit(0), blocks - 1)))
     cell = F.xxhash64("key", F.least("block", "with"), F.greatest("block", "with")).alias("cell")
     cells = open_.select(cell, "band", "rep", "n", "component", "signature", "bands", "block", (F.col("block") == F.col("with")).alias("alone"))
@@ -221,32 +216,36 @@ def links_in_cell(percent: int):
     return run
 
 
-def groups(docs: DataFrame, words: int = 5, percent: int = 80, hubs: tuple[int, ...] = (1, 8, 8), crowd: int = 2_000) -> DataFrame:
-    """Per row: doc_id, n_shingles, component_id (the smallest doc_id linked through any chain), kept.
+def classes_of(signed: DataFrame) -> DataFrame:
+    """digest, least (the smallest doc_id with that set) and rep, the class's number: least, unless there is none or
+    several classes share it; then a hash of the digest."""
+    classes = signed.filter("n > 0").groupBy("digest").agg(F.min("doc_id").alias("least"))
+    repeated = classes.groupBy("least").agg(F.count("*").alias("classes")).filter("classes > 1 AND least IS NOT NULL").select(F.col("least").alias("again"))
+    marked = classes.join(repeated, F.col("least") == F.col("again"), "left")
+    own = F.when(F.col("least").isNotNull() & F.col("again").isNull(), F.col("least")).otherwise(F.xxhash64("digest"))
+    return marked.select("digest", "least", own.alias("rep"))
 
-    Bands, sizes and the least agreement of signatures are set for a similarity of 0.8; links below that would be lost.
-    """
+
+def placed(docs: DataFrame, words: int, percent: int, hubs: tuple[int, ...]) -> DataFrame:
+    """Per row: doc_id, text_key, n_shingles, component_id and kept."""
     if percent < 80:
         raise ValueError(f"percent is {percent}; the search finds links of 80 percent and more only")
     signed = signatures(docs, words)
-    classes = materialise(signed.filter("n > 0").groupBy("digest").agg(F.min("node").alias("rep")), "classes")
-    reps = signed.filter("n > 0").join(classes, "digest").filter("node = rep").select("rep", "digest", "n", "bands", "signature").dropDuplicates(["digest"])
-    reps = materialise(reps, "reps")
-    # Rows with equal ids but different sets belong together.
-    rows = signed.filter("n > 0").select("node", "digest").join(classes, "digest").select("node", "rep").distinct()
-    repeated = rows.groupBy("node").agg(F.min("rep").alias("low"), F.max("rep").alias("high"), F.count("*").alias("sets")).filter("sets > 1")
-    same_id = rows.join(repeated.select("node"), "node").select(F.greatest("node", "rep").alias("hi"), F.least("node", "rep").alias("lo"))
+    classes = materialise(classes_of(signed), "classes")
+    reps = signed.filter("n > 0").join(classes, "digest").filter("doc_id <=> least").dropDuplicates(["digest"])
+    reps = materialise(reps.select("rep", F.coalesce("doc_id", F.lit(0)).alias("id"), "text_key", "n", "bands", "signature"), "reps")
 
     members = reps.select(F.posexplode("bands").alias("band", "key"), "rep", "n")
     shared = members.groupBy("key").agg(F.count("*").alias("held")).filter("held > 1").select("key")
     members = materialise(members.join(shared, "key"), "members")
-    wanted = members.select(F.col("rep").alias("node")).distinct()
+    wanted = reps.join(members.select("rep").distinct(), "rep").select("rep", "id", "text_key")
 
     def make():
         return lambda texts: [pa.array([s.tobytes() for s in shingle_sets(texts.to_pylist(), words)], pa.binary())]
 
-    nodes = docs.select("text", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("node")).join(wanted, "node")
-    sets = materialise(append(nodes, make, [field("shingles", "binary")], ["text"], STRETCH).select("node", "shingles").filter("length(shingles) > 0"), "sets")
+    rows = docs.select("text", F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("id"), F.xxhash64("text").alias("text_key"))
+    nodes = rows.join(wanted, ["id", "text_key"]).dropDuplicates(["id", "text_key"]).select("text", F.col("rep").alias("node"))
+    sets = materialise(append(nodes, make, [field("shingles", "binary")], ["text"], STRETCH).select("node", "shingles"), "sets")
 
     def linked(pairs: DataFrame) -> DataFrame:
         """The pairs whose sets are similar enough."""
@@ -255,13 +254,13 @@ def groups(docs: DataFrame, words: int = 5, percent: int = 80, hubs: tuple[int,
         left, right = (sets.select(F.col("node").alias(c), F.col("shingles").alias(f"x_{c}")) for c in ("hi", "lo"))
         return near.join(left, "hi").join(right, "lo").select("hi", "lo", "x_hi", "x_lo").mapInArrow(confirm(percent), "hi long, lo long")
 
-    labels = None
-    edges = materialise(same_id, "same-id")
+    labels = edges = None
     for turn, most in enumerate(hubs):
-        edges = materialise(edges.unionByName(linked(hub_pairs(labelled(members, labels), turn, most))), "links")
+        found = linked(hub_pairs(labelled(members, labels), turn, most))
+        edges = materialise(found if edges is None else edges.unionByName(found), "links")
         labels = components(edges)
         edges = labels.select(F.col("node").alias("hi"), F.col("component").alias("lo"))
-    left = materialise(left_pairs(labelled(members, labels), reps, crowd), "left")
+    left = materialise(left_pairs(labelled(members, labels), reps), "left")
     dense = left.filter("cell IS NOT NULL").select("cell", F.col("hi").alias("rep"), F.col("lo").alias("component"))
     held = dense.join(sets.withColumnRenamed("node", "rep"), "rep").groupBy("cell").applyInArrow(links_in_cell(percent), "hi long, lo long")
     rest = linked(left.filter("cell IS NULL").select("hi", "lo")).unionByName(held.filter("hi > lo").distinct())
@@ -269,18 +268,32 @@ def groups(docs: DataFrame, words: int = 5, percent: int = 80, hubs: tuple[int,
     if not rest.isEmpty():
         labels = components(edges.unionByName(rest))
 
-    named = labels.withColumnRenamed("node", "rep")
-    placed = classes.join(named, "rep", "left").select("digest", F.coalesce("component", "rep").alias("component"))
-    placed = materialise(placed, "placed")
-    found = signed.select("node", "n", "digest").join(placed, "digest", "left")
-    found = found.withColumn("component", F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("node")))
-    back = lambda c: F.when(F.col(c) != NO_ID, F.col(c))
-    return found.select(back("node").alias("doc_id"), F.col("n").alias("n_shingles"), back("component").alias("component_id"), (F.col("node") == F.col("component")).alias("kept"))
+    named = classes.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    if classes.filter("NOT rep <=> least").isEmpty():
+        named = named.select("digest", "rep", "component", F.col("component").alias("first"))
+    else:
+        # Some classes have numbers that are no ids: look for the smallest id of every component.
+        named = materialise(named, "named")
+        first = named.groupBy("component").agg(F.min("least").alias("first"))
+        named = named.join(first, "component").select("digest", "rep", "component", "first")
+    found = signed.select("doc_id", "text_key", "n", "digest").join(materialise(named, "placed"), "digest", "left")
+    wordless = F.col("n") == 0
+    kept = F.when(wordless, True).when(F.col("first").isNull(), F.col("rep") == F.col("component")).otherwise(F.col("doc_id").eqNullSafe(F.col("first")))
+    return found.select("doc_id", "text_key", F.col("n").alias("n_shingles"), F.when(wordless, F.col("doc_id")).otherwise(F.col("first")).alias("component_id"), kept.alias("kept"))
+
+
+def groups(docs: DataFrame, words: int = 5, percent: int = 80, hubs: tuple[int, ...] = (1, 8, 8)) -> DataFrame:
+    """Per row: doc_id, n_shingles, component_id (the smallest doc_id linked through any chain), kept.
+
+    Bands, sizes and the least agreement of signatures are set for a similarity of 0.8; links below that would be lost.
+    """
+    return placed(docs, words, percent, hubs).select("doc_id", "n_shingles", "component_id", "kept")
 
 
-def drop_copies(docs: DataFrame, words: int = 5, **options) -> DataFrame:
+def drop_copies(docs: DataFrame, words: int = 5, percent: int = 80, hubs: tuple[int, ...] = (1, 8, 8)) -> DataFrame:
     """The documents with their own columns, one of each group: that with the smallest id. Documents without an id stay
     if they are linked to none that has one."""
-    kept = groups(docs, words, **options).filter("kept").select(F.coalesce("doc_id", F.lit(NO_ID)).alias("__node")).distinct()
-    node = F.coalesce(docs["doc_id"].cast("long"), F.lit(NO_ID))
-    return docs.join(kept, node == kept["__node"], "left_semi")
+    key, text = fresh(docs, "kept_id", "kept_text")
+    kept = placed(docs, words, percent, hubs).filter("kept").select(F.coalesce("doc_id", F.lit(0)).alias(key), F.col("text_key").alias(text)).distinct()
+    same = (F.coalesce(F.col("doc_id").cast("long"), F.lit(0)) == F.col(key)) & (F.xxhash64("text") == F.col(text))
+    return docs.join(kept, same, "left_semi")

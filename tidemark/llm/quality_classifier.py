@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import append, field
+from tidemark.llm.common import append, computed, field, fresh
 from tidemark.llm.linear import N_MEASURES, FeatureMap, edges_of, labelled_sample, sample_of, summed, with_measures
 
 
@@ -110,4 +110,7 @@ def scores(docs: DataFrame, model: QualityModel) -> DataFrame:
 
 def keep_good(docs: DataFrame, model: QualityModel, least: float = 0.5) -> DataFrame:
     """The documents that score at least ``least``, with their own columns only."""
-    return with_score(docs, model, "__score").filter(F.col("__score") >= least).drop("__score")
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    score = computed(lambda: lambda texts: shared.value(texts)[0], "double", [F.col("text")])
+    (name,) = fresh(docs, "score")
+    return docs.withColumn(name, score).filter(F.col(name) >= least).drop(name)
