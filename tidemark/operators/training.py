@@ -213,6 +213,11 @@ _RESULT = T.StructType([
 ])
 
 
+def measured_columns() -> list[str]:
+    """The columns of a metric row, in order."""
+    return _RESULT.fieldNames()
+
+
 def fit_and_measure(
     ready: DataFrame, family: str, trial_no: int, params: Mapping[str, object], split_no: int, features: Sequence[str], target: str
 ) -> tuple[tuple, PipelineModel]:

@@ -15,10 +15,11 @@ from pyspark.sql import types as T
 from tidemark.contract import EVENT_DATE, TableContract
 from tidemark.functions.metrics import METRICS
 from tidemark.functions.values import merge_maps, to_number
+from tidemark.operators.products import elastic_net, line_frame, quadratic_metric, split_products, strength_and_mixing, trial_metrics
 from tidemark.operators.runs import log_run_metrics
 from tidemark.operators.training import (
-    SPACES, category_codes, evaluate_trials, fit_and_measure, importance_of, measured_frame, numeric_features,
-    predictions, training_set, usable_target, with_codes,
+    SPACES, category_codes, evaluate_trials, fit_and_measure, importance_of, make_estimator, measured_columns, measured_frame,
+    numeric_features, predictions, training_set, usable_target, with_codes,
 )
 from tidemark.operators.tuning import median_prune, rank_trials, sample_trials
 from tidemark.operators.windows import (
@@ -124,29 +125,72 @@ def space_frame(spark: SparkSession, family: str, space: Mapping[str, object] |
     return spark.createDataFrame(rows, schema)
 
 
-def tune(
-    prepared: Prepared,
-    family: str,
-    space: Mapping[str, object] | None = None,
-    n_trials: int = 20,
-    primary: str = "rmse",
-    keys: Sequence[str] = (),
-    n_startup: int = 5,
-    parallelism: int = 4,
-) -> Tuned:
-    """Sweep a family's trials split by split, stop the hopeless ones, refit the best.
+@dataclass(frozen=True)
+class Swept:
+    """The trials of a family after all splits: parameters, metric rows, ranking, and the trials stopped on the way."""
 
-    The rows stay distributed; the driver holds the trials' parameters and scores, as many as were asked
-    for. The last split is the most recent one and gives model, importances and predictions.
-    """
-    spark = prepared.rows.sparkSession
+    params: dict[int, dict[str, object]]
+    trials: DataFrame
+    split_metrics: DataFrame
+    ranking: DataFrame
+    best_trial: int
+    pruned: list[int]
+
+
+def drawn_trials(spark: SparkSession, family: str, space: Mapping[str, object] | None, n_trials: int) -> tuple[DataFrame, dict[int, dict[str, object]]]:
     trials = sample_trials(space_frame(spark, family, space), n_trials)
     params: dict[int, dict[str, object]] = {}
     for row in trials.collect():
         params.setdefault(row.trial_no, {})[row.param] = row.value if row.value is not None else row.text
-    split_list = prepared.splits.select("split_no", "weight").orderBy("split_no").collect()
+    return trials, params
+
+
+def ranked(scores: DataFrame, alive: Sequence[int], weights: Sequence[float], primary: str) -> tuple[DataFrame, int]:
+    """The trials that reached the end, ranked, and the best of them."""
+    ranking = rank_trials(scores.filter(F.col("trial_no").isin(list(alive))), list(weights))
+    best = ranking.filter("is_best").first()
+    if best is None:
+        raise ValueError(f"no trial has {primary} on every split")
+    return ranking, best.trial_no
+
+
+def sweep_lines(prepared: Prepared, space: Mapping[str, object] | None = None, n_trials: int = 20, primary: str = "rmse", n_startup: int = 5) -> Swept:
+    """The linear family: every trial of every split from one pass over the rows.
+
+    ``rmse`` and ``r2`` follow from the same sums, so ranking by them needs no further pass; the rows of all metrics are
+    one more, over the test rows, when they are read.
+    """
+    spark = prepared.rows.sparkSession
     features, target = prepared.features, prepared.target
+    trials, params = drawn_trials(spark, "linear", space, n_trials)
+    ready = numeric_features(prepared.rows, features, target)
+    products = split_products(ready, features, target)
+    weights = {r.split_no: r.weight for r in prepared.splits.select("split_no", "weight").collect()}
+    lines = line_frame(spark, "linear", products, params)
+    measured = trial_metrics(ready, lines, features, target)
+    if primary in ("rmse", "r2"):
+        values = [
+            ("linear", trial, step, quadratic_metric(sums, elastic_net(sums, *strength_and_mixing(drawn)), primary))
+            for step, sums in enumerate(products) for trial, drawn in params.items()
+        ]
+        scores = spark.createDataFrame(values, "model_name string, trial_no int, step int, value double")
+    else:
+        measured = materialise(measured, "trial-metrics")
+        scores = _scores(measured, primary)
+    judged = median_prune(scores, len(products), n_startup)
+    reached = judged.select("trial_no", F.col("step").alias("split_no"))
+    stopped = {r.trial_no for r in judged.filter("pruned").select("trial_no").distinct().collect()}
+    alive = [no for no in sorted(params) if no not in stopped]
+    ranking, best = ranked(scores, alive, [weights[sums.split_no] for sums in products], primary)
+    return Swept(params, trials, measured.join(reached, ["trial_no", "split_no"], "left_semi").select(measured_columns()), ranking, best, sorted(stopped))
 
+
+def sweep_fits(prepared: Prepared, family: str, space: Mapping[str, object] | None, n_trials: int, primary: str, n_startup: int, parallelism: int) -> Swept:
+    """Any other family: fits of all trials split by split; the hopeless ones are stopped after each split."""
+    spark = prepared.rows.sparkSession
+    features, target = prepared.features, prepared.target
+    trials, params = drawn_trials(spark, family, space, n_trials)
+    split_list = prepared.splits.select("split_no", "weight").orderBy("split_no").collect()
     measured: DataFrame | None = None
     alive = sorted(params)
     for step, split in enumerate(split_list):
@@ -157,18 +201,45 @@ def tune(
         stopped = judged.filter("pruned").select("trial_no").distinct().collect()
         alive = [no for no in alive if no not in {r.trial_no for r in stopped}]
     # A trial stopped at the last step is stopped all the same; it has values but does not compete.
-    finished = _scores(measured, primary).filter(F.col("trial_no").isin(alive))
-    ranking = rank_trials(finished, [s.weight for s in split_list])
-    best = ranking.filter("is_best").first()
+    ranking, best = ranked(_scores(measured, primary), alive, [s.weight for s in split_list], primary)
+    return Swept(params, trials, measured, ranking, best, sorted(set(params) - set(alive)))
 
-    chosen = params[best.trial_no]
+
+def tune(
+    prepared: Prepared,
+    family: str,
+    space: Mapping[str, object] | None = None,
+    n_trials: int = 20,
+    primary: str = "rmse",
+    keys: Sequence[str] = (),
+    n_startup: int = 5,
+    parallelism: int = 4,
+) -> Tuned:
+    """Sweep a family's trials split by split, stop the hopeless ones, refit the best.
+
+    The rows stay distributed; the driver holds the trials' parameters and scores, as many as were asked
+    for. The last split is the most recent one and gives model, importances and predictions.
+    """
+    spark = prepared.rows.sparkSession
+    if family == "linear":
+        swept = sweep_lines(prepared, space, n_trials, primary, n_startup)
+    else:
+        swept = sweep_fits(prepared, family, space, n_trials, primary, n_startup, parallelism)
+    features, target = prepared.features, prepared.target
+    chosen = swept.params[swept.best_trial]
     ready = numeric_features(prepared.rows, features, target, keys)
-    refits = [fit_and_measure(ready, family, best.trial_no, chosen, s.split_no, features, target) for s in split_list]
-    best_metrics = measured_frame(spark, [row for row, _ in refits])
-    model = refits[-1][1]
-    last = ready.filter((F.col("split_no") == split_list[-1].split_no) & (F.col("role") == "test"))
+    split_nos = [r.split_no for r in prepared.splits.select("split_no").orderBy("split_no").collect()]
+    if family == "linear":
+        # The refit of a trial is the trial: its rows are there already. One fit gives the model itself.
+        best_metrics = swept.split_metrics.filter(F.col("trial_no") == swept.best_trial)
+        model = make_estimator(family, chosen, features, target).fit(ready.filter((F.col("split_no") == split_nos[-1]) & (F.col("role") == "train")))
+    else:
+        refits = [fit_and_measure(ready, family, swept.best_trial, chosen, s, features, target) for s in split_nos]
+        best_metrics = measured_frame(spark, [row for row, _ in refits])
+        model = refits[-1][1]
+    last = ready.filter((F.col("split_no") == split_nos[-1]) & (F.col("role") == "test"))
     return Tuned(
-        family, trials, measured, ranking, best.trial_no, sorted(set(params) - set(alive)), primary, chosen,
+        family, swept.trials, swept.split_metrics, swept.ranking, swept.best_trial, swept.pruned, primary, chosen,
         best_metrics, log_run_metrics(best_metrics, primary, best=True),
         importance_of(model, prepared.rows, features),
         predictions(model.transform(last), keys, target, "prediction"), model,
