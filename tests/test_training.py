@@ -7,7 +7,10 @@ from conftest import rows
 
 from tidemark.contract import TableContract
 from tidemark.operators.runs import best_run
-from tidemark.operators.training import FAMILIES, category_codes, make_estimator, training_set, with_codes
+from tidemark.operators.training import (
+    FAMILIES, category_codes, fit_and_measure, fit_stages, make_estimator, measured_columns, model_features, numeric_features, staged_groups,
+    training_set, usable_target, with_codes,
+)
 from tidemark.operators.tuning import median_prune, rank_trials, sample_trials
 from tidemark.plans.train import prepare, space_frame, tune, tuning_runs
 from tidemark.queries import QUERIES
@@ -173,3 +176,72 @@ def test_fit_queries_tune_whole_spaces(spark):
 
 def test_every_family_is_fitted(spark):
     assert {r.family for r in QUERIES["train_ml_families"].run(spark, "/root/testdata/sf0.01").collect()} == set(FAMILIES)
+
+
+@pytest.fixture(scope="module")
+def coded(spark):
+    rng = random.Random(8)
+    rows = []
+    for i in range(800):
+        kind = rng.choice([0, 1, 2, 3, 4, 5, None])
+        y = (10.0 if kind in (0, 2, 5) else 25.0 if kind is None else -10.0) + rng.gauss(0, 0.01)
+        rows.append((0, "s0", 1.0, "train" if i % 4 else "test", kind, rng.uniform(0, 1), None, y))
+    return spark.createDataFrame(rows, "split_no int, split_name string, weight double, role string, kind int, x double, none double, y double")
+
+
+def test_codes_are_split_by_sets(coded):
+    plain, nominal = (
+        fit_and_measure(numeric_features(coded, ["kind", "x", "none"], "y", categories=c), "gbt", 0, {"maxIter": 1, "maxDepth": 2}, 0, ["kind", "x", "none"], "y", c)
+        for c in ({}, {"kind": 6})
+    )
+    r2 = measured_columns().index("r2")
+    # Two splits by sets of codes separate the three levels; as numbers, codes 0, 2 and 5 are not next to each other.
+    assert nominal[0][r2] > 0.999 > 0.9 > plain[0][r2]
+    assert model_features(nominal[1]) == ["kind", "x"]
+
+
+def test_many_codes_widen_the_bins(spark):
+    rows = [(0, "s0", 1.0, "train" if i // 70 % 5 else "test", i % 70, float(i % 70 % 2)) for i in range(1400)]
+    frame = spark.createDataFrame(rows, "split_no int, split_name string, weight double, role string, kind int, y double")
+    row, _ = fit_and_measure(numeric_features(frame, ["kind"], "y", categories={"kind": 70}), "random_forest", 0, {"numTrees": 3, "maxDepth": 2, "seed": 1}, 0, ["kind"], "y", {"kind": 70})
+    assert row[measured_columns().index("r2")] > 0.99
+
+
+def test_smaller_boosted_models_are_the_first_trees(spark, coded):
+    ready = numeric_features(coded, ["kind", "x"], "y")
+    shared = {"maxDepth": 3, "stepSize": 0.3, "subsamplingRate": 0.8, "seed": 42}
+    trials = {no: {**shared, "maxIter": rounds} for no, rounds in enumerate((2, 9, 5, 9))}
+    together, model = fit_stages(ready, "gbt", trials, 0, ["kind", "x"], "y")
+    assert len(model.stages[-1].trees) == 9
+    for no, params in trials.items():
+        alone, _ = fit_and_measure(ready, "gbt", no, params, 0, ["kind", "x"], "y")
+        assert together[no] == pytest.approx(alone)
+    forest, _ = fit_stages(ready, "random_forest", {0: {"numTrees": 2, "maxDepth": 3, "seed": 1}, 1: {"numTrees": 7, "maxDepth": 3, "seed": 1}}, 0, ["kind", "x"], "y")
+    assert len(forest) == 2 and forest[0] != forest[1]
+
+
+def test_trials_of_one_structure_share_a_fit(spark):
+    space = {"maxIter": ("int", 2, 40), "maxDepth": ("int", 2, 9), "stepSize": ("float", 0.01, 0.3, True)}
+    drawn = {}
+    for r in sample_trials(space_frame(spark, "gbt", space), 12, structures=3, staged="maxIter").collect():
+        drawn.setdefault(r.trial_no, {})[r.param] = r.value
+    groups = staged_groups("gbt", drawn)
+    assert sorted(map(sorted, groups)) == [[0, 3, 6, 9], [1, 4, 7, 10], [2, 5, 8, 11]]
+    assert len({p["maxIter"] for p in drawn.values()}) > 6
+    assert len(staged_groups("linear", drawn)) == 12
+
+
+def test_a_tree_family_is_tuned_with_few_fits(prepared):
+    space = {"maxIter": ("int", 1, 6), "maxDepth": ("int", 2, 4), "seed": 42}
+    tuned = tune(prepared, "gbt", space, n_trials=6, keys=["k"], n_startup=1, structures=2)
+    assert prepared.categories == {"kind": 3} and tuned.best_metrics.count() == 2
+    scores = {r.trial_no: r.score for r in tuned.ranking.collect()}
+    assert scores[tuned.best_trial] == min(scores.values())
+    refit = tuned.best_metrics.agg({"rmse": "max"}).first()[0]
+    swept = tuned.split_metrics.filter(f"trial_no = {tuned.best_trial}").agg({"rmse": "max"}).first()[0]
+    assert refit == pytest.approx(swept)
+
+
+def test_numeric_targets_are_not_read_as_text(spark):
+    frame = spark.createDataFrame([(1.5,), (float("nan"),), (float("inf"),), (None,)], "y double")
+    assert usable_target(frame, "y").collect() == [(1.5,)]

@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import SparkContext
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import Imputer, VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, LinearRegression, RandomForestRegressionModel, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -85,7 +86,12 @@ def training_set(features: DataFrame, actuals: DataFrame, contract: TableContrac
 
 def usable_target(df: DataFrame, target: str) -> DataFrame:
     """Target as a number; rows without one cannot be learned from and are left out."""
-    return df.withColumn(target, to_number(F.col(target))).filter(F.col(target).isNotNull())
+    if isinstance(df.schema[target].dataType, T.NumericType):
+        value = F.col(target).cast("double")
+        value = F.when(~F.isnan(value) & (F.abs(value) != float("inf")), value)
+    else:
+        value = to_number(F.col(target))
+    return df.withColumn(target, value).filter(F.col(target).isNotNull())
 
 
 def category_codes(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -157,6 +163,11 @@ def importance_by_correlation(rows: DataFrame, features: Sequence[str], target:
     return ordered.limit(top) if top else ordered
 
 
+def model_features(model: PipelineModel) -> list[str]:
+    """The features a fitted pipeline uses, in the order of its vector."""
+    return [c.removeprefix("_f_") for c in model.stages[-2].getInputCols()]
+
+
 def importance_of(model: PipelineModel, rows: DataFrame, features: Sequence[str], top: int | None = None) -> DataFrame:
     """Feature importances of a fitted tree ensemble, or absolute coefficients of a linear model."""
     last = model.stages[-1]
@@ -166,30 +177,88 @@ def importance_of(model: PipelineModel, rows: DataFrame, features: Sequence[str]
     return ordered.limit(top) if top else ordered
 
 
-def make_estimator(family: str, params: Mapping[str, object], features: Sequence[str], target: str) -> Pipeline:
+# The parameter that counts a family's trees; all smaller models are the first trees of the largest.
+STAGE = {"random_forest": "numTrees", "gbt": "maxIter", "xgboost": "maxIter", "lightgbm": "maxIter", "catboost": "maxIter"}
+
+
+def make_estimator(family: str, params: Mapping[str, object], features: Sequence[str], target: str, categories: Mapping[str, int] | None = None) -> Pipeline:
     """An ML pipeline: fill gaps with the train mean, assemble, regress.
 
-    Integer parameters arrive as doubles from the trial table and are cast where Spark wants integers.
+    Integer parameters arrive as doubles from the trial table and are cast where Spark wants integers. ``categories``
+    names coded columns with their numbers of codes: trees split them by sets of codes, and their gaps are a code of
+    their own (see ``numeric_features``). A line takes codes as numbers.
     """
     if family not in FAMILIES:
         raise ValueError(f"unknown model family {family!r}, known: {sorted(FAMILIES)}")
-    filled = [f"_f_{c}" for c in features]
+    nominal = {c: n for c, n in (categories or {}).items() if c in features and family in STAGE}
+    plain = [c for c in features if c not in nominal]
     regressor = FAMILIES[family](featuresCol="_features", labelCol=target, predictionCol="prediction")
     whole = {"numTrees", "maxDepth", "maxIter", "minInstancesPerNode", "seed", "maxBins"}
     regressor = regressor.copy()
+    if nominal:
+        regressor.set(regressor.getParam("maxBins"), max(32, *(n + 1 for n in nominal.values())))
     for name, value in params.items():
         regressor.set(regressor.getParam(name), int(float(value)) if name in whole else value)
-    return Pipeline(stages=[
-        Imputer(inputCols=list(features), outputCols=filled),
-        VectorAssembler(inputCols=filled, outputCol="_features"),
-        regressor,
-    ])
+    stages = [Imputer(inputCols=plain, outputCols=[f"_f_{c}" for c in plain])] if plain else []
+    assembled = [c if c in nominal else f"_f_{c}" for c in features]
+    return Pipeline(stages=[*stages, VectorAssembler(inputCols=assembled, outputCol="_features"), regressor])
+
+
+def numeric_features(
+    rows: DataFrame, features: Sequence[str], target: str, keys: Sequence[str] = (), categories: Mapping[str, int] | None = None
+) -> DataFrame:
+    """What the estimators need and nothing else: the split columns, features and target as doubles.
+
+    Columns in ``categories`` become nominal: their gaps get the code after the last one, and the number of codes goes
+    into the column's metadata, where assembler and trees look for it.
+    """
+    def feature(name: str):
+        value = F.col(name).cast("double")
+        if name not in (categories or {}):
+            return value.alias(name)
+        count = categories[name]
+        return F.coalesce(value, F.lit(float(count))).alias(name, metadata={"ml_attr": {"type": "nominal", "num_vals": count + 1}})
+
+    numbers = [feature(c) for c in features]
+    return rows.select(*keys, "split_no", "split_name", "weight", "role", *numbers, F.col(target).cast("double").alias(target))
+
 
+def features_with_values(train: DataFrame, features: Sequence[str]) -> list[str]:
+    """Features with a number in some row; a column without any cannot be filled and is left out of a fit."""
+    if not features:
+        return []
+    seen = train.agg(*[F.count(F.when(~F.isnan(c), F.col(c))).alias(f"n{i}") for i, c in enumerate(features)]).first()
+    return [c for i, c in enumerate(features) if seen[f"n{i}"]]
 
-def numeric_features(rows: DataFrame, features: Sequence[str], target: str, keys: Sequence[str] = ()) -> DataFrame:
-    """What the estimators need and nothing else: the split columns, features and target as doubles."""
-    numbers = [F.col(c).cast("double").alias(c) for c in [*features, target]]
-    return rows.select(*keys, "split_no", "split_name", "weight", "role", *numbers)
+
+def first_trees(model: PipelineModel, count: int) -> PipelineModel:
+    """The ensemble of the first ``count`` trees of a fitted one, with the same preparation.
+
+    A boosted model's rounds build on each other, so this is the model of ``count`` rounds itself. A forest's trees are
+    drawn alike, so this is a forest of ``count`` trees.
+    """
+    last = model.stages[-1]
+    trees = last._java_obj.trees()
+    if count >= len(trees):
+        return model
+    context = SparkContext._active_spark_context
+    jvm, gateway = context._jvm, context._gateway
+    held = gateway.new_array(jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, count)
+    for i in range(count):
+        held[i] = trees[i]
+    uid, width = last._java_obj.uid(), last._java_obj.numFeatures()
+    if isinstance(last, GBTRegressionModel):
+        weights = gateway.new_array(jvm.double, count)
+        for i in range(count):
+            weights[i] = float(last._java_obj.treeWeights()[i])
+        small = GBTRegressionModel(jvm.org.apache.spark.ml.regression.GBTRegressionModel(uid, held, weights, width))
+    else:
+        small = RandomForestRegressionModel(jvm.org.apache.spark.ml.regression.RandomForestRegressionModel(uid, held, width))
+    small._java_obj.setFeaturesCol("_features")
+    small._java_obj.setPredictionCol("prediction")
+    small = type(small)(small._java_obj)
+    small._transfer_params_from_java()
+    return PipelineModel([*model.stages[:-1], small])
 
 
 def evaluate_split(
@@ -219,14 +288,57 @@ def measured_columns() -> list[str]:
 
 
 def fit_and_measure(
-    ready: DataFrame, family: str, trial_no: int, params: Mapping[str, object], split_no: int, features: Sequence[str], target: str
+    ready: DataFrame, family: str, trial_no: int, params: Mapping[str, object], split_no: int, features: Sequence[str], target: str,
+    categories: Mapping[str, int] | None = None,
 ) -> tuple[tuple, PipelineModel]:
     """One fit: its metrics as a row of the result table, and the model."""
-    measured, model = evaluate_split(ready, split_no, make_estimator(family, params, features, target), target)
-    row = measured.first()
-    if row is None:
+    rows, model = fit_stages(ready, family, {trial_no: params}, split_no, features, target, categories)
+    return rows[0], model
+
+
+def fit_stages(
+    ready: DataFrame, family: str, trials: Mapping[int, Mapping[str, object]], split_no: int, features: Sequence[str], target: str,
+    categories: Mapping[str, int] | None = None,
+) -> tuple[list[tuple], PipelineModel]:
+    """One fit for trials that differ in their number of trees only: a metric row for each, and the largest model.
+
+    The smaller models are prefixes of the largest, and one pass over the test rows measures all of them.
+    """
+    split = ready.filter(F.col("split_no") == split_no)
+    train, test = split.filter("role = 'train'"), split.filter("role = 'test'")
+    used = features_with_values(train, features)
+    stage = STAGE.get(family)
+    sizes = {no: int(float(params[stage])) if stage in params else None for no, params in trials.items()}
+    largest = max(trials, key=lambda no: sizes[no] or 0)
+    model = make_estimator(family, trials[largest], used, target, categories).fit(train)
+    by_size = {}
+    scored = test
+    for size in sorted({size for size in sizes.values()}, key=lambda size: size or 0):
+        name = f"_prediction_{size or 0}"
+        part = model if size is None or size == sizes[largest] else first_trees(model, size)
+        scored = part.transform(scored).select(*scored.columns, F.col("prediction").alias(name))
+        by_size[size] = name
+    long = scored.select(
+        "split_no", "split_name", "weight", target,
+        F.inline(F.array(*[F.struct(F.lit(size or 0).alias("_size"), F.col(name).alias("prediction")) for size, name in by_size.items()])),
+    )
+    measured = {r["_size"]: r for r in regression_metrics(long, target, "prediction", ["_size", "split_no", "split_name", "weight"]).collect()}
+    if not measured:
         raise ValueError(f"split {split_no} has no test rows")
-    return (family, trial_no, row.split_no, row.split_name, row.weight, *[row[m] for m in METRICS], row.n), model
+    rows = []
+    for no in trials:
+        row = measured[sizes[no] or 0]
+        rows.append((family, no, row.split_no, row.split_name, row.weight, *[row[m] for m in METRICS], row.n))
+    return rows, model
+
+
+def staged_groups(family: str, trials: Mapping[int, Mapping[str, object]]) -> list[dict[int, Mapping[str, object]]]:
+    """Trials that differ in their number of trees only, group by group."""
+    groups: dict[tuple, dict[int, Mapping[str, object]]] = {}
+    for no, params in trials.items():
+        rest = tuple(sorted((k, str(v)) for k, v in params.items() if k != STAGE.get(family)))
+        groups.setdefault(rest if family in STAGE else (no,), {})[no] = params
+    return list(groups.values())
 
 
 def measured_frame(spark: SparkSession, measured: Sequence[tuple]) -> DataFrame:
@@ -240,22 +352,26 @@ def evaluate_trials(
     features: Sequence[str],
     target: str,
     parallelism: int = 4,
+    categories: Mapping[str, int] | None = None,
 ) -> DataFrame:
     """Metric rows of (family, trial number, parameters) on every split.
 
-    The fits are Spark jobs over one cached frame, started from a few threads as Spark's own cross
-    validation does. Only one metric row per fit comes back to the driver.
+    Trials that differ in their number of trees only share a fit. The fits are Spark jobs over one cached frame, started
+    from a few threads as Spark's own cross validation does. Only one metric row per trial comes back to the driver.
     """
-    ready = numeric_features(rows.filter(F.col("split_no").isin(list(split_nos))), features, target).persist()
-    work = [(t, s) for t in trials for s in split_nos]
+    ready = numeric_features(rows.filter(F.col("split_no").isin(list(split_nos))), features, target, categories=categories).persist()
+    by_family: dict[str, dict[int, Mapping[str, object]]] = {}
+    for family, number, params in trials:
+        by_family.setdefault(family, {})[number] = params
+    work = [(family, group, s) for family, all_ in by_family.items() for group in staged_groups(family, all_) for s in split_nos]
 
-    def run(item: tuple[tuple[str, int, Mapping[str, object]], int]) -> tuple:
-        (family, number, params), split_no = item
-        return fit_and_measure(ready, family, number, params, split_no, features, target)[0]
+    def run(item: tuple[str, dict[int, Mapping[str, object]], int]) -> list[tuple]:
+        family, group, split_no = item
+        return fit_stages(ready, family, group, split_no, features, target, categories)[0]
 
     try:
         with ThreadPoolExecutor(parallelism) as pool:
-            results = list(pool.map(run, work))
+            results = [row for rows in pool.map(run, work) for row in rows]
     finally:
         ready.unpersist()
     return measured_frame(rows.sparkSession, results)

@@ -17,18 +17,24 @@ def uniform(*parts: Column) -> Column:
     return F.conv(digest, 16, 10).cast("double") / F.lit(2.0**32)
 
 
-def sample_trials(space: DataFrame, n_trials: int = 20) -> DataFrame:
+def sample_trials(space: DataFrame, n_trials: int = 20, structures: int | None = None, staged: str | None = None) -> DataFrame:
     """Parameter values of every trial: model_name, trial_no, param, value (number), text (category).
 
     ``space``: model_name, param, kind (int, float, categorical, fixed), low, high, log, fixed, choices.
     Integers include both ends; log floats are uniform in the logarithm; fixed values pass through and
     win over a tuned entry of the same name.
+
+    With ``structures`` the trials share that many draws of all parameters but ``staged``, the one that counts the trees:
+    trial t has draw t modulo ``structures``, and its own number of trees.
     """
     fixed_names = F.max((F.col("kind") == "fixed").cast("int"))
     has_fixed = space.groupBy("model_name", "param").agg(fixed_names.alias("_has_fixed"))
     chosen = space.join(has_fixed, ["model_name", "param"]).filter((F.col("_has_fixed") == 0) | (F.col("kind") == "fixed"))
     trials = chosen.withColumn("trial_no", F.explode(F.sequence(F.lit(0), F.lit(n_trials - 1))))
-    u = uniform(F.col("model_name"), F.col("trial_no").cast("string"), F.col("param"))
+    draw = F.col("trial_no")
+    if structures is not None:
+        draw = F.when(F.col("param") == F.lit(staged), draw).otherwise(draw % F.lit(structures))
+    u = uniform(F.col("model_name"), draw.cast("string"), F.col("param"))
     low, high = F.col("low").cast("double"), F.col("high").cast("double")
     positive = F.when(low > 0, low)
     value = (

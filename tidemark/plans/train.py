@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import hashlib
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -18,8 +18,8 @@ from tidemark.functions.values import merge_maps, to_number
 from tidemark.operators.products import elastic_net, line_frame, quadratic_metric, split_products, strength_and_mixing, trial_metrics
 from tidemark.operators.runs import log_run_metrics
 from tidemark.operators.training import (
-    SPACES, category_codes, evaluate_trials, fit_and_measure, importance_of, make_estimator, measured_columns, measured_frame,
-    numeric_features, predictions, training_set, usable_target, with_codes,
+    SPACES, STAGE, category_codes, evaluate_trials, features_with_values, fit_and_measure, importance_of, make_estimator, measured_columns,
+    measured_frame, model_features, numeric_features, predictions, training_set, usable_target, with_codes,
 )
 from tidemark.operators.tuning import median_prune, rank_trials, sample_trials
 from tidemark.operators.windows import (
@@ -40,6 +40,8 @@ class Prepared:
     target: str
     # Columns that are neither numbers nor declared as categories: no model sees them.
     left_out: list[str]
+    # Categorical columns with their numbers of codes.
+    categories: dict[str, int] = field(default_factory=dict)
 
 
 @dataclass(frozen=True)
@@ -84,12 +86,15 @@ def prepare(
         raise ValueError(f"no date leaves {min_rows} rows in each of {n_splits} windows of {val_weeks} weeks")
     anchor = materialise(anchor, "anchor")
     splits = materialise(time_splits(dated, EVENT_DATE, n_splits, val_weeks, step_weeks, anchor), "splits")
+    categories: dict[str, int] = {}
     if categorical:
         # Coded before the splits repeat the rows; up to the anchor every row is in a split. Stored, so that Spark
         # knows the size of the lookups: small ones are broadcast, large ones are not.
         seen = dated.filter(F.col(EVENT_DATE) <= anchor.select("anchor").scalar())
         codes = materialise(category_codes(seen, categorical), "category-codes")
         dated = with_codes(dated, codes, categorical)
+        counted = {r.column_name: r["count"] for r in codes.groupBy("column_name").count().collect()}
+        categories = {c: counted.get(c, 0) for c in categorical}
     rows = split_rows(dated, splits, EVENT_DATE)
     usable = {f.name for f in rows.schema.fields if isinstance(f.dataType, T.NumericType)}
     names = [c for c in joined.columns if c in usable and c not in (*contract.keys, target)]
@@ -98,7 +103,7 @@ def prepare(
     left_out = [c for c in joined.columns if c not in seen_by_none]
     summary = split_sizes(rows, splits, names, target, categorical)
     check_splits(summary, min_rows)
-    return Prepared(rows, splits, summary, names, target, left_out)
+    return Prepared(rows, splits, summary, names, target, left_out, {c: n for c, n in categories.items() if c in names})
 
 
 RUN_SCHEMA = (
@@ -137,8 +142,10 @@ class Swept:
     pruned: list[int]
 
 
-def drawn_trials(spark: SparkSession, family: str, space: Mapping[str, object] | None, n_trials: int) -> tuple[DataFrame, dict[int, dict[str, object]]]:
-    trials = sample_trials(space_frame(spark, family, space), n_trials)
+def drawn_trials(
+    spark: SparkSession, family: str, space: Mapping[str, object] | None, n_trials: int, structures: int | None = None
+) -> tuple[DataFrame, dict[int, dict[str, object]]]:
+    trials = sample_trials(space_frame(spark, family, space), n_trials, structures, STAGE.get(family))
     params: dict[int, dict[str, object]] = {}
     for row in trials.collect():
         params.setdefault(row.trial_no, {})[row.param] = row.value if row.value is not None else row.text
@@ -185,17 +192,24 @@ def sweep_lines(prepared: Prepared, space: Mapping[str, object] | None = None, n
     return Swept(params, trials, measured.join(reached, ["trial_no", "split_no"], "left_semi").select(measured_columns()), ranking, best, sorted(stopped))
 
 
-def sweep_fits(prepared: Prepared, family: str, space: Mapping[str, object] | None, n_trials: int, primary: str, n_startup: int, parallelism: int) -> Swept:
-    """Any other family: fits of all trials split by split; the hopeless ones are stopped after each split."""
+def sweep_fits(
+    prepared: Prepared, family: str, space: Mapping[str, object] | None, n_trials: int, primary: str, n_startup: int, parallelism: int,
+    structures: int | None = None,
+) -> Swept:
+    """Any other family: fits of all trials split by split; the hopeless ones are stopped after each split.
+
+    With ``structures`` there are at most that many fits a split, whatever the number of trials: trials of one structure
+    differ in their number of trees and are read off the largest.
+    """
     spark = prepared.rows.sparkSession
     features, target = prepared.features, prepared.target
-    trials, params = drawn_trials(spark, family, space, n_trials)
+    trials, params = drawn_trials(spark, family, space, n_trials, structures)
     split_list = prepared.splits.select("split_no", "weight").orderBy("split_no").collect()
     measured: DataFrame | None = None
     alive = sorted(params)
     for step, split in enumerate(split_list):
         work = [(family, no, params[no]) for no in alive]
-        now = evaluate_trials(prepared.rows, work, [split.split_no], features, target, parallelism)
+        now = evaluate_trials(prepared.rows, work, [split.split_no], features, target, parallelism, prepared.categories)
         measured = now if measured is None else measured.unionByName(now)
         judged = median_prune(_scores(measured, primary), step + 1, n_startup)
         stopped = judged.filter("pruned").select("trial_no").distinct().collect()
@@ -214,6 +228,7 @@ def tune(
     keys: Sequence[str] = (),
     n_startup: int = 5,
     parallelism: int = 4,
+    structures: int | None = None,
 ) -> Tuned:
     """Sweep a family's trials split by split, stop the hopeless ones, refit the best.
 
@@ -224,24 +239,26 @@ def tune(
     if family == "linear":
         swept = sweep_lines(prepared, space, n_trials, primary, n_startup)
     else:
-        swept = sweep_fits(prepared, family, space, n_trials, primary, n_startup, parallelism)
+        swept = sweep_fits(prepared, family, space, n_trials, primary, n_startup, parallelism, structures)
     features, target = prepared.features, prepared.target
     chosen = swept.params[swept.best_trial]
-    ready = numeric_features(prepared.rows, features, target, keys)
+    nominal = prepared.categories if family in STAGE else {}
+    ready = numeric_features(prepared.rows, features, target, keys, nominal)
     split_nos = [r.split_no for r in prepared.splits.select("split_no").orderBy("split_no").collect()]
     if family == "linear":
         # The refit of a trial is the trial: its rows are there already. One fit gives the model itself.
         best_metrics = swept.split_metrics.filter(F.col("trial_no") == swept.best_trial)
-        model = make_estimator(family, chosen, features, target).fit(ready.filter((F.col("split_no") == split_nos[-1]) & (F.col("role") == "train")))
+        train = ready.filter((F.col("split_no") == split_nos[-1]) & (F.col("role") == "train"))
+        model = make_estimator(family, chosen, features_with_values(train, features), target).fit(train)
     else:
-        refits = [fit_and_measure(ready, family, swept.best_trial, chosen, s, features, target) for s in split_nos]
+        refits = [fit_and_measure(ready, family, swept.best_trial, chosen, s, features, target, nominal) for s in split_nos]
         best_metrics = measured_frame(spark, [row for row, _ in refits])
         model = refits[-1][1]
     last = ready.filter((F.col("split_no") == split_nos[-1]) & (F.col("role") == "test"))
     return Tuned(
         family, swept.trials, swept.split_metrics, swept.ranking, swept.best_trial, swept.pruned, primary, chosen,
         best_metrics, log_run_metrics(best_metrics, primary, best=True),
-        importance_of(model, prepared.rows, features),
+        importance_of(model, prepared.rows, model_features(model)),
         predictions(model.transform(last), keys, target, "prediction"), model,
     )
 
