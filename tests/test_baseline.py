@@ -12,7 +12,7 @@ from tidemark.operators.scoring import Scorer, attach_actuals, prediction_values
 from tidemark.plans.baseline import build_baseline
 from tidemark.plans.registration import Registry
 from tidemark.plans.run import dry_run, load_registry, run_pipeline, save_registry
-from tidemark.sources.tables import load_optional, sample_input, write_baseline
+from tidemark.sources.tables import load_optional, load_table, sample_input, write_baseline
 
 AT = dt.datetime(2024, 2, 1, tzinfo=dt.timezone.utc)
 
@@ -154,13 +154,13 @@ def test_run_pipeline(spark, use_case, tmp_path):
         ("best", "baseline"): ("done", "6 rows, 4 with actuals"),
     }
     assert outcome.failed
-    written = spark.read.parquet(pipeline.tables.baseline_table)
+    written = load_table(spark, pipeline.tables.baseline_table)
     assert {(r.model_name, r.model_version) for r in written.collect()} == {("cat.sch.cost", "2")}
 
     folder = str(tmp_path / "state")
     save_registry(outcome.registry, folder)
     again = load_registry(spark, folder)
-    assert rows(again.aliases) == [("cost", "challenger", 1), ("cost", "champion", 2), ("quiet", "champion", 1)]
+    assert rows(again.aliases) == [("cat.sch.cost", "challenger", 1), ("cat.sch.cost", "champion", 2), ("cat.sch.quiet", "champion", 1)]
     # The same specs again: both runs of 'cost' are known, nothing is rebuilt.
     repeated = run_pipeline(spark, pipeline, again, lambda *_: DOUBLE, AT)
     details = {(r.model, r.stage): r.detail for r in repeated.rows.collect() if r.status == "done"}

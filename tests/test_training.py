@@ -14,7 +14,7 @@ from tidemark.operators.training import (
 from tidemark.operators.tuning import median_prune, rank_trials, sample_trials
 from tidemark.plans.train import prepare, space_frame, tune, tuning_runs
 from tidemark.queries import QUERIES
-from tidemark.sources.tables import write_predictions, write_split_metrics, write_split_rows
+from tidemark.sources.tables import load_table, write_predictions, write_split_metrics, write_split_rows
 
 CONTRACT = TableContract("f", "b", "a", date_col="day", join_keys=["k"], label_col="cost", min_valid_date="2000-01-01",
                          exclude_from_features=["k"])
@@ -158,8 +158,8 @@ def test_tune_finds_the_line(spark, prepared, tuned, tmp_path):
     write_predictions(tuned.predictions, str(tmp_path / "p"))
     write_split_metrics(tuned.split_metrics, str(tmp_path / "m"))
     write_split_rows(prepared.rows, str(tmp_path / "r"))
-    assert spark.read.parquet(str(tmp_path / "m")).count() == tuned.split_metrics.count()
-    assert spark.read.parquet(str(tmp_path / "r")).filter("role = 'test'").count() == prepared.rows.filter("role = 'test'").count()
+    assert load_table(spark, str(tmp_path / "m")).count() == tuned.split_metrics.count()
+    assert load_table(spark, str(tmp_path / "r")).filter("role = 'test'").count() == prepared.rows.filter("role = 'test'").count()
 
 
 def test_tree_families_train(prepared):

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.values import four_decimals, is_better, minute_text, short_id, tag, utc_text
-from tidemark.operators.runs import resolve_metric, resolve_metric_per_spec
+from tidemark.operators.runs import last_values, resolve_metric, resolve_metric_per_spec
 from tidemark.operators.scan import BUCKET, Running, add_buckets, cut_points, running
 from tidemark.session import materialise
 
@@ -187,9 +187,10 @@ def version_tags(
         | ((F.col("key") == "current_champion_version") & (F.col("scenario") == CHALLENGER))
     )
     wanted = new.select("model_name", "new_version", "run_id", "scenario")
-    measured = wanted.join(run_metrics, "run_id").groupBy("model_name", "new_version", "scenario", "key")
-    last = measured.agg(F.max(F.struct("step", "value")).alias("_last")).filter(~taken)
-    metrics = last.select("model_name", F.col("new_version").alias("version"), "key", F.col("_last.value").cast("string").alias("value"))
+    # The value a version is tagged with is the one it was judged by.
+    of_these = run_metrics.join(new.select("run_id").distinct(), "run_id", "left_semi")
+    last = wanted.join(last_values(of_these), "run_id").filter(~taken).filter("value IS NOT NULL")
+    metrics = last.select("model_name", F.col("new_version").alias("version"), "key", F.col("value").cast("string").alias("value"))
     return metrics.unionByName(roles)
 
 

@@ -145,23 +145,25 @@ def match_experiment(wanted: DataFrame, experiments: DataFrame) -> DataFrame:
 
 
 def log_run_metrics(split_metrics: DataFrame, primary: str = "rmse", best: bool = False) -> DataFrame:
-    """The metric rows a training run logs: one per split and metric, and the weighted mean.
+    """The metric rows training runs log: one per split and metric, and the weighted mean.
 
-    All rows come from one pass over the split metrics: each split gives its own entries and its share
-    of the weighted mean, and every entry is a mean over the rows of its key.
+    Rows of different runs, models and trials (columns ``run_id``, ``model_name`` and ``trial_no``, as far as they are
+    there) stay apart, so that one plan logs any number of them. All rows come from one pass over the split metrics:
+    each split gives its own entries and its share of the weighted mean, and every entry is a mean over the rows of its key.
     """
     prefix = "best_" if best else ""
     one = F.lit(1.0)
+    owner = [c for c in ("run_id", "model_name", "trial_no") if c in split_metrics.columns]
 
     def entry(key: Column, value: Column, weight: Column) -> Column:
         return F.struct(key.alias("key"), value.cast("double").alias("v"), weight.alias("w"))
 
     own = [entry(F.concat(F.lit(f"{prefix}{m}_"), F.col("split_name")), F.col(m), one) for m in METRICS]
     overall = entry(F.lit(f"{prefix}weighted_mean_{primary}"), F.col(primary), F.col("weight"))
-    rows = split_metrics.select(F.inline(F.array(*own, overall)))
+    rows = split_metrics.select(*owner, F.inline(F.array(*own, overall)))
     mean = F.try_divide(F.sum(F.col("v") * F.col("w")), F.sum("w"))
     complete = F.count("v") == F.count(F.lit(1))
-    return rows.groupBy("key").agg(F.when(complete, mean).alias("value"))
+    return rows.groupBy(*owner, "key").agg(F.when(complete, mean).alias("value"))
 
 
 def file_run_id(model_name: str, path: str, logged_at: Column) -> Column:

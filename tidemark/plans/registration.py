@@ -38,6 +38,8 @@ class Registry:
     versions: DataFrame
     aliases: DataFrame
     version_tags: DataFrame | None = None
+    # The number of the committed state these tables were read from.
+    state: int = 0
 
 
 @dataclass(frozen=True)
@@ -205,6 +207,6 @@ def register(
         tags = registry.version_tags.unionByName(tags)
     after = Registry(
         runs, run_metrics, versions_after(decisions, registry.versions, registered_at),
-        aliases_after(decisions, registry.aliases), tags,
+        aliases_after(decisions, registry.aliases), tags, registry.state,
     )
     return Registration(results, decisions, after)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +15,8 @@ from tidemark.operators.scoring import Scorer
 from tidemark.operators.windows import fixed_bounds, test_window, window_rows
 from tidemark.plans.baseline import build_baseline
 from tidemark.plans.registration import Registry, register, specs_frame
+from tidemark.sources.snapshots import State, current
+from tidemark.sources.snapshots import replace as commit
 from tidemark.sources.tables import load_optional, load_table, write_baseline
 
 LoadChampion = Callable[[str, int, str], Scorer]
@@ -53,9 +55,10 @@ def run_pipeline(
 
     A failing model does not stop the others unless ``fail_fast`` is set. Models named twice are
     registered in rounds, so that the second registration sees the first. The driver only ever holds one
-    row per configured model and two dates.
+    row per configured model and two dates. The registry knows models by catalog, schema and name, so that models of
+    equal names in two catalogs have champions of their own; ``load_champion`` is asked by that full name.
     """
-    models = pipeline.resolved_models()
+    models = {k: replace(m, model_name=qualified(pipeline, m.model_name)) for k, m in pipeline.resolved_models().items()}
     contract = pipeline.tables
     bounds = dry_run(spark, pipeline)
     features = load_table(spark, contract.feature_table)
@@ -83,7 +86,7 @@ def run_pipeline(
     for key in ready if not skip_baseline else []:
         try:
             version, run_id = champions[models[key].model_name]
-            name = f"{pipeline.catalog}.{pipeline.schema}.{models[key].model_name}"
+            name = models[key].model_name
             before = window_rows(features, contract, bounds).count()
             if before == 0:
                 raise ValueError(f"no feature rows between {bounds[0]} and {bounds[1]}")
@@ -104,6 +107,11 @@ def run_pipeline(
     return Outcome(spark.createDataFrame(outcome, schema), registry)
 
 
+def qualified(pipeline: PipelineSpec, model_name: str) -> str:
+    """The name under which a use case's model is registered."""
+    return ".".join(part for part in (pipeline.catalog, pipeline.schema, model_name) if part)
+
+
 def _rounds(names: dict[str, str]) -> list[list[str]]:
     """Spec keys in rounds that name each model at most once, in the configured order."""
     rounds: list[list[str]] = []
@@ -123,13 +131,31 @@ def _champions(registry: Registry, names: list[str]) -> dict[str, tuple[int, str
     return {r.model_name: (r.version, r.run_id) for r in found.collect()}
 
 
-def save_registry(registry: Registry, folder: str) -> None:
-    """Write a registry state into a new folder; the old state stays readable until readers move on."""
-    for name, table in vars(registry).items():
-        if table is not None:
-            table.write.mode("error").parquet(f"{folder}/{name}")
+_TABLES = ("runs", "run_metrics", "versions", "aliases", "version_tags")
+
+
+def save_registry(registry: Registry, folder: str) -> Registry:
+    """Commit a registry as the next state of its folder and return it as read back.
+
+    A registry that was loaded from a state which is no longer the newest raises ``CommitConflict``: what another batch
+    registered meanwhile would be lost. Load it again and register again. Old states stay readable.
+    """
+    spark = registry.runs.sparkSession
+
+    def write(path: str) -> None:
+        for name in _TABLES:
+            table = getattr(registry, name)
+            if table is not None:
+                table.write.parquet(f"{path}/{name}")
+
+    state = commit(spark, folder, write, parent=registry.state)
+    return _registry_at(spark, state)
 
 
 def load_registry(spark: SparkSession, folder: str) -> Registry:
-    names = ("runs", "run_metrics", "versions", "aliases", "version_tags")
-    return Registry(**{n: load_optional(spark, f"{folder}/{n}") for n in names})
+    """The newest committed state of a registry's folder."""
+    return _registry_at(spark, current(spark, folder))
+
+
+def _registry_at(spark: SparkSession, state: State) -> Registry:
+    return Registry(**{n: load_optional(spark, f"{state.path}/{n}") for n in _TABLES}, state=state.number)

@@ -25,8 +25,8 @@ from tidemark.operators.tuning import median_prune, rank_trials, sample_trials
 from tidemark.operators.windows import (
     check_splits, split_anchor, split_rows, split_sizes, time_splits, with_event_date,
 )
-
 from tidemark.session import materialise
+from tidemark.sources.tables import load_optional, load_table, write_predictions, write_replacing, write_split_metrics, write_split_rows
 
 
 @dataclass(frozen=True)
@@ -101,7 +101,7 @@ def prepare(
     names = [c for c in names if c not in contract.exclude_from_features]
     seen_by_none = {*names, *contract.keys, target, *contract.exclude_from_features}
     left_out = [c for c in joined.columns if c not in seen_by_none]
-    summary = split_sizes(rows, splits, names, target, categorical)
+    summary = materialise(split_sizes(rows, splits, names, target, categorical), "split-summary")
     check_splits(summary, min_rows)
     return Prepared(rows, splits, summary, names, target, left_out, {c: n for c, n in categories.items() if c in names})
 
@@ -256,13 +256,21 @@ def tune(
         model = refits[-1][1]
     last = ready.filter((F.col("split_no") == split_nos[-1]) & (F.col("role") == "test"))
     return Tuned(
-        family, swept.trials, swept.split_metrics, swept.ranking, swept.best_trial, swept.pruned, primary, chosen,
-        best_metrics, log_run_metrics(best_metrics, primary, best=True),
+        family, swept.trials, with_ranges(swept.split_metrics, prepared.summary), swept.ranking, swept.best_trial, swept.pruned, primary, chosen,
+        with_ranges(best_metrics, prepared.summary), log_run_metrics(best_metrics, primary, best=True),
         importance_of(model, prepared.rows, model_features(model)),
         predictions(model.transform(last), keys, target, "prediction"), model,
     )
 
 
+def with_ranges(measured: DataFrame, summary: DataFrame) -> DataFrame:
+    """Metric rows with the ranges and row counts of their splits."""
+    about = summary.select("split_no", "train_start", "train_end", "test_start", "test_end", "n_train", "n_test")
+    first = [c for c in ("model_name", "trial_no", "split_no", "split_name") if c in measured.columns]
+    rest = [c for c in measured.columns if c not in first]
+    return measured.join(about, "split_no").select(*first, *about.columns[1:], *rest)
+
+
 def _scores(measured: DataFrame, primary: str) -> DataFrame:
     return measured.select("model_name", "trial_no", F.col("split_no").alias("step"), F.col(primary).alias("value"))
 
@@ -307,3 +315,81 @@ def tuning_runs(tuned: Tuned, experiment: str, started_at: dt.datetime) -> tuple
     own = tuned.run_metrics.select(F.lit(parent).alias("run_id"), "key", "value")
     metrics = per_split.unionByName(means).unionByName(own)
     return family.unionByName(trials), metrics.select("run_id", "key", F.lit(0).alias("step"), "value")
+
+
+# The outputs of a family, as folders below its own.
+OUTPUTS = ("trials", "split_metrics", "best_metrics", "ranking", "run_metrics", "importance", "predictions")
+OUTCOME = "family string, status string, best_trial int, score double, detail string"
+
+
+def train_pipeline(
+    prepared: Prepared,
+    folder: str,
+    run_id: str,
+    families: Sequence[str] = tuple(SPACES),
+    spaces: Mapping[str, Mapping[str, object]] | None = None,
+    n_trials: int = 20,
+    primary: str = "rmse",
+    keys: Sequence[str] = (),
+    structures: int | None = None,
+    n_startup: int = 5,
+    fail_fast: bool = False,
+) -> DataFrame:
+    """Tune all families and write what each leaves behind below ``folder/run_id``; one row per family on what came of it.
+
+    The split rows and their summary are written once for all. A family's outputs and its model go into its own folder,
+    and a last row marks it as complete. Called again with the same run id after a failure, the complete families are
+    skipped and read, the others are fitted anew. A family that fails does not stop the others unless ``fail_fast`` is
+    set. Rows: family, status (done, skipped, failed), best_trial, score, detail.
+    """
+    spark = prepared.rows.sparkSession
+    base = f"{folder.rstrip('/')}/{run_id}"
+    unknown = sorted(set(families) - set(SPACES))
+    if unknown:
+        raise ValueError(f"unknown model families {unknown}, known: {sorted(SPACES)}")
+    if load_optional(spark, f"{base}/split_summary") is None:
+        write_split_rows(prepared.rows, f"{base}/split_rows")
+        write_replacing(prepared.summary, f"{base}/split_summary")
+    outcome = []
+    for family in families:
+        there = load_optional(spark, f"{base}/{family}/complete")
+        if there is not None:
+            before = there.first()
+            outcome.append((family, "skipped", before.best_trial, before.score, "complete already"))
+            continue
+        try:
+            tuned = tune(prepared, family, (spaces or {}).get(family), n_trials, primary, keys, n_startup, structures=structures)
+            for name in OUTPUTS:
+                write = {"split_metrics": write_split_metrics, "predictions": write_predictions}.get(name, write_replacing)
+                write(getattr(tuned, name), f"{base}/{family}/{name}")
+            tuned.model.write().overwrite().save(f"{base}/{family}/model")
+            score = tuned.ranking.filter("is_best").first().score
+            done = (family, "done", tuned.best_trial, score, f"{len(tuned.pruned)} of {n_trials} trials stopped early")
+            write_replacing(spark.createDataFrame([done], OUTCOME), f"{base}/{family}/complete")
+            outcome.append(done)
+        except Exception as problem:
+            if fail_fast:
+                raise
+            outcome.append((family, "failed", None, None, str(problem)))
+    return spark.createDataFrame(outcome, OUTCOME)
+
+
+def training_output(spark: SparkSession, folder: str, run_id: str, name: str, families: Sequence[str] = tuple(SPACES)) -> DataFrame:
+    """One output of all complete families of a run, with the family in front."""
+    if name not in OUTPUTS:
+        raise ValueError(f"unknown output {name!r}, known: {list(OUTPUTS)}")
+    base = f"{folder.rstrip('/')}/{run_id}"
+    out = None
+    for family in families:
+        if load_optional(spark, f"{base}/{family}/complete") is not None:
+            rows = load_table(spark, f"{base}/{family}/{name}")
+            rows = rows.select(F.lit(family).alias("family"), *[c for c in rows.columns if c != "family"])
+            out = rows if out is None else out.unionByName(rows)
+    if out is None:
+        raise ValueError(f"run {run_id!r} has no complete family")
+    return out
+
+
+def load_model(folder: str, run_id: str, family: str) -> PipelineModel:
+    """The refitted best model of a family."""
+    return PipelineModel.load(f"{folder.rstrip('/')}/{run_id}/{family}/model")

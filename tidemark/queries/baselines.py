@@ -17,7 +17,7 @@ from tidemark.plans.baseline import build_baseline
 from tidemark.queries import views as v
 from tidemark.queries.catalog import query
 from tidemark.session import scratch_path
-from tidemark.sources.tables import feature_list, sample_input, write_replacing
+from tidemark.sources.tables import feature_list, load_table, sample_input, write_replacing
 
 
 @query("date_parts", "SELECT po, event_date FROM f_dated", "f_dated")
@@ -207,7 +207,7 @@ def baseline_without_actuals(spark: SparkSession, sf: str) -> DataFrame:
 def baseline_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     target = scratch_path(spark, "baseline")
     write_replacing(_baseline(spark, sf), target)
-    return _comparable(spark.read.parquet(target))
+    return _comparable(load_table(spark, target))
 
 
 @query(

@@ -9,9 +9,11 @@ from tidemark.functions.metrics import METRICS, regression_metrics
 from tidemark.operators import training as t
 from tidemark.operators.tuning import median_prune, rank_trials, sample_trials
 from tidemark.operators.windows import split_weights
-from tidemark.plans.train import Prepared, prepare, sweep_lines, tune
+from tidemark.plans.train import Prepared, prepare, sweep_lines, train_pipeline, training_output, tune
 from tidemark.queries import views as v
 from tidemark.queries.catalog import query
+from tidemark.session import scratch_path
+from tidemark.sources.tables import load_table
 
 _U = "(('0x' || substr(md5(model_name || '|' || trial_no || '|' || param), 1, 8))::BIGINT / 4294967296e0)"
 
@@ -150,4 +152,24 @@ def refit(spark: SparkSession, sf: str) -> DataFrame:
     """The winner of the sweep on every split; its metrics as a run logs them."""
     logged = tune(_prepared(spark, sf), "linear", n_trials=20).run_metrics
     digits = F.when(F.col("key").rlike("_(mape|wmape|smape|r2)_"), F.round("value", 6)).otherwise(F.round("value", 4))
-    return logged.withColumn("value", digits)
+    return logged.select("key", digits.alias("value"))
+
+
+@query(
+    "training_outputs",
+    _LINEAR + ", counted AS (SELECT split_no, count(*) FILTER (role = 'train') AS n_train, count(*) FILTER (role = 'test') AS n_test FROM f_split_rows GROUP BY split_no) "
+    "SELECT 'linear' AS family, (SELECT CAST(trial_no AS INT) FROM best) AS trial_no, m.* EXCLUDE (weight), train_start, train_end, test_start, test_end, n_train, n_test, "
+    "n_test AS n_predictions FROM measured m JOIN f_splits s USING (split_no, split_name) JOIN counted USING (split_no)",
+    "f_split_rows f_splits",
+)
+def training_outputs(spark: SparkSession, sf: str) -> DataFrame:
+    """The training flow of the linear family, read back from what it wrote: the best trial's full metric rows, and how
+    many predictions the most recent split has."""
+    folder = scratch_path(spark, "training")
+    ready = _prepared(spark, sf)
+    train_pipeline(ready, folder, "run", ["linear"], keys=["po"], fail_fast=True)
+    best = v.rounded(training_output(spark, folder, "run", "best_metrics", ["linear"])).drop("model_name", "weight")
+    written = load_table(spark, f"{folder}/run/split_rows").filter("role = 'test'").groupBy("split_name").agg(F.count("*").alias("n_predictions"))
+    last = training_output(spark, folder, "run", "predictions", ["linear"]).agg(F.count("residual").alias("n")).scalar()
+    newest = F.col("split_no") == ready.splits.agg(F.max("split_no")).scalar()
+    return best.join(written, "split_name").withColumn("n_predictions", F.when(newest, last).otherwise(F.col("n_predictions")))

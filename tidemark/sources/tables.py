@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.contract import TableContract
+from tidemark.sources.snapshots import current, replace
 
 
 def load_table(spark: SparkSession, ref: str) -> DataFrame:
-    """A catalog table by name, or a Parquet folder by path."""
-    return spark.read.parquet(ref) if "/" in ref else spark.read.table(ref)
+    """A catalog table by name, or a Parquet folder by path, in its current state."""
+    return spark.read.parquet(current(spark, ref).path) if "/" in ref else spark.read.table(ref)
 
 
 def load_optional(spark: SparkSession, ref: str | None) -> DataFrame | None:
@@ -21,7 +24,7 @@ def load_optional(spark: SparkSession, ref: str | None) -> DataFrame | None:
     if "/" not in ref:
         return spark.read.table(ref) if spark.catalog.tableExists(ref) else None
     try:
-        return spark.read.parquet(ref)
+        return spark.read.parquet(current(spark, ref).path)
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -29,21 +32,41 @@ def load_optional(spark: SparkSession, ref: str | None) -> DataFrame | None:
 
 
 def write_replacing(df: DataFrame, ref: str, partition_by: tuple[str, ...] = ()) -> None:
-    """Replace a table, its schema included."""
-    writer = df.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
+    """Replace a table, its schema included, in one step at the end: a write that fails leaves the old rows.
+
+    A folder gets a new snapshot (see ``snapshots``), to be read with ``load_table``. A catalog table is written under
+    another name, which then takes the place of the old table.
+    """
+    def writer():
+        return df.write.partitionBy(*partition_by) if partition_by else df.write
+
     if "/" in ref:
-        writer.parquet(ref)
-    else:
-        writer.format("parquet").saveAsTable(ref)
+        replace(df.sparkSession, ref, lambda path: writer().parquet(path))
+        return
+    spark = df.sparkSession
+    staged, old = f"{ref}_{uuid.uuid4().hex}", f"{ref}_{uuid.uuid4().hex}"
+    try:
+        writer().format("parquet").saveAsTable(staged)
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {staged}")
+        raise
+    if not spark.catalog.tableExists(ref):
+        spark.sql(f"ALTER TABLE {staged} RENAME TO {ref}")
+        return
+    # The old table is dropped only when the new one stands in its place.
+    spark.sql(f"ALTER TABLE {ref} RENAME TO {old}")
+    try:
+        spark.sql(f"ALTER TABLE {staged} RENAME TO {ref}")
+    except Exception:
+        spark.sql(f"ALTER TABLE {old} RENAME TO {ref}")
+        raise
+    spark.sql(f"DROP TABLE {old}")
 
 
 def write_baseline(df: DataFrame, contract: TableContract) -> DataFrame:
     """Replace the baseline table and return it as it now stands.
 
-    The contract has made sure that the target is neither of its inputs. Nothing else stands between a
-    plan and the files it overwrites, so ``df`` must come from the contract's own tables.
+    The contract has made sure that the target is neither of its inputs.
     """
     write_replacing(df, contract.baseline_table)
     return load_table(df.sparkSession, contract.baseline_table)
