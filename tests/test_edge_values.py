@@ -1,4 +1,4 @@
-"""Faults found by probing, each with the values that showed it."""
+"""Values at the edges: many importances, small slopes, odd dates, gaps in metrics and keys."""
 
 from __future__ import annotations
 

@@ -10,7 +10,7 @@ SMALL, MIDDLE = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 NEEDS_SPLITS = {
     "split_anchor", "time_splits", "split_rows", "split_summary", "split_metrics_ols", "weighted_score",
     "predictions_residuals", "category_codes", "log_run_metrics", "feature_importance_top", "train_ml_families",
-    "split_metrics_ml", "trial_sweep", "best_trial_refit",
+    "split_metrics_ml", "trial_sweep", "best_trial_refit", "training_outputs",
 }
 
 

@@ -5,7 +5,7 @@ import pytest
 from tidemark.queries import QUERIES
 
 SMALL = "/root/testdata/sf0.001"
-TRAINS = {"train_ml_families", "split_metrics_ml", "trial_sweep", "best_trial_refit"}
+TRAINS = {"train_ml_families", "split_metrics_ml", "trial_sweep", "best_trial_refit", "training_outputs"}
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - TRAINS))

@@ -2,17 +2,23 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.contract import ModelSpec, PipelineSpec, TableContract
 from tidemark.functions.values import minute_text, qualified_name
 from tidemark.operators import registry as g
 from tidemark.operators.runs import resolve_metric
+from tidemark.operators.scoring import Scorer
 from tidemark.plans.registration import Registry, register
+from tidemark.plans.run import load_registry, run_pipeline, save_registry
 from tidemark.queries import views as v
 from tidemark.queries.catalog import query
 from tidemark.queries.ranking import RESOLVED_SQL
-from tidemark.session import materialise
+from tidemark.session import materialise, scratch_path
+from tidemark.sources.tables import write_replacing
 
 
 def _resolved(spark: SparkSession, sf: str) -> DataFrame:
@@ -209,3 +215,50 @@ def history_any_gain(spark: SparkSession, sf: str) -> DataFrame:
 )
 def history_two_percent(spark: SparkSession, sf: str) -> DataFrame:
     return _history(spark, sf, 0.02)
+
+
+@query(
+    "pipeline_results",
+    "WITH chosen AS (SELECT scenario AS model, min_by(run_id, model_name) AS run_id, min(model_name) AS model_name FROM f_decisions GROUP BY scenario), "
+    "built AS (SELECT count(*) || ' rows, ' || count(label) || ' with actuals' AS detail FROM f_baseline) "
+    "SELECT model, 'registration' AS stage, CASE model WHEN 'error' THEN 'failed' ELSE 'done' END AS status, CASE WHEN model <> 'error' THEN model END AS detail FROM chosen "
+    "UNION ALL SELECT model, 'baseline', 'done', detail FROM chosen, built WHERE model NOT IN ('error', 'skipped_duplicate') "
+    "UNION ALL SELECT 'again ' || model, 'registration', CASE model WHEN 'error' THEN 'failed' ELSE 'done' END, CASE WHEN model <> 'error' THEN 'skipped_duplicate' END FROM chosen "
+    "UNION ALL SELECT 'champion ' || d.model_name, 'registry', 'done', CASE WHEN scenario IN ('first_registration', 'promoted') THEN CAST(new_version AS VARCHAR) ELSE CAST(champion_version AS VARCHAR) END "
+    "FROM f_decisions d JOIN chosen c ON c.model_name = d.model_name AND d.scenario = c.model WHERE scenario <> 'error' AND (champion_version IS NOT NULL OR scenario IN ('first_registration', 'promoted'))",
+    "f_decisions f_baseline",
+)
+def pipeline_results(spark: SparkSession, sf: str) -> DataFrame:
+    """A whole run over one model of every kind of outcome, from registration to the written baseline; then the same run
+    on the committed registry, in which every model is known; last the champions of the committed state."""
+    versions = _versions(spark, sf)
+    # One model for each of the few kinds of outcome.
+    place = F.struct("model_name", "run_id")
+    chosen = _decisions(spark, sf, versions).groupBy("scenario").agg(F.min(place).alias("m")).select("scenario", "m.*").collect()
+    name = lambda frame: frame.withColumn("model_name", qualified_name(F.lit("main"), F.lit("ops"), F.col("model_name")))
+    registry = Registry(v.runs(spark, sf), v.run_metrics(spark, sf), name(versions), name(v.aliases(spark, sf)))
+    folder, tables = scratch_path(spark, "registry"), scratch_path(spark, "tables")
+    write_replacing(v.features(spark, sf), f"{tables}/features")
+    write_replacing(v.actuals(spark, sf), f"{tables}/actuals")
+    refs = {"feature_table": f"{tables}/features", "actual_table": f"{tables}/actuals", "baseline_table": f"{tables}/baseline"}
+    contract = TableContract(**{**vars(v.CONTRACT), **refs})
+    models = {
+        r.scenario: ModelSpec(r.model_name, metric_pattern=v.STAMPED, source="run", run_id=r.run_id, improvement_threshold=0.02) for r in chosen
+    }
+    spec = PipelineSpec("cost", "main", "ops", "/exp/none", contract, models)
+    line = v.line(spark, sf).first()
+    scorer = Scorer(expression=F.lit(line.slope) * F.col("o_totalprice") + F.lit(line.intercept))
+    at = dt.datetime.fromisoformat(v.REGISTERED_AT)
+    done = run_pipeline(spark, spec, save_registry(registry, folder), lambda *_: scorer, at)
+    kept = save_registry(done.registry, folder)
+    again = run_pipeline(spark, spec, kept, lambda *_: scorer, at, skip_baseline=True)
+    known = F.when(F.col("status") == "done", F.col("detail"))
+    rows = done.rows.select("model", "stage", "status", known.alias("detail"))
+    later = again.rows.select(F.concat(F.lit("again "), "model").alias("model"), "stage", "status", known.alias("detail"))
+    registered = [f"main.ops.{r.model_name}" for r in chosen if r.scenario != g.ERROR]
+    holders = load_registry(spark, folder).aliases.filter((F.col("alias") == "champion") & F.col("model_name").isin(registered))
+    bare = F.element_at(F.split("model_name", "[.]"), -1)
+    champions_ = holders.select(
+        F.concat(F.lit("champion "), bare).alias("model"), F.lit("registry").alias("stage"), F.lit("done").alias("status"), F.col("version").cast("string").alias("detail")
+    )
+    return rows.unionByName(later).unionByName(champions_)
