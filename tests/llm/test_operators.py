@@ -298,12 +298,62 @@ def test_divergence_keeps_good_and_drops_junk(spark, docs, labels):
     assert divergence.distances(p, q) == pytest.approx([0.0, 1.0])
 
 
-def test_rare_languages_have_references(spark):
+def test_junk_is_found_and_good_text_stays(spark):
+    middle = "/root/testdata/sf0.01"
+    judged = divergence.judge(table(spark, middle, "documents")).join(table(spark, middle, "labels"), "doc_id").filter("not base_failed")
+    kept = {r.quality: (r.kept, r.n) for r in judged.groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("kept"), F.count("*").alias("n")).collect()}
+    assert kept[1][0] >= 0.99 and kept[0][0] <= 0.2 and kept[0][1] > 10
+
+
+def test_languages_are_judged_by_their_own_documents(spark, docs):
     english = " ".join(f"the old house number {i} is near to river {i}" for i in range(12))
     greek = " ".join(f"λέξη{chr(945 + i % 24)}{chr(945 + i // 24)}" for i in range(70))
-    rows = [(i, english, "en") for i in range(2500)] + [(9000 + i, f"{greek} τέλος{i}", "el") for i in range(2)]
-    judged = divergence.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
-    assert [(r.kept, r.char_distance < 0.05) for r in judged.filter("doc_id >= 9000").collect()] == [(True, True)] * 2
+    junk = "#$% 0000 |||| <<>> " * 40 + " ".join(f"&{i}*" for i in range(90))
+    rows = [(i, english, "en") for i in range(500)] + [(9000 + i, f"{greek} τέλος{i}", "el") for i in range(25)] + [(9500, junk, "el"), (9600, greek, "xx"), (9700, greek, None), (9800, junk, None)]
+    judged = {r.doc_id: r for r in divergence.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert all(judged[9000 + i].kept and judged[9000 + i].char_distance < 0.2 for i in range(25))
+    assert not judged[9500].kept and judged[9500].char_distance > 0.5
+    # Too few documents for a reference: only the base rules judge. No language: the nearest reference.
+    assert judged[9600].kept and judged[9600].char_distance is None
+    assert judged[9700].kept and judged[9700].char_distance < 0.2 and not judged[9800].kept
+
+
+def test_a_stray_language_excuses_nothing(spark, docs):
+    plain = docs.select("doc_id", "text", "lang")
+    before = {r.doc_id: r.kept for r in divergence.judge(plain).collect()}
+    rejected = next(i for i, kept in sorted(before.items()) if not kept)
+    stray = plain.filter(F.col("doc_id") == rejected).select(F.lit(10**6).alias("doc_id"), "text", F.lit("zz").alias("lang"))
+    after = {r.doc_id: r.kept for r in divergence.judge(plain.unionByName(stray)).collect()}
+    assert {i: k for i, k in after.items() if i != 10**6} == before
+
+
+def test_references_and_distances_equal_a_plain_computation(docs):
+    rows = [(r.doc_id, r.text or "", r.lang) for r in docs.collect()]
+    got = {r.doc_id: r for r in divergence.judge(docs, support=5).collect()}
+
+    def share(text, part):
+        counts = np.array(divergence.histograms(text)[part], float)
+        return np.floor(counts / counts.sum() * 10**9)
+
+    def distance(p, q):
+        p, q = p / p.sum(), q / q.sum()
+        m = (p + q) / 2
+        kl = lambda x: sum(a * np.log2(a / b) for a, b in zip(x, m) if a > 0)
+        return np.sqrt(max(0, (kl(p) + kl(q)) / 2))
+
+    for part, name, long in ((0, "char_distance", lambda t: len(t.encode()) >= 300), (1, "word_distance", lambda t: divergence.histograms(t)[3] >= 60)):
+        by_lang = {}
+        for i, text, lang in rows:
+            if lang is not None and long(text):
+                by_lang.setdefault(lang, {})[i] = share(text, part)
+        for i, text, lang in rows:
+            if not long(text) or len(by_lang.get(lang, ())) < 5:
+                assert got[i][name] is None
+            else:
+                want = distance(np.array(divergence.histograms(text)[part], float), sum(v for k, v in by_lang[lang].items() if k != i))
+                assert got[i][name] == pytest.approx(want, abs=1e-6)
+    for r in got.values():
+        assert r.kept == (not r.base_failed and (r.char_distance or 0) <= 0.22 and (r.word_distance or 0) <= 0.38)
 
 
 def test_phrases_equal_greedy_search(spark):
