@@ -12,7 +12,7 @@ from tidemark.operators.windows import split_weights
 from tidemark.plans.train import Prepared, prepare, sweep_lines, train_pipeline, training_output, tune
 from tidemark.queries import views as v
 from tidemark.queries.catalog import query
-from tidemark.session import scratch_path
+from tidemark.session import materialise, scratch_path
 from tidemark.sources.tables import load_table
 
 _U = "(('0x' || substr(md5(model_name || '|' || trial_no || '|' || param), 1, 8))::BIGINT / 4294967296e0)"
@@ -74,11 +74,11 @@ def _prepared(spark: SparkSession, sf: str) -> Prepared:
 def families(spark: SparkSession, sf: str) -> DataFrame:
     """Each family once on the most recent split, measured on its test rows."""
     ready = _prepared(spark, sf)
-    rows = t.numeric_features(ready.rows, ready.features, ready.target)
-    last = rows.filter(F.col("split_no") == ready.splits.agg(F.max("split_no")).scalar()).persist()
+    rows = t.numeric_features(ready.rows, ready.features, ready.target, categories=ready.categories)
+    last = materialise(rows.filter(F.col("split_no") == ready.splits.agg(F.max("split_no")).scalar()), "last-split")
     out = None
     for family, params in _QUICK.items():
-        model = t.make_estimator(family, params, ready.features, ready.target).fit(last.filter("role = 'train'"))
+        model = t.make_estimator(family, params, ready.features, ready.target, ready.categories).fit(last.filter("role = 'train'"))
         scored = model.transform(last.filter("role = 'test'"))
         row = regression_metrics(scored, ready.target, "prediction").select(F.lit(family).alias("family"), "*")
         out = row if out is None else out.unionByName(row)
