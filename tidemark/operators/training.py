@@ -251,12 +251,13 @@ def first_trees(model: PipelineModel, count: int) -> PipelineModel:
         weights = gateway.new_array(jvm.double, count)
         for i in range(count):
             weights[i] = float(last._java_obj.treeWeights()[i])
-        small = GBTRegressionModel(jvm.org.apache.spark.ml.regression.GBTRegressionModel(uid, held, weights, width))
+        made, kind = jvm.org.apache.spark.ml.regression.GBTRegressionModel(uid, held, weights, width), GBTRegressionModel
     else:
-        small = RandomForestRegressionModel(jvm.org.apache.spark.ml.regression.RandomForestRegressionModel(uid, held, width))
-    small._java_obj.setFeaturesCol("_features")
-    small._java_obj.setPredictionCol("prediction")
-    small = type(small)(small._java_obj)
+        made, kind = jvm.org.apache.spark.ml.regression.RandomForestRegressionModel(uid, held, width), RandomForestRegressionModel
+    made.setFeaturesCol("_features")
+    made.setPredictionCol("prediction")
+    # One wrapper only: a second one would let go of the object when the first is collected.
+    small = kind(made)
     small._transfer_params_from_java()
     return PipelineModel([*model.stages[:-1], small])
 
