@@ -85,7 +85,49 @@ def test_token_files_have_stripes_indexes_and_lookup(spark, docs):
 def test_encoder_equals_library(text):
     encoder = token_output.Encoder(vocabulary(), words=3)
     for _ in range(3):
-        assert encoder.encode([text, "some other words"])[0] == encoder.plain(text)
+        got = encoder.encode([text, "some other words", "", text])
+        want = encoder.tokenizer.encode(text, add_special_tokens=False).ids
+        assert got[0].tolist() == got[3].tolist() == want and not len(got[2])
+
+
+def test_encoder_keeps_ids_over_generations():
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(vocabulary())
+    encoder, rng = token_output.Encoder(vocabulary(), words=40), np.random.default_rng(5)
+    parts = [" ", "  ", "\n", "\u3000", "a", "the", "\u00e9", "1", ".", "'s", "</s>", "\U0001f600", "x" * 1200]
+    for _ in range(60):
+        texts = ["".join(rng.choice(parts, rng.integers(0, 25))) for _ in range(12)]
+        assert [row.tolist() for row in encoder.encode(texts)] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    assert encoder.encode([]) == []
+
+
+def test_texts_longer_than_a_stretch(spark):
+    """A text of more than 4 MB is worked on alone and whole."""
+    from tokenizers import Tokenizer
+
+    long = "some words, of a long text. " * 160_000
+    frame = spark.createDataFrame([(1, "before"), (2, long), (3, "after")], "doc_id long, text string")
+    path = scratch_path(spark, "test-tokens")
+    token_output.write_tokens(frame, path, vocabulary())
+    got = {r.doc_id: (r.start, r.n_tokens) for r in token_output.digests(spark, path).collect()}
+    plain = Tokenizer.from_file(vocabulary())
+    n = [len(plain.encode(t, add_special_tokens=False).ids) + 1 for t in ("before", long, "after")]
+    assert got == {1: (0, n[0]), 2: (n[0], n[1]), 3: (n[0] + n[1], n[2])}
+
+
+def test_tokenizers_that_words_cannot_be_cut_for_are_refused(tmp_path):
+    import json
+
+    import public_tokenizers
+
+    with pytest.raises(ValueError):
+        token_output.Encoder(public_tokenizers.path("word_bpe_49k.json"))
+    form = json.loads(open(vocabulary()).read())
+    form["normalizer"] = {"type": "Lowercase"}
+    (tmp_path / "lower.json").write_text(json.dumps(form))
+    with pytest.raises(ValueError):
+        token_output.Encoder(str(tmp_path / "lower.json"))
 
 
 def brute_hits(texts, items, n=10):

@@ -16,6 +16,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -29,13 +30,49 @@ from tidemark.llm.common import stretches
 UNSAFE = re.compile(r" (?<=\s )(?:\s|\Z)")
 
 
+class Words(dict):
+    """Words numbered in the order in which they are first asked for."""
+
+    def __missing__(self, word: str) -> int:
+        number = self[word] = len(self)
+        return number
+
+
+def gather(flat: np.ndarray, begins: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The slices of ``flat`` that start at ``begins`` with ``counts`` entries each, one after the other."""
+    stops = np.cumsum(counts)
+    shift = np.repeat(begins - (stops - counts), counts)
+    return flat[shift + np.arange(shift.size)]
+
+
+class Held:
+    """Words with their ids: a word's number is its place in ``begins`` and ``counts``, which point into ``ids``."""
+
+    def __init__(self) -> None:
+        self.numbers = Words()
+        self.ids = np.empty(0, np.int32)
+        self.begins = np.empty(0, np.int64)
+        self.counts = np.empty(0, np.int64)
+
+    def unlearned(self) -> list[str]:
+        return list(islice(self.numbers, len(self.counts), None))
+
+    def add(self, ids: np.ndarray, counts: np.ndarray) -> None:
+        self.begins = np.concatenate([self.begins, len(self.ids) + np.cumsum(counts) - counts])
+        self.counts = np.concatenate([self.counts, counts])
+        self.ids = np.concatenate([self.ids, ids])
+
+
 class Encoder:
     """Encodes texts with a byte-level BPE tokenizer, remembering the ids of words.
 
     The tokenizer splits a text into pieces before it merges bytes, and a blank next to a character that is not
     white space always begins a piece. So a text can be cut there into words, each encoded once with the blank before
-    it. Unknown words are encoded together as one text and told apart by the byte lengths of their ids. When ``words``
+    it. A text becomes the numbers of its words in one lookup each; the ids of all words of a batch are then copied at
+    once. Unknown words are encoded together as one text and told apart by the byte lengths of their ids. When ``words``
     words are held they become the old generation; a word of it that is met again moves on, the others go with the next.
+
+    Raises ValueError for a tokenizer that has a normalizer or is not byte-level, where words can't be cut out so.
     """
 
     def __init__(self, path: str, words: int = 350_000) -> None:
@@ -45,59 +82,70 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        if self.tokenizer.normalizer is not None or "ByteLevel" not in repr(self.tokenizer.pre_tokenizer):
+            raise ValueError(f"{path} is no byte-level tokenizer without normalizer")
         # The library's own cache only costs time here: it is asked for every word once.
         self.tokenizer.model._resize_cache(0)
         count = self.tokenizer.get_vocab_size()
         self.width = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(count)], np.int64)
-        self.known: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.known, self.old = Held(), Held()
         self.words = words
 
-    def ids(self, text: str) -> np.ndarray:
+    def plain(self, text: str) -> np.ndarray:
         # The batch call without offsets is the cheaper one.
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int32)
 
-    def plain(self, text: str) -> bytes:
-        return self.ids(text).tobytes()
-
-    def learn(self, words: list[str]) -> None:
-        """The ids of words with a blank before them. Words begin with a character that is not white space."""
-        if not words:
-            return
+    def library(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words with a blank before them, and the count of each. Words begin with no white space."""
         text = " " + " ".join(words)
-        ids = self.ids(text)
+        ids = self.plain(text)
         # Words hold no blanks, so every blank begins one.
         begins = np.flatnonzero(np.frombuffer(text.encode(), np.uint8) == 32)
-        cuts = (np.searchsorted(np.cumsum(self.width[ids]), begins, side="right") * 4).tolist()
-        held = ids.tobytes()
-        self.known.update(zip(words, map(held.__getitem__, map(slice, cuts, [*cuts[1:], len(held)]))))
+        cuts = np.searchsorted(np.cumsum(self.width[ids]), begins, side="right")
+        return ids, np.diff(cuts, append=len(ids))
 
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def learn(self) -> None:
+        """Find the ids of the words that were numbered but not learned yet."""
+        words = self.known.unlearned()
+        if not words:
+            return
+        old = np.fromiter((self.old.numbers.get(word, -1) for word in words), np.int64, len(words))
+        safe = np.fromiter((word[:1].strip() != "" and len(word) < 1000 for word in words), bool, len(words))
+        met, together, alone = old >= 0, (old < 0) & safe, (old < 0) & ~safe
+        flat, counts = [self.old.ids], np.zeros(len(words), np.int64)
+        begins = np.zeros(len(words), np.int64)
+        begins[met], counts[met] = self.old.begins[old[met]], self.old.counts[old[met]]
+        size = len(self.old.ids)
+        if together.any():
+            ids, n = self.library([words[i] for i in np.flatnonzero(together)])
+            begins[together], counts[together] = size + np.cumsum(n) - n, n
+            flat.append(ids)
+            size += len(ids)
+        for i in np.flatnonzero(alone):
+            ids = self.plain(" " + words[i])
+            begins[i], counts[i] = size, len(ids)
+            flat.append(ids)
+            size += len(ids)
+        self.known.add(gather(np.concatenate(flat), begins, counts), counts)
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
         """For each text its ids as 32-bit integers."""
-        if len(self.known) > self.words:
-            self.known, self.old = {}, self.known
-        known, old = self.known, self.old
-        rows: list[list[str] | None] = []
-        unseen: set[str] = set()
+        if len(self.known.numbers) > self.words:
+            self.known, self.old = Held(), self.known
+        number = self.known.numbers.__getitem__
+        rows: list[tuple[str, np.ndarray]] = []
         for text in texts:
-            words = None if UNSAFE.search(text) else text.split(" ")
-            rows.append(words)
-            if words:
-                unseen |= set(words[1:]).difference(known)
-        met = unseen.intersection(old)
-        known.update(zip(met, map(old.__getitem__, met)))
-        left = unseen.difference(met)
-        safe = [word for word in left if word[:1].strip() and len(word) < 1000]
-        self.learn(safe)
-        for word in left.difference(safe):
-            known[word] = self.plain(" " + word)
+            first, *words = [text] if UNSAFE.search(text) else text.split(" ")
+            rows.append((first, np.fromiter(map(number, words), np.int64, len(words))))
+        self.learn()
+        numbers = np.concatenate([row for _, row in rows]) if rows else np.empty(0, np.int64)
+        counts = self.known.counts[numbers]
+        ids = gather(self.known.ids, self.known.begins[numbers], counts)
+        before = np.concatenate([[0], np.cumsum(counts)])
+        ends = before[np.cumsum([len(row) for _, row in rows], dtype=np.int64)].tolist()
         out = []
-        for text, words in zip(texts, rows):
-            if words is None:
-                out.append(self.plain(text))
-            else:
-                first = self.plain(words[0]) if words[0] else b""
-                out.append(first + b"".join(map(known.__getitem__, words[1:])))
+        for (first, _), begin, end in zip(rows, [0, *ends], ends):
+            out.append(np.concatenate([self.plain(first), ids[begin:end]]) if first else ids[begin:end])
         return out
 
 
@@ -114,16 +162,16 @@ def encoder(path: str) -> Encoder:
 def write_tokens(docs: DataFrame, path: str, vocabulary: str, end_id: int = 2, stripe_bytes: int = 16 << 20, group_rows: int = 1000, key: str = "doc_id", text: str = "text") -> None:
     """Write the ids of all documents below ``path``. ``vocabulary`` is a tokenizer file that every worker has."""
     kind = docs.schema[key].dataType.simpleString()
-    end = np.array([end_id], np.int32).tobytes()
+    end = np.array([end_id], np.int32)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work, before = encoder(vocabulary), 0
         for batch in batches:
             for cut in stretches(batch, 1, 4 << 20):
                 rows = work.encode([t or "" for t in cut.column(1).to_pylist()])
-                counts = np.array([len(row) // 4 + 1 for row in rows], np.int64)
+                counts = np.array([len(row) + 1 for row in rows], np.int64)
                 stops = np.cumsum(counts)
-                ids = np.frombuffer(end.join([*rows, b""]), np.int32)
+                ids = np.concatenate([part for row in rows for part in (row, end)])
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], stops]), pa.int32()), pa.array(ids))
                 yield pa.RecordBatch.from_arrays(
                     [cut.column(0), pa.array(before + stops - counts), pa.array(counts), lists], names=["doc_id", "local_start", "n_tokens", "ids"]
@@ -158,7 +206,8 @@ def digests(spark: SparkSession, path: str) -> DataFrame:
         for batch in batches:
             lists = batch.column(3)
             stops = lists.offsets.to_numpy().tolist()
-            held = memoryview(lists.values.to_numpy(zero_copy_only=False).astype("<u4").tobytes())
+            # The buffer as Spark filled it; negative ids do not occur, so signed and unsigned bytes are the same.
+            held = memoryview(lists.values.to_numpy(zero_copy_only=False).astype("<i4", copy=False)).cast("B")
             sums = [zlib.crc32(held[4 * a : 4 * b]) for a, b in zip(stops, stops[1:])]
             counts = [b - a for a, b in zip(stops, stops[1:])]
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(counts, pa.int64()), pa.array(sums, pa.int64())], names=["file", "doc_id", "local_start", "n_tokens", "ids_crc32"])
