@@ -304,6 +304,31 @@ def test_removed_bytes_equal_brute_force(spark, docs, odd, empty, hot):
         got = sorted((tuple(r) for r in suffix_dedup.deduplicate(frame, hot=hot).collect()), key=repr)
         assert got == brute_removed(texts_of(frame))
     assert suffix_dedup.deduplicate(odd, with_text=True).filter("sha2(kept, 256) <> kept_sha256").count() == 0
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("texts_")]
+
+
+def test_removed_bytes_with_fewer_buckets_than_parts_and_unordered_copies(spark, docs):
+    few = docs.select("doc_id", "text").filter("doc_id < 60")
+    copies = few.unionByName(few.select((199 - F.col("doc_id")).alias("doc_id"), "text")).orderBy(F.xxhash64("doc_id"))
+    spark.conf.set("spark.sql.sources.bucketing.maxBuckets", "3")
+    try:
+        got = sorted((tuple(r) for r in suffix_dedup.deduplicate(copies).collect()), key=repr)
+    finally:
+        spark.conf.unset("spark.sql.sources.bucketing.maxBuckets")
+    assert got == brute_removed(texts_of(copies))
+
+
+def test_removed_bytes_of_a_text_over_a_megabyte(spark):
+    """The long text is random but for one planted passage, which an earlier and a later document share."""
+    rng = np.random.default_rng(3)
+    long = rng.integers(97, 123, 1_300_000, dtype=np.uint8).tobytes().decode()
+    passage = "a passage of over one hundred bytes which is found in three documents, in the middle of a very long one too, twice"
+    held = [(1, passage), (2, long[:700_000] + passage + long[700_000:] + passage), (3, "end " + passage)]
+    frame = spark.createDataFrame(held, "doc_id long, text string")
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.deduplicate(frame).collect()}
+    sha = lambda text: hashlib.sha256(text.encode()).hexdigest()
+    n = len(passage)
+    assert got == {1: (n, 0, 0, sha(passage)), 2: (len(held[1][1]), 2 * n, 2, sha(long)), 3: (n + 4, n, 1, sha("end "))}
 
 
 def test_two_stage_order_is_the_sorted_order():
@@ -435,6 +460,62 @@ def test_positive_unlabelled_risk_separates(spark):
     assert low > 0 > high
 
 
+def test_positive_unlabelled_risk_is_lowest_at_the_fitted_weights():
+    """The fitted weights against a plain evaluation of the non-negative risk, and against moved ones."""
+    rng = np.random.default_rng(8)
+    bins = lambda n, good: np.stack([rng.integers(0, 4, n) if good else rng.integers(1, 5, n), 5 + rng.integers(0, 5, n)], axis=1)
+    prior = 0.6
+    good = quality_classifier.one_hot(bins(500, True), 10)
+    web = quality_classifier.one_hot(np.concatenate([bins(360, True), bins(240, False)]), 10)
+    weights = quality_classifier.fit_nnpu(good, web, prior)
+
+    def risk(w):
+        loss = lambda rows, sign: np.mean([np.log1p(np.exp(-sign * float(row @ w))) for row in rows.astype(float)])
+        return prior * loss(good, 1) + max(0.0, loss(web, -1) - prior * loss(good, -1))
+
+    fitted = risk(weights)
+    assert fitted < risk(np.zeros(len(weights))) - 0.05
+    assert all(fitted <= risk(weights + step) + 2e-3 for step in 0.4 * np.eye(len(weights))) and fitted <= risk(0.5 * weights) + 2e-3
+
+
+def test_unlabelled_sample_is_bounded_for_repeated_and_missing_ids(spark):
+    one_id = spark.range(6000).select(F.lit(5).cast("long").alias("doc_id"), F.concat(F.lit("text "), F.col("id")).alias("text"))
+    no_id = one_id.withColumn("doc_id", F.lit(None).cast("long"))
+    for frame in (one_id, no_id):
+        assert 200 < quality_classifier.sampled_web(frame, 400, F.lit(True)).count() < 700
+    same = spark.range(6000).select(F.lit(5).cast("long").alias("doc_id"), F.lit("same").alias("text"))
+    assert quality_classifier.sampled_web(same, 400, F.lit(True)).count() <= 1
+
+
+def test_chain_feeds_out_of_fold_probabilities(monkeypatch):
+    """Each later model sees, per row, what a model fitted without the row's fold says, recomputed plainly here."""
+    rng = np.random.default_rng(4)
+    rows, size, folds = 60, 6, 3
+    lists = [np.sort(rng.choice(size, rng.integers(1, 4), replace=False)) for _ in range(rows)]
+    numbers, ends = np.concatenate(lists), np.cumsum([0, *map(len, lists)])
+    truth = np.stack([[0 in x for x in lists], [(0 in x) != (rng.random() < 0.2) for x in lists]], axis=1).astype(int)
+    calls, fit = [], toxicity.fit_softmax
+
+    def seen(n, e, s, target, classes, extra):
+        calls.append((len(e) - 1, extra))
+        return fit(n, e, s, target, classes, extra=extra)
+
+    monkeypatch.setattr(toxicity, "fit_softmax", seen)
+
+    class Features:
+        pass
+
+    Features.size = size
+    toxicity.fit_chain(Features, numbers, ends, truth, ["first", "second"], folds)
+    assert [n for n, _ in calls] == [60, 40, 40, 40, 60] and calls[0][1].shape[1] == 0
+    want = np.zeros(rows)
+    for i in range(rows):
+        others = [j for j in range(rows) if j % folds != i % folds]
+        own = fit(np.concatenate([lists[j] for j in others]), np.cumsum([0, *(len(lists[j]) for j in others)]), size, truth[others, 0], 2, extra=np.zeros((40, 0)))
+        want[i] = toxicity.probabilities(own, size, lists[i], np.array([0, len(lists[i])]), np.zeros((1, 0)))[0, 1]
+    assert np.allclose(calls[-1][1][:, 0], toxicity.logits(want), atol=1e-6)
+
+
 def test_quality_and_toxicity_on_odd_tables(spark, docs, labels, odd, empty):
     model = quality_classifier.fit(docs, labels, F.lit(True))
     rows = quality_classifier.scores(odd, model).collect()

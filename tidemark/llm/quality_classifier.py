@@ -77,13 +77,19 @@ def fit_nnpu(good: np.ndarray, web: np.ndarray, prior: float, l2: float = 1e-5,
     return weights
 
 
+def sampled_web(docs: DataFrame, bound: int, where: Column) -> DataFrame:
+    """About ``bound`` texts. Rows with equal or missing ids are drawn each for itself, by their texts; equal rows count once."""
+    rows = docs.select(F.col("doc_id"), F.col("text"), F.concat_ws(" ", F.col("doc_id").cast("string"), F.xxhash64("text").cast("string")).alias("row"))
+    return rows.filter(sample_of(rows, bound, "row", where)).dropDuplicates(["doc_id", "text"]).drop("row")
+
+
 def fit(docs: DataFrame, labels: DataFrame, where: Column, bound: int = 12_000, label: str = "quality") -> QualityModel:
     """Learn from rows for which ``where`` (on doc_id) holds. At most about ``bound`` positives and unlabelled texts."""
     trusted = labels.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max(label).alias(label)).dropna().filter(where)
     seen = trusted.agg(F.count("*").alias("n"), F.sum(F.when(F.col(label) == 1, 1).otherwise(0)).alias("good")).first()
     prior = min(0.99, max(0.01, (seen.good or 0) / max(1, seen.n)))
     positives = labelled_sample(docs, labels.filter(F.col(label) == 1), [label], bound, where)
-    web = docs.select("doc_id", "text").filter(sample_of(docs, bound, "doc_id", where))
+    web = sampled_web(docs, bound, where)
 
     def measured(frame: DataFrame) -> np.ndarray:
         rows = with_measures(frame.select("text")).select("measures").toArrow().column("measures").to_pylist()

@@ -130,42 +130,54 @@ def cuts(table: pa.Table, limit: int = 1 << 20) -> Iterator[tuple[list[int], lis
         yield tids, nodes, texts
 
 
-def first_texts(docs: DataFrame, length: int) -> tuple[DataFrame, DataFrame, int]:
-    """Rows (doc_id, node, digest, n_bytes), the distinct texts in buckets by part, and the number of parts."""
+def first_texts(docs: DataFrame, length: int) -> tuple[DataFrame, str, int]:
+    """Rows (doc_id, node, digest, n_bytes), the name of a table of the distinct texts in buckets by part, the number of parts."""
     spark = docs.sparkSession
     total = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     parts = max(shuffle_width(spark), -(-total // PART_BYTES))
+    # Spark has a limit on buckets; beyond it a bucket holds several parts.
+    buckets = min(parts, int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets")))
 
-    def make(with_bodies: bool):
-        seen: set[bytes] = set()
+    def digest(text: pa.StringScalar) -> tuple[bytes, bytes]:
+        held = (text.as_py() or "").encode("utf-8", "surrogatepass")
+        return hashlib.blake2b(held, digest_size=16).digest(), held
 
-        def digested(texts: pa.Array) -> list[pa.Array]:
-            digests, sizes, bodies = [], [], []
-            for text in texts:
-                held = (text.as_py() or "").encode("utf-8", "surrogatepass")
-                own = hashlib.blake2b(held, digest_size=16).digest()
+    def make_rows():
+        def described(texts: pa.Array) -> list[pa.Array]:
+            made = [(own, len(held)) for own, held in map(digest, texts)]
+            return [pa.array([own for own, _ in made], pa.binary()), pa.array([n for _, n in made], pa.int64())]
+
+        return described
+
+    def make_bodies():
+        least: dict[bytes, int] = {}
+
+        def described(texts: pa.Array, nodes: pa.Array) -> list[pa.Array]:
+            digests, sizes, bodies, told = [], [], [], []
+            for text, node in zip(texts, nodes.to_pylist()):
+                own, held = digest(text)
                 digests.append(own)
                 sizes.append(len(held))
-                if with_bodies:
-                    bodies.append(None if own in seen else packed(held))
-                    seen.add(own)
-            out = [pa.array(digests, pa.binary()), pa.array(sizes, pa.int64())]
-            return [*out, pa.array(bodies, pa.binary())] if with_bodies else out
+                bodies.append(None if own in least else packed(held))
+                told.append(own not in least or node < least[own])
+                least[own] = min(node, least.get(own, node))
+            return [pa.array(digests, pa.binary()), pa.array(sizes, pa.int64()), pa.array(bodies, pa.binary()), pa.array(told, pa.bool_())]
 
-        return digested
+        return described
 
     fields = [field("digest", "binary"), field("n_bytes", "long")]
     ids = docs.select("text", F.col("doc_id").cast("long").alias("doc_id"))
-    node = F.coalesce("doc_id", F.lit(NO_ID))
-    rows = append(ids, lambda: make(False), fields, ["text"]).drop("text").withColumn("node", node)
-    full = append(ids, lambda: make(True), [*fields, field("packed", "binary")], ["text"]).drop("text")
-    full = full.select("digest", "n_bytes", "packed", node.alias("node"), F.pmod(F.xxhash64("digest"), F.lit(parts)).cast("int").alias("part"))
-    # Only the first text of a task is sent along; the others are known by their digests.
-    firsts = full.repartition(parts, "part").groupBy("part", "digest").agg(F.min("node").alias("node"), F.first("packed", ignorenulls=True).alias("packed"), F.max("n_bytes").alias("n_bytes"))
+    ids = ids.withColumn("node", F.coalesce("doc_id", F.lit(NO_ID)))
+    rows = append(ids, make_rows, fields, ["text"]).drop("text")
+    full = append(ids, make_bodies, [*fields, field("packed", "binary"), field("told", "boolean")], ["text", "node"])
+    # Only the first text of a task is sent along; of its copies there only those with a smaller id than all before, so
+    # that the copies of a frequent text do not meet in one task.
+    full = full.filter("told").select("digest", "n_bytes", "packed", "node", F.pmod(F.xxhash64("digest"), F.lit(parts)).cast("int").alias("part"))
+    firsts = full.repartition(buckets, "part").groupBy("part", "digest").agg(F.min("node").alias("node"), F.first("packed", ignorenulls=True).alias("packed"), F.max("n_bytes").alias("n_bytes"))
     firsts = firsts.withColumn("tid", F.conv(F.substring(F.hex("digest"), 1, 15), 16, 10).cast("long"))
     name = "texts_" + uuid.uuid4().hex
-    firsts.write.bucketBy(parts, "part").option("path", scratch_path(spark, "texts")).option("compression", "none").format("parquet").saveAsTable(name)
-    return rows, spark.table(name), parts
+    firsts.write.bucketBy(buckets, "part").option("path", scratch_path(spark, "texts")).option("compression", "none").format("parquet").saveAsTable(name)
+    return rows, name, parts
 
 
 def value_counts(texts: DataFrame, parts: int, length: int, hot: int) -> DataFrame:
@@ -346,12 +358,14 @@ def apply_removals(texts: DataFrame, spans: DataFrame) -> DataFrame:
 
 def deduplicate(docs: DataFrame, length: int = 100, hot: int = 5_000, with_text: bool = False) -> DataFrame:
     """Per row: doc_id, n_bytes, n_removed, n_spans (runs of removed bytes), kept_sha256, and kept (bytes) if asked for."""
-    rows, texts, parts = first_texts(docs, length)
+    rows, name, parts = first_texts(docs, length)
+    texts = docs.sparkSession.table(name)
     values = value_counts(texts, parts, length, hot)
     found = materialise(segments(texts, values, parts * GROUPS, length), "segments")
     spans = materialise(removals(found, length), "removals")
     done = apply_removals(texts, spans)
     done = materialise(done if with_text else done.drop("kept"), "kept")
+    docs.sparkSession.sql(f"DROP TABLE {name}")
     joined = rows.join(done, "digest")
     copy = (F.col("node") != F.col("first")) & (F.col("n_bytes") >= length)
     columns = [
