@@ -1,14 +1,17 @@
 import datetime as dt
+import os
+import uuid
 
 import numpy as np
 import pandas as pd
 import pytest
 from conftest import rows
+from pyspark.serializers import CloudPickleSerializer
 from pyspark.sql import functions as F
 
 from tidemark.contract import ModelSpec, PipelineSpec, TableContract
 from tidemark.operators.quality import join_report
-from tidemark.operators.scoring import Scorer, attach_actuals, prediction_values, score
+from tidemark.operators.scoring import Scorer, attach_actuals, batch_function, prediction_values, score
 from tidemark.plans.baseline import build_baseline
 from tidemark.plans.registration import Registry
 from tidemark.plans.run import dry_run, load_registry, run_pipeline, save_registry
@@ -116,6 +119,38 @@ def test_optional_tables(spark, tmp_path):
     assert load_optional(spark, "no_such_table") is None
 
 
+def test_a_scorer_is_one_model():
+    for wrong in ({}, {"expression": "x", "predict": lambda b: b["x"]}, {"file": "/m.npy"}, {"load": np.load}):
+        with pytest.raises(ValueError):
+            Scorer(**wrong)
+
+
+def test_stored_model_is_shipped_once_and_loaded_once_per_worker(spark, tmp_path):
+    """A model of 200 MB: tasks carry its name only, and a worker process loads it once, however many batches and jobs it serves."""
+    path, marks = tmp_path / "weights-of-cost.npy", tmp_path / "loads"
+    marks.mkdir()
+    weights = np.lib.format.open_memmap(path, "w+", np.float64, (25_000_000,))
+    weights[:5] = [1, 2, 3, 4, 5]
+    weights.flush()
+    assert path.stat().st_size > 200_000_000
+
+    def load(file):
+        table = np.load(file, mmap_mode="r")
+        (marks / f"{os.getpid()}-{uuid.uuid4().hex}").touch()
+        return lambda batch: table[batch["x"].to_numpy().astype(int) % 5]
+
+    scorer, own = Scorer(file=str(path), load=load), contract()
+    assert len(CloudPickleSerializer().dumps(batch_function(spark, scorer, own.prediction_col))) < 1_000_000
+    data = spark.range(0, 4000, 1, 16).select(F.col("id").cast("double").alias("x"), F.col("id").alias("k"))
+    for _ in range(2):
+        assert score(data, scorer, own).filter("NOT prediction <=> x % 5 + 1").count() == 0
+    loads = [m.name.split("-")[0] for m in marks.iterdir()]
+    assert loads and len(loads) == len(set(loads))
+    other = tmp_path / "other" / path.name
+    with pytest.raises(ValueError):
+        score(data, Scorer(file=str(other), load=load), own)
+
+
 @pytest.fixture()
 def use_case(spark, features, actuals, tmp_path):
     c = contract(feature_table=str(tmp_path / "f"), actual_table=str(tmp_path / "a"), baseline_table=str(tmp_path / "b"),
@@ -167,6 +202,18 @@ def test_run_pipeline(spark, use_case, tmp_path):
     assert details == {(m, "registration"): "skipped_duplicate" for m in ("old", "best", "quiet")}
 
 
+def test_repeated_actuals_outside_the_window_are_told(spark, use_case):
+    pipeline, registry = use_case
+    actuals = load_table(spark, pipeline.tables.actual_table)
+    once = actuals.dropDuplicates(pipeline.tables.keys)
+    far = once.limit(1).withColumn("k", F.lit(999).cast(once.schema["k"].dataType))
+    held = once.unionByName(far).unionByName(far).collect()
+    spark.createDataFrame(held, once.schema).write.mode("overwrite").parquet(pipeline.tables.actual_table)
+    outcome = run_pipeline(spark, pipeline, registry, lambda *_: DOUBLE, AT)
+    told = {r.detail for r in outcome.rows.filter("status = 'warning'").collect()}
+    assert told == {f"1 of {len(held)} rows of the actuals repeat a key"}
+
+
 def test_failures(spark, use_case):
     pipeline, registry = use_case
     with pytest.raises(ValueError, match="delay"):

@@ -140,6 +140,24 @@ def test_file_runs(spark):
     assert r.file_runs(claims, at(1)).filter("error IS NULL").first().run_id != good.run_id
 
 
+def test_model_files_that_are_not_there_are_errors(spark, tmp_path):
+    (tmp_path / "m.ubj").write_text("model")
+    files = list_artifacts(spark, str(tmp_path))
+    claims = spark.createDataFrame(
+        [(name, path, None, "/e", {"rmse": 1.0}, None, None) for name, path in
+         (("a", f"{tmp_path}/m.ubj"), ("b", f"file://{tmp_path}/m.ubj"), ("c", f"{tmp_path}/n.ubj"), ("d", f"{tmp_path}/n.zip"))],
+        "model_name string, path string, format string, experiment string, metrics map<string,double>, params map<string,string>, tags map<string,string>",
+    )
+    got = {x.model_name: (x.run_id is None, x.error) for x in r.file_runs(claims, at(0), files).withColumn("model_name", F.substring("run_name", 1, 1)).filter("run_name IS NOT NULL").collect()}
+    assert got["a"] == got["b"] == (False, None) and got["c"] == (True, f"no such file: {tmp_path}/n.ubj")
+    # An unknown format is told before the missing file, and the batch registers only what is there.
+    assert ".zip" in r.file_runs(claims, at(0), files).filter(F.col("error").contains("zip")).first().error
+    models = {k: ModelSpec(k, metric="rmse", source="file", model_path=f"{tmp_path}/{f}", metrics={"rmse": 2.0}) for k, f in (("there", "m.ubj"), ("gone", "n.ubj"))}
+    runs, metrics = make(spark, [], [])
+    found = {c.model_name: c.error for c in resolve_candidates(specs_frame(spark, models), runs, metrics, at(0), files=files).collect()}
+    assert found == {"there": None, "gone": f"no such file: {tmp_path}/n.ubj"}
+
+
 def test_resolve_candidates(spark):
     runs, metrics = make(
         spark,

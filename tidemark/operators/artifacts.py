@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.values import file_extension
@@ -61,3 +61,15 @@ def classify_artifacts(files: DataFrame, path: str = "path", override: str | Non
             .otherwise(no_such_extension),
         )
     )
+
+
+def require_files(claims: DataFrame, files: DataFrame, path: str = "path") -> DataFrame:
+    """Set ``error`` on claims whose file is not there; errors found before stay. A local path may be given with or without scheme."""
+
+    def bare(name: Column) -> Column:
+        return F.regexp_replace(name, "^file:/+", "/")
+
+    there = files.select(bare(F.col("path")).alias("_there")).distinct()
+    found = claims.join(there, bare(F.col(path)) == F.col("_there"), "left")
+    missing = F.when(F.col("_there").isNull(), F.concat(F.lit("no such file: "), F.coalesce(path, F.lit("no path given"))))
+    return found.withColumn("error", F.coalesce("error", missing)).drop("_there")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.metrics import METRICS
 from tidemark.functions.values import finite, merge_maps, utc_text
-from tidemark.operators.artifacts import classify_artifacts
+from tidemark.operators.artifacts import classify_artifacts, require_files
 from tidemark.operators.scan import newest
 from tidemark.session import materialise
 
@@ -178,13 +178,16 @@ def _stamp(at: Column) -> Column:
     return F.translate(utc_text(at), " -:", "_")
 
 
-def file_runs(claims: DataFrame, logged_at: dt.datetime | Column) -> DataFrame:
+def file_runs(claims: DataFrame, logged_at: dt.datetime | Column, files: DataFrame | None = None) -> DataFrame:
     """Runs for models that arrive as a file with claimed metrics.
 
     ``claims``: model_name, path, format (override or NULL), experiment, metrics, params, tags. User tags
-    override the standard ones. Files of unknown format come back with an ``error`` and no run id.
+    override the standard ones. Files of unknown format come back with an ``error`` and no run id, and so do files that
+    are not among ``files`` (column path, see ``list_artifacts``), if that is given.
     """
     known = classify_artifacts(claims, "path", "format")
+    if files is not None:
+        known = require_files(known, files)
     when = logged_at if isinstance(logged_at, Column) else F.lit(logged_at)
     standard = F.create_map(
         F.lit("model_type"), F.col("resolved_format"),

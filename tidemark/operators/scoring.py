@@ -7,7 +7,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark import SparkFiles
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.contract import EVENT_DATE, TableContract, require_columns, same_key_types
@@ -15,15 +16,56 @@ from tidemark.contract import EVENT_DATE, TableContract, require_columns, same_k
 
 @dataclass(frozen=True)
 class Scorer:
-    """A model in one of three forms; exactly one is given.
+    """A model in one of four forms; exactly one is given.
 
     ``expression`` is a column over the features (or its SQL text), ``transformer`` a fitted ``pyspark.ml`` model and
-    ``predict`` any function from a pandas frame to predictions.
+    ``predict`` any function from a pandas frame to predictions. ``file`` is a stored model of any size together with
+    ``load``, a function from a local path to such a function: every executor gets the file once, every worker process
+    loads it once, and tasks carry its name only. A loader that maps the file shares it between the workers of a machine.
     """
 
     expression: str | Column | None = None
     transformer: object | None = None
     predict: Callable[[pd.DataFrame], object] | None = None
+    file: str | None = None
+    load: Callable[[str], Callable[[pd.DataFrame], object]] | None = None
+
+    def __post_init__(self) -> None:
+        given = [f for f in ("expression", "transformer", "predict", "file") if getattr(self, f) is not None]
+        if len(given) != 1:
+            raise ValueError(f"a Scorer takes exactly one of expression, transformer, predict and file, not {given or 'none'}")
+        if (self.file is None) != (self.load is None):
+            raise ValueError("a model file comes with its load function")
+
+
+# Files sent to the executors, by name: there, all lie in one folder.
+_SENT: dict[str, tuple[str, str]] = {}
+# Models loaded by this worker process.
+_LOADED: dict[tuple[str, str], Callable[[pd.DataFrame], object]] = {}
+
+
+def ship(spark: SparkSession, path: str) -> str:
+    """Send a model file to all executors, now and to come, and return its name there.
+
+    Spark keeps the first file of a name, so files of different models need different names, and a changed model a new one.
+    """
+    name, application = path.rstrip("/").rsplit("/", 1)[-1], spark.sparkContext.applicationId
+    if _SENT.get(name, (application, path)) == (application, path):
+        spark.sparkContext.addFile(path)
+        _SENT[name] = (application, path)
+        return name
+    if _SENT[name][0] == application:
+        raise ValueError(f"{path} and {_SENT[name][1]} have one name; give every stored model a name of its own")
+    del _SENT[name]
+    return ship(spark, path)
+
+
+def loaded(name: str, load: Callable[[str], Callable[[pd.DataFrame], object]]) -> Callable[[pd.DataFrame], object]:
+    """The model of a shipped file, loaded at its first use in a worker process."""
+    key = (SparkFiles.getRootDirectory(), name)
+    if key not in _LOADED:
+        _LOADED[key] = load(SparkFiles.get(name))
+    return _LOADED[key]
 
 
 def predict_input(df: DataFrame, contract: TableContract) -> DataFrame:
@@ -41,11 +83,28 @@ def prediction_values(raw: object, column: str, rows: int) -> np.ndarray:
     return values
 
 
+def batch_function(spark: SparkSession, scorer: Scorer, column: str) -> Callable:
+    """What the tasks of an opaque model run: predictions for batches of rows."""
+    if scorer.file is not None:
+        name, load = ship(spark, scorer.file), scorer.load
+        model = lambda: loaded(name, load)
+    else:
+        given = scorer.predict
+        model = lambda: given
+
+    def apply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
+        predict = model()
+        for batch in batches:
+            yield pd.Series(prediction_values(predict(batch), column, len(batch)))
+
+    return apply
+
+
 def score(df: DataFrame, scorer: Scorer, contract: TableContract, name: str = "prediction") -> DataFrame:
     """Add the model's prediction to every row; NaN predictions become NULL.
 
-    Expressions and ``pyspark.ml`` models run in the JVM. An opaque function gets Arrow batches of the
-    model's columns on the executors; all other columns stay in the JVM beside the returned values.
+    Expressions and ``pyspark.ml`` models run in the JVM. An opaque function, given or loaded from a file, gets Arrow
+    batches of the model's columns on the executors; all other columns stay in the JVM beside the returned values.
     """
     if scorer.expression is not None:
         value = F.expr(scorer.expression) if isinstance(scorer.expression, str) else scorer.expression
@@ -54,13 +113,7 @@ def score(df: DataFrame, scorer: Scorer, contract: TableContract, name: str = "p
         added = scorer.transformer.transform(df)
         scored = added.select(*df.columns, F.col("prediction").cast("double").alias(name))
     else:
-        predict, column = scorer.predict, contract.prediction_col
-
-        @F.pandas_udf("double")
-        def apply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
-            for batch in batches:
-                yield pd.Series(prediction_values(predict(batch), column, len(batch)))
-
+        apply = F.pandas_udf(batch_function(df.sparkSession, scorer, contract.prediction_col), "double")
         scored = df.withColumn(name, apply(F.struct(*predict_input(df, contract).columns)))
     return scored.withColumn(name, F.when(~F.isnan(name), F.col(name)))
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.contract import ModelSpec
 from tidemark.functions.values import finite, merge_maps
-from tidemark.operators.artifacts import classify_artifacts
+from tidemark.operators.artifacts import classify_artifacts, require_files
 from tidemark.operators.registry import (
     SKIPPED, aliases_after, champion_lookup, decide, registration_results, version_tags, versions_after,
 )
@@ -65,13 +65,13 @@ def specs_frame(spark: SparkSession, models: Mapping[str, ModelSpec]) -> DataFra
 
 def resolve_candidates(
     specs: DataFrame, runs: DataFrame, run_metrics: DataFrame, logged_at: dt.datetime | Column,
-    default_experiment: str | None = None,
+    default_experiment: str | None = None, files: DataFrame | None = None,
 ) -> DataFrame:
     """The run each spec stands for and the metric it is judged by, or an error text.
 
     All columns of the spec come back with run_id, resolved_key, value and error. The three kinds of
     source are three branches of one plan. Specs without an experiment take the default one; file sources
-    use the claimed metrics and the run they are logged as.
+    use the claimed metrics and the run they are logged as; given the ``files`` that there are, others are errors.
     """
     if default_experiment is not None:
         specs = specs.withColumn("experiment", F.coalesce("experiment", F.lit(default_experiment)))
@@ -84,7 +84,7 @@ def resolve_candidates(
         *keep, "run_id", "resolved_key", "value",
         F.when(F.col("_found").isNull(), F.concat(F.lit("no run '"), "run_id", F.lit("'"))).alias("error"),
     )
-    by_file = _from_files(specs.filter("source = 'file'"), keep, _column(logged_at))
+    by_file = _from_files(specs.filter("source = 'file'"), keep, _column(logged_at), files)
     by_experiment = _from_experiments(specs.filter("source = 'experiment'"), runs, run_metrics, keep)
     found = by_run.unionByName(by_file).unionByName(by_experiment)
     pattern = F.concat(F.lit("pattern '"), "metric_pattern", F.lit("'"))
@@ -99,8 +99,10 @@ def _column(at: dt.datetime | Column) -> Column:
     return at if isinstance(at, Column) else F.lit(at)
 
 
-def _from_files(specs: DataFrame, keep: list[str], logged_at: Column) -> DataFrame:
+def _from_files(specs: DataFrame, keep: list[str], logged_at: Column, files: DataFrame | None) -> DataFrame:
     known = classify_artifacts(specs.drop("run_id"), "model_path", "model_format")
+    if files is not None:
+        known = require_files(known, files, "model_path")
     run_id = F.when(F.col("error").isNull(), file_run_id("model_name", "model_path", logged_at))
     value = finite(F.try_element_at("metrics", F.col("metric")))
     key = F.when(F.map_contains_key("metrics", F.col("metric")), F.col("metric"))
@@ -169,7 +171,7 @@ def _best_by_pattern(asked: DataFrame, runs: DataFrame, run_metrics: DataFrame,
 
 def register(
     specs: DataFrame, registry: Registry, registered_at: dt.datetime | Column, catalog: str | None = None,
-    schema: str | None = None, fail_fast: bool = False,
+    schema: str | None = None, fail_fast: bool = False, files: DataFrame | None = None,
 ) -> Registration:
     """Decide for every spec of a batch and build the registry state that follows.
 
@@ -178,8 +180,9 @@ def register(
 
     One spec per model name; repeated names become errors, since the second would have to see what the
     first did. A failing spec becomes a row with an error and touches nothing; ``fail_fast`` raises.
+    With ``files`` (column path, see ``list_artifacts``) a model file that is not among them is such an error.
     """
-    candidates = resolve_candidates(specs, registry.runs, registry.run_metrics, registered_at)
+    candidates = resolve_candidates(specs, registry.runs, registry.run_metrics, registered_at, files=files)
     repeated = specs.groupBy("model_name").agg((F.count(F.lit(1)) > 1).alias("_repeated"))
     candidates = candidates.join(repeated, "model_name").withColumn(
         "error", F.coalesce("error", F.when(F.col("_repeated"), "several specs for one model in a batch"))

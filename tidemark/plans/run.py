@@ -9,8 +9,8 @@ from dataclasses import dataclass, replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.contract import PipelineSpec
-from tidemark.operators.quality import validate_table
+from tidemark.contract import PipelineSpec, TableContract
+from tidemark.operators.quality import key_uniqueness, validate_table
 from tidemark.operators.scoring import Scorer
 from tidemark.operators.windows import fixed_bounds, test_window, window_rows
 from tidemark.plans.baseline import build_baseline
@@ -50,13 +50,14 @@ def run_pipeline(
     registered_at: dt.datetime | None = None,
     skip_baseline: bool = False,
     fail_fast: bool = False,
+    files: DataFrame | None = None,
 ) -> Outcome:
     """Register every model of a use case and rebuild the baseline with the champions.
 
     A failing model does not stop the others unless ``fail_fast`` is set. Models named twice are
     registered in rounds, so that the second registration sees the first. The driver only ever holds one
     row per configured model and two dates. The registry knows models by catalog, schema and name, so that models of
-    equal names in two catalogs have champions of their own; ``load_champion`` is asked by that full name.
+    equal names in two catalogs have champions of their own; ``load_champion`` is asked by that full name. ``files`` lists the model files that there are, see ``register``.
     """
     models = {k: replace(m, model_name=qualified(pipeline, m.model_name)) for k, m in pipeline.resolved_models().items()}
     contract = pipeline.tables
@@ -70,7 +71,7 @@ def run_pipeline(
     for batch in _rounds({k: m.model_name for k, m in models.items()}):
         names = {models[k].model_name: k for k in batch}
         registration = register(
-            specs_frame(spark, {k: models[k] for k in batch}), registry, now, fail_fast=fail_fast
+            specs_frame(spark, {k: models[k] for k in batch}), registry, now, fail_fast=fail_fast, files=files
         )
         registry = registration.registry
         for row in registration.results.collect():
@@ -82,6 +83,7 @@ def run_pipeline(
             if models[key].create_baseline and row.scenario != "skipped_duplicate":
                 ready.append(key)
 
+    repeats = _repeated_keys(actuals, contract) if ready and not skip_baseline else None
     champions = _champions(registry, [models[k].model_name for k in ready]) if ready and not skip_baseline else {}
     for key in ready if not skip_baseline else []:
         try:
@@ -97,6 +99,8 @@ def run_pipeline(
             outcome.append((key, "baseline", "done", f"{matched.n} rows, {matched.m} with actuals"))
             if matched.n != before:
                 outcome.append((key, "baseline", "warning", f"repeated keys in the actuals made {matched.n} rows of {before}"))
+            elif repeats is not None:
+                outcome.append((key, "baseline", "warning", repeats))
             if matched.m == 0:
                 outcome.append((key, "baseline", "warning", "no row has an actual" if actuals is not None else "there is no actuals table"))
         except Exception as problem:
@@ -107,6 +111,16 @@ def run_pipeline(
     return Outcome(spark.createDataFrame(outcome, schema), registry)
 
 
+def _repeated_keys(actuals: DataFrame | None, contract: TableContract) -> str | None:
+    """What is said of actuals whose keys are not unique, even if no repeated key meets the window."""
+    if actuals is None or not set(contract.keys) <= set(actuals.columns):
+        return None
+    keys = key_uniqueness(actuals, contract.keys).first()
+    if keys.is_unique:
+        return None
+    return f"{keys.n_rows - keys.n_keys} of {keys.n_rows} rows of the actuals repeat a key"
+
+
 def qualified(pipeline: PipelineSpec, model_name: str) -> str:
     """The name under which a use case's model is registered."""
     return ".".join(part for part in (pipeline.catalog, pipeline.schema, model_name) if part)
