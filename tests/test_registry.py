@@ -1,6 +1,8 @@
 import datetime as dt
+import math
 import random
 
+import numpy as np
 import pytest
 from conftest import rows
 from hypothesis import HealthCheck, given, settings
@@ -66,8 +68,8 @@ def replay(candidates, direction, threshold):
 CANDIDATE = "model_name string, run_id string, arrived timestamp, arrival_no long, value double"
 
 
-def history(spark, candidates, direction, threshold):
-    return rows(g.promotion_history(spark.createDataFrame(candidates, CANDIDATE), direction, threshold))
+def history(spark, candidates, direction, threshold, **options):
+    return rows(g.promotion_history(spark.createDataFrame(candidates, CANDIDATE), direction, threshold, **options))
 
 
 value = st.none() | st.integers(-6, 6).map(float) | st.floats(0.5, 2.0)
@@ -97,6 +99,47 @@ def test_history_of_a_hot_model(spark, threshold):
     assert history(spark, candidates, "minimize", threshold) == replay(candidates, "minimize", threshold)
 
 
+@pytest.mark.parametrize("threshold, direction", [(0.02, "maximize"), (1.0, "minimize")])
+def test_history_by_jumps(spark, threshold, direction):
+    rng = random.Random(7)
+    start = dt.datetime(2024, 1, 1)
+    sign = 1 if direction == "minimize" else -1
+    candidates = []
+    for i in range(600):
+        # Steady gains through zero, a standstill, a fall; few records in the other models.
+        level = {0: 50 - i / 6, 1: 3.0 if i < 400 else 1.0 - i / 1e6}.get(i % 3, rng.choice([5.0, 4.9, 0.0, -0.0, None]))
+        name = "hot" if i % 3 == 0 else "flat" if i % 3 == 1 else f"m{rng.randrange(20)}"
+        candidates.append((name, f"r{i}", start + dt.timedelta(seconds=i), i, level if level is None else sign * level))
+    assert history(spark, candidates, direction, threshold, streamed=20) == replay(candidates, direction, threshold)
+
+
+special = st.sampled_from([0.0, -0.0, 5e-324, -5e-324, 1.0, -1.0, 1e308, -1e308, math.inf, -math.inf])
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(special | st.floats(allow_nan=False), min_size=1, max_size=5), st.sampled_from([1e-12, 0.0005, 0.02, 0.5, 1.0, 1.5, 1e9, -0.1]))
+def test_goals_are_the_greatest_winners(champions, threshold):
+    champions = np.array(champions)
+    goals = g._goals(champions, threshold)
+    none = np.isnan(goals)
+    assert not g._beats(champions, np.full(len(champions), -np.inf), threshold)[none].any()
+    assert (goals[~none] < champions[~none]).all()
+    assert g._beats(champions, goals, threshold)[~none].all()
+    above = np.nextafter(goals, np.inf)
+    assert not (g._beats(champions, above, threshold) & (above < champions))[~none].any()
+
+
+def test_jumps_of_a_long_chain(spark):
+    """Every record is promoted, and the only model is the hot one."""
+    n = 300
+    made = spark.range(n).select(
+        F.lit("hot").alias("model_name"), F.format_string("r%d", "id").alias("run_id"), F.timestamp_seconds(F.col("id")).alias("arrived"),
+        F.col("id").alias("arrival_no"), (F.lit(2.0) * n - F.col("id")).alias("value"),
+    )
+    got = g.promotion_history(made, "minimize", 1e-6, streamed=10).groupBy("scenario").count().collect()
+    assert {r.scenario: r["count"] for r in got} == {"first_registration": 1, "promoted": n - 1}
+
+
 RUN = "run_id string, experiment string, parent_run_id string, start_time timestamp, params map<string,string>, tags map<string,string>"
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.values import four_decimals, is_better, minute_text, short_id, tag, utc_text
 from tidemark.operators.runs import last_values, resolve_metric, resolve_metric_per_spec
-from tidemark.operators.scan import BUCKET, Running, add_buckets, cut_points, running
+from tidemark.operators.scan import BUCKET, Running, add_buckets, at_or_below, cut_points, running
 from tidemark.session import materialise
 
 # What can happen to a candidate.
@@ -238,7 +238,7 @@ def final_state(
 
 
 def promotion_history(
-    candidates: DataFrame, direction: str = "minimize", threshold: float = 0.0
+    candidates: DataFrame, direction: str = "minimize", threshold: float = 0.0, streamed: int = 200_000
 ) -> DataFrame:
     """Replay registrations in arrival order: what happened to every candidate and who was champion after.
 
@@ -248,8 +248,9 @@ def promotion_history(
     Only a candidate at least as good as everything before it can be promoted, because the bar is never
     easier than the best value so far. These record holders are found by a running minimum over ordered
     buckets, so a model that owns a large part of the table is still worked on by many tasks. With
-    threshold 0 the records are the promotions. With a threshold the few records are folded in order
-    with one value of state per model, as a stream that holds no model in memory.
+    threshold 0 the records are the promotions. With a threshold the records of a model are folded in
+    order, as a stream with one value of state. A model with more than ``streamed`` of them would keep
+    one task busy; its promotions are found by links between records and jumps along them instead.
     """
     sign = 1.0 if direction == "minimize" else -1.0
     value = F.col("value").cast("double")
@@ -286,7 +287,7 @@ def promotion_history(
         # Stored, because the records, the rows and their bucket totals all start from it.
         seen = materialise(running(bucketed, keys, order, measures), "arrivals")
         records = seen.filter(first | (counts & (v < bar)))
-        won = _fold(records.select("model_name", BUCKET, *order, "_v"), threshold).withColumn("_won", F.lit(True))
+        won = _promoted(records.select("model_name", BUCKET, *order, "_v"), threshold, streamed).withColumn("_won", F.lit(True))
         flagged = seen.join(won, ["model_name", BUCKET, *order], "left").withColumn("_wins", F.coalesce("_won", F.lit(False)))
         crowned = F.when(F.col("_wins"), F.col("run_id"))
         known = running(flagged, keys, order, {"champion_run": Running("last", crowned)})
@@ -300,8 +301,81 @@ def promotion_history(
     return known.select("model_name", (F.col("_before") + 1).alias("seq"), "run_id", scenario.alias("scenario"), "champion_run")
 
 
-def _fold(records: DataFrame, threshold: float) -> DataFrame:
+def _promoted(records: DataFrame, threshold: float, streamed: int) -> DataFrame:
     """The records that are promoted under a relative threshold; values are to be minimised."""
+    crowded = records.groupBy("model_name").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > streamed).select("model_name")
+    if crowded.isEmpty():
+        return _fold(records, threshold)
+    crowded = materialise(crowded, "crowded-models")
+    rest = _fold(records.join(crowded, "model_name", "left_anti"), threshold)
+    return rest.unionByName(_jump(records.join(crowded, "model_name", "left_semi"), threshold))
+
+
+def _beats(champion: np.ndarray, value: np.ndarray | float, threshold: float) -> np.ndarray:
+    with np.errstate(all="ignore"):
+        return np.where(champion == 0, value < 0, (champion - value) / np.abs(champion) >= threshold)
+
+
+def _goals(champions: np.ndarray, threshold: float) -> np.ndarray:
+    """The greatest number below each champion that beats it, or NaN. Numbers are searched by their bits, since the
+    rounding of the rule decides at the boundary."""
+
+    def ranked(numbers: np.ndarray) -> np.ndarray:
+        # Bits of a double as an integer of the same order; the mapping is its own inverse.
+        return numbers ^ ((numbers >> 63) & np.int64(2**63 - 1))
+
+    low = np.full(len(champions), -np.inf)
+    none = ~_beats(champions, low, threshold)
+    under = np.nextafter(champions, -np.inf)
+    whole = _beats(champions, under, threshold)
+    low, high = ranked(low.view(np.int64)), ranked(under.view(np.int64))
+    for _ in range(64):
+        middle = (low & high) + ((low ^ high) >> 1)
+        good = _beats(champions, ranked(middle).view(np.float64), threshold)
+        low, high = np.where(good, middle, low), np.where(good, high, middle)
+    found = np.where(whole, under, ranked(low).view(np.float64))
+    return np.where(none, np.nan, found)
+
+
+def _jump(records: DataFrame, threshold: float) -> DataFrame:
+    """As ``_fold``, for models with many records.
+
+    Records fall strictly, so a value names its record, and the next champion after it is the record with the greatest
+    value at or below its goal. These links are found for all records at once. Those from the first record on are the
+    promotions: links are joined to links twice as long, and each round reaches twice as many records.
+    """
+
+    @F.pandas_udf("double")
+    def goal(values: pd.Series) -> pd.Series:
+        return pd.Series(_goals(values.to_numpy(np.float64), threshold))
+
+    by = ["model_name"]
+    values = records.select("model_name", F.col("_v").alias("_x"), F.col("_v").alias("_to"))
+    points = records.select("model_name", F.col("_v").alias("_from"), goal("_v").alias("_x"))
+    points = materialise(points.filter("_x IS NOT NULL AND NOT isnan(_x)"), "goals")
+    links = at_or_below(values, points, by, "_x", "_to").filter("_to IS NOT NULL").select("model_name", "_from", "_to")
+    links = materialise(links, "links")
+    reached = records.groupBy("model_name").agg(F.max("_v").alias("_from"))
+    # A record that no other one leads to is passed by, unless it is the first.
+    leads = links.select("model_name", F.col("_to").alias("_from")).unionByName(reached).distinct()
+    links = materialise(links.join(leads, ["model_name", "_from"], "left_semi"), "links")
+    reached = materialise(reached, "reached")
+    while True:
+        further = reached.join(links, ["model_name", "_from"]).select("model_name", F.col("_to").alias("_from"))
+        further = materialise(further, "reached")
+        if further.isEmpty():
+            break
+        reached = reached.unionByName(further)
+        ends = links.withColumnRenamed("_to", "_x")
+        longer = at_or_below(links.select("model_name", F.col("_from").alias("_x"), F.struct("_from", "_to").alias("_next")), ends, by, "_x", "_next")
+        # A link that ends where no other one starts has no double.
+        longer = longer.filter(F.col("_next._from") == F.col("_x"))
+        links = materialise(longer.select("model_name", "_from", F.col("_next._to").alias("_to")), "links")
+    return records.join(reached.withColumnRenamed("_from", "_v"), ["model_name", "_v"], "left_semi").drop("_v")
+
+
+def _fold(records: DataFrame, threshold: float) -> DataFrame:
+    """The records that are promoted under a relative threshold, by a walk through each model's records."""
     ordered = records.repartition("model_name").sortWithinPartitions("model_name", "_at", "arrival_no")
 
     def step(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -316,8 +390,7 @@ def _fold(records: DataFrame, threshold: float) -> DataFrame:
                     at += 1
                 # Jump from promotion to promotion; the records between them are compared at once.
                 while at < end:
-                    rest = values[at:end]
-                    beats = rest < 0 if champion == 0 else (champion - rest) / abs(champion) >= threshold
+                    beats = _beats(np.float64(champion), values[at:end], threshold)
                     ahead = int(beats.argmax())
                     if not beats[ahead]:
                         break

@@ -121,6 +121,21 @@ def running(df: DataFrame, by: Sequence[str], order: Sequence[str], measures: di
     return joined.select(*df.columns, *merged)
 
 
+def at_or_below(rows: DataFrame, points: DataFrame, by: Sequence[str], x: str, value: str) -> DataFrame:
+    """The points, each with ``value`` of the row of its group that has the greatest ``x`` not above its own, or NULL.
+
+    ``x`` is a double, unique among the rows of a group; points may share one. Rows and points are ordered together
+    in buckets, so neither a large group nor a point that comes up in millions of rows ends up in one task.
+    Both frames are read three times.
+    """
+    spread = F.pmod(F.xxhash64(*points.columns), F.lit(1_000_003)) / 1_000_003
+    held = rows.select(*by, x, F.col(value).alias("_held"), F.lit(-1.0).alias("_side"))
+    both = held.unionByName(points.withColumns({"_side": spread, "_point": F.lit(True)}), allowMissingColumns=True)
+    bucketed = add_buckets(both, x, cut_points(both, x, tie="_side"), tie="_side")
+    found = running(bucketed, by, [x, "_side"], {value: Running("last", F.col("_held"))})
+    return found.filter("_point").select(*points.columns, value)
+
+
 def newest(
     df: DataFrame, by: Sequence[str], order: Sequence[Column], limit: int | Column, rank: str = "rank"
 ) -> DataFrame:
