@@ -9,7 +9,7 @@ SMALL, MIDDLE = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 # The smallest tables have no date with 50 test rows in every window.
 NEEDS_SPLITS = {
     "split_anchor", "time_splits", "split_rows", "split_summary", "split_metrics_ols", "weighted_score",
-    "predictions_residuals", "category_codes", "log_run_metrics", "feature_importance_top", "train_ml_families",
+    "predictions_residuals", "category_codes", "ordered_statistics", "log_run_metrics", "feature_importance_top", "train_ml_families",
     "split_metrics_ml", "trial_sweep", "best_trial_refit", "training_outputs",
 }
 

@@ -1,18 +1,20 @@
 import datetime as dt
 import random
 import statistics
+from dataclasses import replace
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from tidemark.contract import TableContract
 from tidemark.operators.runs import best_run
 from tidemark.operators.training import (
-    FAMILIES, category_codes, fit_and_measure, fit_stages, make_estimator, measured_columns, model_features, numeric_features, staged_groups,
+    FAMILIES, category_codes, fit_and_measure, fit_stages, make_estimator, measured_columns, model_features, numeric_features, ordered_statistics, staged_groups,
     training_set, usable_target, with_codes,
 )
 from tidemark.operators.tuning import median_prune, rank_trials, sample_trials
-from tidemark.plans.train import prepare, space_frame, tune, tuning_runs
+from tidemark.plans.train import prepare, seen_by, space_frame, tune, tuning_runs
 from tidemark.queries import QUERIES
 from tidemark.sources.tables import load_table, write_predictions, write_split_metrics, write_split_rows
 
@@ -200,6 +202,31 @@ def test_codes_are_split_by_sets(coded):
     assert model_features(nominal[1]) == ["kind", "x"]
 
 
+def test_statistics_see_earlier_training_rows_only(spark):
+    rng = random.Random(4)
+    table = [
+        (s, "train" if rng.random() < 0.7 else "test", rng.choice(["hot"] * 6 + ["a", "b", None]), rng.choice("xy"), rng.randrange(9), i, rng.uniform(-5, 5))
+        for s in range(2) for i in range(300)
+    ]
+    frame = spark.createDataFrame(table, "split_no int, role string, kind string, side string, day int, k long, y double")
+    coded = ordered_statistics(frame, ["kind", "side"], "y", F.col("day"), F.col("k"), weight=2.0)
+    assert coded.columns == frame.columns
+    got = {(r.split_no, r.k): (r.kind, r.side) for r in coded.collect()}
+    for s, role, *values, day, k, _ in table:
+        learned = [r for r in table if r[0] == s and r[1] == "train"]
+        mean = sum(r[6] for r in learned) / len(learned)
+        for place, value in enumerate(values):
+            earlier = [r[6] for r in learned if r[2 + place] == value and (role == "test" or r[4:6] < (day, k))]
+            assert got[s, k][place] == pytest.approx((sum(earlier) + 2 * mean) / (len(earlier) + 2))
+    assert ordered_statistics(frame.limit(0), ["kind"], "y", F.col("day"), F.col("k")).count() == 0
+
+
+def test_one_family_learns_from_statistics(prepared):
+    seen = seen_by(replace(prepared, categories={"kind": 3}), "catboost")
+    assert seen.categories == {} and dict(seen.rows.dtypes)["kind"] == "double" and seen.rows.columns == prepared.rows.columns
+    assert seen_by(prepared, "gbt") is prepared
+
+
 def test_many_codes_widen_the_bins(spark):
     rows = [(0, "s0", 1.0, "train" if i // 70 % 5 else "test", i % 70, float(i % 70 % 2)) for i in range(1400)]
     frame = spark.createDataFrame(rows, "split_no int, split_name string, weight double, role string, kind int, y double")

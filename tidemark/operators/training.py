@@ -9,14 +9,15 @@ from pyspark import SparkContext
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import Imputer, VectorAssembler
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, LinearRegression, RandomForestRegressionModel, RandomForestRegressor
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.contract import TableContract, require_columns, same_key_types
 from tidemark.functions.metrics import METRICS, regression_metrics
 from tidemark.functions.values import to_number
-from tidemark.operators.scan import dense_codes
+from tidemark.operators.scan import Running, add_buckets, cut_points, dense_codes, running
+from tidemark.session import materialise
 
 # The boosting families of single-machine libraries all become Spark's gradient-boosted trees.
 FAMILIES = {
@@ -114,6 +115,34 @@ def with_codes(rows: DataFrame, codes: DataFrame, columns: Sequence[str]) -> Dat
     return out
 
 
+def ordered_statistics(rows: DataFrame, columns: Sequence[str], target: str, order: Column, tie: Column, weight: float = 1.0) -> DataFrame:
+    """Replace categorical columns by the mean target of the training rows before each row.
+
+    ``rows`` are split rows. A training row sees the training rows of its split and category that come earlier in
+    (``order``, ``tie``), two numbers, and never its own target; test rows see all training rows. The split's mean counts as
+    ``weight`` further rows, so it stands where a category is new. Gaps are a category of their own. A category
+    that holds most of the rows is still worked on by many tasks.
+    """
+    learned = F.col("role") == "train"
+    means = rows.filter(learned).groupBy("split_no").agg(F.avg(target).alias("_mean"))
+    at = F.when(learned, order.cast("double")).otherwise(F.lit(2.0**62))
+    # One row per split, as in score_lines.
+    placed = rows.join(F.broadcast(means), "split_no", "left").withColumns({"_at": at, "_no": tie})
+    placed = materialise(placed, "ordered-rows")
+    placed = add_buckets(placed, "_at", cut_points(placed, "_at", tie="_no"), tie="_no")
+    measures = {
+        "_sum": Running("sum", F.when(learned, F.col(target).cast("double")), inclusive=False),
+        "_count": Running("count", F.when(learned, 1), inclusive=False),
+    }
+    for column in columns:
+        group = F.coalesce(F.concat(F.lit("="), F.col(column).cast("string")), F.lit(""))
+        seen = running(placed.withColumn("_group", group), ["split_no", "_group"], ["_at", "_no"], measures)
+        mean = (F.col("_sum") + weight * F.col("_mean")) / (F.col("_count") + weight)
+        # Stored, because the next column reads its rows twice.
+        placed = materialise(seen.withColumn(column, mean).drop("_group", "_sum", "_count"), "ordered-rows")
+    return placed.select(*rows.columns)
+
+
 def fit_lines(rows: DataFrame, x: str, y: str, by: Sequence[str] = ()) -> DataFrame:
     """Least-squares line per group from one aggregate."""
     usable = rows.filter(F.col(x).isNotNull() & F.col(y).isNotNull())

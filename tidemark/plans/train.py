@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import hashlib
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +19,7 @@ from tidemark.operators.products import elastic_net, line_frame, quadratic_metri
 from tidemark.operators.runs import log_run_metrics
 from tidemark.operators.training import (
     SPACES, STAGE, category_codes, evaluate_trials, features_with_values, fit_and_measure, importance_of, make_estimator, measured_columns,
-    measured_frame, model_features, numeric_features, predictions, training_set, usable_target, with_codes,
+    measured_frame, model_features, numeric_features, ordered_statistics, predictions, training_set, usable_target, with_codes,
 )
 from tidemark.operators.tuning import median_prune, rank_trials, sample_trials
 from tidemark.operators.windows import (
@@ -142,6 +142,15 @@ class Swept:
     pruned: list[int]
 
 
+def seen_by(prepared: Prepared, family: str) -> Prepared:
+    """The rows as a family wants its categories: ``catboost`` learns from ordered target statistics, by date."""
+    if family != "catboost" or not prepared.categories:
+        return prepared
+    day, tie = F.unix_date(F.col(EVENT_DATE)), F.xxhash64(*prepared.rows.columns)
+    rows = ordered_statistics(prepared.rows, list(prepared.categories), prepared.target, day, tie)
+    return replace(prepared, rows=rows, categories={})
+
+
 def drawn_trials(
     spark: SparkSession, family: str, space: Mapping[str, object] | None, n_trials: int, structures: int | None = None
 ) -> tuple[DataFrame, dict[int, dict[str, object]]]:
@@ -236,6 +245,7 @@ def tune(
     for. The last split is the most recent one and gives model, importances and predictions.
     """
     spark = prepared.rows.sparkSession
+    prepared = seen_by(prepared, family)
     if family == "linear":
         swept = sweep_lines(prepared, space, n_trials, primary, n_startup)
     else:

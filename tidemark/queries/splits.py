@@ -145,6 +145,28 @@ def codes(spark: SparkSession, sf: str) -> DataFrame:
     return t.category_codes(_last(split_table(spark, sf)), ["o_orderpriority", "o_orderstatus"])
 
 
+_CATEGORIES = ("o_orderpriority", "o_orderstatus")
+
+
+def _earlier(what: str, column: str) -> str:
+    return (
+        f"coalesce({what}(CASE WHEN role = 'train' THEN total_cost END) OVER (PARTITION BY split_no, {column} "
+        "ORDER BY CASE role WHEN 'train' THEN d END NULLS LAST, po ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)"
+    )
+
+
+@query(
+    "ordered_statistics",
+    "SELECT split_no, po, role, "
+    + ", ".join(f"round(({_earlier('sum', c)} + mean) / ({_earlier('count', c)} + 1), 2) AS {c}" for c in _CATEGORIES)
+    + " FROM (SELECT *, avg(CASE WHEN role = 'train' THEN total_cost END) OVER (PARTITION BY split_no) AS mean FROM f_split_rows)",
+    "f_split_rows",
+)
+def ordered_statistics(spark: SparkSession, sf: str) -> DataFrame:
+    coded = t.ordered_statistics(split_table(spark, sf), _CATEGORIES, "total_cost", F.unix_date(EVENT_DATE), F.col("po"))
+    return coded.select("split_no", "po", "role", *(F.round(c, 2).alias(c) for c in _CATEGORIES))
+
+
 @query(
     "log_run_metrics",
     " UNION ALL ".join(f"SELECT '{m}_' || split_name AS key, round({m}, 4) AS value FROM f_split_metrics" for m in METRICS)
