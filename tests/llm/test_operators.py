@@ -83,7 +83,7 @@ def test_token_files_have_stripes_indexes_and_lookup(spark, docs):
 
 @pytest.mark.parametrize("text", ["a  b", "a \n b ", "  x", "don't  stop", "tab\t end", "日本 語   x", " a", "x" * 3000 + " y"])
 def test_encoder_equals_library(text):
-    encoder = token_output.Encoder(vocabulary(), words=3)
+    encoder = token_output.Encoder(vocabulary(), limit=3 * token_output.WORD_BYTES)
     for _ in range(3):
         got = encoder.encode([text, "some other words", "", text])
         want = encoder.tokenizer.encode(text, add_special_tokens=False).ids
@@ -94,7 +94,7 @@ def test_encoder_keeps_ids_over_generations():
     from tokenizers import Tokenizer
 
     plain = Tokenizer.from_file(vocabulary())
-    encoder, rng = token_output.Encoder(vocabulary(), words=40), np.random.default_rng(5)
+    encoder, rng = token_output.Encoder(vocabulary(), limit=40 * token_output.WORD_BYTES), np.random.default_rng(5)
     parts = [" ", "  ", "\n", "\u3000", "a", "the", "\u00e9", "1", ".", "'s", "</s>", "\U0001f600", "x" * 1200]
     for _ in range(60):
         texts = ["".join(rng.choice(parts, rng.integers(0, 25))) for _ in range(12)]

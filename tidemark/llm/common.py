@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -60,10 +61,21 @@ def append(df: DataFrame, make: Callable[[], Callable], fields: list[T.StructFie
             for cut in stretches(batch, where[0], limit):
                 added = work(*(cut.column(i) for i in where))
                 yield pa.RecordBatch.from_arrays([*cut.columns, *added], names=names)
+        del work
+        release()
 
     return df.mapInArrow(run, schema)
 
 
+def release() -> None:
+    """Give free memory of this worker process back to the system. Workers outlive their tasks, and what one stage left
+    in the allocators would stand beside the tables of the next."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def fresh(df: DataFrame, *wanted: str) -> list[str]:
     """Names made from ``wanted`` that no column of the frame has, in whatever case."""
     taken = {name.lower() for name in df.columns}
@@ -88,6 +100,8 @@ def computed(make: Callable[[], Callable], kind: str, inputs: list[Column], limi
             batch = pa.RecordBatch.from_arrays(list(arrays), names=[str(i) for i in range(len(arrays))])
             made = [work(*cut.columns) for cut in stretches(batch, 0, limit)]
             yield pa.concat_arrays(made) if made else work(*batch.columns)
+        del work
+        release()
 
     def run_one(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         yield from run((array,) for array in batches)

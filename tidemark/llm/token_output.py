@@ -23,20 +23,30 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import stretches
+from tidemark.llm.common import release, stretches
 
 # A blank between two white-space characters, or between one and the end, is not a safe place to cut a text.
 # The pattern begins with the blank, which is found faster than any white space.
 UNSAFE = re.compile(r" (?<=\s )(?:\s|\Z)")
 
 
+# Memory of a known word besides its characters, about: text and number objects, their place in the table, its ids.
+WORD_BYTES = 200
+
+
 class Words(dict):
     """Words numbered in the order in which they are first asked for."""
 
+    characters = 0
+
     def __missing__(self, word: str) -> int:
         number = self[word] = len(self)
+        self.characters += len(word)
         return number
 
+    def size(self) -> int:
+        return self.characters + WORD_BYTES * len(self)
+
 
 def gather(flat: np.ndarray, begins: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """The slices of ``flat`` that start at ``begins`` with ``counts`` entries each, one after the other."""
@@ -69,13 +79,13 @@ class Encoder:
     The tokenizer splits a text into pieces before it merges bytes, and a blank next to a character that is not
     white space always begins a piece. So a text can be cut there into words, each encoded once with the blank before
     it. A text becomes the numbers of its words in one lookup each; the ids of all words of a batch are then copied at
-    once. Unknown words are encoded together as one text and told apart by the byte lengths of their ids. When ``words``
-    words are held they become the old generation; a word of it that is met again moves on, the others go with the next.
+    once. Unknown words are encoded together as one text and told apart by the byte lengths of their ids. When the words
+    hold ``limit`` bytes they become the old generation; a word of it that is met again moves on, the others go with the next.
 
     Raises ValueError for a tokenizer that has a normalizer or is not byte-level, where words can't be cut out so.
     """
 
-    def __init__(self, path: str, words: int = 350_000) -> None:
+    def __init__(self, path: str, limit: int = 48 << 20) -> None:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -89,7 +99,7 @@ class Encoder:
         count = self.tokenizer.get_vocab_size()
         self.width = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(count)], np.int64)
         self.known, self.old = Held(), Held()
-        self.words = words
+        self.limit = limit
 
     def plain(self, text: str) -> np.ndarray:
         # The batch call without offsets is the cheaper one.
@@ -130,7 +140,7 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """For each text its ids as 32-bit integers."""
-        if len(self.known.numbers) > self.words:
+        if self.known.numbers.size() > self.limit:
             self.known, self.old = Held(), self.known
         number = self.known.numbers.__getitem__
         rows: list[tuple[str, np.ndarray]] = []
@@ -159,6 +169,12 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
+def forget() -> None:
+    """Drop the worker's encoders, once all is encoded."""
+    _ENCODERS.clear()
+    release()
+
+
 def write_tokens(docs: DataFrame, path: str, vocabulary: str, end_id: int = 2, stripe_bytes: int = 16 << 20, group_rows: int = 1000, key: str = "doc_id", text: str = "text") -> None:
     """Write the ids of all documents below ``path``. ``vocabulary`` is a tokenizer file that every worker has."""
     kind = docs.schema[key].dataType.simpleString()
@@ -177,6 +193,7 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, end_id: int = 2, s
                     [cut.column(0), pa.array(before + stops - counts), pa.array(counts), lists], names=["doc_id", "local_start", "n_tokens", "ids"]
                 )
                 before += int(stops[-1])
+        release()
 
     ranged = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     writer = ranged.mapInArrow(run, f"doc_id {kind}, local_start long, n_tokens long, ids array<int>").write
@@ -203,6 +220,7 @@ def digests(spark: SparkSession, path: str) -> DataFrame:
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             lists = batch.column(3)
             stops = lists.offsets.to_numpy().tolist()
