@@ -107,6 +107,53 @@ def test_templates_that_rewrite_history_are_found(spark):
     assert found[2].rewritten == [] and [found[2].formatted[s.start : s.end] for s in found[2].loss] == ["b"]
 
 
+def test_long_conversations_are_rendered_like_short_ones(spark):
+    def numbered(turns):
+        return "".join(f"<{k} {role}>{text}</>" for k, (role, text) in enumerate(turns))
+
+    def unsure(turns):
+        # The assistant's last word is open until the next turn is there.
+        last = len(turns) - 1
+        return "".join(f"<{role}>{text}{'?' if k == last and role == 'assistant' else ''}</>" for k, (role, text) in enumerate(turns))
+
+    rows = [(1, t, "assistant" if t % 2 else "user", f"t{t}") for t in range(chat_format.TURNS + 40)]
+    # A template that says nothing of its context sees all turns, however many there are.
+    (whole,) = chat_format.form(frame(spark, rows), template=numbered).collect()
+    assert whole.formatted == numbered([r[2:] for r in rows])
+    assert [whole.formatted[s.start : s.end] for s in whole.loss] == [r[3] for r in rows if r[2] == "assistant"]
+
+    # Rewritten turns: pieces of any size are one result.
+    rows = [(1, t, "assistant" if t > 20 and t % 3 == 0 or t == 4 else "user", f"t{t}") for t in range(60)]
+    for start in (0, 5):
+        (whole,) = chat_format.form(frame(spark, rows[start:]), template=unsure).collect()
+        first = next(k for k, r in enumerate(rows[start:]) if r[2] == "assistant")
+        assert whole.formatted == unsure([r[2:] for r in rows[start:]]) and whole.rewritten[0] == first + 1 and whole.loss == []
+        for turns, chars, context in ((3, 1 << 20, 1), (9, 1 << 20, 4), (50, 30, 2)):
+            mine = sorted(chat_format.form(frame(spark, rows[start:]), template=unsure, turns=turns, chars=chars, context=context).collect(), key=lambda r: r.piece)
+            assert len(mine) > 5 and "".join(r.formatted for r in mine) == whole.formatted
+            assert [n for r in mine for n in r.rewritten] == whole.rewritten and not any(r.loss for r in mine)
+
+
+def test_spans_before_a_rewritten_turn_stay_in_the_loss_in_pieces_of_any_size(spark):
+    def closing(turns):
+        # The fifteenth turn, and it alone, changes the one before it.
+        return "".join(f"<{role}>{'...' if k + 2 == len(turns) == 15 else text}</>" for k, (role, text) in enumerate(turns))
+
+    rows = [(1, t, "assistant" if t % 2 else "user", f"t{t}") for t in range(15)]
+    found = []
+    for turns, context in ((512, None), (15, 14), (512, 14)):
+        mine = sorted(chat_format.form(frame(spark, rows), template=closing, turns=turns, context=context).collect(), key=lambda r: r.piece)
+        found.append(("".join(r.formatted for r in mine), [r.formatted[s.start : s.end] for r in mine for s in r.loss], [n for r in mine for n in r.rewritten]))
+    assert found[0] == found[1] == found[2]
+    assert found[0][1:] == ([f"t{t}" for t in range(1, 13, 2)], [14])
+
+    def recounted(turns):
+        return f"{len(turns)}:" + "".join(f"<{role}>{text}</>" for role, text in turns)
+
+    with pytest.raises(Exception, match="rewrites more than the 2 turns"):
+        chat_format.form(frame(spark, rows), template=recounted, context=2).collect()
+
+
 def test_template_without_a_fixed_frame_gives_no_loss(spark):
     def counting(turns):
         return "".join(f"{len(text)}:{role}:{text};" for role, text in turns)

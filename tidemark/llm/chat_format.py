@@ -7,9 +7,12 @@ conversation is formatted all the same, the turn is named in ``rewritten`` and n
 the text of a turn stands inside its span is found by rendering the same prefix with two other texts in its place:
 what both outputs share at either end is the turn's frame.
 
-Conversations are dealt by id and streamed in order of their turns. Prefixes of up to ``TURNS`` turns and ``CHARS``
-characters are rendered whole. A longer conversation goes on from its last ``CONTEXT`` turns and is returned in several
-pieces, so that no task ever holds a giant one: there the template is taken to look back no further than that.
+Conversations are dealt by id and streamed in order of their turns. A template may say how many turns it looks back, in
+an attribute ``context``: what it adds for a turn is then rendered behind that many turns, whether the conversation is
+short or long, and a long one is returned in pieces of about ``TURNS`` turns or ``CHARS`` characters, so that no task holds
+a giant one. Where pieces end changes nothing in them: put together they are what a single piece would be. A template
+that says nothing is given all turns before, and its conversations are returned whole: that takes memory for one
+conversation, and time that grows with the square of its turns.
 
 Behaviour: a missing role or text is empty. Rows without a turn come first; rows of one turn are ordered by role and
 text. A missing conversation id is a conversation of its own; repeated rows are turns of their own. An empty table
@@ -34,7 +37,6 @@ Template = Callable[[Turns], str]
 
 TURNS = 512
 CHARS = 1 << 20
-CONTEXT = 16
 
 # Control strings of the template below, as fixed values: they are never found unescaped inside a formatted text.
 CONTROLS = ("<s>", "</s>", "[INST]", "[/INST]", "[ASSISTANT]", "[ROLE]", "[TEXT]", "[/ROLE]")
@@ -66,6 +68,10 @@ def instructions(turns: Turns) -> str:
     return "".join(parts)
 
 
+# A turn stands for itself; the one before it only tells that the conversation has begun.
+instructions.context = 1
+
+
 def read_instructions(formatted: str) -> Turns:
     """The turns of an output of ``instructions``, or of a piece of it."""
     turns: Turns = []
@@ -101,76 +107,89 @@ def frame(template: Template, before: Turns, role: str, known: str, span: str) -
 
 
 class Formatter:
-    """Renders a conversation turn by turn and hands it over in pieces."""
+    """Renders a conversation turn by turn and hands it over in pieces.
 
-    def __init__(self, template: Template, roles: tuple[str, ...], turns: int, chars: int, context: int) -> None:
-        self.template, self.roles, self.most = template, roles, (turns, chars, context)
+    The turns that the template looks back to stay in the piece at hand, so that a piece handed over is never rewritten.
+    """
+
+    def __init__(self, template: Template, roles: tuple[str, ...], turns: int, chars: int, context: int | None) -> None:
+        self.template, self.roles, self.most, self.context = template, roles, (turns, chars), context
         self.turns: Turns = []
         self.known = self.template([])
         self.piece: list[str] = [self.known]
         self.chars = len(self.known)
         self.ends: list[int] = []
-        self.loss: list[tuple[int, int]] = []
+        # Each with the number of its turn.
+        self.loss: list[tuple[int, int, int]] = []
         self.rewritten: list[int] = []
-        self.number = self.pieces = 0
+        self.broken = False
+        self.number = self.first = self.pieces = 0
 
     def add(self, role: str, text: str) -> None:
         output = self.template([*self.turns, (role, text)])
         if output.startswith(self.known):
             span = output[len(self.known) :]
-            if role in self.roles and (inner := frame(self.template, self.turns, role, self.known, span)):
-                self.loss.append((self.chars + inner[0], self.chars + inner[1]))
+            if not self.broken and role in self.roles and (inner := frame(self.template, self.turns, role, self.known, span)):
+                self.loss.append((self.number, self.chars + inner[0], self.chars + inner[1]))
             self.piece.append(span)
             self.chars += len(span)
         else:
             # What was shown before is not what stands there now: take the new output, learn nothing from it.
             self.rewritten.append(self.number)
+            self.broken = True
             same = shared_start(output, self.known)
-            gone = len(self.known) - same
-            whole = "".join(self.piece)
-            self.piece = [whole[: max(0, len(whole) - gone)], output[same:]]
+            kept = self.chars - (len(self.known) - same)
+            older = len(self.ends) - len(self.turns)
+            if kept < (self.ends[older - 1] if older else 0):
+                raise ValueError(f"the template rewrites more than the {self.context} turns it looks back to")
+            self.loss = [(n, a, b) for n, a, b in self.loss if self.ends[n - self.first] <= kept]
+            self.piece = ["".join(self.piece)[:kept], output[same:]]
             self.chars = sum(map(len, self.piece))
             self.ends = [min(end, self.chars) for end in self.ends]
         self.turns.append((role, text))
         self.known = output
+        if self.context is not None and len(self.turns) > self.context:
+            self.turns = self.turns[len(self.turns) - self.context :]
+            self.known = self.template(self.turns)
         self.ends.append(self.chars)
         self.number += 1
 
     def full(self) -> bool:
-        return len(self.turns) >= self.most[0] or self.chars >= self.most[1] or len(self.known) >= 2 * self.most[1]
-
-    def hand_over(self) -> tuple[int, str, list[int], list[tuple[int, int]], list[int]]:
-        """The piece so far; the next one starts behind it, with the last turns as its context."""
-        out = self.pieces, "".join(self.piece), self.ends, [] if self.rewritten else self.loss, list(self.rewritten)
+        more = self.context is not None and len(self.ends) > self.context
+        return more and (len(self.ends) >= self.most[0] or self.chars >= self.most[1])
+
+    def hand_over(self, last: bool) -> tuple[int, str, list[int], list[tuple[int, int]], list[int]]:
+        """The piece so far, but for the turns that may still be rewritten; the next one begins with them."""
+        done = len(self.ends) if last else len(self.ends) - self.context
+        cut = self.chars if last else self.ends[done - 1]
+        whole, behind = "".join(self.piece), self.first + done
+        out = self.pieces, whole[:cut], self.ends[:done], [(a, b) for n, a, b in self.loss if n < behind], [n for n in self.rewritten if n < behind]
         self.pieces += 1
-        self.piece, self.chars, self.ends, self.loss = [], 0, [], []
-        held, size = [], 0
-        for turn in reversed(self.turns[len(self.turns) - self.most[2] :]):
-            size += len(turn[0]) + len(turn[1])
-            if held and size > self.most[1]:
-                break
-            held.append(turn)
-        self.turns = held[::-1]
-        self.known = self.template(self.turns)
+        self.first, self.piece, self.chars = behind, [whole[cut:]], self.chars - cut
+        self.ends = [end - cut for end in self.ends[done:]]
+        self.loss = [(n, a - cut, b - cut) for n, a, b in self.loss if n >= behind]
+        self.rewritten = [n for n in self.rewritten if n >= behind]
         return out
 
 
 def form(
     conversations: DataFrame, template: Template = instructions, loss_roles: tuple[str, ...] = ("assistant",),
-    turns: int = TURNS, chars: int = CHARS, context: int = CONTEXT,
+    turns: int = TURNS, chars: int = CHARS, context: int | None = None,
 ) -> DataFrame:
     """Formatted conversations: ``conv_id``, ``piece`` (from 0), ``last``, ``formatted``, ``ends`` of the turns' spans, ``loss`` spans, ``rewritten``.
 
     Offsets are code points within the piece. ``rewritten`` lists the turns (counted from 0) whose rendering changed what
-    was rendered before; such a conversation has no loss spans from there on.
+    was rendered before; such a conversation has no loss spans from the first turn that was changed on. ``context`` is the
+    number of turns the template looks back to; without it the template's own word counts, see above.
     """
+    context = getattr(template, "context", None) if context is None else context
     names = ["key", "piece", "last", "formatted", "ends", "loss", "rewritten"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         key, now = None, None
 
         def handed(last: bool) -> tuple:
-            piece, text, ends, loss, rewritten = now.hand_over()
+            piece, text, ends, loss, rewritten = now.hand_over(last)
             return key, piece, last, text, ends, [{"start": a, "end": b} for a, b in loss], rewritten
 
         for batch in batches:
