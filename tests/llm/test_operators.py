@@ -81,6 +81,17 @@ def test_token_files_have_stripes_indexes_and_lookup(spark, docs):
     assert all(r.ids[-1] == 2 and len(r.ids) == r.n_tokens for r in found.collect())
 
 
+def test_words_of_a_batch_are_looked_up_once(monkeypatch):
+    encoder, asked = token_output.Encoder(vocabulary()), []
+    plain = token_output.Held.number
+    monkeypatch.setattr(token_output.Held, "number", lambda self, words: asked.append(words) or plain(self, words))
+    texts = ["a b b  c", "", " ", "a b", "x", "b c b", "\u00a0b  \u00e9\u00e9 \n b", "b " * 1500 + "end"]
+    got = encoder.encode(texts)
+    assert len(asked) == 1 and len(asked[0]) == len(set(asked[0])) and {"b", "c", "end"} <= set(asked[0])
+    assert [row.tolist() for row in got] == [encoder.plain(text).tolist() if text else [] for text in texts]
+    assert encoder.encode([]) == []
+
+
 @pytest.mark.parametrize("text", ["a  b", "a \n b ", "  x", "don't  stop", "tab\t end", "日本 語   x", " a", "x" * 3000 + " y"])
 def test_encoder_equals_library(text):
     encoder = token_output.Encoder(vocabulary(), limit=3 * token_output.WORD_BYTES)

@@ -16,10 +16,11 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
-from itertools import islice
+from itertools import islice, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -32,20 +33,8 @@ UNSAFE = re.compile(r" (?<=\s )(?:\s|\Z)")
 
 # Memory of a known word besides its characters, about: text and number objects, their place in the table, its ids.
 WORD_BYTES = 200
-
-
-class Words(dict):
-    """Words numbered in the order in which they are first asked for."""
-
-    characters = 0
-
-    def __missing__(self, word: str) -> int:
-        number = self[word] = len(self)
-        self.characters += len(word)
-        return number
-
-    def size(self) -> int:
-        return self.characters + WORD_BYTES * len(self)
+# Words given to the library in one text: in very long texts it takes longer for each.
+TOGETHER = 1000
 
 
 def gather(flat: np.ndarray, begins: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -55,15 +44,36 @@ def gather(flat: np.ndarray, begins: np.ndarray, counts: np.ndarray) -> np.ndarr
     return flat[shift + np.arange(shift.size)]
 
 
+def listed(words: pa.Array) -> list[str]:
+    """The words, which hold no blanks, as texts. One long text is faster cut than each word is fetched."""
+    return pc.binary_join(pa.ListArray.from_arrays([0, len(words)], words), " ")[0].as_py().split(" ") if len(words) else []
+
+
 class Held:
     """Words with their ids: a word's number is its place in ``begins`` and ``counts``, which point into ``ids``."""
 
     def __init__(self) -> None:
-        self.numbers = Words()
+        self.numbers: dict[str, int] = {}
+        self.characters = 0
         self.ids = np.empty(0, np.int32)
         self.begins = np.empty(0, np.int64)
         self.counts = np.empty(0, np.int64)
 
+    def size(self) -> int:
+        return self.characters + WORD_BYTES * len(self.numbers)
+
+    def number(self, words: list[str]) -> np.ndarray:
+        """The numbers of different words; unknown ones get the next numbers in their order."""
+        found = np.fromiter(map(self.numbers.get, words, repeat(-1)), np.int64, len(words))
+        new = np.flatnonzero(found < 0).tolist()
+        if new:
+            fresh = [words[i] for i in new]
+            places = range(len(self.numbers), len(self.numbers) + len(new))
+            found[new] = places
+            self.numbers.update(zip(fresh, places))
+            self.characters += sum(map(len, fresh))
+        return found
+
     def unlearned(self) -> list[str]:
         return list(islice(self.numbers, len(self.counts), None))
 
@@ -78,8 +88,8 @@ class Encoder:
 
     The tokenizer splits a text into pieces before it merges bytes, and a blank next to a character that is not
     white space always begins a piece. So a text can be cut there into words, each encoded once with the blank before
-    it. A text becomes the numbers of its words in one lookup each; the ids of all words of a batch are then copied at
-    once. Unknown words are encoded together as one text and told apart by the byte lengths of their ids. When the words
+    it. A batch of texts is cut and its different words are found in Arrow, so that each is looked up once a batch; the
+    ids of all words of the batch are then copied at once. Unknown words are encoded together in long texts and told apart by the byte lengths of their ids. When the words
     hold ``limit`` bytes they become the old generation; a word of it that is met again moves on, the others go with the next.
 
     Raises ValueError for a tokenizer that has a normalizer or is not byte-level, where words can't be cut out so.
@@ -107,10 +117,10 @@ class Encoder:
 
     def library(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of words with a blank before them, and the count of each. Words begin with no white space."""
-        text = " " + " ".join(words)
-        ids = self.plain(text)
+        texts = [" " + " ".join(words[i : i + TOGETHER]) for i in range(0, len(words), TOGETHER)]
+        ids = np.concatenate([self.plain(text) for text in texts])
         # Words hold no blanks, so every blank begins one.
-        begins = np.flatnonzero(np.frombuffer(text.encode(), np.uint8) == 32)
+        begins = np.flatnonzero(np.frombuffer("".join(texts).encode(), np.uint8) == 32)
         cuts = np.searchsorted(np.cumsum(self.width[ids]), begins, side="right")
         return ids, np.diff(cuts, append=len(ids))
 
@@ -119,7 +129,7 @@ class Encoder:
         words = self.known.unlearned()
         if not words:
             return
-        old = np.fromiter((self.old.numbers.get(word, -1) for word in words), np.int64, len(words))
+        old = np.fromiter(map(self.old.numbers.get, words, repeat(-1)), np.int64, len(words))
         safe = np.fromiter((word[:1].strip() != "" and len(word) < 1000 for word in words), bool, len(words))
         met, together, alone = old >= 0, (old < 0) & safe, (old < 0) & ~safe
         flat, counts = [self.old.ids], np.zeros(len(words), np.int64)
@@ -140,21 +150,25 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """For each text its ids as 32-bit integers."""
-        if self.known.numbers.size() > self.limit:
+        if self.known.size() > self.limit:
             self.known, self.old = Held(), self.known
-        number = self.known.numbers.__getitem__
-        rows: list[tuple[str, np.ndarray]] = []
-        for text in texts:
-            first, *words = [text] if UNSAFE.search(text) else text.split(" ")
-            rows.append((first, np.fromiter(map(number, words), np.int64, len(words))))
+        whole = {i: text for i, text in enumerate(texts) if UNSAFE.search(text)}
+        cut = pc.split_pattern(pa.array(["" if i in whole else text for i, text in enumerate(texts)], pa.string()), " ")
+        stops = cut.offsets.to_numpy().astype(np.int64)
+        firsts = cut.values.take(pa.array(stops[:-1])).to_pylist()
+        follows = np.ones(len(cut.values), bool)
+        follows[stops[:-1]] = False
+        words = cut.values.filter(pa.array(follows)).dictionary_encode()
+        numbers = self.known.number(listed(words.dictionary))[words.indices.to_numpy()]
         self.learn()
-        numbers = np.concatenate([row for _, row in rows]) if rows else np.empty(0, np.int64)
         counts = self.known.counts[numbers]
         ids = gather(self.known.ids, self.known.begins[numbers], counts)
         before = np.concatenate([[0], np.cumsum(counts)])
-        ends = before[np.cumsum([len(row) for _, row in rows], dtype=np.int64)].tolist()
+        # Each text has one first word, which is not among the others.
+        ends = before[stops[1:] - np.arange(1, len(stops))].tolist()
         out = []
-        for (first, _), begin, end in zip(rows, [0, *ends], ends):
+        for i, (first, begin, end) in enumerate(zip(firsts, [0, *ends], ends)):
+            first = whole.get(i, first)
             out.append(np.concatenate([self.plain(first), ids[begin:end]]) if first else ids[begin:end])
         return out
 
