@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 from tidemark.contract import ModelSpec, PipelineSpec, TableContract
 from tidemark.operators.quality import join_report
-from tidemark.operators.scoring import Scorer, attach_actuals, batch_function, prediction_values, score
+from tidemark.operators.scoring import Scorer, attach_actuals, batch_function, matching_actuals, prediction_values, score
 from tidemark.plans.baseline import build_baseline
+from tidemark.plans import run
 from tidemark.plans.registration import Registry
 from tidemark.plans.run import dry_run, load_registry, run_pipeline, save_registry
 from tidemark.sources.tables import load_optional, load_table, sample_input, write_baseline
@@ -202,6 +203,24 @@ def test_run_pipeline(spark, use_case, tmp_path):
     assert details == {(m, "registration"): "skipped_duplicate" for m in ("old", "best", "quiet")}
 
 
+def test_window_and_its_actuals_are_found_once_for_all_models(spark, use_case, monkeypatch):
+    pipeline, registry = use_case
+    calls = []
+    for name in ("window_rows", "matching_actuals"):
+        plain = getattr(run, name)
+        monkeypatch.setattr(run, name, lambda *a, plain=plain, name=name: calls.append(name) or plain(*a))
+    outcome = run_pipeline(spark, pipeline, registry, lambda *_: DOUBLE, AT)
+    assert outcome.rows.filter("stage = 'baseline' AND status = 'done'").count() == 2
+    assert sorted(calls) == ["matching_actuals", "window_rows"]
+
+
+def test_matching_actuals(spark):
+    wanted = spark.createDataFrame([(1,), (1,), (None,), (7,)], "k long")
+    held = spark.createDataFrame([(1, 1.0, "a"), (1, 2.0, "b"), (None, 3.0, "c"), (2, 4.0, "d")], "k long, y double, more string")
+    found = matching_actuals(wanted, held, contract(join_keys=("k",), label_col="y"))
+    assert rows(found) == [(1, 1.0), (1, 2.0), (None, 3.0)]
+
+
 def test_repeated_actuals_outside_the_window_are_told(spark, use_case):
     pipeline, registry = use_case
     actuals = load_table(spark, pipeline.tables.actual_table)

@@ -115,6 +115,24 @@ def test_two_interleaved_registrations_do_not_lose_one(spark, registry, tmp_path
     assert sorted(r.model_name for r in load_registry(spark, folder).versions.collect()) == ["a", "b"]
 
 
+def test_a_commit_writes_only_the_rows_that_were_added(spark, registry, tmp_path):
+    folder = str(tmp_path / "state")
+    start = save_registry(registry, folder)
+    spec = ModelSpec("a", source="file", model_path="/m/a.cbm", metric="rmse", metrics={"rmse": 2.0})
+    first = save_registry(register(specs_frame(spark, {"a": spec}), start, AT).registry, folder)
+    second = save_registry(register(specs_frame(spark, {"a": spec}), first, AT + dt.timedelta(days=1)).registry, folder)
+    n = registry.runs.count()
+    assert [s.runs.count() for s in (start, first, load_registry(spark, folder))] == [n, n + 1, n + 2]
+    for name in ("runs", "run_metrics"):
+        assert spark.read.parquet(f"{current(spark, folder).path}/{name}").count() == 1
+    assert second.version_tags.select("version").distinct().count() == 2 and second.versions.count() == 2
+    # A frame put in the place of a table is written as it is, and so is all that goes to another folder.
+    fewer = save_registry(dataclasses.replace(second, runs=second.runs.limit(1)), folder)
+    assert fewer.runs.count() == 1 and fewer.run_metrics.count() == second.run_metrics.count()
+    other = save_registry(dataclasses.replace(second, state=0), str(tmp_path / "other"))
+    assert other.runs.count() == n + 2 and all(f.startswith(str(tmp_path / "other")) for f in other.grown["runs"].folders)
+
+
 def test_equal_names_in_two_catalogs_are_two_models(spark, registry, tmp_path):
     contract = TableContract("", "", "", date_col="day", join_keys=["k"], label_col="y", min_valid_date="2000-01-01", exclude_from_features=["k"])
     contract = dataclasses.replace(contract, feature_table=str(tmp_path / "f"), actual_table=str(tmp_path / "a"), baseline_table=str(tmp_path / "b"))

@@ -118,6 +118,19 @@ def score(df: DataFrame, scorer: Scorer, contract: TableContract, name: str = "p
     return scored.withColumn(name, F.when(~F.isnan(name), F.col(name)))
 
 
+def matching_actuals(rows: DataFrame, actuals: DataFrame, contract: TableContract) -> DataFrame:
+    """Keys and labels of the actuals that any of ``rows`` has the keys of.
+
+    A left join would shuffle all actuals, however few rows there are. ``rows`` are best stored, so that their size
+    decides how the actuals are searched.
+    """
+    require_columns(actuals, [*contract.keys, contract.label_col], contract.actual_table or "actuals")
+    same_key_types(rows, actuals, contract.keys)
+    wanted = rows.select(*[F.col(k).alias(f"_wanted_{k}") for k in contract.keys])
+    same = [F.col(k).eqNullSafe(F.col(f"_wanted_{k}")) for k in contract.keys]
+    return actuals.select(*contract.keys, contract.label_col).join(wanted, same, "left_semi")
+
+
 def attach_actuals(scored: DataFrame, actuals: DataFrame | None, contract: TableContract) -> DataFrame:
     """Left join of the label; rows without an actual, or all rows without a table, get NULL.
 

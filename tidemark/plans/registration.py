@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +29,15 @@ SPEC_SCHEMA = (
 _REQUEST = ["metric", "metric_pattern", "metric_select", "metric_direction", "improvement_threshold"]
 
 
+@dataclass(frozen=True)
+class Grown:
+    """A table of a registry to which rows were only added: all of it, the folders it was read from and the rows since."""
+
+    whole: DataFrame
+    folders: tuple[str, ...]
+    added: DataFrame | None = None
+
+
 @dataclass(frozen=True)
 class Registry:
     """The tables registration reads, and after it the ones to be written as the new state."""
@@ -40,6 +49,20 @@ class Registry:
     version_tags: DataFrame | None = None
     # The number of the committed state these tables were read from.
     state: int = 0
+    # What of these tables is stored already, by table; it counts for no other frame than its ``whole``.
+    grown: Mapping[str, Grown] = field(default_factory=dict)
+
+    def stored(self, name: str) -> Grown | None:
+        grown = self.grown.get(name)
+        return grown if grown is not None and grown.whole is getattr(self, name) else None
+
+    def with_rows(self, name: str, whole: DataFrame, added: DataFrame) -> dict[str, Grown]:
+        """The entry of ``grown`` for a table that has become ``whole`` by the rows ``added``."""
+        before = self.stored(name)
+        if before is None or before.whole.dtypes != whole.dtypes:
+            return {}
+        added = added.select(*[F.col(c).cast(kind) for c, kind in whole.dtypes])
+        return {name: Grown(whole, before.folders, added if before.added is None else before.added.unionByName(added))}
 
 
 @dataclass(frozen=True)
@@ -198,18 +221,20 @@ def register(
     named = F.create_map(F.lit("mlflow.runName"), F.col("run_name"))
     new_runs = new_runs.withColumn("tags", merge_maps(named, F.col("tags")))
     logged = new_runs.join(decisions.filter(F.col("scenario") != SKIPPED).select("run_id"), "run_id", "left_semi")
-    runs = registry.runs.unionByName(logged.select(*registry.runs.columns))
-    run_metrics = registry.run_metrics.unionByName(claimed_metrics(logged))
+    new_runs, new_metrics = logged.select(*registry.runs.columns), claimed_metrics(logged)
+    runs, run_metrics = registry.runs.unionByName(new_runs), registry.run_metrics.unionByName(new_metrics)
     results = registration_results(decisions, catalog, schema)
     if fail_fast:
         failed = results.filter("error IS NOT NULL").select("registered_model_name", "error").first()
         if failed:
             raise ValueError(f"{failed.registered_model_name}: {failed.error}")
-    tags = version_tags(decisions, runs, run_metrics, registered_at)
+    tags = new_tags = version_tags(decisions, runs, run_metrics, registered_at)
     if registry.version_tags is not None:
         tags = registry.version_tags.unionByName(tags)
+    grown = [("runs", runs, new_runs), ("run_metrics", run_metrics, new_metrics), ("version_tags", tags, new_tags)]
     after = Registry(
         runs, run_metrics, versions_after(decisions, registry.versions, registered_at),
         aliases_after(decisions, registry.aliases), tags, registry.state,
+        {name: entry for table in grown for name, entry in registry.with_rows(*table).items()},
     )
     return Registration(results, decisions, after)

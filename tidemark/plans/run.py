@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 from collections.abc import Callable
 from dataclasses import dataclass, replace
 
@@ -11,11 +12,12 @@ from pyspark.sql import functions as F
 
 from tidemark.contract import PipelineSpec, TableContract
 from tidemark.operators.quality import key_uniqueness, validate_table
-from tidemark.operators.scoring import Scorer
+from tidemark.operators.scoring import Scorer, matching_actuals
 from tidemark.operators.windows import fixed_bounds, test_window, window_rows
 from tidemark.plans.baseline import build_baseline
-from tidemark.plans.registration import Registry, register, specs_frame
-from tidemark.sources.snapshots import State, current
+from tidemark.plans.registration import Grown, Registry, register, specs_frame
+from tidemark.session import materialise
+from tidemark.sources.snapshots import State, current, read_text, write_text
 from tidemark.sources.snapshots import replace as commit
 from tidemark.sources.tables import load_optional, load_table, write_baseline
 
@@ -70,9 +72,9 @@ def run_pipeline(
     ready: list[str] = []
     for batch in _rounds({k: m.model_name for k, m in models.items()}):
         names = {models[k].model_name: k for k in batch}
-        registration = register(
-            specs_frame(spark, {k: models[k] for k in batch}), registry, now, fail_fast=fail_fast, files=files
-        )
+        # Stored, so that Spark knows how few they are and never moves the registry's tables for them.
+        specs = materialise(specs_frame(spark, {k: models[k] for k in batch}), "specs")
+        registration = register(specs, registry, now, fail_fast=fail_fast, files=files)
         registry = registration.registry
         for row in registration.results.collect():
             key = names[row.registered_model_name]
@@ -85,15 +87,21 @@ def run_pipeline(
 
     repeats = _repeated_keys(actuals, contract) if ready and not skip_baseline else None
     champions = _champions(registry, [models[k].model_name for k in ready]) if ready and not skip_baseline else {}
+    window = labels = None
     for key in ready if not skip_baseline else []:
         try:
             version, run_id = champions[models[key].model_name]
             name = models[key].model_name
-            before = window_rows(features, contract, bounds).count()
+            # The window and its actuals are the same for all models: found and stored once.
+            if window is None:
+                window = materialise(window_rows(features, contract, bounds).select(*features.columns), "window")
+                before = window.count()
             if before == 0:
                 raise ValueError(f"no feature rows between {bounds[0]} and {bounds[1]}")
             scorer = load_champion(models[key].model_name, version, run_id)
-            baseline = build_baseline(features, actuals, scorer, contract, name, version, bounds, now)
+            if labels is None and actuals is not None:
+                labels = materialise(matching_actuals(window, actuals, contract), "labels")
+            baseline = build_baseline(window, labels, scorer, contract, name, version, bounds, now)
             written = write_baseline(baseline, contract)
             matched = written.agg(F.count(F.lit(1)).alias("n"), F.count(contract.label_col).alias("m")).first()
             outcome.append((key, "baseline", "done", f"{matched.n} rows, {matched.m} with actuals"))
@@ -146,30 +154,56 @@ def _champions(registry: Registry, names: list[str]) -> dict[str, tuple[int, str
 
 
 _TABLES = ("runs", "run_metrics", "versions", "aliases", "version_tags")
+# Tables that registration only adds rows to, and the folders one of them may be spread over before it is written anew.
+_GROWING = ("runs", "run_metrics", "version_tags")
+FOLDERS = 50
 
 
 def save_registry(registry: Registry, folder: str) -> Registry:
     """Commit a registry as the next state of its folder and return it as read back.
 
-    A registry that was loaded from a state which is no longer the newest raises ``CommitConflict``: what another batch
-    registered meanwhile would be lost. Load it again and register again. Old states stay readable.
+    Of tables that grow only the rows added since the folder was read are written: a state names all folders they lie in,
+    those of older snapshots included. A registry that was loaded from a state which is no longer the newest raises
+    ``CommitConflict``: what another batch registered meanwhile would be lost. Load it again and register again. Old
+    states stay readable.
     """
     spark = registry.runs.sparkSession
+    folder = folder.rstrip("/")
 
     def write(path: str) -> None:
+        places = []
         for name in _TABLES:
-            table = getattr(registry, name)
+            table, stored = getattr(registry, name), registry.stored(name)
+            if table is None:
+                continue
+            if stored is not None and len(stored.folders) < FOLDERS and all(f.startswith(f"{folder}/") for f in stored.folders):
+                places.extend((name, f.removeprefix(f"{folder}/")) for f in stored.folders)
+                table = stored.added
             if table is not None:
                 table.write.parquet(f"{path}/{name}")
+                places.append((name, f"{path}/{name}".removeprefix(f"{folder}/")))
+        write_text(spark, f"{path}/{_PLACES}", json.dumps(places))
 
-    state = commit(spark, folder, write, parent=registry.state)
-    return _registry_at(spark, state)
+    return _registry_at(spark, folder, commit(spark, folder, write, parent=registry.state))
 
 
 def load_registry(spark: SparkSession, folder: str) -> Registry:
     """The newest committed state of a registry's folder."""
-    return _registry_at(spark, current(spark, folder))
+    folder = folder.rstrip("/")
+    return _registry_at(spark, folder, current(spark, folder))
+
+
+# The file of a snapshot that names its tables' folders; without it every table has one folder of its own name.
+_PLACES = "_folders.json"
 
 
-def _registry_at(spark: SparkSession, state: State) -> Registry:
-    return Registry(**{n: load_optional(spark, f"{state.path}/{n}") for n in _TABLES}, state=state.number)
+def _registry_at(spark: SparkSession, folder: str, state: State) -> Registry:
+    text = read_text(spark, f"{state.path}/{_PLACES}")
+    if text is None:
+        tables = {n: load_optional(spark, f"{state.path}/{n}") for n in _TABLES}
+        folders = {n: (f"{state.path}/{n}",) for n in _TABLES}
+    else:
+        folders = {n: tuple(f"{folder}/{place}" for table, place in json.loads(text) if table == n) for n in _TABLES}
+        tables = {n: spark.read.parquet(*places) if places else None for n, places in folders.items()}
+    grown = {n: Grown(tables[n], folders[n]) for n in _GROWING if tables[n] is not None}
+    return Registry(**tables, state=state.number, grown=grown)

@@ -18,20 +18,23 @@ from tidemark.queries import views as v
 from tidemark.queries.catalog import query
 from tidemark.queries.ranking import RESOLVED_SQL
 from tidemark.session import materialise, scratch_path
-from tidemark.sources.tables import write_replacing
+from tidemark.sources.tables import load_table, write_replacing
 
 
-def _resolved(spark: SparkSession, sf: str) -> DataFrame:
+def _resolved(spark: SparkSession, sf: str, run_metrics: DataFrame) -> DataFrame:
     """The newest candidate per model with its own metric."""
-    latest = v.latest_candidates(spark, sf)
-    own = resolve_metric(v.run_metrics(spark, sf), pattern=v.STAMPED)
+    # Stored, so that its size decides how the metrics are searched; only those of these runs are grouped.
+    latest = materialise(v.latest_candidates(spark, sf), "latest")
+    own = resolve_metric(run_metrics.join(latest.select("run_id"), "run_id", "left_semi"), pattern=v.STAMPED)
     found = latest.join(own, "run_id", "left")
     missing = F.when(F.col("resolved_key").isNull(), F.concat(F.lit("no metric in run "), "run_id"))
     return found.withColumn("error", missing)
 
 
-def _champions(spark: SparkSession, sf: str, versions: DataFrame) -> DataFrame:
-    return g.champion_lookup(_resolved(spark, sf), v.aliases(spark, sf), versions, v.run_metrics(spark, sf))
+def _champions(spark: SparkSession, sf: str, versions: DataFrame, run_metrics: DataFrame | None = None) -> DataFrame:
+    """``run_metrics``: those of the tables as stored files, if there are any."""
+    run_metrics = v.run_metrics(spark, sf) if run_metrics is None else run_metrics
+    return g.champion_lookup(_resolved(spark, sf, run_metrics), v.aliases(spark, sf), versions, run_metrics)
 
 
 def _versions(spark: SparkSession, sf: str) -> DataFrame:
@@ -39,8 +42,8 @@ def _versions(spark: SparkSession, sf: str) -> DataFrame:
     return materialise(v.versions(spark, sf), "versions")
 
 
-def _decisions(spark: SparkSession, sf: str, versions: DataFrame) -> DataFrame:
-    return materialise(g.decide(_champions(spark, sf, versions), versions), "decisions")
+def _decisions(spark: SparkSession, sf: str, versions: DataFrame, run_metrics: DataFrame | None = None) -> DataFrame:
+    return materialise(g.decide(_champions(spark, sf, versions, run_metrics), versions), "decisions")
 
 
 @query(
@@ -232,12 +235,14 @@ def pipeline_results(spark: SparkSession, sf: str) -> DataFrame:
     """A whole run over one model of every kind of outcome, from registration to the written baseline; then the same run
     on the committed registry, in which every model is known; last the champions of the committed state."""
     versions = _versions(spark, sf)
-    # One model for each of the few kinds of outcome.
-    place = F.struct("model_name", "run_id")
-    chosen = _decisions(spark, sf, versions).groupBy("scenario").agg(F.min(place).alias("m")).select("scenario", "m.*").collect()
     name = lambda frame: frame.withColumn("model_name", qualified_name(F.lit("main"), F.lit("ops"), F.col("model_name")))
-    registry = Registry(v.runs(spark, sf), v.run_metrics(spark, sf), name(versions), name(v.aliases(spark, sf)))
     folder, tables = scratch_path(spark, "registry"), scratch_path(spark, "tables")
+    # Committed first: all that follows reads the stored runs and metrics.
+    registry = save_registry(Registry(v.runs(spark, sf), v.run_metrics(spark, sf), name(versions), name(v.aliases(spark, sf))), folder)
+    # One model for each of the few kinds of outcome.
+    place = F.struct("model_name", "run_id")
+    decisions = _decisions(spark, sf, versions, registry.run_metrics)
+    chosen = decisions.groupBy("scenario").agg(F.min(place).alias("m")).select("scenario", "m.*").collect()
     write_replacing(v.features(spark, sf), f"{tables}/features")
     write_replacing(v.actuals(spark, sf), f"{tables}/actuals")
     refs = {"feature_table": f"{tables}/features", "actual_table": f"{tables}/actuals", "baseline_table": f"{tables}/baseline"}
@@ -246,10 +251,10 @@ def pipeline_results(spark: SparkSession, sf: str) -> DataFrame:
         r.scenario: ModelSpec(r.model_name, metric_pattern=v.STAMPED, source="run", run_id=r.run_id, improvement_threshold=0.02) for r in chosen
     }
     spec = PipelineSpec("cost", "main", "ops", "/exp/none", contract, models)
-    line = v.line(spark, sf).first()
+    line = v.line_of(load_table(spark, contract.feature_table), load_table(spark, contract.actual_table)).first()
     scorer = Scorer(expression=F.lit(line.slope) * F.col("o_totalprice") + F.lit(line.intercept))
     at = dt.datetime.fromisoformat(v.REGISTERED_AT)
-    done = run_pipeline(spark, spec, save_registry(registry, folder), lambda *_: scorer, at)
+    done = run_pipeline(spark, spec, registry, lambda *_: scorer, at)
     kept = save_registry(done.registry, folder)
     again = run_pipeline(spark, spec, kept, lambda *_: scorer, at, skip_baseline=True)
     known = F.when(F.col("status") == "done", F.col("detail"))

@@ -155,7 +155,12 @@ def training(spark: SparkSession, sf: str) -> DataFrame:
 
 def line(spark: SparkSession, sf: str) -> DataFrame:
     """The stand-in champion: one line from total price to cost, as a one-row frame."""
-    return rounded_line(fit_lines(training(spark, sf), "o_totalprice", "total_cost"))
+    return line_of(features(spark, sf), actuals(spark, sf))
+
+
+def line_of(features: DataFrame, actuals: DataFrame) -> DataFrame:
+    """The same from the two tables as they are stored elsewhere."""
+    return rounded_line(fit_lines(training_set(features, actuals, CONTRACT, "total_cost"), "o_totalprice", "total_cost"))
 
 
 def rounded_line(lines: DataFrame) -> DataFrame:

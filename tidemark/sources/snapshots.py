@@ -34,19 +34,36 @@ def _files(spark: SparkSession, folder: str):
     return jvm, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
 
 
+def read_text(spark: SparkSession, file: str) -> str | None:
+    """The text of a small file, or None if it is not there."""
+    jvm, files, path = _files(spark, file)
+    if not files.exists(path):
+        return None
+    stream = files.open(path)
+    try:
+        return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, file: str, text: str) -> None:
+    _, files, path = _files(spark, file)
+    stream = files.create(path, False)
+    try:
+        stream.write(text.encode())
+    finally:
+        stream.close()
+
+
 def current(spark: SparkSession, folder: str) -> State:
     """The newest committed state. A folder without commits is its own data: a plain table."""
     folder = folder.rstrip("/")
-    jvm, files, commits = _files(spark, f"{folder}/_commits")
+    _, files, commits = _files(spark, f"{folder}/_commits")
     if not files.exists(commits):
         return State(0, folder)
     names = sorted((s.getPath().getName() for s in files.listStatus(commits) if s.getPath().getName().isdigit()), reverse=True)
     for name in names:
-        stream = files.open(jvm.org.apache.hadoop.fs.Path(commits, name))
-        try:
-            snapshot = jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-        finally:
-            stream.close()
+        snapshot = read_text(spark, f"{folder}/_commits/{name}")
         # A number without a name is a commit that was cut off: it never took place.
         if snapshot:
             return State(int(name), f"{folder}/{snapshot}")
