@@ -113,6 +113,38 @@ def test_encoder_keeps_ids_over_generations():
     assert encoder.encode([]) == []
 
 
+def test_a_word_with_other_signs_behind_it_is_not_given_to_the_library_again(monkeypatch):
+    encoder, given = token_output.Encoder(vocabulary()), []
+    plain = token_output.Encoder.plain
+    monkeypatch.setattr(token_output.Encoder, "plain", lambda self, text: given.append(text) or plain(self, text))
+    texts = [f"x unusualword{sign} and unusualword\nunusualword{sign}" for sign in ("", ".", ",", "!", "###", "'s", "7")]
+    got = encoder.encode(texts) + encoder.encode(texts[::-1])
+    # Once with a blank before it and once at the beginning of a line.
+    assert "".join(given).count("unusualword") == 2
+    assert [row.tolist() for row in got] == [plain(encoder, text).tolist() for text in texts + texts[::-1]]
+
+
+@pytest.mark.parametrize("runs", [True, False])
+def test_words_are_cut_as_the_pre_tokenizer_allows(tmp_path, runs):
+    """Signs, line breaks, added tokens and odd white space, also for a pre-tokenizer that joins them otherwise."""
+    import json
+
+    from tokenizers import Tokenizer
+
+    form = json.loads(open(vocabulary()).read())
+    if not runs:
+        split = {"type": "Split", "pattern": {"Regex": r"[^\r\n\p{L}\p{N}]?\p{L}+|\p{N}| ?[^\s\p{L}\p{N}]+[\r\n]*|\s+(?!\S)|\s+"}, "behavior": "Isolated", "invert": False}
+        form["pre_tokenizer"] = {"type": "Sequence", "pretokenizers": [split, form["pre_tokenizer"] | {"use_regex": False}]}
+    (tmp_path / "form.json").write_text(json.dumps(form))
+    plain, rng = Tokenizer.from_file(str(tmp_path / "form.json")), np.random.default_rng(11)
+    parts = [" ", " ", "\n", "\r\n", "\t", "\x00", "\x1c", "\x85", "\xa0", "a", "The", "\u00e9", "\u0416", "12", ".", ",", "'s", "'", "$#", "[", "\\", "_", "<|endoftext|>", "\u200b", "\u65e5", "\u0301"]
+    for limit in (60 * token_output.WORD_BYTES, 1 << 20):
+        encoder = token_output.Encoder(str(tmp_path / "form.json"), limit=limit)
+        for _ in range(60):
+            texts = ["".join(rng.choice(parts, rng.integers(0, 30))) for _ in range(20)]
+            assert [row.tolist() for row in encoder.encode(texts)] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_texts_longer_than_a_stretch(spark):
     """A text of more than 4 MB is worked on alone and whole."""
     from tokenizers import Tokenizer

@@ -15,8 +15,7 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
-from itertools import islice, repeat
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -31,56 +30,71 @@ from tidemark.llm.common import release, stretches
 UNSAFE = re.compile(r" (?<=\s )(?:\s|\Z)")
 
 
-# Memory of a known word besides its characters, about: text and number objects, their place in the table, its ids.
-WORD_BYTES = 200
+# Memory of a known word besides its characters and ids, about: offsets, uses, its place in the table of a lookup.
+WORD_BYTES = 64
 # Words given to the library in one text: in very long texts it takes longer for each.
 TOGETHER = 1000
+# White space of the tokenizers and of Python.
+SPACES = "\t\n\v\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+# The usual pre-tokenizer: runs of letters, of digits and of other signs, each with a blank before it if there is one.
+RUNS = "ByteLevel(add_prefix_space=False, trim_offsets=True, use_regex=True)"
+# There a run of letters ends before anything else, and a single line break between other characters is a piece.
+LETTER_END = "([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f\u0391-\u03a1\u03a3-\u03a9\u03b1-\u03c9\u0410-\u044f])([!-@\\[-`{-~])"
+LINE_END = f"([^{SPACES}])\n([^{SPACES}])"
 
 
-def gather(flat: np.ndarray, begins: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """The slices of ``flat`` that start at ``begins`` with ``counts`` entries each, one after the other."""
-    stops = np.cumsum(counts)
-    shift = np.repeat(begins - (stops - counts), counts)
-    return flat[shift + np.arange(shift.size)]
+def joined(words: pa.Array, together: int, between: str = " ") -> pa.Array:
+    """Texts of ``together`` words each with ``between`` between them, the last one of what is left."""
+    offsets = [*range(0, len(words), together), len(words)]
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), words), between)
 
 
 def listed(words: pa.Array) -> list[str]:
     """The words, which hold no blanks, as texts. One long text is faster cut than each word is fetched."""
-    return pc.binary_join(pa.ListArray.from_arrays([0, len(words)], words), " ")[0].as_py().split(" ") if len(words) else []
+    return joined(words, len(words))[0].as_py().split(" ") if len(words) else []
 
 
 class Held:
-    """Words with their ids: a word's number is its place in ``begins`` and ``counts``, which point into ``ids``."""
+    """Words with their ids, as far as these are learned: a word's number is its place. ``uses`` counts batches that had it."""
 
     def __init__(self) -> None:
-        self.numbers: dict[str, int] = {}
-        self.characters = 0
-        self.ids = np.empty(0, np.int32)
-        self.begins = np.empty(0, np.int64)
-        self.counts = np.empty(0, np.int64)
+        self.words = pa.array([], pa.string())
+        self.ids = pa.array([], pa.list_(pa.int32()))
+        self.uses = np.empty(0, np.int64)
 
     def size(self) -> int:
-        return self.characters + WORD_BYTES * len(self.numbers)
+        return self.words.nbytes + self.ids.nbytes + WORD_BYTES * len(self.words)
 
     def number(self, words: list[str]) -> np.ndarray:
         """The numbers of different words; unknown ones get the next numbers in their order."""
-        found = np.fromiter(map(self.numbers.get, words, repeat(-1)), np.int64, len(words))
-        new = np.flatnonzero(found < 0).tolist()
-        if new:
-            fresh = [words[i] for i in new]
-            places = range(len(self.numbers), len(self.numbers) + len(new))
-            found[new] = places
-            self.numbers.update(zip(fresh, places))
-            self.characters += sum(map(len, fresh))
-        return found
-
-    def unlearned(self) -> list[str]:
-        return list(islice(self.numbers, len(self.counts), None))
-
-    def add(self, ids: np.ndarray, counts: np.ndarray) -> None:
-        self.begins = np.concatenate([self.begins, len(self.ids) + np.cumsum(counts) - counts])
-        self.counts = np.concatenate([self.counts, counts])
-        self.ids = np.concatenate([self.ids, ids])
+        return self.places(pa.array(words, pa.string()))
+
+    def places(self, asked: pa.Array) -> np.ndarray:
+        """As ``number``, of an Arrow array."""
+        # The known words are looked for among the asked ones, which are fewer: a smaller table to make.
+        places = pc.index_in(self.words, value_set=asked)
+        held = places.is_valid().to_numpy(zero_copy_only=False)
+        numbers = np.full(len(asked), -1, np.int64)
+        numbers[places.drop_null().to_numpy()] = np.flatnonzero(held)
+        new = asked.filter(pa.array(numbers < 0))
+        numbers[numbers < 0] = np.arange(len(self.words), len(self.words) + len(new))
+        self.words = pa.concat_arrays([self.words, new])
+        self.uses = np.concatenate([self.uses, np.zeros(len(new), np.int64)])
+        self.uses[numbers] += 1
+        return numbers
+
+    def unlearned(self) -> pa.Array:
+        return self.words.slice(len(self.ids))
+
+    def add(self, ids: pa.Array) -> None:
+        self.ids = pa.concat_arrays([self.ids, ids])
+
+    def thin(self, limit: int) -> None:
+        """Keep the words of most use, of equal ones the newest, within ``limit`` bytes; their uses count half from now on."""
+        order = np.lexsort((-np.arange(len(self.uses)), -self.uses))
+        sizes = pc.binary_length(self.words).to_numpy() + 4 * pc.list_value_length(self.ids).to_numpy() + WORD_BYTES
+        keep = np.sort(order[np.cumsum(sizes[order]) <= limit])
+        self.words, self.ids, self.uses = self.words.take(pa.array(keep)), self.ids.take(pa.array(keep)), self.uses[keep] // 2
 
 
 class Encoder:
@@ -89,13 +103,15 @@ class Encoder:
     The tokenizer splits a text into pieces before it merges bytes, and a blank next to a character that is not
     white space always begins a piece. So a text can be cut there into words, each encoded once with the blank before
     it. A batch of texts is cut and its different words are found in Arrow, so that each is looked up once a batch; the
-    ids of all words of the batch are then copied at once. Unknown words are encoded together in long texts and told apart by the byte lengths of their ids. When the words
-    hold ``limit`` bytes they become the old generation; a word of it that is met again moves on, the others go with the next.
+    ids of all words of the batch are then copied at once. Unknown words are cut once more, where the usual
+    pre-tokenizer always ends a piece (behind letters, at line breaks), as many are new only with their signs. Unknown
+    parts are encoded together in long texts and told apart by the byte lengths of their ids. When words or parts hold
+    half of ``limit`` bytes, those that the fewest batches had are dropped until a half of that is free.
 
     Raises ValueError for a tokenizer that has a normalizer or is not byte-level, where words can't be cut out so.
     """
 
-    def __init__(self, path: str, limit: int = 48 << 20) -> None:
+    def __init__(self, path: str, limit: int = 96 << 20) -> None:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -108,50 +124,72 @@ class Encoder:
         self.tokenizer.model._resize_cache(0)
         count = self.tokenizer.get_vocab_size()
         self.width = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(count)], np.int64)
-        self.known, self.old = Held(), Held()
+        self.known, self.parts = Held(), Held()
+        self.added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
+        # What stands between parts in a long text: a line break where it is always a piece, or nothing and no word is cut.
+        self.between = "\n" if repr(self.tokenizer.pre_tokenizer) == RUNS and "\n" not in "".join(self.added) else ""
         self.limit = limit
 
     def plain(self, text: str) -> np.ndarray:
         # The batch call without offsets is the cheaper one.
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int32)
 
-    def library(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of words with a blank before them, and the count of each. Words begin with no white space."""
-        texts = [" " + " ".join(words[i : i + TOGETHER]) for i in range(0, len(words), TOGETHER)]
-        ids = np.concatenate([self.plain(text) for text in texts])
-        # Words hold no blanks, so every blank begins one.
-        begins = np.flatnonzero(np.frombuffer("".join(texts).encode(), np.uint8) == 32)
-        cuts = np.searchsorted(np.cumsum(self.width[ids]), begins, side="right")
-        return ids, np.diff(cuts, append=len(ids))
+    def library(self, parts: pa.Array) -> pa.Array:
+        """The ids of parts, which end with no white space and begin with none but one blank."""
+        texts = joined(parts, TOGETHER, self.between).to_pylist()
+        ids = np.concatenate([self.plain(text + self.between) for text in texts])
+        # The bytes at which a part ends and at which the next one begins.
+        begins = np.cumsum(pc.binary_length(parts).to_numpy().astype(np.int64) + len(self.between))
+        ends = np.cumsum(self.width[ids])
+        cuts = np.searchsorted(ends, begins, side="right")
+        if self.between:
+            # One id stands for the line break behind each part.
+            kept = np.ones(len(ids), bool)
+            kept[cuts - 1] = False
+            ids, cuts = ids[kept], cuts - np.arange(1, len(cuts) + 1)
+        return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], cuts]), pa.int32()), pa.array(ids))
+
+    def alone_or_together(self, texts: pa.Array, safe: pa.Array, together: Callable[[pa.Array], pa.Array]) -> pa.Array:
+        """The ids of texts, each alone by the library unless it is safe."""
+        held, rest = texts.filter(safe), texts.filter(pc.invert(safe))
+        found = [together(held)] if len(held) else []
+        found.append(pa.array([self.plain(text) for text in rest.to_pylist()], pa.list_(pa.int32())))
+        safe = safe.to_numpy(zero_copy_only=False)
+        return pa.concat_arrays(found).take(pa.array(np.where(safe, np.cumsum(safe) - 1, len(held) + np.cumsum(~safe) - 1)))
+
+    def by_parts(self, words: pa.Array) -> pa.Array:
+        """The ids of words with the blank before them, put together from those of their parts."""
+        if self.between:
+            words = pc.replace_substring_regex(words, LINE_END, "\\1\x00\n\x00\\2")
+            words = pc.replace_substring_regex(words, LETTER_END, "\\1\x00\\2")
+        cut = pc.split_pattern(words, "\x00")
+        parts = cut.values.dictionary_encode()
+        numbers = self.parts.places(parts.dictionary)[parts.indices.to_numpy()]
+        new = self.parts.unlearned()
+        if len(new):
+            safe = pc.equal(pc.binary_length(new), pc.binary_length(pc.utf8_rtrim(new, SPACES)))
+            self.parts.add(self.alone_or_together(new, safe, self.library))
+        ids = self.parts.ids.take(pa.array(numbers))
+        return pa.ListArray.from_arrays(ids.offsets.take(cut.offsets), ids.values)
 
     def learn(self) -> None:
         """Find the ids of the words that were numbered but not learned yet."""
         words = self.known.unlearned()
-        if not words:
+        if not len(words):
             return
-        old = np.fromiter(map(self.old.numbers.get, words, repeat(-1)), np.int64, len(words))
-        safe = np.fromiter((word[:1].strip() != "" and len(word) < 1000 for word in words), bool, len(words))
-        met, together, alone = old >= 0, (old < 0) & safe, (old < 0) & ~safe
-        flat, counts = [self.old.ids], np.zeros(len(words), np.int64)
-        begins = np.zeros(len(words), np.int64)
-        begins[met], counts[met] = self.old.begins[old[met]], self.old.counts[old[met]]
-        size = len(self.old.ids)
-        if together.any():
-            ids, n = self.library([words[i] for i in np.flatnonzero(together)])
-            begins[together], counts[together] = size + np.cumsum(n) - n, n
-            flat.append(ids)
-            size += len(ids)
-        for i in np.flatnonzero(alone):
-            ids = self.plain(" " + words[i])
-            begins[i], counts[i] = size, len(ids)
-            flat.append(ids)
-            size += len(ids)
-        self.known.add(gather(np.concatenate(flat), begins, counts), counts)
+        sizes = pc.binary_length(words)
+        safe = pc.and_(pc.greater(sizes, 0), pc.equal(sizes, pc.binary_length(pc.utf8_ltrim(words, SPACES))))
+        safe = pc.and_(safe, pc.less(sizes, 1000))
+        # Marks of the cuts and added tokens must not be met inside a word.
+        for token in ["\x00", *self.added]:
+            safe = pc.and_not(safe, pc.match_substring(words, token))
+        self.known.add(self.alone_or_together(pc.binary_join_element_wise("", words, " "), safe, self.by_parts))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """For each text its ids as 32-bit integers."""
-        if self.known.size() > self.limit:
-            self.known, self.old = Held(), self.known
+        for held in (self.known, self.parts):
+            if held.size() > self.limit // 2:
+                held.thin(self.limit // 4)
         whole = {i: text for i, text in enumerate(texts) if UNSAFE.search(text)}
         cut = pc.split_pattern(pa.array(["" if i in whole else text for i, text in enumerate(texts)], pa.string()), " ")
         stops = cut.offsets.to_numpy().astype(np.int64)
@@ -161,9 +199,8 @@ class Encoder:
         words = cut.values.filter(pa.array(follows)).dictionary_encode()
         numbers = self.known.number(listed(words.dictionary))[words.indices.to_numpy()]
         self.learn()
-        counts = self.known.counts[numbers]
-        ids = gather(self.known.ids, self.known.begins[numbers], counts)
-        before = np.concatenate([[0], np.cumsum(counts)])
+        lists = self.known.ids.take(pa.array(numbers))
+        before, ids = lists.offsets.to_numpy(), lists.values.to_numpy()
         # Each text has one first word, which is not among the others.
         ends = before[stops[1:] - np.arange(1, len(stops))].tolist()
         out = []
